@@ -28,13 +28,23 @@ def comparable(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), ROUND_DIGITS)
+            c = round6(c)
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
+def round6(c):
+    """Round half up on the binary value with plain IEEE operations.
+
+    The same formula runs in the oracle (see ``r``), so bit-equal inputs give
+    bit-equal outputs; the engines' own ``round`` disagree on ties.
+    """
+    scale = float(10 ** ROUND_DIGITS)
+    return (F.floor(c.cast("double") * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
+
+
 def register(name: str, oracle: str | None = None, fixture_cte: bool = True):
     """Decorator: register ``fn(spark, sf_dir) -> DataFrame`` under ``name``."""
 
@@ -68,7 +78,8 @@ def fixture(spark: SparkSession, sf_dir: str):
 
 def r(expr: str) -> str:
     """DuckDB rounding used by the oracles, matching ``comparable``."""
-    return f"round(CAST({expr} AS DOUBLE), {ROUND_DIGITS})"
+    scale = float(10 ** ROUND_DIGITS)
+    return f"(floor(CAST({expr} AS DOUBLE) * {scale} + 0.5) / {scale})"
 
 
 def as_of() -> str:
@@ -78,3 +89,4 @@ def as_of() -> str:
 def load_all() -> None:
     """Import every module that registers queries."""
     import riskflow.plans.queries_eda  # noqa: F401
+    import riskflow.plans.queries_features  # noqa: F401
