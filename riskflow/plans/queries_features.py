@@ -25,18 +25,23 @@ def _frame(key: str, n: int) -> str:
     return f"(PARTITION BY {key} ORDER BY sec RANGE BETWEEN {n} PRECEDING AND CURRENT ROW)"
 
 
-def customer_sql(days: int | None = fe.HISTORY_DAYS, counts: bool = True, avgs: bool = True) -> str:
+def _customer_select(counts: bool, avgs: bool, rounded: bool = True) -> str:
+    rr = r if rounded else (lambda e: e)
     cols = []
     if counts:
         cols += [f"COUNT(TX_FRAUD) OVER {_frame('CUSTOMER_ID', n)} AS customer_id_nb_tx_{w}_window"
                  for w, n in fe.WINDOWS.items()]
     if avgs:
         # average of whole cents (the library's exact form of AVG(TX_AMOUNT))
-        cols += [r(f"CAST(SUM(CAST(round(TX_AMOUNT * {SCALE}) AS BIGINT)) OVER {_frame('CUSTOMER_ID', n)} AS DOUBLE)"
-                   f" / {SCALE} / CAST(NULLIF(COUNT(TX_AMOUNT) OVER {_frame('CUSTOMER_ID', n)}, 0) AS DOUBLE)")
+        cols += [rr(f"CAST(SUM(CAST(round(TX_AMOUNT * {SCALE}) AS BIGINT)) OVER {_frame('CUSTOMER_ID', n)} AS DOUBLE)"
+                    f" / {SCALE} / CAST(NULLIF(COUNT(TX_AMOUNT) OVER {_frame('CUSTOMER_ID', n)}, 0) AS DOUBLE)")
                  + f" AS customer_id_avg_amount_{w}_window" for w, n in fe.WINDOWS.items()]
+    return f"SELECT TX_TS AS feature_ts, CUSTOMER_ID AS customer_id, {', '.join(cols)} FROM s"
+
+
+def customer_sql(days: int | None = fe.HISTORY_DAYS, counts: bool = True, avgs: bool = True) -> str:
     return f"""WITH {_base_sql(days)}
-SELECT TX_TS AS feature_ts, CUSTOMER_ID AS customer_id, {', '.join(cols)} FROM s"""
+{_customer_select(counts, avgs)}"""
 
 
 def _terminal_delay_cte(days: int | None) -> str:
@@ -50,17 +55,29 @@ def _terminal_delay_cte(days: int | None) -> str:
 dw AS (SELECT TX_TS, TERMINAL_ID, {', '.join(cols)} FROM s)"""
 
 
-def terminal_sql(days: int | None = fe.HISTORY_DAYS, counts: bool = True, risks: bool = True) -> str:
+def _terminal_select(counts: bool = True, risks: bool = True, rounded: bool = True) -> str:
+    rr = r if rounded else (lambda e: e)
     cols = []
     if counts:
         cols += [f"CAST(nb_tx_{w}_delay_window - nb_tx_delay AS BIGINT) AS terminal_id_nb_tx_{w}_window"
                  for w in fe.WINDOWS]
     if risks:
-        cols += [r(f"CAST(nb_fraud_{w}_delay_window - nb_fraud_delay AS DOUBLE) / "
-                   f"(CAST(nb_tx_{w}_delay_window - nb_tx_delay AS DOUBLE) + CAST({fe.RISK_EPSILON} AS DOUBLE))")
+        cols += [rr(f"CAST(nb_fraud_{w}_delay_window - nb_fraud_delay AS DOUBLE) / "
+                    f"(CAST(nb_tx_{w}_delay_window - nb_tx_delay AS DOUBLE) + CAST({fe.RISK_EPSILON} AS DOUBLE))")
                  + f" AS terminal_id_risk_{w}_window" for w in fe.WINDOWS]
+    return f"SELECT TX_TS AS feature_ts, TERMINAL_ID AS terminal_id, {', '.join(cols)} FROM dw"
+
+
+def terminal_sql(days: int | None = fe.HISTORY_DAYS, counts: bool = True, risks: bool = True) -> str:
     return f"""WITH {_terminal_delay_cte(days)}
-SELECT TX_TS AS feature_ts, TERMINAL_ID AS terminal_id, {', '.join(cols)} FROM dw"""
+{_terminal_select(counts, risks)}"""
+
+
+def feature_ctes(days: int | None = fe.HISTORY_DAYS) -> str:
+    """CTEs ``cf`` and ``tf``: the two views in per-second (distinct) form, unrounded."""
+    return f"""{_terminal_delay_cte(days)},
+cf AS (SELECT DISTINCT * FROM ({_customer_select(True, True, False)})),
+tf AS (SELECT DISTINCT * FROM ({_terminal_select(True, True, False)}))"""
 
 
 def _per_tx(per_sec, key):
@@ -139,7 +156,7 @@ def q_window_delayed_offset(spark, sf_dir):
 
 
 @register("window_latest_feature", f"""WITH {_base_sql()},
-f AS ({customer_sql().replace('WITH ' + _base_sql() + chr(10), '')}),
+f AS ({_customer_select(True, True)}),
 ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY feature_ts DESC) AS rn FROM f)
 SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""")
 def q_window_latest_feature(spark, sf_dir):

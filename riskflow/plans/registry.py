@@ -90,3 +90,4 @@ def load_all() -> None:
     """Import every module that registers queries."""
     import riskflow.plans.queries_eda  # noqa: F401
     import riskflow.plans.queries_features  # noqa: F401
+    import riskflow.plans.queries_joins  # noqa: F401
