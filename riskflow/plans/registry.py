@@ -91,3 +91,4 @@ def load_all() -> None:
     import riskflow.plans.queries_eda  # noqa: F401
     import riskflow.plans.queries_features  # noqa: F401
     import riskflow.plans.queries_joins  # noqa: F401
+    import riskflow.plans.queries_models  # noqa: F401
