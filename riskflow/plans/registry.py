@@ -92,3 +92,5 @@ def load_all() -> None:
     import riskflow.plans.queries_features  # noqa: F401
     import riskflow.plans.queries_joins  # noqa: F401
     import riskflow.plans.queries_models  # noqa: F401
+    import riskflow.plans.queries_sources  # noqa: F401
+    import riskflow.plans.queries_stream  # noqa: F401

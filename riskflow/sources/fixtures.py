@@ -60,3 +60,13 @@ txlabels AS (SELECT CAST(event_id AS VARCHAR) AS TX_ID,
               CAST(CASE WHEN event_type = 'error'
                      OR (user_id % 10 = 0 AND event_type IN ('click','purchase')) THEN 1 ELSE 0 END AS INTEGER) AS TX_FRAUD
              FROM events WHERE event_type <> 'signup')"""
+
+
+def messages_from_events(events: DataFrame) -> DataFrame:
+    """The message topic of the fixture: every non-signup event as a transaction message,
+    every signup as its raw ``props`` object (not a transaction: it has no TX_ID)."""
+    from riskflow.streaming.messages import to_message
+
+    tx = transactions_from_events(events.where(F.col("event_type") != UNLABELLED_EVENT))
+    other = events.where(F.col("event_type") == UNLABELLED_EVENT).select(F.col("props").alias("value"))
+    return to_message(tx).unionByName(other)
