@@ -55,7 +55,8 @@ def classification_metrics(df: DataFrame, label: str = "tx_fraud", prob: str = "
 
 def roc_auc(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """One row ``roc_auc``; NULL when one class is absent."""
-    per_score = scored.groupBy(p).agg(F.sum(F.col(y)).alias("pos"), F.sum(F.lit(1.0) - F.col(y)).alias("neg"))
+    per_score = (scored.groupBy(p).agg(F.sum(F.col(y)).alias("pos"), F.sum(F.lit(1.0) - F.col(y)).alias("neg"))
+                 .checkpoint())  # read by the cut-point pass and the totals pass
     cum = running_totals(per_score, p, ["neg"])
     # negatives strictly below the score, plus half of the tied ones
     credit = F.col("pos") * (F.col("neg_cum") - F.col("neg") + F.lit(0.5) * F.col("neg"))

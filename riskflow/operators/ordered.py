@@ -29,7 +29,11 @@ DEFAULT_BUCKETS = 256
 def running_totals(distinct_values: DataFrame, value: str, columns: Sequence[str],
                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """For a table with one row per distinct ``value``, add ``{c}_cum`` = sum of ``c`` over
-    rows with value <= this value, for each ``c`` in ``columns``."""
+    rows with value <= this value, for each ``c`` in ``columns``.
+
+    ``distinct_values`` is read more than once (cut points, then the totals); pass
+    a checkpointed frame (see ``exact_quantile``) when its lineage is long.
+    """
     cuts = distinct_values.approxQuantile(value, [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
     splits = [float("-inf")] + sorted(set(float(c) for c in cuts if c is not None)) + [float("inf")]
     src = distinct_values.withColumn("_v", F.col(value).cast("double"))
@@ -50,7 +54,8 @@ def exact_quantile(df: DataFrame, value: str, q: float, buckets: int = DEFAULT_B
     ``ceil(q * n)`` (the discrete percentile; NULL values are ignored)."""
     import math
 
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = (df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+              .checkpoint())  # computed once, read by the three passes below
     n = counts.agg(F.sum("_n")).first()[0] or 0  # one scalar
     target = max(1, math.ceil(q * n))
     cum = running_totals(counts, value, ["_n"], buckets)
