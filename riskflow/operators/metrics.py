@@ -83,20 +83,21 @@ def davies_bouldin(df: DataFrame, cluster: str, features: Sequence[str]) -> Data
 
 def davies_bouldin_arrays(df: DataFrame, cluster: str, x: str, dim: int) -> DataFrame:
     """As ``davies_bouldin`` for points given as one double-array column ``x`` of length ``dim``."""
-    pts = df.select(F.col(cluster), F.col(x).alias("x"))
-    cents = pts.groupBy(cluster).agg(F.array(*[F.avg(F.col("x")[i]) for i in range(dim)]).alias("c"))
+    pts = df.select(F.col(cluster).alias("_id"), F.col(x).alias("_x"))
+    cents = pts.groupBy("_id").agg(F.array(*[F.avg(F.col("_x")[i]) for i in range(dim)]).alias("_c"))
     # k rows: the broadcast is bounded by the number of clusters
-    scatter = (pts.join(F.broadcast(cents), cluster)
-               .groupBy(cluster).agg(F.avg(euclidean(F.col("x"), F.col("c"))).alias("s")))
-    table = (cents.join(scatter, cluster)
-             .agg(F.collect_list(F.struct(F.col(cluster).alias("id"), "c", "s")).alias("cl")))
+    scatter = (pts.join(F.broadcast(cents), "_id")
+               .groupBy("_id").agg(F.avg(euclidean(F.col("_x"), F.col("_c"))).alias("_s")))
+    table = (cents.join(scatter, "_id")
+             .agg(F.collect_list(F.struct(F.col("_id").alias("id"), F.col("_c").alias("c"),
+                                          F.col("_s").alias("s"))).alias("_cl")))
 
     def worst(a):
-        others = F.filter(F.col("cl"), lambda b: b["id"] != a["id"])
+        others = F.filter(F.col("_cl"), lambda b: b["id"] != a["id"])
         return F.array_max(F.transform(others, lambda b: F.try_divide(a["s"] + b["s"], euclidean(a["c"], b["c"]))))
 
-    ratios = F.transform(F.col("cl"), worst)
-    k = F.size("cl")
+    ratios = F.transform(F.col("_cl"), worst)
+    k = F.size("_cl")
     return table.select(
         (F.aggregate(ratios, F.lit(0.0), lambda acc, v: acc + v) / k.cast("double")).alias("davies_bouldin_index"),
         k.cast("long").alias("k"))

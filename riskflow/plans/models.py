@@ -115,6 +115,11 @@ def evaluate(model: PipelineModel, data: DataFrame, label: str = LABEL) -> DataF
     return classification_metrics(predict(model, data), label, "fraud_probability")
 
 
+def evaluate_with(model: PipelineModel, data: DataFrame, features: Sequence[str], label: str = LABEL) -> DataFrame:
+    """``evaluate`` for a model fitted on a custom feature list."""
+    return classification_metrics(predict(model, data, features), label, "fraud_probability")
+
+
 def global_explain(spark: SparkSession, model: PipelineModel, features: Sequence[str] = FEATURES) -> DataFrame:
     """(feature, attribution) from the tree ensemble's importances, highest first."""
     importances = model.stages[-1].featureImportances.toArray().tolist()
