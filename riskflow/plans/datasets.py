@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from riskflow.operators.asof import point_in_time_join
 from riskflow.plans import features as fe
+from riskflow.session import materialize as write_table
 
 LABEL = "tx_fraud"
 TRAIN_DAYS = (15, 5)
@@ -32,12 +33,20 @@ ID_COLUMNS = ["timestamp", "customer_id", "terminal_id"]
 
 
 def labelled_feature_set(tx: DataFrame, labels: DataFrame, as_of=None, start_days: int = 15,
-                         end_days_before: int = 0, history_days: int = fe.HISTORY_DAYS) -> DataFrame:
+                         end_days_before: int = 0, history_days: int = fe.HISTORY_DAYS,
+                         materialize: bool = True) -> DataFrame:
     """Labelled transactions of ``[as_of - start_days, as_of - end_days_before]`` with all 24 features.
 
     Columns: timestamp, tx_amount, tx_fraud, customer_id + 12, terminal_id + 12.
+
+    The labelled history feeds three consumers (ground truth, customer and
+    terminal totals) with different column sets, so Spark would repeat the
+    scan and the TX_ID join for each; ``materialize`` writes it once to the
+    shared checkpoint folder instead.
     """
     base = fe.labelled_recent(tx, labels, as_of, history_days, end_days_before)
+    if materialize:
+        base = write_table(base, "labelled_history")
     start = fe.as_of_col(as_of) - F.expr(f"INTERVAL {int(start_days)} DAYS")
     gt = (base.where((F.col("TX_TS") >= start) & F.col("TX_FRAUD").isNotNull())
           .select(F.col("TX_TS").alias("timestamp"), F.col("CUSTOMER_ID").alias("customer"),
@@ -55,12 +64,14 @@ def labelled_feature_set(tx: DataFrame, labels: DataFrame, as_of=None, start_day
                       *fe.CUSTOMER_AVG_COLS, "terminal_id", *fe.TERMINAL_COUNT_COLS, *fe.TERMINAL_RISK_COLS)
 
 
-def training_set(tx: DataFrame, labels: DataFrame, as_of=None, days: tuple[int, int] = TRAIN_DAYS) -> DataFrame:
-    return labelled_feature_set(tx, labels, as_of, days[0], days[1])
+def training_set(tx: DataFrame, labels: DataFrame, as_of=None, days: tuple[int, int] = TRAIN_DAYS,
+                 materialize: bool = True) -> DataFrame:
+    return labelled_feature_set(tx, labels, as_of, days[0], days[1], materialize=materialize)
 
 
-def prediction_set(tx: DataFrame, labels: DataFrame, as_of=None, days: tuple[int, int] = PREDICT_DAYS) -> DataFrame:
-    return labelled_feature_set(tx, labels, as_of, days[0], days[1])
+def prediction_set(tx: DataFrame, labels: DataFrame, as_of=None, days: tuple[int, int] = PREDICT_DAYS,
+                   materialize: bool = True) -> DataFrame:
+    return labelled_feature_set(tx, labels, as_of, days[0], days[1], materialize=materialize)
 
 
 def model_input(data: DataFrame, supervised: bool = True) -> DataFrame:

@@ -71,3 +71,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     return os.path.join(base, "riskflow", f"{name}-{uuid.uuid4().hex}") if "://" not in base \
         else f"{base.rstrip('/')}/riskflow/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str, partition_by: list[str] | None = None):
+    """Write ``df`` as a parquet table below the shared checkpoint folder and return it read back.
+
+    Used where one intermediate feeds several consumers whose column sets differ
+    (so Spark cannot reuse one exchange for all): computed once, columnar on
+    disk, and the lineage of later jobs starts at the table, so a lost executor
+    costs a re-read, not a recomputation.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.parquet(path)

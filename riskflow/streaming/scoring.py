@@ -40,37 +40,80 @@ PREDICTION_COLUMNS = ["TX_ID", "prediction_timestamp", "fraud_probability", "is_
 
 
 def materialize_features(spark: SparkSession, tx: DataFrame, labels: DataFrame, as_of, path: str) -> dict:
-    """Write the per-second customer and terminal feature tables of ``as_of`` below ``path``.
+    """Write the feature snapshot of ``as_of`` below ``path``: the per-second customer and
+    terminal tables and, for each, its newest row per key (``*_latest``).
 
-    Computed once, read by every micro-batch; returns the two table paths.
+    Computed once (from one stored copy of the labelled history), read by every
+    micro-batch; returns the table paths.
     """
-    out = {"customer": os.path.join(path, "customer"), "terminal": os.path.join(path, "terminal")}
-    fe.customer_per_second(tx, labels, as_of).drop("n_tx").write.mode("overwrite").parquet(out["customer"])
-    fe.terminal_per_second(tx, labels, as_of).drop("n_tx").write.mode("overwrite").parquet(out["terminal"])
+    out = {k: os.path.join(path, k) for k in ("history", "customer", "terminal", "customer_latest",
+                                               "terminal_latest")}
+    fe.labelled_recent(tx, labels, as_of).write.mode("overwrite").parquet(out["history"])
+    base = spark.read.parquet(out["history"])
+    fe.customer_per_second(tx, labels, base=base).drop("n_tx").write.mode("overwrite").parquet(out["customer"])
+    fe.terminal_per_second(tx, labels, base=base).drop("n_tx").write.mode("overwrite").parquet(out["terminal"])
+    for kind, key in (("customer", "customer_id"), ("terminal", "terminal_id")):
+        table = spark.read.parquet(out[kind])
+        fe.latest_per_key(table, key).write.mode("overwrite").parquet(out[f"{kind}_latest"])
     return out
 
 
+def read_snapshot(spark: SparkSession, paths: dict) -> dict:
+    return {k: spark.read.parquet(v) for k, v in paths.items() if k != "history"}
+
+
 def _keys_in(batch: DataFrame, key: str, features: DataFrame, fkey: str) -> DataFrame:
     keys = batch.select(F.col(key).alias(fkey)).distinct()
     return features.join(keys, fkey, "left_semi")
 
 
+def asof_with_latest(batch: DataFrame, key: str, history: DataFrame, latest: DataFrame | None, hkey: str,
+                     cols: list[str]) -> DataFrame:
+    """As-of lookup of ``cols`` for every batch row, exact.
+
+    Live transactions are almost always newer than the snapshot, and then the
+    answer is simply the key's newest feature row: a plain equi-join with
+    ``latest`` (one row per key). Only rows older than their key's newest row
+    (replays, late arrivals) go through the general as-of join, against the
+    history of just their keys.
+    """
+    if latest is None:
+        hist = _keys_in(batch, key, history, hkey)
+        return asof_join(batch, hist, key, "TX_TS", hkey, "feature_ts", cols, keep_right_ts=False)
+    lt = latest.select(F.col(hkey).alias("_lk"), F.col("feature_ts").alias("_lts"),
+                       *[F.col(c).alias(f"_l_{c}") for c in cols])
+    j = batch.join(lt, batch[key] == lt["_lk"], "left")
+    fresh = j.where(F.col("_lts").isNull() | (F.col("_lts") <= F.col("TX_TS")))
+    fresh = fresh.select(*batch.columns, *[F.col(f"_l_{c}").alias(c) for c in cols])
+    late = j.where(F.col("_lts") > F.col("TX_TS")).select(*batch.columns)
+    hist = _keys_in(late, key, history, hkey)
+    late = asof_join(late, hist, key, "TX_TS", hkey, "feature_ts", cols, keep_right_ts=False)
+    return fresh.unionByName(late)
+
+
 def enrich(batch: DataFrame, customer_features: DataFrame, terminal_features: DataFrame,
-           fill: float | None = 0.0) -> DataFrame:
-    """Transactions plus ``tx_amount`` and the 24 features of the newest rows not later than TX_TS."""
-    cust = _keys_in(batch, "CUSTOMER_ID", customer_features, "customer_id")
-    term = _keys_in(batch, "TERMINAL_ID", terminal_features, "terminal_id")
-    c_cols = [c for c in fe.CUSTOMER_FEATURES]
-    t_cols = [c for c in fe.TERMINAL_FEATURES]
-    out = asof_join(batch, cust, "CUSTOMER_ID", "TX_TS", "customer_id", "feature_ts", c_cols,
-                    keep_right_ts=False)
-    out = asof_join(out, term, "TERMINAL_ID", "TX_TS", "terminal_id", "feature_ts", t_cols, keep_right_ts=False)
+           fill: float | None = 0.0, customer_latest: DataFrame | None = None,
+           terminal_latest: DataFrame | None = None) -> DataFrame:
+    """Transactions plus ``tx_amount`` and the 24 features of the newest rows not later than TX_TS.
+
+    ``*_latest`` (newest row per key, see ``materialize_features``) enable the
+    equi-join fast path; without them every row takes the general as-of join.
+    """
+    out = asof_with_latest(batch, "CUSTOMER_ID", customer_features, customer_latest, "customer_id",
+                           list(fe.CUSTOMER_FEATURES))
+    out = asof_with_latest(out, "TERMINAL_ID", terminal_features, terminal_latest, "terminal_id",
+                           list(fe.TERMINAL_FEATURES))
     feats = [(F.coalesce(F.col(c).cast("double"), F.lit(float(fill))) if fill is not None
               else F.col(c).cast("double")).alias(c) for c in ENRICHED_FEATURES]
     return out.select("TX_ID", "TX_TS", "CUSTOMER_ID", "TERMINAL_ID",
                       F.col("TX_AMOUNT").cast("double").alias("tx_amount"), *feats)
 
 
+def enrich_with(batch: DataFrame, snapshot: dict, fill: float | None = 0.0) -> DataFrame:
+    return enrich(batch, snapshot["customer"], snapshot["terminal"], fill,
+                  snapshot.get("customer_latest"), snapshot.get("terminal_latest"))
+
+
 def prediction_rows(scored: DataFrame, prob: str = "fraud_probability", model_version: str = "unknown",
                     created_at=None) -> DataFrame:
     """The prediction table rows; ``created_at`` defaults to the current time."""
@@ -86,12 +129,12 @@ def latest_predictions(predictions: DataFrame, k: int = 10) -> DataFrame:
                                F.col("TX_ID").asc()).limit(k)
 
 
-def score_batch(batch: DataFrame, customer_features: DataFrame, terminal_features: DataFrame,
-                model: PipelineModel | None, model_version: str, created_at=None,
-                score_col: str | None = None) -> DataFrame:
-    """Enrich, score and project one batch. ``score_col`` (instead of a model) names an
-    enriched column taken as the probability -- a fixed, model-free score."""
-    enriched = enrich(batch, customer_features, terminal_features)
+def score_batch(batch: DataFrame, snapshot: dict, model: PipelineModel | None, model_version: str,
+                created_at=None, score_col: str | None = None) -> DataFrame:
+    """Enrich, score and project one batch. ``snapshot``: tables of ``read_snapshot``.
+    ``score_col`` (instead of a model) names an enriched column taken as the probability
+    -- a fixed, model-free score."""
+    enriched = enrich_with(batch, snapshot)
     if model is not None:
         from pyspark.ml.functions import vector_to_array
 
@@ -117,10 +160,9 @@ def run_scoring_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         raw = batch_df.persist()
         try:
-            cust = spark.read.parquet(feature_paths["customer"])
-            term = spark.read.parquet(feature_paths["terminal"])
             good = parse_messages(raw)
-            rows = score_batch(good, cust, term, model, model_version, created_at, score_col)
+            rows = score_batch(good, read_snapshot(spark, feature_paths), model, model_version, created_at,
+                               score_col)
             write_batch(rows, sink, batch_id)
             if dead_letter_sink:
                 write_batch(dead_letters(raw), dead_letter_sink, batch_id)
@@ -140,9 +182,7 @@ def run_enrich_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths:
     """Stream of enriched transactions (R1 alone), written per batch like the scores."""
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
-        cust = spark.read.parquet(feature_paths["customer"])
-        term = spark.read.parquet(feature_paths["terminal"])
-        write_batch(enrich(parse_messages(batch_df), cust, term), sink, batch_id)
+        write_batch(enrich_with(parse_messages(batch_df), read_snapshot(spark, feature_paths)), sink, batch_id)
 
     q = (raw_stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -58,9 +58,20 @@ def test_scan_prunes_partitions(spark):
     assert df.count() == expected.count() > 0
 
 
-def test_training_set_reads_only_needed_columns(spark):
+def test_training_set_reads_stored_history_once_per_consumer(spark):
     tx, lb = load_fixture(spark, SF_SMALL)
     p = plan(ds.training_set(tx, lb, AS_OF))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", p)
-    assert schemas and all("event_id" in s or "ts" in s for s in schemas)
+    # ground truth, customer totals, terminal totals: three pruned reads of the stored
+    # labelled history, no TX_ID column and no label join left in this plan
+    assert len(schemas) == 3 and all("TX_ID" not in s for s in schemas)
+    assert "TERMINAL_ID" not in schemas[1] or "CUSTOMER_ID" not in schemas[1] or len(set(schemas)) == 3
     assert "BatchEvalPython" not in p
+
+
+def test_training_set_unmaterialized_prunes_scan(spark):
+    tx, lb = load_fixture(spark, SF_SMALL)
+    p = plan(ds.training_set(tx, lb, AS_OF, materialize=False))
+    for s in re.findall(r"ReadSchema: struct<([^>]*)>", p):
+        assert set(x.split(":")[0] for x in s.split(",")) <= {"event_id", "ts", "user_id", "value", "props",
+                                                              "event_type"}

@@ -31,7 +31,7 @@ def test_unknown_customer_gets_zero_features(spark):
     tx, lb = load_fixture(spark, SF_SMALL)
     paths = sc.materialize_features(spark, tx, lb, SNAP, scratch_path(spark, "feat"))
     batch = make_tx(spark, [("n1", "2024-01-25 00:00:00", "no-such-customer", "no-such-terminal", 12.0)])
-    out = sc.enrich(batch, spark.read.parquet(paths["customer"]), spark.read.parquet(paths["terminal"])).collect()
+    out = sc.enrich_with(batch, sc.read_snapshot(spark, paths)).collect()
     assert len(out) == 1
     assert all(out[0][c] == 0.0 for c in sc.ENRICHED_FEATURES)
 
@@ -64,8 +64,7 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
     n = first.count()
     # batch computation of the same rows
     raw = spark.read.text(topic)
-    batch = sc.score_batch(msg.parse_messages(raw), spark.read.parquet(paths["customer"]),
-                           spark.read.parquet(paths["terminal"]), None, "fixed", SNAP,
+    batch = sc.score_batch(msg.parse_messages(raw), sc.read_snapshot(spark, paths), None, "fixed", SNAP,
                            "terminal_id_risk_1day_window")
     cols = sc.PREDICTION_COLUMNS
     assert first.select(*cols).exceptAll(batch.select(*cols)).count() == 0
@@ -81,6 +80,17 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
     assert spark.read.parquet(sink).where("batch_id = 0").count() == 5
 
 
+def test_latest_fast_path_equals_general_asof(spark):
+    tx, lb = load_fixture(spark, SF_SMALL)
+    paths = sc.materialize_features(spark, tx, lb, SNAP, scratch_path(spark, "feat"))
+    snap = sc.read_snapshot(spark, paths)
+    batch = tx  # the whole month: before, inside and after the snapshot history
+    fast = sc.enrich_with(batch, snap)
+    general = sc.enrich(batch, snap["customer"], snap["terminal"])
+    assert fast.count() == batch.count()
+    assert fast.exceptAll(general).count() == 0 and general.exceptAll(fast).count() == 0
+
+
 def test_parse_round_trip(spark):
     tx = make_tx(spark, [("1", "2024-01-21 10:00:07", "c", "t", 3.25)])
     back = msg.parse_messages(msg.to_message(tx)).collect()[0]
