@@ -127,3 +127,37 @@ def repeated_amounts(tx: DataFrame, labels: DataFrame, min_frequency: int = 10,
             .where(F.col("frequency") > F.lit(min_frequency))
             .orderBy(F.col("frequency").desc(), F.col("TX_AMOUNT").asc())
             .limit(k))
+
+
+def scalar_projection(tx: DataFrame, labels: DataFrame, as_of) -> DataFrame:
+    """One projection over every scalar function the analyses use (SAFE_DIVIDE, IF / IS NOT NULL,
+    ROUND, EXTRACT(HOUR), day truncation and weekday, INTERVAL arithmetic, UNIX_SECONDS,
+    format-then-parse, TIMESTAMP(text), DATE, casts, CONCAT, COALESCE, BETWEEN, threshold)."""
+    from riskflow.functions import as_timestamp, epoch_seconds, trunc_second
+
+    end = as_timestamp(as_of)
+    hour = F.hour("TX_TS")
+    text_ts = F.date_format("TX_TS", "yyyy-MM-dd HH:mm:ss")
+    return with_labels(tx, labels).select(
+        "TX_ID",
+        F.try_divide(F.col("TX_AMOUNT"), F.col("TX_FRAUD").cast("double")).alias("amount_per_fraud"),
+        F.when(F.col("TX_FRAUD").isNotNull(), F.col("TX_FRAUD")).otherwise(F.lit(0)).alias("fraud_or_zero"),
+        F.col("TX_FRAUD").isNotNull().alias("is_labelled"),
+        F.round("TX_AMOUNT", 0).alias("amount_round0"),
+        F.round(hour / F.lit(4.0), 1).alias("hour_quarter_round1"),
+        hour.alias("hour"),
+        F.date_trunc("day", "TX_TS").alias("day_start"),
+        F.dayofweek("TX_TS").alias("day_of_week"),
+        (F.col("TX_TS") - F.expr("INTERVAL 7 DAYS")).alias("week_before"),
+        epoch_seconds("TX_TS").alias("epoch_seconds"),
+        trunc_second("TX_TS").alias("ts_second"),
+        F.to_timestamp(text_ts).alias("ts_parsed"),
+        F.to_date("TX_TS").alias("tx_date"),
+        F.round("TX_AMOUNT").cast("long").alias("amount_int"),
+        F.col("CUSTOMER_ID").cast("long").cast("string").alias("customer_text"),
+        F.concat(F.lit("Customer#"), F.col("CUSTOMER_ID")).alias("customer_label"),
+        F.coalesce(F.col("TX_FRAUD"), F.lit(-1)).alias("fraud_or_missing"),
+        F.col("TX_TS").between(end - F.expr("INTERVAL 15 DAYS"), end).alias("in_last_15_days"),
+        (F.col("TX_AMOUNT") * 2 - 1).alias("amount_affine"),
+        (F.try_divide(hour.cast("double"), F.lit(23.0)) > F.lit(0.5)).alias("late_hour"),
+    )

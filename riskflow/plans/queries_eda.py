@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riskflow.plans import eda
-from riskflow.plans.registry import fixture, r, register
+from riskflow.plans.registry import AS_OF, fixture, r, register
 
 _RATE = "SUM(COALESCE(TX_FRAUD, 0))::DOUBLE / NULLIF(COUNT(TX_FRAUD), 0)"
 
@@ -120,3 +120,30 @@ ORDER BY frequency DESC, TX_AMOUNT ASC LIMIT 10""")
 def q_repeated_amounts(spark, sf_dir):
     tx, lb = fixture(spark, sf_dir)
     return eda.repeated_amounts(tx, lb, REPEATED_MIN_FREQUENCY, 10)
+
+
+@register("scalar_functions", f"""
+SELECT TX_ID, {r('TX_AMOUNT / NULLIF(CAST(TX_FRAUD AS DOUBLE), 0)')} AS amount_per_fraud,
+       CASE WHEN TX_FRAUD IS NOT NULL THEN TX_FRAUD ELSE 0 END AS fraud_or_zero,
+       TX_FRAUD IS NOT NULL AS is_labelled,
+       {r('ROUND(TX_AMOUNT, 0)')} AS amount_round0,
+       {r('ROUND(EXTRACT(HOUR FROM TX_TS) / 4.0, 1)')} AS hour_quarter_round1,
+       CAST(EXTRACT(HOUR FROM TX_TS) AS INTEGER) AS hour,
+       date_trunc('day', TX_TS) AS day_start,
+       CAST(dayofweek(TX_TS) + 1 AS INTEGER) AS day_of_week,
+       TX_TS - INTERVAL 7 DAY AS week_before,
+       CAST(epoch(TX_TS) AS BIGINT) AS epoch_seconds,
+       date_trunc('second', TX_TS) AS ts_second,
+       CAST(strftime(TX_TS, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS ts_parsed,
+       CAST(TX_TS AS DATE) AS tx_date,
+       CAST(ROUND(TX_AMOUNT) AS BIGINT) AS amount_int,
+       CAST(CAST(CUSTOMER_ID AS BIGINT) AS VARCHAR) AS customer_text,
+       CONCAT('Customer#', CUSTOMER_ID) AS customer_label,
+       COALESCE(TX_FRAUD, -1) AS fraud_or_missing,
+       TX_TS BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL 15 DAY AND TIMESTAMP '{AS_OF}' AS in_last_15_days,
+       {r('TX_AMOUNT * 2 - 1')} AS amount_affine,
+       EXTRACT(HOUR FROM TX_TS) / 23.0 > 0.5 AS late_hour
+FROM tx LEFT JOIN txlabels USING (TX_ID)""")
+def q_scalar_functions(spark, sf_dir):
+    tx, lb = fixture(spark, sf_dir)
+    return eda.scalar_projection(tx, lb, AS_OF)

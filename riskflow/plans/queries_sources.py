@@ -68,3 +68,15 @@ def q_src_history_text(spark, sf_dir):
     path = scratch_path(spark, "hacked_customers_history")
     tables.write_history(hacked, path, "CUSTOMER_ID")
     return tables.read_history(spark, path)
+
+
+@register("src_namespace_table", f"SELECT {TX_SELECT} FROM tx")
+def q_src_namespace_table(spark, sf_dir):
+    """``CREATE SCHEMA IF NOT EXISTS`` + ``CREATE OR REPLACE TABLE AS``: a catalog table whose
+    location is in the shared folder, bucketed by customer so later per-customer
+    work can skip the shuffle."""
+    tx, _ = fixture(spark, sf_dir)
+    db = "riskflow_tx"
+    tables.create_namespace(spark, db, scratch_path(spark, "warehouse"))
+    name = tables.save_table(tx, f"{db}.tx", bucket_by="CUSTOMER_ID", buckets=8)
+    return spark.table(name)

@@ -78,6 +78,18 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def create_namespace(spark: SparkSession, name: str) -> None:
-    """``CREATE SCHEMA IF NOT EXISTS``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """``CREATE SCHEMA IF NOT EXISTS``; ``location`` places its tables (use a shared folder)."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
+
+
+def save_table(df: DataFrame, name: str, bucket_by: str | None = None, buckets: int = 0,
+               mode: str = "overwrite") -> str:
+    """``CREATE OR REPLACE TABLE name AS SELECT ...`` in the catalog; with ``bucket_by`` the table
+    is hash-bucketed on that column, so joins/aggregations on it read it co-partitioned."""
+    w = df.write.mode(mode).format("parquet")
+    if bucket_by and buckets:
+        w = w.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    w.saveAsTable(name)
+    return name
