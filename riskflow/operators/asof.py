@@ -35,48 +35,53 @@ def point_in_time_join(left: DataFrame, right: DataFrame, left_on: Sequence[str]
 
 
 def asof_join(left: DataFrame, right: DataFrame, left_key: str, left_ts: str, right_key: str, right_ts: str,
-              columns: Sequence[str] | None = None, fill=None, keep_right_ts: bool = True) -> DataFrame:
+              columns: Sequence[str] | None = None, fill=None, keep_right_ts: bool = True,
+              right_unique: bool = False, compact_left: bool = True) -> DataFrame:
     """For every ``left`` row, the newest ``right`` row of the same key with
     ``right_ts <= left_ts`` (left outer: no such row gives NULLs, or ``fill``).
 
     Adds ``columns`` of ``right`` (default: all but the key) to ``left``.
     Several right rows at the same instant of one key are reduced to their
-    maximum (they are value-equal copies for per-second feature tables).
+    maximum (value-equal copies for per-second feature tables); pass
+    ``right_unique=True`` when ``right`` is unique per (key, instant) already.
+    ``compact_left=False`` sends the left rows through the window themselves
+    instead of their distinct (key, instant) pairs plus a join back: fewer
+    stages, for left sides whose size is bounded (a stream micro-batch).
     """
     columns = list(columns) if columns is not None else [c for c in right.columns if c != right_key]
     payload_cols = [c for c in columns if c != right_ts] + ([right_ts] if keep_right_ts else [])
     k, t = "_asof_key", "_asof_t"
-    rights = (right.select(F.col(right_key).alias(k), F.unix_micros(F.col(right_ts).cast("timestamp")).alias(t),
-                           F.struct(*[F.col(c) for c in payload_cols]).alias("_p"))
-              .groupBy(k, t).agg(F.max("_p").alias("_p"))
-              .withColumn("_side", F.lit(0)))
-    probes = (left.select(F.col(left_key).alias(k), F.unix_micros(F.col(left_ts).cast("timestamp")).alias(t))
-              .distinct()
-              .select(k, t, F.lit(None).cast(rights.schema["_p"].dataType).alias("_p"), F.lit(1).alias("_side")))
+    rights = right.select(F.col(right_key).alias(k), F.unix_micros(F.col(right_ts).cast("timestamp")).alias(t),
+                          F.struct(*[F.col(c) for c in payload_cols]).alias("_p"))
+    if not right_unique:
+        rights = rights.groupBy(k, t).agg(F.max("_p").alias("_p"))
+    rights = rights.withColumn("_side", F.lit(0))
     w = (Window.partitionBy(k).orderBy(F.col(t), F.col("_side"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = (rights.unionByName(probes)
-             .withColumn("_hit", F.last("_p", ignorenulls=True).over(w))
-             .where(F.col("_side") == 1)
-             .select(k, t, "_hit"))
-    joined = left.join(found, on=[left[left_key] == found[k],
-                                  F.unix_micros(left[left_ts].cast("timestamp")) == found[t]], how="left")
+    none = F.lit(None).cast(rights.schema["_p"].dataType)
+    if not compact_left:
+        lcols = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
+        carried = rights.select(k, t, "_p", "_side", *lcols)
+        probes = left.select(F.col(left_key).alias(k), F.unix_micros(F.col(left_ts).cast("timestamp")).alias(t),
+                             none.alias("_p"), F.lit(1).alias("_side"), *[F.col(c) for c in left.columns])
+        joined = (carried.unionByName(probes)
+                  .withColumn("_hit", F.last("_p", ignorenulls=True).over(w))
+                  .where(F.col("_side") == 1))
+        left_out = [F.col(c) for c in left.columns]
+    else:
+        probes = (left.select(F.col(left_key).alias(k), F.unix_micros(F.col(left_ts).cast("timestamp")).alias(t))
+                  .distinct()
+                  .select(k, t, none.alias("_p"), F.lit(1).alias("_side")))
+        found = (rights.unionByName(probes)
+                 .withColumn("_hit", F.last("_p", ignorenulls=True).over(w))
+                 .where(F.col("_side") == 1)
+                 .select(k, t, "_hit"))
+        joined = left.join(found, on=[left[left_key] == found[k],
+                                      F.unix_micros(left[left_ts].cast("timestamp")) == found[t]], how="left")
+        left_out = [left[c] for c in left.columns]
     out = [F.col(f"_hit.{c}").alias(c) for c in payload_cols]
     if fill is not None:
         out = [F.coalesce(F.col(f"_hit.{c}"), F.lit(fill)).alias(c) if c != right_ts else F.col(f"_hit.{c}").alias(c)
                for c in payload_cols]
-    return joined.select(*[left[c] for c in left.columns], *out)
+    return joined.select(*left_out, *out)
 
-
-def asof_join_by_max(left: DataFrame, right: DataFrame, left_key: str, left_ts: str, right_key: str,
-                     right_ts: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Equi-join + ``max_by`` form of the as-of join, for equivalence tests on small inputs only:
-    it pairs every probe with every earlier right row of its key."""
-    columns = list(columns) if columns is not None else [c for c in right.columns if c != right_key]
-    probes = left.select(F.col(left_key).alias("_k"), F.col(left_ts).alias("_t")).distinct()
-    r = right.select(F.col(right_key).alias("_rk"), F.col(right_ts).alias("_rt"),
-                     F.struct(*[F.col(c) for c in columns]).alias("_p"))
-    best = (probes.join(r, (F.col("_k") == F.col("_rk")) & (F.col("_rt") <= F.col("_t")))
-            .groupBy("_k", "_t").agg(F.max_by("_p", F.struct("_rt", "_p")).alias("_hit")))
-    joined = left.join(best, (left[left_key] == best["_k"]) & (left[left_ts] == best["_t"]), "left")
-    return joined.select(*[left[c] for c in left.columns], *[F.col(f"_hit.{c}").alias(c) for c in columns])

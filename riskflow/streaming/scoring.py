@@ -67,8 +67,34 @@ def _keys_in(batch: DataFrame, key: str, features: DataFrame, fkey: str) -> Data
     return features.join(keys, fkey, "left_semi")
 
 
+class Persisted:
+    """Persists batch-sized intermediates of one micro-batch and releases them after its write.
+
+    A micro-batch is bounded by the trigger limit, so keeping it in executor
+    memory (spilling to disk) while several branches read it is cheap and
+    avoids re-reading the source for each branch.
+    """
+
+    def __init__(self):
+        self.frames: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        df = df.persist()
+        self.frames.append(df)
+        return df
+
+    def release(self) -> None:
+        for df in self.frames:
+            df.unpersist()
+        self.frames.clear()
+
+
+def _same(df: DataFrame) -> DataFrame:
+    return df
+
+
 def asof_with_latest(batch: DataFrame, key: str, history: DataFrame, latest: DataFrame | None, hkey: str,
-                     cols: list[str]) -> DataFrame:
+                     cols: list[str], keep=_same) -> DataFrame:
     """As-of lookup of ``cols`` for every batch row, exact.
 
     Live transactions are almost always newer than the snapshot, and then the
@@ -79,39 +105,42 @@ def asof_with_latest(batch: DataFrame, key: str, history: DataFrame, latest: Dat
     """
     if latest is None:
         hist = _keys_in(batch, key, history, hkey)
-        return asof_join(batch, hist, key, "TX_TS", hkey, "feature_ts", cols, keep_right_ts=False)
+        return asof_join(batch, hist, key, "TX_TS", hkey, "feature_ts", cols, keep_right_ts=False,
+                         right_unique=True, compact_left=False)
     lt = latest.select(F.col(hkey).alias("_lk"), F.col("feature_ts").alias("_lts"),
                        *[F.col(c).alias(f"_l_{c}") for c in cols])
-    j = batch.join(lt, batch[key] == lt["_lk"], "left")
+    j = keep(batch.join(lt, batch[key] == lt["_lk"], "left"))
     fresh = j.where(F.col("_lts").isNull() | (F.col("_lts") <= F.col("TX_TS")))
     fresh = fresh.select(*batch.columns, *[F.col(f"_l_{c}").alias(c) for c in cols])
     late = j.where(F.col("_lts") > F.col("TX_TS")).select(*batch.columns)
     hist = _keys_in(late, key, history, hkey)
-    late = asof_join(late, hist, key, "TX_TS", hkey, "feature_ts", cols, keep_right_ts=False)
+    late = asof_join(late, hist, key, "TX_TS", hkey, "feature_ts", cols, keep_right_ts=False,
+                     right_unique=True, compact_left=False)
     return fresh.unionByName(late)
 
 
 def enrich(batch: DataFrame, customer_features: DataFrame, terminal_features: DataFrame,
            fill: float | None = 0.0, customer_latest: DataFrame | None = None,
-           terminal_latest: DataFrame | None = None) -> DataFrame:
+           terminal_latest: DataFrame | None = None, keep=_same) -> DataFrame:
     """Transactions plus ``tx_amount`` and the 24 features of the newest rows not later than TX_TS.
 
     ``*_latest`` (newest row per key, see ``materialize_features``) enable the
     equi-join fast path; without them every row takes the general as-of join.
+    ``keep`` (a ``Persisted``) holds intermediates that several branches read.
     """
-    out = asof_with_latest(batch, "CUSTOMER_ID", customer_features, customer_latest, "customer_id",
-                           list(fe.CUSTOMER_FEATURES))
-    out = asof_with_latest(out, "TERMINAL_ID", terminal_features, terminal_latest, "terminal_id",
-                           list(fe.TERMINAL_FEATURES))
+    out = asof_with_latest(keep(batch), "CUSTOMER_ID", customer_features, customer_latest, "customer_id",
+                           list(fe.CUSTOMER_FEATURES), keep)
+    out = asof_with_latest(keep(out), "TERMINAL_ID", terminal_features, terminal_latest, "terminal_id",
+                           list(fe.TERMINAL_FEATURES), keep)
     feats = [(F.coalesce(F.col(c).cast("double"), F.lit(float(fill))) if fill is not None
               else F.col(c).cast("double")).alias(c) for c in ENRICHED_FEATURES]
     return out.select("TX_ID", "TX_TS", "CUSTOMER_ID", "TERMINAL_ID",
                       F.col("TX_AMOUNT").cast("double").alias("tx_amount"), *feats)
 
 
-def enrich_with(batch: DataFrame, snapshot: dict, fill: float | None = 0.0) -> DataFrame:
+def enrich_with(batch: DataFrame, snapshot: dict, fill: float | None = 0.0, keep=_same) -> DataFrame:
     return enrich(batch, snapshot["customer"], snapshot["terminal"], fill,
-                  snapshot.get("customer_latest"), snapshot.get("terminal_latest"))
+                  snapshot.get("customer_latest"), snapshot.get("terminal_latest"), keep)
 
 
 def prediction_rows(scored: DataFrame, prob: str = "fraud_probability", model_version: str = "unknown",
@@ -130,11 +159,11 @@ def latest_predictions(predictions: DataFrame, k: int = 10) -> DataFrame:
 
 
 def score_batch(batch: DataFrame, snapshot: dict, model: PipelineModel | None, model_version: str,
-                created_at=None, score_col: str | None = None) -> DataFrame:
+                created_at=None, score_col: str | None = None, keep=_same) -> DataFrame:
     """Enrich, score and project one batch. ``snapshot``: tables of ``read_snapshot``.
     ``score_col`` (instead of a model) names an enriched column taken as the probability
     -- a fixed, model-free score."""
-    enriched = enrich_with(batch, snapshot)
+    enriched = enrich_with(batch, snapshot, keep=keep)
     if model is not None:
         from pyspark.ml.functions import vector_to_array
 
@@ -158,16 +187,16 @@ def run_scoring_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths
     (a streaming frame with a text column ``value``). Returns the StreamingQuery."""
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
-        raw = batch_df.persist()
+        keep = Persisted()
         try:
-            good = parse_messages(raw)
-            rows = score_batch(good, read_snapshot(spark, feature_paths), model, model_version, created_at,
-                               score_col)
+            raw = keep(batch_df)
+            rows = score_batch(parse_messages(raw), read_snapshot(spark, feature_paths), model, model_version,
+                               created_at, score_col, keep)
             write_batch(rows, sink, batch_id)
             if dead_letter_sink:
                 write_batch(dead_letters(raw), dead_letter_sink, batch_id)
         finally:
-            raw.unpersist()
+            keep.release()
 
     writer = raw_stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
@@ -182,7 +211,12 @@ def run_enrich_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths:
     """Stream of enriched transactions (R1 alone), written per batch like the scores."""
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
-        write_batch(enrich_with(parse_messages(batch_df), read_snapshot(spark, feature_paths)), sink, batch_id)
+        keep = Persisted()
+        try:
+            enriched = enrich_with(parse_messages(batch_df), read_snapshot(spark, feature_paths), keep=keep)
+            write_batch(enriched, sink, batch_id)
+        finally:
+            keep.release()
 
     q = (raw_stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -4,11 +4,22 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, make_tx
-from riskflow.operators.asof import asof_join, asof_join_by_max, point_in_time_join
+from riskflow.operators.asof import asof_join, point_in_time_join
 from riskflow.plans import features as fe
 from riskflow.sources.fixtures import load_fixture
 
 
+def asof_join_by_max(left, right, left_key, left_ts, right_key, right_ts, columns):
+    """Brute-force reference: pair every probe with every earlier right row of its key, keep the newest."""
+    probes = left.select(F.col(left_key).alias("_k"), F.col(left_ts).alias("_t")).distinct()
+    r = right.select(F.col(right_key).alias("_rk"), F.col(right_ts).alias("_rt"),
+                     F.struct(*[F.col(c) for c in columns]).alias("_p"))
+    best = (probes.join(r, (F.col("_k") == F.col("_rk")) & (F.col("_rt") <= F.col("_t")))
+            .groupBy("_k", "_t").agg(F.max_by("_p", F.struct("_rt", "_p")).alias("_hit")))
+    joined = left.join(best, (left[left_key] == best["_k"]) & (left[left_ts] == best["_t"]), "left")
+    return joined.select(*[left[c] for c in left.columns], *[F.col(f"_hit.{c}").alias(c) for c in columns])
+
+
 def _features(spark, rows):
     df = spark.createDataFrame(rows, "k string, ts string, v double")
     return df.select("k", F.col("ts").cast("timestamp").alias("feature_ts"), "v")
@@ -66,3 +77,13 @@ def test_point_in_time_subsecond_gets_no_features(spark):
     out = {r["TX_ID"]: r["v"] for r in
            point_in_time_join(probes, feats, ["CUSTOMER_ID", "TX_TS"], ["k", "feature_ts"]).collect()}
     assert out == {"a": 1.0, "b": None}
+
+
+def test_asof_uncompacted_left_equals_compacted(spark):
+    tx, lb = load_fixture(spark, SF_SMALL)
+    feats = fe.terminal_per_second(tx, lb, "2024-01-20 00:00:00").drop("n_tx")
+    a = asof_join(tx, feats, "TERMINAL_ID", "TX_TS", "terminal_id", "feature_ts")
+    b = asof_join(tx, feats, "TERMINAL_ID", "TX_TS", "terminal_id", "feature_ts", right_unique=True,
+                  compact_left=False)
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
