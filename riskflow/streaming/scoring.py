@@ -43,15 +43,17 @@ def materialize_features(spark: SparkSession, tx: DataFrame, labels: DataFrame,
     """Write the feature snapshot of ``as_of`` below ``path``: the per-second customer and
     terminal tables and, for each, its newest row per key (``*_latest``).
 
-    Computed once (from one stored copy of the labelled history), read by every
-    micro-batch; returns the table paths.
+    Computed once, read by every micro-batch; returns the table paths. The
+    labelled history (one scan and label join) is kept persisted only while
+    its two feature tables are written.
     """
-    out = {k: os.path.join(path, k) for k in ("history", "customer", "terminal", "customer_latest",
-                                               "terminal_latest")}
-    fe.labelled_recent(tx, labels, as_of).write.mode("overwrite").parquet(out["history"])
-    base = spark.read.parquet(out["history"])
-    fe.customer_per_second(tx, labels, base=base).drop("n_tx").write.mode("overwrite").parquet(out["customer"])
-    fe.terminal_per_second(tx, labels, base=base).drop("n_tx").write.mode("overwrite").parquet(out["terminal"])
+    out = {k: os.path.join(path, k) for k in ("customer", "terminal", "customer_latest", "terminal_latest")}
+    base = fe.labelled_recent(tx, labels, as_of).persist()
+    try:
+        fe.customer_per_second(tx, labels, base=base).drop("n_tx").write.mode("overwrite").parquet(out["customer"])
+        fe.terminal_per_second(tx, labels, base=base).drop("n_tx").write.mode("overwrite").parquet(out["terminal"])
+    finally:
+        base.unpersist()
     for kind, key in (("customer", "customer_id"), ("terminal", "terminal_id")):
         table = spark.read.parquet(out[kind])
         fe.latest_per_key(table, key).write.mode("overwrite").parquet(out[f"{kind}_latest"])
@@ -59,7 +61,7 @@ def materialize_features(spark: SparkSession, tx: DataFrame, labels: DataFrame,
 
 
 def read_snapshot(spark: SparkSession, paths: dict) -> dict:
-    return {k: spark.read.parquet(v) for k, v in paths.items() if k != "history"}
+    return {k: spark.read.parquet(v) for k, v in paths.items()}
 
 
 def _keys_in(batch: DataFrame, key: str, features: DataFrame, fkey: str) -> DataFrame:
@@ -93,30 +95,16 @@ def _same(df: DataFrame) -> DataFrame:
     return df
 
 
-def asof_with_latest(batch: DataFrame, key: str, history: DataFrame, latest: DataFrame | None, hkey: str,
-                     cols: list[str], keep=_same) -> DataFrame:
-    """As-of lookup of ``cols`` for every batch row, exact.
-
-    Live transactions are almost always newer than the snapshot, and then the
-    answer is simply the key's newest feature row: a plain equi-join with
-    ``latest`` (one row per key). Only rows older than their key's newest row
-    (replays, late arrivals) go through the general as-of join, against the
-    history of just their keys.
-    """
-    if latest is None:
-        hist = _keys_in(batch, key, history, hkey)
-        return asof_join(batch, hist, key, "TX_TS", hkey, "feature_ts", cols, keep_right_ts=False,
-                         right_unique=True, compact_left=False)
-    lt = latest.select(F.col(hkey).alias("_lk"), F.col("feature_ts").alias("_lts"),
-                       *[F.col(c).alias(f"_l_{c}") for c in cols])
-    j = keep(batch.join(lt, batch[key] == lt["_lk"], "left"))
-    fresh = j.where(F.col("_lts").isNull() | (F.col("_lts") <= F.col("TX_TS")))
-    fresh = fresh.select(*batch.columns, *[F.col(f"_l_{c}").alias(c) for c in cols])
-    late = j.where(F.col("_lts") > F.col("TX_TS")).select(*batch.columns)
-    hist = _keys_in(late, key, history, hkey)
-    late = asof_join(late, hist, key, "TX_TS", hkey, "feature_ts", cols, keep_right_ts=False,
+def _general(batch: DataFrame, history: DataFrame, key: str, hkey: str, cols: list[str]) -> DataFrame:
+    """General as-of lookup against the history of the batch's keys only."""
+    hist = _keys_in(batch, key, history, hkey)
+    return asof_join(batch, hist, key, "TX_TS", hkey, "feature_ts", cols, keep_right_ts=False,
                      right_unique=True, compact_left=False)
-    return fresh.unionByName(late)
+
+
+def _latest_cols(latest: DataFrame, hkey: str, cols: list[str], tag: str) -> DataFrame:
+    return latest.select(F.col(hkey).alias(f"_{tag}k"), F.col("feature_ts").alias(f"_{tag}ts"),
+                         *[F.col(c) for c in cols])
 
 
 def enrich(batch: DataFrame, customer_features: DataFrame, terminal_features: DataFrame,
@@ -124,14 +112,39 @@ def enrich(batch: DataFrame, customer_features: DataFrame, terminal_features: Da
            terminal_latest: DataFrame | None = None, keep=_same) -> DataFrame:
     """Transactions plus ``tx_amount`` and the 24 features of the newest rows not later than TX_TS.
 
-    ``*_latest`` (newest row per key, see ``materialize_features``) enable the
-    equi-join fast path; without them every row takes the general as-of join.
-    ``keep`` (a ``Persisted``) holds intermediates that several branches read.
+    With ``*_latest`` (newest row per key, see ``materialize_features``): live
+    transactions are almost always newer than the snapshot, and then the answer
+    is the key's newest row -- one equi-join per table. Rows older than their
+    key's newest row (replays, late arrivals) go through the general as-of join
+    against the history of just their keys. When ``keep`` (a ``Persisted``) is
+    given, the joined batch is persisted and one small job tells whether any row
+    is late; if none is, the history is not touched at all, else the whole batch
+    takes the general path.
+    Without ``*_latest`` every row takes the general as-of join.
     """
-    out = asof_with_latest(keep(batch), "CUSTOMER_ID", customer_features, customer_latest, "customer_id",
-                           list(fe.CUSTOMER_FEATURES), keep)
-    out = asof_with_latest(keep(out), "TERMINAL_ID", terminal_features, terminal_latest, "terminal_id",
-                           list(fe.TERMINAL_FEATURES), keep)
+    c_cols, t_cols = list(fe.CUSTOMER_FEATURES), list(fe.TERMINAL_FEATURES)
+
+    def general(rows: DataFrame) -> DataFrame:
+        out = _general(rows, customer_features, "CUSTOMER_ID", "customer_id", c_cols)
+        return _general(keep(out), terminal_features, "TERMINAL_ID", "terminal_id", t_cols)
+
+    if customer_latest is None or terminal_latest is None:
+        out = general(keep(batch))
+    else:
+        cl = _latest_cols(customer_latest, "customer_id", c_cols, "c")
+        tl = _latest_cols(terminal_latest, "terminal_id", t_cols, "t")
+        j = (batch.join(cl, batch["CUSTOMER_ID"] == cl["_ck"], "left")
+             .join(tl, batch["TERMINAL_ID"] == tl["_tk"], "left"))
+        late = (F.coalesce(F.col("_cts") > F.col("TX_TS"), F.lit(False))
+                | F.coalesce(F.col("_tts") > F.col("TX_TS"), F.lit(False)))
+        j = keep(j.withColumn("_late", late))
+        if keep is _same:  # no persisted batch: split by row, one plan
+            out = (j.where(~F.col("_late")).select(*batch.columns, *c_cols, *t_cols)
+                   .unionByName(general(j.where(F.col("_late")).select(*batch.columns))))
+        elif j.where(F.col("_late")).limit(1).count() > 0:  # a replay / late data: whole batch, general path
+            out = general(keep(batch))
+        else:  # live batch: the newest rows are the answer
+            out = j.select(*batch.columns, *c_cols, *t_cols)
     feats = [(F.coalesce(F.col(c).cast("double"), F.lit(float(fill))) if fill is not None
               else F.col(c).cast("double")).alias(c) for c in ENRICHED_FEATURES]
     return out.select("TX_ID", "TX_TS", "CUSTOMER_ID", "TERMINAL_ID",

@@ -85,10 +85,19 @@ def test_latest_fast_path_equals_general_asof(spark):
     paths = sc.materialize_features(spark, tx, lb, SNAP, scratch_path(spark, "feat"))
     snap = sc.read_snapshot(spark, paths)
     batch = tx  # the whole month: before, inside and after the snapshot history
-    fast = sc.enrich_with(batch, snap)
     general = sc.enrich(batch, snap["customer"], snap["terminal"])
-    assert fast.count() == batch.count()
-    assert fast.exceptAll(general).count() == 0 and general.exceptAll(fast).count() == 0
+    live = batch.where(F.col("TX_TS") > F.lit(SNAP).cast("timestamp"))
+    live_general = sc.enrich(live, snap["customer"], snap["terminal"])
+    for rows, expected in ((batch, general), (live, live_general)):
+        fast = sc.enrich_with(rows, snap)  # split by row in one plan
+        keep = sc.Persisted()
+        try:
+            decided = sc.enrich_with(rows, snap, keep=keep)  # persisted: whole-batch decision
+            for got in (fast, decided):
+                assert got.count() == rows.count()
+                assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+        finally:
+            keep.release()
 
 
 def test_parse_round_trip(spark):
