@@ -27,40 +27,39 @@ LOG_LOSS_EPS = 1e-15
 
 def classification_metrics(df: DataFrame, label: str = "tx_fraud", prob: str = "fraud_probability",
                            threshold: float = 0.5) -> DataFrame:
-    """One row: precision, recall, accuracy, f1_score, log_loss, roc_auc, n (rows with label and score)."""
-    y = F.col(label).cast("double")
-    p = F.col(prob).cast("double")
-    scored = df.where(F.col(label).isNotNull() & F.col(prob).isNotNull()).select(y.alias("y"), p.alias("p"))
-    pred = (F.col("p") > F.lit(threshold)).cast("double")
-    pc = F.least(F.greatest(F.col("p"), F.lit(LOG_LOSS_EPS)), F.lit(1 - LOG_LOSS_EPS))
-    loss = -(F.col("y") * F.log(pc) + (F.lit(1.0) - F.col("y")) * F.log(F.lit(1.0) - pc))
-    base = scored.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(pred * F.col("y")).alias("tp"),
-        F.sum(pred * (F.lit(1.0) - F.col("y"))).alias("fp"),
-        F.sum((F.lit(1.0) - pred) * F.col("y")).alias("fn"),
-        F.sum((F.lit(1.0) - pred) * (F.lit(1.0) - F.col("y"))).alias("tn"),
-        F.avg(loss).alias("log_loss"))
-    auc = roc_auc(scored, "y", "p")
-    precision = safe_divide(F.col("tp"), F.col("tp") + F.col("fp"))
-    recall = safe_divide(F.col("tp"), F.col("tp") + F.col("fn"))
-    f1 = safe_divide(F.lit(2.0) * F.col("tp"), F.lit(2.0) * F.col("tp") + F.col("fp") + F.col("fn"))
-    accuracy = safe_divide(F.col("tp") + F.col("tn"), F.col("n"))
-    # both sides are global aggregates of exactly one row
-    one = F.lit(1).alias("_one")
-    return (base.select("*", one).join(auc.select("*", one), "_one", "left")
-            .select(precision.alias("precision"), recall.alias("recall"), accuracy.alias("accuracy"),
-                    f1.alias("f1_score"), F.col("log_loss"), F.col("roc_auc"), F.col("n")))
-
-
-def roc_auc(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """One row ``roc_auc``; NULL when one class is absent."""
-    per_score = (scored.groupBy(p).agg(F.sum(F.col(y)).alias("pos"), F.sum(F.lit(1.0) - F.col(y)).alias("neg"))
+    """One row: precision, recall, accuracy, f1_score, log_loss, roc_auc, n (rows with label and score).
+
+    Everything is computed from one row per distinct score (positives and
+    negatives at that score): the confusion counts, the summed log loss and the
+    AUC credit are sums over that table, in one aggregation.
+    """
+    scored = (df.where(F.col(label).isNotNull() & F.col(prob).isNotNull())
+              .select(F.col(label).cast("double").alias("y"), F.col(prob).cast("double").alias("p")))
+    per_score = (scored.groupBy("p").agg(F.sum("y").alias("pos"), F.sum(F.lit(1.0) - F.col("y")).alias("neg"))
                  .checkpoint())  # read by the cut-point pass and the totals pass
-    cum = running_totals(per_score, p, ["neg"])
-    # negatives strictly below the score, plus half of the tied ones
-    credit = F.col("pos") * (F.col("neg_cum") - F.col("neg") + F.lit(0.5) * F.col("neg"))
-    return cum.agg(safe_divide(F.sum(credit), F.sum("pos") * F.sum("neg")).alias("roc_auc"))
+    cum = running_totals(per_score, "p", ["neg"])
+    above = F.col("p") > F.lit(threshold)
+    pc = F.least(F.greatest(F.col("p"), F.lit(LOG_LOSS_EPS)), F.lit(1 - LOG_LOSS_EPS))
+    zero = F.lit(0.0)
+    sums = cum.agg(
+        F.sum(F.col("pos") + F.col("neg")).alias("n"),
+        F.sum(F.when(above, F.col("pos")).otherwise(zero)).alias("tp"),
+        F.sum(F.when(above, F.col("neg")).otherwise(zero)).alias("fp"),
+        F.sum(F.when(above, zero).otherwise(F.col("pos"))).alias("fn"),
+        F.sum(F.when(above, zero).otherwise(F.col("neg"))).alias("tn"),
+        F.sum(-(F.col("pos") * F.log(pc) + F.col("neg") * F.log(F.lit(1.0) - pc))).alias("loss"),
+        # negatives strictly below the score, plus half of the tied ones
+        F.sum(F.col("pos") * (F.col("neg_cum") - F.lit(0.5) * F.col("neg"))).alias("credit"),
+        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    return sums.select(
+        safe_divide(tp, tp + fp).alias("precision"),
+        safe_divide(tp, tp + fn).alias("recall"),
+        safe_divide(tp + tn, F.col("n")).alias("accuracy"),
+        safe_divide(F.lit(2.0) * tp, F.lit(2.0) * tp + fp + fn).alias("f1_score"),
+        safe_divide(F.col("loss"), F.col("n")).alias("log_loss"),
+        safe_divide(F.col("credit"), F.col("n_pos") * F.col("n_neg")).alias("roc_auc"),
+        F.col("n").cast("long").alias("n"))
 
 
 def euclidean(a: Column, b: Column) -> Column:

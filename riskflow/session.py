@@ -61,7 +61,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="riskflow-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS/S3)")
+        configured = tempfile.mkdtemp(prefix="riskflow-ckpt-")  # local runs and tests only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
