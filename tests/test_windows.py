@@ -125,3 +125,40 @@ def test_replicate_rows_in_chunks(spark):
     out = replicate_rows(df, "n", chunk=2, spread_by=["k"])
     counts = {r["k"]: r["count"] for r in out.groupBy("k").count().collect()}
     assert counts == {"a": 5, "c": 2}
+
+
+def test_features_do_not_depend_on_as_of_with_full_history(spark):
+    # 36 days = 15-day horizon + 21-day longest delayed window: rows of the last 15 days
+    # get their true windows, so moving as_of by a day changes none of them.
+    tx, lb = load_fixture(spark, SF_SMALL)
+    a = fe.terminal_per_second(tx, lb, "2024-01-30 00:00:00", days=36)
+    b = fe.terminal_per_second(tx, lb, "2024-01-31 00:00:00", days=36)
+    window = F.col("feature_ts").between(F.lit("2024-01-15 00:00:00").cast("timestamp"),
+                                         F.lit("2024-01-30 00:00:00").cast("timestamp"))
+    a, b = a.where(window), b.where(window)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_hot_key_with_copies_matches_brute_force(spark):
+    import numpy as np
+
+    # one customer holds a third of the rows, ten copies per second, plus cold customers
+    n_hot, n_cold = 30000, 60000
+    base = F.lit("2024-01-30 00:00:00").cast("timestamp")
+    hot = spark.range(n_hot).select(F.lit("hot").alias("CUSTOMER_ID"), (F.col("id") % 3000).alias("s"), "id")
+    cold = spark.range(n_cold).select((F.col("id") % 500).cast("string").alias("CUSTOMER_ID"),
+                                      ((F.col("id") * 7919) % 80000).alias("s"), (F.col("id") + n_hot).alias("id"))
+    rows = hot.unionByName(cold)
+    tx = rows.select(F.col("id").cast("string").alias("TX_ID"),
+                     (base + F.make_interval(secs=F.col("s"))).alias("TX_TS"), "CUSTOMER_ID",
+                     F.lit("t").alias("TERMINAL_ID"), F.lit(1.0).alias("TX_AMOUNT"))
+    lb = tx.select("TX_ID", F.lit(0).alias("TX_FRAUD"))
+    got = (fe.customer_per_second(tx, lb, AS_OF).where("customer_id = 'hot'")
+           .select(F.unix_seconds("feature_ts").alias("t"), "customer_id_nb_tx_15min_window", "n_tx").toPandas())
+    secs = np.sort(np.repeat(np.arange(3000), 10)) + int(got["t"].min())
+    exp = np.searchsorted(secs, got["t"].to_numpy(), side="right") - \
+        np.searchsorted(secs, got["t"].to_numpy() - 900, side="left")
+    assert len(got) == 3000 and (got["n_tx"] == 10).all()
+    assert (got["customer_id_nb_tx_15min_window"].to_numpy() == exp).all()
+    assert fe.customer_features(tx, lb, AS_OF).count() == n_hot + n_cold
