@@ -68,12 +68,6 @@ def euclidean(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + v))
 
 
-def centroids(df: DataFrame, cluster: str, features: Sequence[str]) -> DataFrame:
-    """Per cluster: ``c`` (array of feature means) and ``n``."""
-    return df.groupBy(cluster).agg(F.array(*[F.avg(f).cast("double") for f in features]).alias("c"),
-                                   F.count(F.lit(1)).alias("n"))
-
-
 def davies_bouldin(df: DataFrame, cluster: str, features: Sequence[str]) -> DataFrame:
     """One row ``davies_bouldin_index`` (and ``k``) for the given assignment and features."""
     pts = df.select(F.col(cluster), F.array(*[F.col(f).cast("double") for f in features]).alias("x"))

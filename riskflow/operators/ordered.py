@@ -4,40 +4,55 @@
 
 1. rows are first reduced to one row per distinct value (partial aggregation),
    so repeated values -- however many -- cost one row;
-2. the distinct values are cut into ``buckets`` ranges at approximate quantiles
+2. the distinct values are cut into ranges at approximate quantiles
    (``approxQuantile``: a bounded list of cut points on the driver) and mapped
-   to their range with ``Bucketizer`` (binary search, JVM side);
+   to their range with ``Bucketizer`` (binary search, JVM side); the number of
+   ranges grows with the data (about ``ROWS_PER_RANGE`` values each);
 3. per-range totals (one row per range) give each range its starting offset,
    and a window partitioned by range adds the running total inside it.
 
-The offsets table has at most ``buckets`` rows, which is what bounds its
-broadcast. The result is exact: approximation only affects how evenly the work
+The offsets table has one row per range, at most ``MAX_RANGES``, which is
+what bounds its broadcast. The result is exact: approximation only affects how evenly the work
 is spread.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
+ROWS_PER_RANGE = 2_000_000   # target rows per value range (one window task each)
+MAX_RANGES = 100_000         # bounds the offsets table that is broadcast
+
+
+def range_count(n_rows: int) -> int:
+    """Number of value ranges for ``n_rows`` distinct values: grows with the data."""
+    return max(1, min(MAX_RANGES, math.ceil(n_rows / ROWS_PER_RANGE)))
 
 
 def running_totals(distinct_values: DataFrame, value: str, columns: Sequence[str],
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """For a table with one row per distinct ``value``, add ``{c}_cum`` = sum of ``c`` over
     rows with value <= this value, for each ``c`` in ``columns``.
 
-    ``distinct_values`` is read more than once (cut points, then the totals); pass
-    a checkpointed frame (see ``exact_quantile``) when its lineage is long.
+    ``buckets`` (number of value ranges) defaults to ``range_count`` of the
+    table's size. ``distinct_values`` is read more than once (size, cut points,
+    totals); pass a checkpointed frame when its lineage is long.
     """
-    cuts = distinct_values.approxQuantile(value, [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
+    if buckets is None:
+        buckets = range_count(distinct_values.count())
+    cuts = [] if buckets <= 1 else distinct_values.approxQuantile(
+        value, [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
     splits = [float("-inf")] + sorted(set(float(c) for c in cuts if c is not None)) + [float("inf")]
     src = distinct_values.withColumn("_v", F.col(value).cast("double"))
-    ranged = Bucketizer(splits=splits, inputCol="_v", outputCol="_range", handleInvalid="keep").transform(src)
+    if len(splits) < 3:  # one range: no cut points needed
+        ranged = src.withColumn("_range", F.lit(0.0))
+    else:
+        ranged = Bucketizer(splits=splits, inputCol="_v", outputCol="_range", handleInvalid="keep").transform(src)
     totals = ranged.groupBy("_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_range", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
@@ -49,11 +64,9 @@ def running_totals(distinct_values: DataFrame, value: str, columns: Sequence[str
                       *[(F.col(f"_o_{c}") + F.col(f"_l_{c}")).alias(f"{c}_cum") for c in columns])
 
 
-def exact_quantile(df: DataFrame, value: str, q: float, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def exact_quantile(df: DataFrame, value: str, q: float, buckets: int | None = None) -> DataFrame:
     """One row ``(n, quantile)``: the smallest value whose cumulative count reaches
     ``ceil(q * n)`` (the discrete percentile; NULL values are ignored)."""
-    import math
-
     counts = (df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
               .checkpoint())  # computed once, read by the three passes below
     n = counts.agg(F.sum("_n")).first()[0] or 0  # one scalar

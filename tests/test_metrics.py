@@ -73,3 +73,11 @@ def test_davies_bouldin_matches_numpy(spark):
     exp = np.mean([max((s[i] + s[j]) / np.linalg.norm(cents[i] - cents[j]) for j in range(3) if j != i)
                    for i in range(3)])
     assert got == pytest.approx(exp)
+
+
+def test_range_count_grows_with_data():
+    from riskflow.operators.ordered import MAX_RANGES, ROWS_PER_RANGE, range_count
+
+    assert range_count(10) == 1
+    assert range_count(10 * ROWS_PER_RANGE) == 10
+    assert range_count(10 ** 15) == MAX_RANGES
