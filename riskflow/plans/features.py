@@ -104,10 +104,21 @@ def customer_per_second(tx: DataFrame, labels: DataFrame, as_of=None, days: int
     return t.select(*cols)
 
 
+def _output_window(per_sec: DataFrame, as_of, output_days: int | None) -> DataFrame:
+    if output_days is None:
+        return per_sec
+    return per_sec.where(F.col("feature_ts") >= as_of_col(as_of) - F.expr(f"INTERVAL {int(output_days)} DAYS"))
+
+
 def customer_features(tx: DataFrame, labels: DataFrame, as_of=None, days: int = HISTORY_DAYS,
-                      form: str = "prefix") -> DataFrame:
-    """The customer spending feature view: one row per recent transaction, 14 columns."""
-    per_sec = customer_per_second(tx, labels, as_of, days, form=form)
+                      form: str = "prefix", output_days: int | None = None) -> DataFrame:
+    """The customer spending feature view: one row per recent transaction, 14 columns.
+
+    ``days`` is the history read (the reference clips it to 15, so early rows see
+    short windows); ``output_days`` keeps only the rows of the last n days, e.g.
+    ``days=36, output_days=15`` gives every output row its full windows.
+    """
+    per_sec = _output_window(customer_per_second(tx, labels, as_of, days, form=form), as_of, output_days)
     return replicate_rows(per_sec, "n_tx", spread_by=["customer_id", "feature_ts"]).drop("n_tx")
 
 
@@ -178,9 +189,12 @@ def terminal_delay_frames(tx: DataFrame, labels: DataFrame, as_of=None, days: in
 
 
 def terminal_features(tx: DataFrame, labels: DataFrame, as_of=None, days: int = HISTORY_DAYS,
-                      delay: int = DELAY_SECONDS, form: str = "prefix") -> DataFrame:
-    """The terminal risk feature view: one row per recent transaction, 14 columns."""
-    per_sec = terminal_per_second(tx, labels, as_of, days, delay=delay, form=form)
+                      delay: int = DELAY_SECONDS, form: str = "prefix", output_days: int | None = None) -> DataFrame:
+    """The terminal risk feature view: one row per recent transaction, 14 columns
+    (``days`` / ``output_days`` as for ``customer_features``; 36 = 15 + 21 covers the
+    longest delayed window)."""
+    per_sec = _output_window(terminal_per_second(tx, labels, as_of, days, delay=delay, form=form), as_of,
+                             output_days)
     return replicate_rows(per_sec, "n_tx", spread_by=["terminal_id", "feature_ts"]).drop("n_tx")
 
 

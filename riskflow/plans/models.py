@@ -166,6 +166,40 @@ def centroids_table(spark: SparkSession, model: PipelineModel, features: Sequenc
     return spark.createDataFrame(rows, "centroid_id int, feature string, numerical_value double")
 
 
+# The reference's profile query shows three terminal risk centres under avg-amount names;
+# ``reference_names=True`` reproduces that labelling.
+REFERENCE_PROFILE_NAMES = {
+    "terminal_id_risk_15min_window": "terminal_id_avg_amount_15min_window",
+    "terminal_id_risk_30min_window": "terminal_id_avg_amount_30min_window",
+    "terminal_id_risk_60min_window": "terminal_id_avg_amount_60min_window",
+}
+
+
+def cluster_profile(centroids_long: DataFrame, features: Sequence[str] = FEATURES, digits: int = 1,
+                    reference_names: bool = False) -> DataFrame:
+    """One row per centre: ``Cluster#<id>`` and each feature's centre value rounded to ``digits``,
+    sorted by centre id. Input: (centroid_id, feature, numerical_value)."""
+    from riskflow.operators.aggregates import pivot_values, round_half_up
+
+    long = centroids_long.withColumn("numerical_value", round_half_up("numerical_value", digits))
+    rename = REFERENCE_PROFILE_NAMES if reference_names else None
+    wide = pivot_values(long, "centroid_id", "feature", "numerical_value", list(features), rename)
+    cols = [rename.get(f, f) for f in features] if rename else list(features)
+    return (wide.orderBy("centroid_id")
+            .select(F.concat(F.lit("Cluster#"), F.col("centroid_id").cast("string")).alias("centroid"), *cols))
+
+
+def save_model(model: PipelineModel, base_path: str, name: str, version: str) -> str:
+    """Store a fitted model under ``<base>/<name>/<version>`` (the path carries the version)."""
+    path = f"{base_path.rstrip('/')}/{name}/{version}"
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def evaluate_kmeans(model: PipelineModel, data: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """Davies-Bouldin index of the model's assignment, in the scaled space the model uses."""
     assigned = assign_clusters(model, data, features)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.operators.aggregates import collect_structs, pivot_values, render_structs, round_half_up
+from riskflow.operators.aggregates import collect_structs, render_structs
 from riskflow.operators.metrics import classification_metrics, davies_bouldin, euclidean
 from riskflow.operators.ordered import exact_quantile
 from riskflow.plans import datasets as ds
@@ -28,15 +28,20 @@ GBT_QUERY_ITERATIONS = 10  # driver-facing GBT queries; the library default stay
 _MODELS: dict = {}
 
 
-def _sets(spark, sf_dir):
+def _train(spark, sf_dir):
     tx, lb = fixture(spark, sf_dir)
-    return ds.training_set(tx, lb, AS_OF), ds.prediction_set(tx, lb, AS_OF)
+    return ds.training_set(tx, lb, AS_OF)
+
+
+def _pred(spark, sf_dir):
+    tx, lb = fixture(spark, sf_dir)
+    return ds.prediction_set(tx, lb, AS_OF)
 
 
 def _model(spark, sf_dir, kind):
     key = (sf_dir, kind)
     if key not in _MODELS:
-        train, _ = _sets(spark, sf_dir)
+        train = _train(spark, sf_dir)
         if kind == "kmeans":
             _MODELS[key] = mo.fit_kmeans(train)
         elif kind == "gbt":
@@ -66,7 +71,7 @@ SELECT {r('tp / NULLIF(tp + fp, 0)')} AS precision, {r('tp / NULLIF(tp + fn, 0)'
        {r('log_loss')} AS log_loss, {r('roc_auc')} AS roc_auc, n
 FROM base, auc""")
 def q_metrics_classification(spark, sf_dir):
-    _, pred = _sets(spark, sf_dir)
+    pred = _pred(spark, sf_dir)
     scored = pred.select("tx_fraud", F.coalesce(F.col(SCORE), F.lit(0.0)).alias("score"))
     return classification_metrics(scored, "tx_fraud", "score")
 
@@ -88,7 +93,7 @@ pair AS (SELECT a.tx_fraud, MAX((sa.s + sb.s) / sqrt({_dense_sum_sq('a.', 'b.')}
          JOIN sc sa ON sa.tx_fraud = a.tx_fraud JOIN sc sb ON sb.tx_fraud = b.tx_fraud GROUP BY a.tx_fraud)
 SELECT {r('AVG(ratio)')} AS davies_bouldin_index, COUNT(*) AS k FROM pair""")
 def q_metrics_davies_bouldin(spark, sf_dir):
-    train, _ = _sets(spark, sf_dir)
+    train = _train(spark, sf_dir)
     return davies_bouldin(train, "tx_fraud", DENSE)
 
 
@@ -96,7 +101,7 @@ def q_metrics_davies_bouldin(spark, sf_dir):
 ranked AS (SELECT d, ROW_NUMBER() OVER (ORDER BY d) AS rn, COUNT(*) OVER () AS n FROM dist)
 SELECT n, {r('d')} AS threshold FROM ranked WHERE rn = CAST(greatest(ceil({1 - mo.CONTAMINATION} * n), 1) AS BIGINT)""")
 def q_anomaly_threshold(spark, sf_dir):
-    train, _ = _sets(spark, sf_dir)
+    train = _train(spark, sf_dir)
     x = F.array(*[F.col(c).cast("double") for c in DENSE])
     cents = train.groupBy("tx_fraud").agg(F.array(*[F.avg(F.col(c).cast("double")) for c in DENSE]).alias("c"))
     dist = (train.select("tx_fraud", x.alias("x")).join(F.broadcast(cents), "tx_fraud")  # one row per label
@@ -109,7 +114,7 @@ SELECT timestamp, customer_id, terminal_id, tx_fraud,
        {r(f"CASE WHEN tx_fraud = 1 THEN {mo.CLASS_WEIGHTS[1]} WHEN tx_fraud = 0 THEN {mo.CLASS_WEIGHTS[0]} ELSE 1.0 END")} AS weight
 FROM ds""")
 def q_class_weights(spark, sf_dir):
-    train, _ = _sets(spark, sf_dir)
+    train = _train(spark, sf_dir)
     return train.select("timestamp", "customer_id", "terminal_id", "tx_fraud",
                         mo.class_weight_column().alias("weight"))
 
@@ -136,7 +141,7 @@ SELECT centroid_id, CAST(COUNT(*) AS INTEGER) AS n_features,
        string_agg(feature || '=' || printf('%.1f', v), ';' ORDER BY feature) AS cluster
 FROM rl GROUP BY centroid_id""")
 def q_agg_collect_structs(spark, sf_dir):
-    train, _ = _sets(spark, sf_dir)
+    train = _train(spark, sf_dir)
     arr = collect_structs(label_centroids_long(train), "centroid_id")
     return arr.select("centroid_id", F.size("cluster").alias("n_features"), render_structs("cluster").alias("cluster"))
 
@@ -146,12 +151,8 @@ SELECT 'Cluster#' || CAST(centroid_id AS VARCHAR) AS centroid,
        {', '.join(f"{r(f'MAX(CASE WHEN feature = {chr(39)}{c}{chr(39)} THEN v END)')} AS {c}" for c in mo.FEATURES)}
 FROM rl GROUP BY centroid_id ORDER BY centroid_id""")
 def q_cluster_profile_pivot(spark, sf_dir):
-    train, _ = _sets(spark, sf_dir)
-    long = label_centroids_long(train).withColumn("numerical_value", round_half_up("numerical_value", 1))
-    wide = pivot_values(long, "centroid_id", "feature", "numerical_value", mo.FEATURES)
-    return (wide.orderBy("centroid_id")
-            .select(F.concat(F.lit("Cluster#"), F.col("centroid_id").cast("string")).alias("centroid"),
-                    *mo.FEATURES))
+    train = _train(spark, sf_dir)
+    return mo.cluster_profile(label_centroids_long(train))
 
 
 # --- trained models (rows-only checks) -----------------------------------------------------------------------------
@@ -161,25 +162,25 @@ _OUT = ["timestamp", "customer_id", "terminal_id", "tx_fraud", "predicted_tx_fra
 
 @register("predict_logreg")
 def q_predict_logreg(spark, sf_dir):
-    _, pred = _sets(spark, sf_dir)
+    pred = _pred(spark, sf_dir)
     return mo.predict(_model(spark, sf_dir, "logreg"), pred).select(*_OUT)
 
 
 @register("predict_gbt")
 def q_predict_gbt(spark, sf_dir):
-    _, pred = _sets(spark, sf_dir)
+    pred = _pred(spark, sf_dir)
     return mo.predict(_model(spark, sf_dir, "gbt"), pred).select(*_OUT)
 
 
 @register("evaluate_logreg")
 def q_evaluate_logreg(spark, sf_dir):
-    _, pred = _sets(spark, sf_dir)
+    pred = _pred(spark, sf_dir)
     return mo.evaluate(_model(spark, sf_dir, "logreg"), pred)
 
 
 @register("evaluate_gbt")
 def q_evaluate_gbt(spark, sf_dir):
-    _, pred = _sets(spark, sf_dir)
+    pred = _pred(spark, sf_dir)
     return mo.evaluate(_model(spark, sf_dir, "gbt"), pred)
 
 
@@ -195,13 +196,13 @@ def q_kmeans_centroids(spark, sf_dir):
 
 @register("evaluate_kmeans")
 def q_evaluate_kmeans(spark, sf_dir):
-    train, _ = _sets(spark, sf_dir)
+    train = _train(spark, sf_dir)
     return mo.evaluate_kmeans(_model(spark, sf_dir, "kmeans"), train)
 
 
 @register("detect_anomalies")
 def q_detect_anomalies(spark, sf_dir):
-    train, pred = _sets(spark, sf_dir)
+    train, pred = _train(spark, sf_dir), _pred(spark, sf_dir)
     out = mo.detect_anomalies(_model(spark, sf_dir, "kmeans"), train, pred)
     return out.select("timestamp", "customer_id", "terminal_id", "tx_fraud", "centroid_id", "distance", "is_anomaly")
 
@@ -209,12 +210,7 @@ def q_detect_anomalies(spark, sf_dir):
 @register("kmeans_cluster_profile")
 def q_kmeans_cluster_profile(spark, sf_dir):
     """The reference's cluster profile over the trained k-means centres."""
-    long = mo.centroids_table(spark, _model(spark, sf_dir, "kmeans"))
-    long = long.withColumn("numerical_value", round_half_up("numerical_value", 1))
-    wide = pivot_values(long, "centroid_id", "feature", "numerical_value", mo.FEATURES)
-    return (wide.orderBy("centroid_id")
-            .select(F.concat(F.lit("Cluster#"), F.col("centroid_id").cast("string")).alias("centroid"),
-                    *mo.FEATURES))
+    return mo.cluster_profile(mo.centroids_table(spark, _model(spark, sf_dir, "kmeans")))
 
 
 __all__ = ["exact_quantile"]

@@ -67,3 +67,20 @@ def test_kmeans_centroids_anomalies(spark, sets):
     flagged = mo.detect_anomalies(model, train, train)
     share = flagged.where("is_anomaly").count() / flagged.count()
     assert 0.0 < share <= mo.CONTAMINATION + 1e-9
+
+
+def test_cluster_profile_names_and_model_round_trip(spark, sets):
+    from riskflow.session import scratch_path
+
+    train, pred = sets
+    model = mo.fit_kmeans(train, k=3)
+    long = mo.centroids_table(spark, model)
+    prof = mo.cluster_profile(long)
+    assert prof.count() == 3 and prof.columns[0] == "centroid" and "terminal_id_risk_15min_window" in prof.columns
+    ref = mo.cluster_profile(long, reference_names=True)
+    assert "terminal_id_avg_amount_15min_window" in ref.columns and "terminal_id_risk_15min_window" not in ref.columns
+    path = mo.save_model(model, scratch_path(spark, "models"), "kmeans", "v1")
+    again = mo.load_model(path)
+    a = mo.assign_clusters(model, pred).select("centroid_id")
+    b = mo.assign_clusters(again, pred).select("centroid_id")
+    assert a.exceptAll(b).count() == 0

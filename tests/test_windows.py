@@ -162,3 +162,10 @@ def test_hot_key_with_copies_matches_brute_force(spark):
     assert len(got) == 3000 and (got["n_tx"] == 10).all()
     assert (got["customer_id_nb_tx_15min_window"].to_numpy() == exp).all()
     assert fe.customer_features(tx, lb, AS_OF).count() == n_hot + n_cold
+
+
+def test_output_days_keeps_recent_rows_with_full_windows(spark):
+    tx, lb = load_fixture(spark, SF_SMALL)
+    full = fe.terminal_features(tx, lb, AS_OF, days=36, output_days=15)
+    assert full.count() == fe.terminal_features(tx, lb, AS_OF).count()  # same rows (the last 15 days)
+    assert full.where(F.col("feature_ts") < F.lit("2024-01-16 00:00:00").cast("timestamp")).count() == 0
