@@ -3,8 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from riskflow.operators.windows import replicate_rows
 from riskflow.plans import features as fe
 from riskflow.plans.registry import AS_OF, fixture, r, register

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from riskflow.operators.aggregates import collect_structs, render_structs
 from riskflow.operators.metrics import classification_metrics, davies_bouldin, euclidean
-from riskflow.operators.ordered import exact_quantile
 from riskflow.plans import datasets as ds
 from riskflow.plans import features as fe
 from riskflow.plans import models as mo
@@ -212,5 +211,3 @@ def q_kmeans_cluster_profile(spark, sf_dir):
     """The reference's cluster profile over the trained k-means centres."""
     return mo.cluster_profile(mo.centroids_table(spark, _model(spark, sf_dir, "kmeans")))
 
-
-__all__ = ["exact_quantile"]

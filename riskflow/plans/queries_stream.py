@@ -142,5 +142,3 @@ def q_stream_score(spark, sf_dir):
                           model_version="logreg")
     return _read_batches(spark, sink).select(*sc.PREDICTION_COLUMNS)
 
-
-__all__ = ["AS_OF"]
