@@ -65,20 +65,20 @@ def frame_totals(compact: DataFrame, key: str, columns: Sequence[str], frames: M
         return compact.select("*", *out)
     if form != "prefix":
         raise ValueError(f"unknown form {form!r}")
-    prefix: dict[tuple[str, int], Column] = {}
-
-    def p(c: str, offset: int) -> Column:
-        if (c, offset) not in prefix:
-            wf = w.rangeBetween(Window.unboundedPreceding, offset)
-            prefix[(c, offset)] = F.coalesce(F.sum(c).over(wf), F.lit(0))
-        return prefix[(c, offset)]
-
+    needed: dict[tuple[str, int], str] = {}  # each distinct prefix is computed once
     for name, (start, end) in frames.items():
         if not start <= end <= 0:
             raise ValueError(f"frame {name}: need start <= end <= 0, got {(start, end)}")
         for c in columns:
-            out.append((p(c, end) - p(c, start - 1)).alias(f"{c}__{name}"))
-    return compact.select("*", *out)
+            for off in (end, start - 1):
+                needed.setdefault((c, off), f"_p{len(needed)}")
+    prefixes = [F.coalesce(F.sum(c).over(w.rangeBetween(Window.unboundedPreceding, off)), F.lit(0)).alias(alias)
+                for (c, off), alias in needed.items()]
+    with_prefix = compact.select("*", *prefixes)
+    for name, (start, end) in frames.items():
+        for c in columns:
+            out.append((F.col(needed[(c, end)]) - F.col(needed[(c, start - 1)])).alias(f"{c}__{name}"))
+    return with_prefix.select(*[F.col(c) for c in compact.columns], *out)
 
 
 def replicate_rows(df: DataFrame, count_col: str, chunk: int = REPLICATE_CHUNK,
