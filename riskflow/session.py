@@ -27,6 +27,27 @@ _RUNTIME_CONF = {
 }
 
 
+def cluster_settings(total_cores: int, shuffle_partitions_per_core: int = 3) -> dict:
+    """Settings for a large cluster run (pass to ``get_session(extra=...)`` or spark-submit).
+
+    * shuffle partitions start at a few per core; AQE coalesces small ones to the
+      advisory size and splits skewed ones (a partition 5x the median and over
+      256 MB) in joins;
+    * scans split files into 256 MB partitions;
+    * the window operator spills its per-key buffer early (a hot key's history is
+      at most one row per second, but its rows are wide).
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, total_cores * shuffle_partitions_per_core)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.windowExec.buffer.spill.threshold": str(1 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+    }
+
+
 def get_session(master: str | None = None, app: str = "riskflow", shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session; ``master`` is left to spark-submit when None."""
