@@ -1,5 +1,6 @@
 from riskflow.functions.scalars import (
     as_timestamp,
+    avg_amount,
     epoch_seconds,
     fraud_rate,
     safe_divide,
@@ -7,4 +8,4 @@ from riskflow.functions.scalars import (
     trunc_second,
 )
 
-__all__ = ["as_timestamp", "epoch_seconds", "fraud_rate", "safe_divide", "to_minor_units", "trunc_second"]
+__all__ = ["as_timestamp", "avg_amount", "epoch_seconds", "fraud_rate", "safe_divide", "to_minor_units", "trunc_second"]

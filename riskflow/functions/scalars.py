@@ -54,3 +54,15 @@ def to_minor_units(amount, scale: int = 2) -> Column:
     window form needs; averages divide back at the end.
     """
     return F.round(_col(amount) * F.lit(10 ** scale)).cast("long")
+
+
+def avg_amount(amount="TX_AMOUNT", scale: int = 2) -> Column:
+    """AVG of a currency amount, summed exactly as integer minor units.
+
+    The sum of doubles depends on the order rows meet (partitioning), so two
+    runs can differ in the last bit; an integer sum cannot. NULL amounts are
+    ignored, NULL when there is none.
+    """
+    a = _col(amount)
+    total = F.sum(to_minor_units(a, scale)).cast("double") / F.lit(float(10 ** scale))
+    return F.try_divide(total, F.count(a).cast("double"))

@@ -3,7 +3,8 @@
 All of these are one scan plus, where labels are needed, one equi-join on
 TX_ID followed by a partially aggregated ``groupBy`` (map-side combine, so a hot
 key costs no more than a cold one). Results are small; only top-k reports
-limit their output, with a deterministic tie-breaker.
+limit their output, with a deterministic tie-breaker. Average amounts are
+summed in exact minor units, so they do not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.functions import fraud_rate, safe_divide
+from riskflow.functions import avg_amount, fraud_rate, safe_divide
 
 
 def with_labels(tx: DataFrame, labels: DataFrame, how: str = "left") -> DataFrame:
@@ -29,7 +30,7 @@ def overview(tx: DataFrame, approx: bool = False) -> DataFrame:
         distinct("CUSTOMER_ID").alias("NUM_CUSTOMERS"),
         distinct("TERMINAL_ID").alias("NUM_TERMINALS"),
         F.min("TX_AMOUNT").alias("MIN_TX_AMOUNT"),
-        F.avg("TX_AMOUNT").alias("AVG_TX_AMOUNT"),
+        avg_amount("TX_AMOUNT").alias("AVG_TX_AMOUNT"),
         F.max("TX_AMOUNT").alias("MAX_TX_AMOUNT"),
     )
 
@@ -60,7 +61,7 @@ def amount_by_fraud(tx: DataFrame, labels: DataFrame) -> DataFrame:
     return (with_labels(tx, labels, "inner")
             .groupBy("TX_FRAUD")
             .agg(F.min("TX_AMOUNT").alias("MIN_TX_AMOUNT"),
-                 F.avg("TX_AMOUNT").alias("AVG_TX_AMOUNT"),
+                 avg_amount("TX_AMOUNT").alias("AVG_TX_AMOUNT"),
                  F.max("TX_AMOUNT").alias("MAX_TX_AMOUNT"),
                  F.count(F.lit(1)).alias("NUM_TX")))
 
@@ -70,7 +71,7 @@ def key_metrics(tx: DataFrame, labels: DataFrame, key: str = "CUSTOMER_ID") -> D
     return (with_labels(tx, labels)
             .groupBy(key)
             .agg(F.count(F.lit(1)).alias("NUM_TX"),
-                 F.avg("TX_AMOUNT").alias("AVG_TX_AMOUNT"),
+                 avg_amount("TX_AMOUNT").alias("AVG_TX_AMOUNT"),
                  fraud_rate().alias("PCT_TX_FRAUD")))
 
 
@@ -89,7 +90,7 @@ def high_risk(tx: DataFrame, labels: DataFrame, key: str = "CUSTOMER_ID", min_ra
          .groupBy(key)
          .agg(F.count(F.lit(1)).alias("num_transactions"),
               fraud_rate().alias("PCT_TX_FRAUD"),
-              F.avg("TX_AMOUNT").alias("AVG_TX_AMOUNT")))
+              avg_amount("TX_AMOUNT").alias("AVG_TX_AMOUNT")))
     return (m.where(F.col("PCT_TX_FRAUD") > F.lit(min_rate))
             .orderBy(F.col("PCT_TX_FRAUD").desc(), F.col(key).asc())
             .limit(k))

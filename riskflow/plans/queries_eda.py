@@ -6,6 +6,8 @@ from riskflow.plans import eda
 from riskflow.plans.registry import AS_OF, fixture, r, register
 
 _RATE = "SUM(COALESCE(TX_FRAUD, 0))::DOUBLE / NULLIF(COUNT(TX_FRAUD), 0)"
+# average amount in exact cents, as the library computes it
+_AVG = "CAST(SUM(CAST(round(TX_AMOUNT * 100.0) AS BIGINT)) AS DOUBLE) / 100.0 / CAST(NULLIF(COUNT(TX_AMOUNT), 0) AS DOUBLE)"
 
 # Fixed query parameters (chosen for the fixture scale, see FIXTURES.md).
 REPEATED_MIN_FREQUENCY = 3
@@ -15,7 +17,7 @@ TERMINAL_MIN_RATE = 0.35
 @register("eda_overview", f"""
 SELECT COUNT(*) AS NUM_TX, MIN(TX_TS) AS MIN_TX_DATE, MAX(TX_TS) AS MAX_TX_DATE,
        COUNT(DISTINCT CUSTOMER_ID) AS NUM_CUSTOMERS, COUNT(DISTINCT TERMINAL_ID) AS NUM_TERMINALS,
-       {r('MIN(TX_AMOUNT)')} AS MIN_TX_AMOUNT, {r('AVG(TX_AMOUNT)')} AS AVG_TX_AMOUNT,
+       {r('MIN(TX_AMOUNT)')} AS MIN_TX_AMOUNT, {r(_AVG)} AS AVG_TX_AMOUNT,
        {r('MAX(TX_AMOUNT)')} AS MAX_TX_AMOUNT
 FROM tx""")
 def q_overview(spark, sf_dir):
@@ -41,7 +43,7 @@ def q_amount_histogram(spark, sf_dir):
 
 
 @register("eda_amount_by_fraud", f"""
-SELECT TX_FRAUD, {r('MIN(TX_AMOUNT)')} AS MIN_TX_AMOUNT, {r('AVG(TX_AMOUNT)')} AS AVG_TX_AMOUNT,
+SELECT TX_FRAUD, {r('MIN(TX_AMOUNT)')} AS MIN_TX_AMOUNT, {r(_AVG)} AS AVG_TX_AMOUNT,
        {r('MAX(TX_AMOUNT)')} AS MAX_TX_AMOUNT, COUNT(*) AS NUM_TX
 FROM tx JOIN txlabels USING (TX_ID) GROUP BY TX_FRAUD""")
 def q_amount_by_fraud(spark, sf_dir):
@@ -51,7 +53,7 @@ def q_amount_by_fraud(spark, sf_dir):
 
 def _metrics_sql(key: str) -> str:
     return f"""
-SELECT {key}, COUNT(*) AS NUM_TX, {r('AVG(TX_AMOUNT)')} AS AVG_TX_AMOUNT, {r(_RATE)} AS PCT_TX_FRAUD
+SELECT {key}, COUNT(*) AS NUM_TX, {r(_AVG)} AS AVG_TX_AMOUNT, {r(_RATE)} AS PCT_TX_FRAUD
 FROM tx LEFT JOIN txlabels USING (TX_ID) GROUP BY {key}"""
 
 
@@ -70,7 +72,7 @@ def q_terminal_metrics(spark, sf_dir):
 def _high_risk_sql(key: str, min_rate: float) -> str:
     return f"""
 SELECT {key}, num_transactions, {r('PCT_TX_FRAUD')} AS PCT_TX_FRAUD, {r('AVG_TX_AMOUNT')} AS AVG_TX_AMOUNT
-FROM (SELECT {key}, COUNT(*) AS num_transactions, {_RATE} AS PCT_TX_FRAUD, AVG(TX_AMOUNT) AS AVG_TX_AMOUNT
+FROM (SELECT {key}, COUNT(*) AS num_transactions, {_RATE} AS PCT_TX_FRAUD, {_AVG} AS AVG_TX_AMOUNT
       FROM tx LEFT JOIN txlabels USING (TX_ID) GROUP BY {key}
       HAVING {_RATE} > {min_rate})
 ORDER BY PCT_TX_FRAUD DESC, {key} ASC LIMIT 10"""
