@@ -201,9 +201,12 @@ def load_model(path: str) -> PipelineModel:
 
 
 def evaluate_kmeans(model: PipelineModel, data: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
-    """Davies-Bouldin index of the model's assignment, in the scaled space the model uses."""
+    """Davies-Bouldin index and mean squared distance to the nearest centre, in the scaled
+    space the model uses."""
     assigned = assign_clusters(model, data, features)
-    return davies_bouldin_arrays(assigned, "centroid_id", "x", len(features)).select("davies_bouldin_index")
+    msd = assigned.agg(F.avg(F.col("distance") * F.col("distance"))).first()[0]  # one scalar
+    return (davies_bouldin_arrays(assigned, "centroid_id", "x", len(features))
+            .select("davies_bouldin_index", F.lit(msd).cast("double").alias("mean_squared_distance")))
 
 
 def anomaly_threshold(train_distances: DataFrame, contamination: float = CONTAMINATION,

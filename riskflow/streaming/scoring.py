@@ -28,6 +28,7 @@ import os
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow.functions import as_timestamp
 from riskflow.operators.asof import asof_join
@@ -36,7 +37,16 @@ from riskflow.streaming.messages import dead_letters, parse_messages
 
 ENRICHED_FEATURES = [*fe.CUSTOMER_FEATURES, *fe.TERMINAL_FEATURES]
 THRESHOLD = 0.5
-PREDICTION_COLUMNS = ["TX_ID", "prediction_timestamp", "fraud_probability", "is_fraud", "model_version", "created_at"]
+# The prediction table (typed DDL of the reference; created_at defaults to the time of the write).
+PREDICTION_SCHEMA = T.StructType([
+    T.StructField("TX_ID", T.StringType()),
+    T.StructField("prediction_timestamp", T.TimestampType()),
+    T.StructField("fraud_probability", T.DoubleType()),
+    T.StructField("is_fraud", T.BooleanType()),
+    T.StructField("model_version", T.StringType()),
+    T.StructField("created_at", T.TimestampType()),
+])
+PREDICTION_COLUMNS = [f.name for f in PREDICTION_SCHEMA.fields]
 
 
 def materialize_features(spark: SparkSession, tx: DataFrame, labels: DataFrame, as_of, path: str) -> dict:
@@ -160,9 +170,9 @@ def prediction_rows(scored: DataFrame, prob: str = "fraud_probability", model_ve
                     created_at=None) -> DataFrame:
     """The prediction table rows; ``created_at`` defaults to the current time."""
     p = F.coalesce(F.col(prob).cast("double"), F.lit(0.0))
-    return scored.select(F.col("TX_ID"), F.col("TX_TS").alias("prediction_timestamp"), p.alias("fraud_probability"),
-                         (p > F.lit(THRESHOLD)).alias("is_fraud"), F.lit(model_version).alias("model_version"),
-                         as_timestamp(created_at).alias("created_at"))
+    values = [F.col("TX_ID"), F.col("TX_TS"), p, p > F.lit(THRESHOLD), F.lit(model_version),
+              as_timestamp(created_at)]
+    return scored.select(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, PREDICTION_SCHEMA.fields)])
 
 
 def latest_predictions(predictions: DataFrame, k: int = 10) -> DataFrame:
