@@ -141,8 +141,11 @@ def enrich(batch: DataFrame, customer_features: DataFrame, terminal_features: Da
     if customer_latest is None or terminal_latest is None:
         out = general(keep(batch))
     else:
-        cl = _latest_cols(customer_latest, "customer_id", c_cols, "c")
-        tl = _latest_cols(terminal_latest, "terminal_id", t_cols, "t")
+        # newest rows of the batch's keys only: the distinct keys of a trigger-bounded
+        # batch are the small side AQE can broadcast, so the key tables are filtered
+        # where they are read instead of being shuffled whole for every batch
+        cl = _latest_cols(_keys_in(batch, "CUSTOMER_ID", customer_latest, "customer_id"), "customer_id", c_cols, "c")
+        tl = _latest_cols(_keys_in(batch, "TERMINAL_ID", terminal_latest, "terminal_id"), "terminal_id", t_cols, "t")
         j = (batch.join(cl, batch["CUSTOMER_ID"] == cl["_ck"], "left")
              .join(tl, batch["TERMINAL_ID"] == tl["_tk"], "left"))
         late = (F.coalesce(F.col("_cts") > F.col("TX_TS"), F.lit(False))
