@@ -36,7 +36,7 @@ def _topic(spark, sf_dir) -> str:
 
 
 def _message_stream(spark, path):
-    return spark.readStream.option("maxFilesPerTrigger", FILES_PER_TRIGGER).text(path)
+    return msg.message_stream(spark, "text", path, FILES_PER_TRIGGER)
 
 
 def _read_batches(spark, path):

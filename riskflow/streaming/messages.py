@@ -64,3 +64,28 @@ def dead_letters(raw: DataFrame, value: str = "value") -> DataFrame:
     """Messages that cannot be scored: raw text and reason."""
     d = _decoded(raw, value)
     return d.select(F.col("_raw").alias("value"), _reason().alias("reason")).where(F.col("reason").isNotNull())
+
+
+def message_stream(spark, source: str = "text", path: str | None = None, max_per_trigger: int | None = None,
+                   **options) -> DataFrame:
+    """A stream of raw messages as one text column ``value``.
+
+    ``source='text'``: one message per line of the files arriving under ``path``
+    (``maxFilesPerTrigger`` bounds a micro-batch). ``source='kafka'``: the Kafka
+    source (``options`` as for Spark's Kafka source, e.g.
+    ``kafka_bootstrap_servers=...``, ``subscribe=...``; ``maxOffsetsPerTrigger``
+    bounds a micro-batch); it needs the spark-sql-kafka package on the classpath.
+    """
+    reader = spark.readStream
+    if source == "text":
+        if max_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+        return reader.text(path)
+    if source == "kafka":
+        reader = reader.format("kafka")
+        for k, v in options.items():
+            reader = reader.option(k.replace("_", "."), v)
+        if max_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
+        return reader.load().select(F.col("value").cast("string").alias("value"))
+    raise ValueError(f"unknown message source {source!r}")
