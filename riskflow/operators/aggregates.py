@@ -20,7 +20,9 @@ def collect_structs(df: DataFrame, group: str, name: str = "feature", value: str
     """Per group, the sorted array of ``struct(name, round(value, digits))``.
 
     The reference orders by the group key inside its group (no order at all);
-    here the array is sorted by name so the result is deterministic.
+    here the array is sorted by name so the result is deterministic. Meant for
+    groups holding one row per name (a centroid table: k x features rows), so
+    the array is bounded by the number of names.
     """
     item = F.struct(F.col(name).alias("name"), round_half_up(value, digits).alias("value"))
     return df.groupBy(group).agg(F.sort_array(F.collect_list(item)).alias(out))

@@ -169,6 +169,20 @@ def enrich_with(batch: DataFrame, snapshot: dict, fill: float | None = 0.0, keep
                   snapshot.get("customer_latest"), snapshot.get("terminal_latest"), keep)
 
 
+def lookup_features(spark: SparkSession, snapshot: dict, transaction: dict, fill: float | None = 0.0) -> DataFrame:
+    """Features of one transaction given as parameters (``TX_ID``, ``TX_TS`` text,
+    ``CUSTOMER_ID``, ``TERMINAL_ID``, ``TX_AMOUNT``): the reference's per-message lookup.
+
+    The parameters become a one-row frame (typed by the message schema) that goes
+    through the same enrichment as a micro-batch; use ``enrich_with`` for many.
+    """
+    from riskflow.streaming.messages import MESSAGE_SCHEMA
+
+    row = spark.createDataFrame([tuple(transaction.get(f.name) for f in MESSAGE_SCHEMA.fields)], MESSAGE_SCHEMA)
+    row = row.withColumn("TX_TS", F.try_to_timestamp(F.col("TX_TS")))
+    return enrich_with(row, snapshot, fill)
+
+
 def prediction_rows(scored: DataFrame, prob: str = "fraud_probability", model_version: str = "unknown",
                     created_at=None) -> DataFrame:
     """The prediction table rows; ``created_at`` defaults to the current time."""

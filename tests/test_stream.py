@@ -110,3 +110,15 @@ def test_parse_round_trip(spark):
 def test_labels_fixture(spark):
     lb = make_labels(spark, [("1", 1)])
     assert lb.count() == 1
+
+
+def test_single_transaction_lookup_matches_batch(spark):
+    tx, lb = load_fixture(spark, SF_SMALL)
+    paths = sc.materialize_features(spark, tx, lb, SNAP, scratch_path(spark, "feat"))
+    snap = sc.read_snapshot(spark, paths)
+    one = tx.where("TX_TS > TIMESTAMP '2024-01-25 00:00:00'").orderBy("TX_ID").first()
+    params = {"TX_ID": one["TX_ID"], "TX_TS": one["TX_TS"].strftime("%Y-%m-%d %H:%M:%S"),
+              "CUSTOMER_ID": one["CUSTOMER_ID"], "TERMINAL_ID": one["TERMINAL_ID"], "TX_AMOUNT": one["TX_AMOUNT"]}
+    got = sc.lookup_features(spark, snap, params).collect()
+    exp = sc.enrich_with(tx.where(F.col("TX_ID") == one["TX_ID"]), snap).collect()
+    assert len(got) == 1 and got[0].asDict() == exp[0].asDict()
