@@ -5,10 +5,11 @@ newest customer and terminal feature rows not later than the transaction, a
 call to a model endpoint, one row insert, then ack. Here each micro-batch is
 handled as a whole inside ``foreachBatch``:
 
-1. ``enrich`` -- as-of join of the batch against the stored per-second feature
-   snapshot (``riskflow.operators.asof``), after a semi-join that keeps only the
-   keys present in the batch; missing features become 0 (the reference's
-   COALESCE), all features as doubles;
+1. ``enrich`` -- the newest feature row not later than each transaction, from
+   the stored snapshot: an equi-join with the newest row per key when the batch
+   is live (the usual case), the general as-of join (``riskflow.operators.asof``)
+   against the history of the batch's keys when it holds older transactions;
+   missing features become 0 (the reference's COALESCE), all features doubles;
 2. ``PipelineModel.transform`` scores the batch (probability of class 1);
 3. ``prediction_rows`` projects the six prediction columns (NULL probability
    -> 0.0, ``is_fraud = p > 0.5``);
