@@ -38,7 +38,8 @@ def _pred(spark, sf_dir):
 
 
 def _model(spark, sf_dir, kind):
-    key = (sf_dir, kind)
+    # fitted models hold JVM objects: reuse them only within the same application
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _MODELS:
         train = _train(spark, sf_dir)
         if kind == "kmeans":
