@@ -32,9 +32,17 @@ PREDICT_DAYS = (5, 0)
 ID_COLUMNS = ["timestamp", "customer_id", "terminal_id"]
 
 
+def labelled_history(tx: DataFrame, labels: DataFrame, as_of=None, history_days: int = fe.HISTORY_DAYS,
+                     materialize: bool = True) -> DataFrame:
+    """The labelled transactions of the last ``history_days`` days, stored once below the
+    shared checkpoint folder; pass it as ``history`` to both data sets of one ``as_of``."""
+    base = fe.labelled_recent(tx, labels, as_of, history_days)
+    return write_table(base, "labelled_history") if materialize else base
+
+
 def labelled_feature_set(tx: DataFrame, labels: DataFrame, as_of=None, start_days: int = 15,
                          end_days_before: int = 0, history_days: int = fe.HISTORY_DAYS,
-                         materialize: bool = True) -> DataFrame:
+                         materialize: bool = True, history: DataFrame | None = None) -> DataFrame:
     """Labelled transactions of ``[as_of - start_days, as_of - end_days_before]`` with all 24 features.
 
     Columns: timestamp, tx_amount, tx_fraud, customer_id + 12, terminal_id + 12.
@@ -42,21 +50,27 @@ def labelled_feature_set(tx: DataFrame, labels: DataFrame, as_of=None, start_day
     The labelled history feeds three consumers (ground truth, customer and
     terminal totals) with different column sets, so Spark would repeat the
     scan and the TX_ID join for each; ``materialize`` writes it once to the
-    shared checkpoint folder instead.
+    shared checkpoint folder instead, or ``history`` (see ``labelled_history``)
+    supplies a stored one. Features at t use rows up to t only, so a history
+    that extends past the set's end changes no value.
     """
-    base = fe.labelled_recent(tx, labels, as_of, history_days, end_days_before)
-    if materialize:
-        base = write_table(base, "labelled_history")
+    if history is not None:
+        base = history
+    else:
+        base = fe.labelled_recent(tx, labels, as_of, history_days, end_days_before)
+        if materialize:
+            base = write_table(base, "labelled_history")
     start = fe.as_of_col(as_of) - F.expr(f"INTERVAL {int(start_days)} DAYS")
-    gt = (base.where((F.col("TX_TS") >= start) & F.col("TX_FRAUD").isNotNull())
+    end = fe.as_of_col(as_of) - F.expr(f"INTERVAL {int(end_days_before)} DAYS")
+    in_set = F.col("TX_TS").between(start, end)
+    gt = (base.where(in_set & F.col("TX_FRAUD").isNotNull())
           .select(F.col("TX_TS").alias("timestamp"), F.col("CUSTOMER_ID").alias("customer"),
                   F.col("TERMINAL_ID").alias("terminal"), F.col("TX_AMOUNT").alias("tx_amount"),
                   F.col("TX_FRAUD").alias(LABEL)))
-    cust = fe.customer_per_second(tx, labels, base=base).drop("n_tx")
-    term = fe.terminal_per_second(tx, labels, base=base).drop("n_tx")
-    if start_days < history_days:  # only seconds that can match a ground-truth row
-        cust = cust.where(F.col("feature_ts") >= start)
-        term = term.where(F.col("feature_ts") >= start)
+    # only seconds that can match a ground-truth row (the filter stays above the window)
+    in_range = F.col("feature_ts").between(start, end)
+    cust = fe.customer_per_second(tx, labels, base=base).drop("n_tx").where(in_range)
+    term = fe.terminal_per_second(tx, labels, base=base).drop("n_tx").where(in_range)
     out = point_in_time_join(gt, cust, ["customer", "timestamp"], ["customer_id", "feature_ts"])
     out = point_in_time_join(out, term.withColumnRenamed("feature_ts", "terminal_feature_ts"),
                              ["terminal", "timestamp"], ["terminal_id", "terminal_feature_ts"])
@@ -65,13 +79,13 @@ def labelled_feature_set(tx: DataFrame, labels: DataFrame, as_of=None, start_day
 
 
 def training_set(tx: DataFrame, labels: DataFrame, as_of=None, days: tuple[int, int] = TRAIN_DAYS,
-                 materialize: bool = True) -> DataFrame:
-    return labelled_feature_set(tx, labels, as_of, days[0], days[1], materialize=materialize)
+                 materialize: bool = True, history: DataFrame | None = None) -> DataFrame:
+    return labelled_feature_set(tx, labels, as_of, days[0], days[1], materialize=materialize, history=history)
 
 
 def prediction_set(tx: DataFrame, labels: DataFrame, as_of=None, days: tuple[int, int] = PREDICT_DAYS,
-                   materialize: bool = True) -> DataFrame:
-    return labelled_feature_set(tx, labels, as_of, days[0], days[1], materialize=materialize)
+                   materialize: bool = True, history: DataFrame | None = None) -> DataFrame:
+    return labelled_feature_set(tx, labels, as_of, days[0], days[1], materialize=materialize, history=history)
 
 
 def model_input(data: DataFrame, supervised: bool = True) -> DataFrame:

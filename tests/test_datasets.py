@@ -45,3 +45,13 @@ def test_model_input_drops_ids(spark):
     assert "timestamp" not in cols and "customer_id" not in cols and "tx_fraud" in cols
     assert len(cols) == 26
     assert "tx_fraud" not in ds.model_input(ds.training_set(tx, lb, AS_OF), supervised=False).columns
+
+
+def test_shared_history_gives_the_same_sets(spark):
+    tx, lb = load_fixture(spark, SF_SMALL)
+    h = ds.labelled_history(tx, lb, AS_OF)
+    for make in (ds.training_set, ds.prediction_set):
+        a = make(tx, lb, AS_OF)
+        b = make(tx, lb, AS_OF, history=h)
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
