@@ -93,3 +93,16 @@ def save_table(df: DataFrame, name: str, bucket_by: str | None = None, buckets:
         w = w.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     w.saveAsTable(name)
     return name
+
+
+def store_co_bucketed(tx: DataFrame, labels: DataFrame, database: str, buckets: int,
+                      location: str | None = None) -> tuple[str, str]:
+    """Store transactions and labels as catalog tables bucketed (and sorted) by TX_ID into
+    the same number of buckets. Every ``tx JOIN txlabels USING (TX_ID)`` over the two
+    tables (``spark.table``) then runs bucket against bucket, with no shuffle -- the
+    join every analysis starts with is the largest exchange otherwise."""
+    spark = tx.sparkSession
+    create_namespace(spark, database, location)
+    t = save_table(tx.select(*TX_COLUMNS), f"{database}.tx", bucket_by="TX_ID", buckets=buckets)
+    lb = save_table(labels.select(*LABEL_COLUMNS), f"{database}.txlabels", bucket_by="TX_ID", buckets=buckets)
+    return t, lb

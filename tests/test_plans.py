@@ -75,3 +75,20 @@ def test_training_set_unmaterialized_prunes_scan(spark):
     for s in re.findall(r"ReadSchema: struct<([^>]*)>", p):
         assert set(x.split(":")[0] for x in s.split(",")) <= {"event_id", "ts", "user_id", "value", "props",
                                                               "event_type"}
+
+
+def test_co_bucketed_tables_join_without_shuffle(spark):
+    from riskflow.plans import eda
+
+    tx, lb = load_fixture(spark, SF_SMALL)
+    t, l_ = tables.store_co_bucketed(tx, lb, "riskflow_bucketed", 4, scratch_path(spark, "wh"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the plan a large input gets
+    try:
+        joined = eda.with_labels(spark.table(t), spark.table(l_))
+        p = plan(joined)
+        assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
+        assert "Exchange" not in p, p
+        assert joined.count() == tx.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
