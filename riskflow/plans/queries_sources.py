@@ -80,3 +80,11 @@ def q_src_namespace_table(spark, sf_dir):
     tables.create_namespace(spark, db, scratch_path(spark, "warehouse"))
     name = tables.save_table(tx, f"{db}.tx", bucket_by="CUSTOMER_ID", buckets=8)
     return spark.table(name)
+
+
+@register("join_labels_co_bucketed", f"SELECT {TX_SELECT}, TX_FRAUD FROM tx LEFT JOIN txlabels USING (TX_ID)")
+def q_join_labels_co_bucketed(spark, sf_dir):
+    """The label join over tables stored co-bucketed by TX_ID (no exchange in the join)."""
+    tx, lb = fixture(spark, sf_dir)
+    t, l_ = tables.store_co_bucketed(tx, lb, "riskflow_co_bucketed", 8, scratch_path(spark, "warehouse"))
+    return eda.with_labels(spark.table(t), spark.table(l_))
