@@ -122,3 +122,34 @@ def test_single_transaction_lookup_matches_batch(spark):
     got = sc.lookup_features(spark, snap, params).collect()
     exp = sc.enrich_with(tx.where(F.col("TX_ID") == one["TX_ID"]), snap).collect()
     assert len(got) == 1 and got[0].asDict() == exp[0].asDict()
+
+
+def test_failed_batch_is_replayed_without_duplicates(spark, monkeypatch):
+    tx, lb = load_fixture(spark, SF_SMALL)
+    paths = sc.materialize_features(spark, tx, lb, SNAP, scratch_path(spark, "feat"))
+    topic = _topic(spark)
+    sink, ckpt = scratch_path(spark, "pred"), scratch_path(spark, "ckpt")
+    real_write = sc.write_batch
+    failed = []
+
+    def flaky_write(df, path, batch_id):
+        if batch_id == 1 and not failed:  # the task/executor dies while batch 1 is written
+            failed.append(batch_id)
+            raise RuntimeError("lost executor")
+        real_write(df, path, batch_id)
+
+    monkeypatch.setattr(sc, "write_batch", flaky_write)
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(topic)
+    with pytest.raises(Exception):
+        sc.run_scoring_stream(spark, stream, paths, sink, ckpt, model_version="fixed", created_at=SNAP,
+                              score_col="terminal_id_risk_1day_window")
+    assert failed == [1]
+    # restart on the same checkpoint: batch 1 is replayed, batch 0 is not redone
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(topic)
+    sc.run_scoring_stream(spark, stream, paths, sink, ckpt, model_version="fixed", created_at=SNAP,
+                          score_col="terminal_id_risk_1day_window")
+    out = spark.read.parquet(sink)
+    expected = msg.parse_messages(spark.read.text(topic)).count()
+    assert out.count() == expected
+    assert out.select("TX_ID").distinct().count() == expected
+    assert sorted(r[0] for r in out.select("batch_id").distinct().collect()) == [0, 1, 2]
