@@ -169,3 +169,13 @@ def test_output_days_keeps_recent_rows_with_full_windows(spark):
     full = fe.terminal_features(tx, lb, AS_OF, days=36, output_days=15)
     assert full.count() == fe.terminal_features(tx, lb, AS_OF).count()  # same rows (the last 15 days)
     assert full.where(F.col("feature_ts") < F.lit("2024-01-16 00:00:00").cast("timestamp")).count() == 0
+
+
+def test_replicate_rows_beyond_one_chunk(spark):
+    from riskflow.operators.windows import REPLICATE_CHUNK
+
+    n = 3 * REPLICATE_CHUNK + 1234  # one hot (key, second) needing four chunks
+    df = spark.createDataFrame([("hot", n), ("cold", 3)], "k string, n long")
+    out = replicate_rows(df, "n", spread_by=["k"])
+    counts = {r["k"]: r["count"] for r in out.groupBy("k").count().collect()}
+    assert counts == {"hot": n, "cold": 3}
