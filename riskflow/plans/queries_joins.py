@@ -104,14 +104,17 @@ def q_predict_data(spark, sf_dir):
     return ds.prediction_set(tx, lb, AS_OF)
 
 
+_ROUNDED = {"tx_amount", *fe.CUSTOMER_AVG_COLS, *fe.TERMINAL_RISK_COLS}
 _INPUT_COLS = ["tx_amount", "tx_fraud", *fe.CUSTOMER_COUNT_COLS, *fe.CUSTOMER_AVG_COLS,
                *fe.TERMINAL_COUNT_COLS, *fe.TERMINAL_RISK_COLS]
 
 
-@register("model_input", dataset_sql(15, 5, ", ".join(
-    (r(("gt." if c in ("tx_amount", "tx_fraud") else "") + c) + f" AS {c}")
-    if c in ["tx_amount", *fe.CUSTOMER_AVG_COLS, *fe.TERMINAL_RISK_COLS]
-    else (("gt." if c == "tx_fraud" else "") + c) for c in _INPUT_COLS)))
+def _input_col(c: str) -> str:
+    src = f"gt.{c}" if c in ("tx_amount", "tx_fraud") else c
+    return f"{r(src)} AS {c}" if c in _ROUNDED else src
+
+
+@register("model_input", dataset_sql(15, 5, ", ".join(_input_col(c) for c in _INPUT_COLS)))
 def q_model_input(spark, sf_dir):
     tx, lb = fixture(spark, sf_dir)
     return ds.model_input(ds.training_set(tx, lb, AS_OF))
