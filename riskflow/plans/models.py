@@ -217,8 +217,21 @@ def anomaly_threshold(train_distances: DataFrame, contamination: float = CONTAMI
 
 def detect_anomalies(model: PipelineModel, train: DataFrame, data: DataFrame,
                      contamination: float = CONTAMINATION, features: Sequence[str] = FEATURES) -> DataFrame:
-    """``data`` plus centroid_id, distance and ``is_anomaly`` = distance above the threshold
-    that flags ``contamination`` of the training rows."""
-    thr = anomaly_threshold(assign_clusters(model, train, features), contamination).first()["threshold"]
-    scored = assign_clusters(model, data, features).drop("x")
-    return scored.withColumn("is_anomaly", F.col("distance") > F.lit(thr))
+    """``data`` plus centroid_id, distance, normalized_distance and ``is_anomaly``.
+
+    ``normalized_distance`` is the distance to the nearest centre divided by that
+    cluster's radius (mean distance of its training rows; k values); a row is an
+    anomaly when it exceeds the threshold that flags ``contamination`` of the
+    training rows (exact discrete percentile).
+    """
+    assigned = assign_clusters(model, train, features)
+    radius = {r["centroid_id"]: r["radius"] for r in  # k rows
+              assigned.groupBy("centroid_id").agg(F.avg("distance").alias("radius")).collect()}
+    rmap = F.create_map(*[x for cid, rad in sorted(radius.items()) for x in (F.lit(cid), F.lit(float(rad)))])
+
+    def normalized(df: DataFrame) -> DataFrame:
+        return df.withColumn("normalized_distance", F.try_divide(F.col("distance"), rmap[F.col("centroid_id")]))
+
+    thr = anomaly_threshold(normalized(assigned), contamination, "normalized_distance").first()["threshold"]
+    scored = normalized(assign_clusters(model, data, features).drop("x"))
+    return scored.withColumn("is_anomaly", F.col("normalized_distance") > F.lit(thr))

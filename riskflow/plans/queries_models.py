@@ -204,7 +204,8 @@ def q_evaluate_kmeans(spark, sf_dir):
 def q_detect_anomalies(spark, sf_dir):
     train, pred = _train(spark, sf_dir), _pred(spark, sf_dir)
     out = mo.detect_anomalies(_model(spark, sf_dir, "kmeans"), train, pred)
-    return out.select("timestamp", "customer_id", "terminal_id", "tx_fraud", "centroid_id", "distance", "is_anomaly")
+    return out.select("timestamp", "customer_id", "terminal_id", "tx_fraud", "centroid_id", "distance",
+                      "normalized_distance", "is_anomaly")
 
 
 @register("kmeans_cluster_profile")
