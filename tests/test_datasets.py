@@ -55,3 +55,14 @@ def test_shared_history_gives_the_same_sets(spark):
         b = make(tx, lb, AS_OF, history=h)
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_overview_approx_distinct_close_to_exact(spark):
+    from riskflow.plans import eda
+
+    tx, _ = load_fixture(spark, SF_SMALL)
+    exact = eda.overview(tx).collect()[0]
+    approx = eda.overview(tx, approx=True).collect()[0]
+    assert approx["NUM_TX"] == exact["NUM_TX"]
+    for c in ("NUM_CUSTOMERS", "NUM_TERMINALS"):
+        assert abs(approx[c] - exact[c]) <= max(2, 0.05 * exact[c])
