@@ -5,6 +5,6 @@ executors. Time-dependent functions take an explicit ``as_of`` so results are
 repeatable.
 """
 
-from riskflow.session import configure, get_session, scratch_path
+from riskflow.session import cluster_settings, configure, get_session, materialize, scratch_path
 
-__all__ = ["configure", "get_session", "scratch_path"]
+__all__ = ["cluster_settings", "configure", "get_session", "materialize", "scratch_path"]
