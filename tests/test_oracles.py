@@ -9,7 +9,7 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
-from tools.oracle_check import TABLES, canon
+from tools.oracle_check import TABLES, canon, type_mismatches
 
 QUERIES = E.queries()
 ORACLES = E.oracle_sql()
@@ -39,6 +39,7 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(ORACLES[name])
     o_cols, o_rows = canon(rel.columns, rel.fetchall())
     assert s_cols == o_cols
+    assert type_mismatches(df.schema, rel.columns, rel.types) == []
     assert len(s_rows) == len(o_rows)
     assert s_rows == o_rows
 
