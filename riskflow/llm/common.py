@@ -6,16 +6,21 @@ and ``slices`` keeps the Python copy of a batch small when texts are long.
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import riskflow
 from riskflow.session import checkpoint_dir, materialize, scratch_path
 
 __all__ = ["ASCII_LOWER", "WORD", "checkpoint_dir", "materialize", "scratch_path", "documents", "fold",
-           "map_rows", "parquet", "slices", "text_only"]
+           "map_rows", "parquet", "shipped", "slices"]
 
 #: Words of the contracts: runs without space, tab, line feed, vertical tab, form feed or carriage return.
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -30,9 +35,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parquet(spark, sf_dir, "documents")
 
 
-def text_only(docs: DataFrame) -> DataFrame:
-    """Only the two columns an operator reads, so that other columns (of any name) never get in the way."""
-    return docs.select("doc_id", "text")
+def shipped(df: DataFrame) -> DataFrame:
+    """``df``, after its executors have been given this package (as ``--py-files`` does), once per application."""
+    sc = df.sparkSession.sparkContext
+    if getattr(sc, "_riskflow_shipped", None) is None:
+        base = Path(riskflow.__file__).parent
+        archive = os.path.join(tempfile.mkdtemp(prefix="riskflow-py-"), "riskflow-package.zip")  # on the driver; Spark serves it
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(base.rglob("*.py")):
+                z.write(f, f"riskflow/{f.relative_to(base)}")
+        sc.addPyFile(archive)
+        sc._riskflow_shipped = archive
+    return df
 
 
 def fold(col: Column, mod: int) -> Column:
@@ -63,4 +77,4 @@ def map_rows(df: DataFrame, per_batch, schema: str) -> DataFrame:
                 rows = f({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(rows[x.name], type=x.type) for x in out_schema], schema=out_schema)
 
-    return df.mapInArrow(run, schema)
+    return shipped(df).mapInArrow(run, schema)

@@ -20,10 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import fold, map_rows
+from riskflow.llm.common import fold, map_rows, shipped, slices
 
 BINS = 1 << 14
 UND = "und"
@@ -88,7 +89,7 @@ def _document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
         yield pd.DataFrame({"bin": np.append(hit, -1), "n": np.append(df[hit], n)})
 
     # at most BINS + 1 rows reach the driver, whatever the input
-    rows = train.select("text").mapInPandas(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
+    rows = shipped(train).select("text").mapInPandas(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
     df, total = np.zeros(BINS), 0
     for r in rows:
         if r["bin"] < 0:
@@ -163,6 +164,20 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The rows of ``docs`` that are not rejected; all columns stay; no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                keep = [not shared.value.predict(t)[2] for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return shipped(docs).mapInArrow(run, docs.schema)
+
+
 def training_rows(docs: DataFrame) -> DataFrame:
     """The contract's training rows: crc32(doc_id as text) mod 5 is not 0."""
     return docs.filter(fold(F.col("doc_id"), 5) != 0)

@@ -4,19 +4,32 @@ from __future__ import annotations
 
 from riskflow.llm import (
     bpe,
+    decontamination,
     langid,
+    near_dup,
+    pii,
     quality,
     sharding,
+    suffix_dedup,
+    toxicity,
+    warc,
 )
 from riskflow.llm.common import documents, parquet
 
 QUERIES = {
+    "op1_toxic_segments": lambda spark, sf_dir: toxicity.op1(documents(spark, sf_dir), parquet(spark, sf_dir, "labels")),
     "op2_byte_bpe": lambda spark, sf_dir: bpe.op2(documents(spark, sf_dir)),
     "op3_sharding": lambda spark, sf_dir: sharding.op3(documents(spark, sf_dir)),
+    "op4_suffix_dedup": lambda spark, sf_dir: suffix_dedup.op4(documents(spark, sf_dir)),
+    "op5_warc_index": lambda spark, sf_dir: warc.op5(parquet(spark, sf_dir, "pages")),
+    "op6_benchmark_leaks": lambda spark, sf_dir: decontamination.op6(documents(spark, sf_dir), parquet(spark, sf_dir, "benchmark")),
     "op7_language_id": lambda spark, sf_dir: langid.op7(documents(spark, sf_dir)),
     "op8_quality_forest": lambda spark, sf_dir: quality.op8(documents(spark, sf_dir), parquet(spark, sf_dir, "labels")),
+    "op9_near_duplicates": lambda spark, sf_dir: near_dup.op9(documents(spark, sf_dir)),
+    "op10_personal_data": lambda spark, sf_dir: pii.op10(documents(spark, sf_dir)),
 }
 
 ORACLES = {
     "op3_sharding": sharding.ORACLE,
+    "op5_warc_index": warc.ORACLE,
 }
