@@ -70,6 +70,7 @@ class Archive:
     records: str
     blocks: str
     directory: str
+    empty: bool = False
 
 
 def _uuid(page_id: Column) -> Column:
@@ -106,10 +107,10 @@ def _records(pages: DataFrame, archives: int, least_revisit: int) -> DataFrame:
 def write(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES, least_revisit: int = 0) -> Archive:
     """Write archives and index below the shared folder."""
     spark = shipped(pages).sparkSession
-    size = pages.select(F.sum(F.octet_length("html").cast("long") + 600)).first()[0] or 1
-    archives = max(1, -(-size // archive_bytes))
+    size = pages.select(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)).cast("long") + 600)).first()[0]
+    archives = max(1, -(-(size or 0) // archive_bytes))
     records = _records(pages, archives, least_revisit)
-    at = Archive(*(scratch_path(spark, f"warc-{x}") for x in ("records", "blocks", "directory")))
+    at = Archive(*(scratch_path(spark, f"warc-{x}") for x in ("records", "blocks", "directory")), empty=size is None)
     (records.select(*_ORDER, F.concat("head", "payload").alias("value")).repartition(archives, "archive")
      .sortWithinPartitions(*_ORDER).select("archive", "value")
      .write.partitionBy("archive").option("lineSep", END).text(at.records))
@@ -191,13 +192,15 @@ def parse(record: bytes) -> dict:
 
 def _ranges(spark: SparkSession, at: Archive, entries: DataFrame, payloads: bool) -> DataFrame:
     """The records in the ranges of ``entries``; an archive's entries are as many as its records at most."""
-    own = entries.groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("ranges"))
-    files = spark.read.format("binaryFile").load(at.records).select(F.col("archive").cast("int").alias("archive"), "content")
     fields = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
     if payloads:
         fields.append(("payload", pa.binary()))
         schema += ", payload binary"
+    if at.empty:
+        return spark.createDataFrame([], schema)
+    own = entries.groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("ranges"))
+    files = spark.read.format("binaryFile").load(at.records).select(F.col("archive").cast("int").alias("archive"), "content")
 
     def run(batches):
         for batch in batches:
