@@ -4,8 +4,9 @@ from riskflow.functions.scalars import (
     epoch_seconds,
     fraud_rate,
     safe_divide,
-    to_minor_units,
+    exact_amount,
+    inexact_amount,
     trunc_second,
 )
 
-__all__ = ["as_timestamp", "avg_amount", "epoch_seconds", "fraud_rate", "safe_divide", "to_minor_units", "trunc_second"]
+__all__ = ["as_timestamp", "avg_amount", "epoch_seconds", "fraud_rate", "safe_divide", "exact_amount", "inexact_amount", "trunc_second"]

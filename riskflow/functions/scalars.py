@@ -15,13 +15,15 @@ def _col(c) -> Column:
 def as_timestamp(value) -> Column:
     """A TIMESTAMP literal from a string/datetime, or ``current_timestamp()`` for None.
 
-    Strings are read in the session time zone (UTC under ``configure``).
+    Strings are read in the session time zone (UTC under ``configure``); aware datetimes are converted to UTC.
     """
     if value is None:
         return F.current_timestamp()
     if isinstance(value, Column):
         return value.cast("timestamp")
     if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(_dt.timezone.utc)
         value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.lit(str(value)).cast("timestamp")
 
@@ -47,22 +49,28 @@ def epoch_seconds(ts) -> Column:
     return F.unix_seconds(_col(ts).cast("timestamp"))
 
 
-def to_minor_units(amount, scale: int = 2) -> Column:
-    """Amount as an exact integer of 10**-scale units (cents for scale 2).
+#: Exact form of an amount: eight decimals, up to 10**19. Sums keep eight decimals (37 digits).
+EXACT_AMOUNT = "decimal(27,8)"
 
-    Sums of these stay exact under subtraction, which the prefix-difference
-    window form needs; averages divide back at the end.
+
+def exact_amount(amount) -> Column:
+    """The amount as a decimal, NULL for NaN, infinities and amounts of 10**19 or more.
+
+    Decimal sums do not depend on the order of the rows (a sum of doubles does, in its last bits) and stay exact
+    under subtraction, which the prefix-difference window form needs.
     """
-    return F.round(_col(amount) * F.lit(10 ** scale)).cast("long")
+    return _col(amount).try_cast(EXACT_AMOUNT)
 
 
-def avg_amount(amount="TX_AMOUNT", scale: int = 2) -> Column:
-    """AVG of a currency amount, summed exactly as integer minor units.
+def inexact_amount(amount) -> Column:
+    """The amounts that ``exact_amount`` cannot hold, as doubles; NULL for all others."""
+    a = _col(amount)
+    return F.when(a.isNotNull() & exact_amount(a).isNull(), a.cast("double"))
 
-    The sum of doubles depends on the order rows meet (partitioning), so two
-    runs can differ in the last bit; an integer sum cannot. NULL amounts are
-    ignored, NULL when there is none.
-    """
+
+def avg_amount(amount="TX_AMOUNT") -> Column:
+    """AVG of a currency amount: an exact decimal sum, to which amounts without a decimal form (NaN, infinities)
+    are added as doubles, over the number of amounts. NULL amounts are ignored, NULL when there is none."""
     a = _col(amount)
-    total = F.sum(to_minor_units(a, scale)).cast("double") / F.lit(float(10 ** scale))
+    total = F.coalesce(F.sum(exact_amount(a)).cast("double"), F.lit(0.0)) + F.coalesce(F.sum(inexact_amount(a)), F.lit(0.0))
     return F.try_divide(total, F.count(a).cast("double"))

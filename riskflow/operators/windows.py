@@ -18,7 +18,7 @@ Here the work is split into three linear steps:
 2. ``frame_totals`` -- per key, prefix totals ``P(x) = sum(sec' <= x)`` from
    growing frames (``unboundedPreceding .. offset``), which Spark evaluates in
    one pass each; a frame ``[t+start, t+end]`` is ``P(t+end) - P(t+start-1)``.
-   Exact, because the totals are integers (counts, minor currency units).
+   Exact, because the totals are integers (counts) and decimals (amounts).
 3. ``replicate_rows`` -- turn per-second results back into one row per
    transaction where the caller needs that cardinality, in bounded chunks
    spread over tasks by hash.
@@ -72,7 +72,8 @@ def frame_totals(compact: DataFrame, key: str, columns: Sequence[str], frames: M
         for c in columns:
             for off in (end, start - 1):
                 needed.setdefault((c, off), f"_p{len(needed)}")
-    prefixes = [F.coalesce(F.sum(c).over(w.rangeBetween(Window.unboundedPreceding, off)), F.lit(0)).alias(alias)
+    # the running sum keeps its column's type, so that differences of decimals lose no digit
+    prefixes = [F.coalesce(F.sum(c).over(w.rangeBetween(Window.unboundedPreceding, off)), F.lit(0)).cast(compact.schema[c].dataType).alias(alias)
                 for (c, off), alias in needed.items()]
     with_prefix = compact.select("*", *prefixes)
     for name, (start, end) in frames.items():

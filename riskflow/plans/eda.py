@@ -4,7 +4,7 @@ All of these are one scan plus, where labels are needed, one equi-join on
 TX_ID followed by a partially aggregated ``groupBy`` (map-side combine, so a hot
 key costs no more than a cold one). Results are small; only top-k reports
 limit their output, with a deterministic tie-breaker. Average amounts are
-summed in exact minor units, so they do not depend on partitioning.
+summed as exact decimals, so they do not depend on partitioning.
 """
 
 from __future__ import annotations

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.functions import as_timestamp, to_minor_units
+from riskflow.functions import as_timestamp, exact_amount, inexact_amount
 from riskflow.operators.windows import SEC, compact_by_second, frame_totals, replicate_rows
 
 # Fixed values of the feature definitions (seconds).
@@ -38,7 +38,6 @@ WINDOWS = {
 DELAY_SECONDS = 604800
 RISK_EPSILON = 0.0001
 HISTORY_DAYS = 15
-AMOUNT_SCALE = 2
 
 CUSTOMER_COUNT_COLS = [f"customer_id_nb_tx_{w}_window" for w in WINDOWS]
 CUSTOMER_AVG_COLS = [f"customer_id_avg_amount_{w}_window" for w in WINDOWS]
@@ -88,17 +87,18 @@ def customer_per_second(tx: DataFrame, labels: DataFrame, as_of=None, days: int
     compact = compact_by_second(base, "CUSTOMER_ID", "TX_TS", {
         "n_lab": F.count("TX_FRAUD"),
         "n_amt": F.count("TX_AMOUNT"),
-        "amt": F.sum(to_minor_units("TX_AMOUNT", AMOUNT_SCALE)),
+        "amt": F.coalesce(F.sum(exact_amount("TX_AMOUNT")), F.lit(0).cast("decimal(37,8)")),
+        "n_odd": F.count(inexact_amount("TX_AMOUNT")),  # NaN, infinities: the average of their frames is NaN
         "n_tx": F.count(F.lit(1)),
     })
     frames = {w: (-n, 0) for w, n in windows.items()}
-    t = frame_totals(compact, "CUSTOMER_ID", ["n_lab", "n_amt", "amt"], frames, form=form)
-    scale = float(10 ** AMOUNT_SCALE)
+    t = frame_totals(compact, "CUSTOMER_ID", ["n_lab", "n_amt", "amt", "n_odd"], frames, form=form)
     cols = [F.timestamp_seconds(F.col(SEC)).alias("feature_ts"), F.col("CUSTOMER_ID").alias("customer_id")]
     for w in windows:
         cols.append(F.col(f"n_lab__{w}").cast("long").alias(f"customer_id_nb_tx_{w}_window"))
     for w in windows:
-        avg = F.try_divide(F.col(f"amt__{w}").cast("double") / F.lit(scale), F.col(f"n_amt__{w}").cast("double"))
+        avg = F.try_divide(F.col(f"amt__{w}").cast("double"), F.col(f"n_amt__{w}").cast("double"))
+        avg = F.when(F.col(f"n_odd__{w}") > 0, F.lit(float("nan"))).otherwise(avg)
         cols.append(avg.alias(f"customer_id_avg_amount_{w}_window"))
     cols.append(F.col("n_tx"))
     return t.select(*cols)

@@ -6,8 +6,8 @@ from riskflow.plans import eda
 from riskflow.plans.registry import AS_OF, fixture, r, register
 
 _RATE = "SUM(COALESCE(TX_FRAUD, 0))::DOUBLE / NULLIF(COUNT(TX_FRAUD), 0)"
-# average amount in exact cents, as the library computes it
-_AVG = "CAST(SUM(CAST(round(TX_AMOUNT * 100.0) AS BIGINT)) AS DOUBLE) / 100.0 / CAST(NULLIF(COUNT(TX_AMOUNT), 0) AS DOUBLE)"
+# AVG(TX_AMOUNT) with a sum that does not depend on the order of the rows
+_AVG = "CAST(SUM(CAST(TX_AMOUNT AS DECIMAL(27,8))) AS DOUBLE) / CAST(NULLIF(COUNT(TX_AMOUNT), 0) AS DOUBLE)"
 
 # Fixed query parameters (chosen for the fixture scale, see FIXTURES.md).
 REPEATED_MIN_FREQUENCY = 3

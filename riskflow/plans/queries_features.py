@@ -8,7 +8,6 @@ from riskflow.plans import features as fe
 from riskflow.plans.registry import AS_OF, fixture, r, register
 
 AS_OF_SQL = f"TIMESTAMP '{AS_OF}'"
-SCALE = float(10 ** fe.AMOUNT_SCALE)
 
 
 def _base_sql(days: int | None = fe.HISTORY_DAYS) -> str:
@@ -30,9 +29,9 @@ def _customer_select(counts: bool, avgs: bool, rounded: bool = True) -> str:
         cols += [f"COUNT(TX_FRAUD) OVER {_frame('CUSTOMER_ID', n)} AS customer_id_nb_tx_{w}_window"
                  for w, n in fe.WINDOWS.items()]
     if avgs:
-        # average of whole cents (the library's exact form of AVG(TX_AMOUNT))
-        cols += [rr(f"CAST(SUM(CAST(round(TX_AMOUNT * {SCALE}) AS BIGINT)) OVER {_frame('CUSTOMER_ID', n)} AS DOUBLE)"
-                    f" / {SCALE} / CAST(NULLIF(COUNT(TX_AMOUNT) OVER {_frame('CUSTOMER_ID', n)}, 0) AS DOUBLE)")
+        # AVG(TX_AMOUNT) with a sum that does not depend on the order of the rows
+        cols += [rr(f"CAST(SUM(CAST(TX_AMOUNT AS DECIMAL(27,8))) OVER {_frame('CUSTOMER_ID', n)} AS DOUBLE)"
+                    f" / CAST(NULLIF(COUNT(TX_AMOUNT) OVER {_frame('CUSTOMER_ID', n)}, 0) AS DOUBLE)")
                  + f" AS customer_id_avg_amount_{w}_window" for w, n in fe.WINDOWS.items()]
     return f"SELECT TX_TS AS feature_ts, CUSTOMER_ID AS customer_id, {', '.join(cols)} FROM s"
 
