@@ -8,13 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def round_half_up(c, digits: int):
-    """Round half up on the binary value with plain IEEE operations (engine-independent)."""
-    c = F.col(c) if isinstance(c, str) else c
-    scale = float(10 ** digits)
-    return F.floor(c.cast("double") * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
-
-
 def collect_structs(df: DataFrame, group: str, name: str = "feature", value: str = "numerical_value",
                     digits: int = 1, out: str = "cluster") -> DataFrame:
     """Per group, the sorted array of ``struct(name, round(value, digits))``.
@@ -24,7 +17,7 @@ def collect_structs(df: DataFrame, group: str, name: str = "feature", value: str
     groups holding one row per name (a centroid table: k x features rows), so
     the array is bounded by the number of names.
     """
-    item = F.struct(F.col(name).alias("name"), round_half_up(value, digits).alias("value"))
+    item = F.struct(F.col(name).alias("name"), F.round(F.col(value), digits).alias("value"))
     return df.groupBy(group).agg(F.sort_array(F.collect_list(item)).alias(out))
 
 

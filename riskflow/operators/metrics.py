@@ -35,8 +35,7 @@ def classification_metrics(df: DataFrame, label: str = "tx_fraud", prob: str = "
     """
     scored = (df.where(F.col(label).isNotNull() & F.col(prob).isNotNull())
               .select(F.col(label).cast("double").alias("y"), F.col(prob).cast("double").alias("p")))
-    per_score = (scored.groupBy("p").agg(F.sum("y").alias("pos"), F.sum(F.lit(1.0) - F.col("y")).alias("neg"))
-                 .checkpoint())  # read by the cut-point pass and the totals pass
+    per_score = scored.groupBy("p").agg(F.sum("y").alias("pos"), F.sum(F.lit(1.0) - F.col("y")).alias("neg"))
     cum = running_totals(per_score, "p", ["neg"])
     above = F.col("p") > F.lit(threshold)
     pc = F.least(F.greatest(F.col("p"), F.lit(LOG_LOSS_EPS)), F.lit(1 - LOG_LOSS_EPS))
@@ -62,44 +61,33 @@ def classification_metrics(df: DataFrame, label: str = "tx_fraud", prob: str = "
         F.col("n").cast("long").alias("n"))
 
 
-def euclidean(a: Column, b: Column) -> Column:
-    """Distance of two equal-length double arrays (JVM-side higher-order functions)."""
-    sq = F.zip_with(a, b, lambda x, z: (x - z) * (x - z))
-    return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + v))
+def squared_distance(xs: Sequence[Column], cs: Sequence[Column]) -> Column:
+    """Squared distance of two points given as columns: one expression, inside generated code."""
+    total = F.lit(0.0)
+    for x, c in zip(xs, cs):
+        total = total + (x - c) * (x - c)
+    return total
 
 
 def davies_bouldin(df: DataFrame, cluster: str, features: Sequence[str]) -> DataFrame:
-    """One row ``davies_bouldin_index`` (and ``k``) for the given assignment and features."""
-    pts = df.select(F.col(cluster), F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
-    return davies_bouldin_arrays(pts, cluster, "x", len(features))
+    """One row ``davies_bouldin_index`` (and ``k``) for the given assignment and features.
+
+    Points meet their centre in an equi-join; the pairs of clusters, which the index is about, are a table of k * k
+    rows."""
+    n = range(len(features))
+    pts = df.select(F.col(cluster).alias("_id"), *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)])
+    cents = pts.groupBy("_id").agg(*[F.avg(f"_x{i}").alias(f"_c{i}") for i in n])
+    spread = F.sqrt(squared_distance([F.col(f"_x{i}") for i in n], [F.col(f"_c{i}") for i in n]))
+    scatter = pts.join(cents, "_id").groupBy("_id").agg(F.avg(spread).alias("_s"))
+    table = cents.join(scatter, "_id")
+    other = table.select(*[F.col(c).alias(f"_o{c}") for c in table.columns])
+    apart = F.sqrt(squared_distance([F.col(f"_c{i}") for i in n], [F.col(f"_o_c{i}") for i in n]))
+    worst = (table.join(other, F.col("_id") != F.col("_o_id"), "left").groupBy("_id")
+             .agg(F.max(F.try_divide(F.col("_s") + F.col("_o_s"), apart)).alias("_r")))
+    return worst.agg(F.avg("_r").alias("davies_bouldin_index"), F.count(F.lit(1)).alias("k"))
 
 
 def davies_bouldin_arrays(df: DataFrame, cluster: str, x: str, dim: int) -> DataFrame:
     """As ``davies_bouldin`` for points given as one double-array column ``x`` of length ``dim``."""
-    pts = df.select(F.col(cluster).alias("_id"), F.col(x).alias("_x"))
-    cents = pts.groupBy("_id").agg(F.array(*[F.avg(F.col("_x")[i]) for i in range(dim)]).alias("_c"))
-    # k rows: the broadcast is bounded by the number of clusters
-    scatter = (pts.join(F.broadcast(cents), "_id")
-               .groupBy("_id").agg(F.avg(euclidean(F.col("_x"), F.col("_c"))).alias("_s")))
-    table = (cents.join(scatter, "_id")
-             .agg(F.collect_list(F.struct(F.col("_id").alias("id"), F.col("_c").alias("c"),
-                                          F.col("_s").alias("s"))).alias("_cl")))
-
-    def worst(a):
-        others = F.filter(F.col("_cl"), lambda b: b["id"] != a["id"])
-        return F.array_max(F.transform(others, lambda b: F.try_divide(a["s"] + b["s"], euclidean(a["c"], b["c"]))))
-
-    ratios = F.transform(F.col("_cl"), worst)
-    k = F.size("_cl")
-    return table.select(
-        (F.aggregate(ratios, F.lit(0.0), lambda acc, v: acc + v) / k.cast("double")).alias("davies_bouldin_index"),
-        k.cast("long").alias("k"))
-
-
-def nearest_centroid_distance(x: Column, centers: Sequence[Sequence[float]]) -> tuple[Column, Column]:
-    """(index of the nearest centre, distance to it) for a features array column; ``centers``
-    are the k model centres (a bounded literal)."""
-    lit_centers = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
-    dists = F.transform(lit_centers, lambda c: euclidean(x, c))
-    best = F.array_min(dists)
-    return (F.array_position(dists, best) - F.lit(1)).cast("int"), best
+    pts = df.select(F.col(cluster), *[F.col(x)[i].alias(f"_d{i}") for i in range(dim)])
+    return davies_bouldin(pts, cluster, [f"_d{i}" for i in range(dim)])

@@ -1,19 +1,10 @@
-"""Global running totals in value order without a single-partition window.
+"""Global orderings without a single-partition window.
 
-``Window.orderBy(x)`` with no partitioning sends every row to one task. Instead:
-
-1. rows are first reduced to one row per distinct value (partial aggregation),
-   so repeated values -- however many -- cost one row;
-2. the distinct values are cut into ranges at approximate quantiles
-   (``approxQuantile``: a bounded list of cut points on the driver) and mapped
-   to their range with ``Bucketizer`` (binary search, JVM side); the number of
-   ranges grows with the data (about ``ROWS_PER_RANGE`` values each);
-3. per-range totals (one row per range) give each range its starting offset,
-   and a window partitioned by range adds the running total inside it.
-
-The offsets table has one row per range, at most ``MAX_RANGES``, which is
-what bounds its broadcast. The result is exact: approximation only affects how evenly the work
-is spread.
+Running totals over all distinct values of a column, and the exact discrete percentile built on them. The rows are
+range-partitioned by value and written once to the checkpoint folder, so that every row's range is fixed; each range
+has a total (one row a partition), the totals of the ranges before give its offset, and a window partitioned by range
+finishes the running totals. The plan is the same at every size: the number of ranges is the number of shuffle
+partitions, and nothing but the range totals is ordered in one place.
 """
 
 from __future__ import annotations
@@ -21,17 +12,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_RANGE = 2_000_000   # target rows per value range (one window task each)
-MAX_RANGES = 100_000         # bounds the offsets table that is broadcast
-
-
-def range_count(n_rows: int) -> int:
-    """Number of value ranges for ``n_rows`` distinct values: grows with the data."""
-    return max(1, min(MAX_RANGES, math.ceil(n_rows / ROWS_PER_RANGE)))
+from riskflow.session import checkpoint_dir
 
 
 def running_totals(distinct_values: DataFrame, value: str, columns: Sequence[str],
@@ -39,27 +23,19 @@ def running_totals(distinct_values: DataFrame, value: str, columns: Sequence[str
     """For a table with one row per distinct ``value``, add ``{c}_cum`` = sum of ``c`` over
     rows with value <= this value, for each ``c`` in ``columns``.
 
-    ``buckets`` (number of value ranges) defaults to ``range_count`` of the
-    table's size. ``distinct_values`` is read more than once (size, cut points,
-    totals); pass a checkpointed frame when its lineage is long.
+    ``buckets``: number of value ranges (default: the session's shuffle partitions).
     """
-    if buckets is None:
-        buckets = range_count(distinct_values.count())
-    cuts = [] if buckets <= 1 else distinct_values.approxQuantile(
-        value, [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
-    splits = [float("-inf")] + sorted(set(float(c) for c in cuts if c is not None)) + [float("inf")]
-    src = distinct_values.withColumn("_v", F.col(value).cast("double"))
-    if len(splits) < 3:  # one range: no cut points needed
-        ranged = src.withColumn("_range", F.lit(0.0))
-    else:
-        ranged = Bucketizer(splits=splits, inputCol="_v", outputCol="_range", handleInvalid="keep").transform(src)
+    checkpoint_dir(distinct_values.sparkSession)
+    by = [F.col(value)]
+    ranged = (distinct_values.repartitionByRange(*([buckets] if buckets else []), *by)
+              .withColumn("_range", F.spark_partition_id()).checkpoint())  # the ranges are drawn once
     totals = ranged.groupBy("_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     offsets = totals.select("_range", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
                                         for c in columns])
-    inside = Window.partitionBy("_range").orderBy(F.col(value)).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_range").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(c).over(inside).alias(f"_l_{c}") for c in columns])
-    out = local.join(F.broadcast(offsets), "_range")
+    out = local.join(offsets, "_range")
     return out.select(*distinct_values.columns,
                       *[(F.col(f"_o_{c}") + F.col(f"_l_{c}")).alias(f"{c}_cum") for c in columns])
 
@@ -67,10 +43,9 @@ def running_totals(distinct_values: DataFrame, value: str, columns: Sequence[str
 def exact_quantile(df: DataFrame, value: str, q: float, buckets: int | None = None) -> DataFrame:
     """One row ``(n, quantile)``: the smallest value whose cumulative count reaches
     ``ceil(q * n)`` (the discrete percentile; NULL values are ignored)."""
-    counts = (df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-              .checkpoint())  # computed once, read by the three passes below
-    n = counts.agg(F.sum("_n")).first()[0] or 0  # one scalar
-    target = max(1, math.ceil(q * n))
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     cum = running_totals(counts, value, ["_n"], buckets)
+    n = cum.agg(F.max("_n_cum")).first()[0] or 0  # one scalar
+    target = max(1, math.ceil(q * n))
     return (cum.where(F.col("_n_cum") >= F.lit(target))
             .agg(F.lit(n).cast("long").alias("n"), F.min(value).alias("quantile")))

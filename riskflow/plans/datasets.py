@@ -52,18 +52,21 @@ def labelled_feature_set(tx: DataFrame, labels: DataFrame, as_of=None, start_day
     scan and the TX_ID join for each; ``materialize`` writes it once to the
     shared checkpoint folder instead, or ``history`` (see ``labelled_history``)
     supplies a stored one. Features at t use rows up to t only, so a history
-    that extends past the set's end changes no value.
+    that extends past the set's end changes no value. Transactions older than
+    ``history_days`` are in the set if ``start_days`` reaches them, with NULL features.
     """
-    if history is not None:
-        base = history
-    else:
-        base = fe.labelled_recent(tx, labels, as_of, history_days, end_days_before)
+    rows = history
+    if rows is None or start_days > history_days:  # the ground truth may reach further back than the feature history
+        rows = fe.labelled_recent(tx, labels, as_of, max(start_days, history_days), end_days_before)
         if materialize:
-            base = write_table(base, "labelled_history")
+            rows = write_table(rows, "labelled_history")
+    base = rows
+    if start_days > history_days:
+        base = rows.where(F.col("TX_TS") >= fe.as_of_col(as_of) - F.expr(f"INTERVAL {int(history_days)} DAYS"))
     start = fe.as_of_col(as_of) - F.expr(f"INTERVAL {int(start_days)} DAYS")
     end = fe.as_of_col(as_of) - F.expr(f"INTERVAL {int(end_days_before)} DAYS")
     in_set = F.col("TX_TS").between(start, end)
-    gt = (base.where(in_set & F.col("TX_FRAUD").isNotNull())
+    gt = (rows.where(in_set & F.col("TX_FRAUD").isNotNull())
           .select(F.col("TX_TS").alias("timestamp"), F.col("CUSTOMER_ID").alias("customer"),
                   F.col("TERMINAL_ID").alias("terminal"), F.col("TX_AMOUNT").alias("tx_amount"),
                   F.col("TX_FRAUD").alias(LABEL)))
@@ -92,7 +95,3 @@ def model_input(data: DataFrame, supervised: bool = True) -> DataFrame:
     """Drop time and ids (``* EXCEPT``); k-means input also drops the label."""
     drop = ID_COLUMNS + ([] if supervised else [LABEL])
     return data.drop(*drop)
-
-
-def feature_columns(data: DataFrame) -> list[str]:
-    return [c for c in data.columns if c not in ID_COLUMNS + [LABEL]]

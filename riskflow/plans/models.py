@@ -27,11 +27,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.operators.metrics import classification_metrics, davies_bouldin_arrays, nearest_centroid_distance
+from riskflow.operators.metrics import classification_metrics, davies_bouldin_arrays, squared_distance
 from riskflow.operators.ordered import exact_quantile
 from riskflow.plans import features as fe
 
 LABEL = "tx_fraud"
+ID_COLUMNS = ["timestamp", "customer_id", "terminal_id"]
 FEATURES = ["tx_amount", *fe.CUSTOMER_COUNT_COLS, *fe.CUSTOMER_AVG_COLS,
             *fe.TERMINAL_COUNT_COLS, *fe.TERMINAL_RISK_COLS]
 
@@ -60,7 +61,9 @@ def _as_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _validation_flag(df: DataFrame) -> DataFrame:
-    h = F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % F.lit(100)
+    # by time and ids alone: other columns (weights) do not change the split
+    ids = [c for c in ID_COLUMNS if c in df.columns] or [c for c in df.columns if not c.startswith("_")]
+    h = F.pmod(F.xxhash64(*[F.col(c) for c in ids]), F.lit(100))
     return df.withColumn("_is_validation", h < F.lit(VALIDATION_SHARE))
 
 
@@ -151,10 +154,13 @@ def assign_clusters(model: PipelineModel, data: DataFrame, features: Sequence[st
     centers = [c.tolist() for c in km.clusterCenters()]
     out = model.transform(_as_double(data, list(features)))
     x = vector_to_array(F.col("features"))
-    idx, dist = nearest_centroid_distance(x, centers)
+    own = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])[F.col("_cluster")]  # k centres, a literal
     extra = [c for c in out.columns if c not in data.columns]
-    return (out.withColumn("x", x).withColumn("centroid_id", idx + F.lit(1)).withColumn("distance", dist)
-            .drop(*extra))
+    n = range(len(features))
+    out = out.withColumn("x", x).withColumn("_own", own)
+    return (out.withColumn("centroid_id", F.col("_cluster") + F.lit(1))  # the model has found the nearest centre
+            .withColumn("distance", F.sqrt(squared_distance([F.col("x")[i] for i in n], [F.col("_own")[i] for i in n])))
+            .drop("_own", *extra))
 
 
 def centroids_table(spark: SparkSession, model: PipelineModel, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -179,9 +185,9 @@ def cluster_profile(centroids_long: DataFrame, features: Sequence[str] = FEATURE
                     reference_names: bool = False) -> DataFrame:
     """One row per centre: ``Cluster#<id>`` and each feature's centre value rounded to ``digits``,
     sorted by centre id. Input: (centroid_id, feature, numerical_value)."""
-    from riskflow.operators.aggregates import pivot_values, round_half_up
+    from riskflow.operators.aggregates import pivot_values
 
-    long = centroids_long.withColumn("numerical_value", round_half_up("numerical_value", digits))
+    long = centroids_long.withColumn("numerical_value", F.round("numerical_value", digits))
     rename = REFERENCE_PROFILE_NAMES if reference_names else None
     wide = pivot_values(long, "centroid_id", "feature", "numerical_value", list(features), rename)
     cols = [rename.get(f, f) for f in features] if rename else list(features)

@@ -120,8 +120,8 @@ def q_model_input(spark, sf_dir):
     return ds.model_input(ds.training_set(tx, lb, AS_OF))
 
 
-_STAR_EXCEPT = ("* EXCLUDE (customer, terminal, feature_ts, tx_amount, "
-                + ", ".join(fe.CUSTOMER_AVG_COLS + fe.TERMINAL_RISK_COLS) + ")")
+_STAR_EXCEPT = ("* EXCLUDE (customer, terminal, feature_ts) REPLACE ("
+                + ", ".join(f"{r(c)} AS {c}" for c in ["tx_amount", *fe.CUSTOMER_AVG_COLS, *fe.TERMINAL_RISK_COLS]) + ")")
 
 
 @register("proj_star_except", dataset_sql(15, 5, _STAR_EXCEPT))
@@ -138,5 +138,4 @@ def q_proj_star_except(spark, sf_dir):
     term = fe.terminal_per_second(tx, lb, base=base).drop("n_tx")
     joined = point_in_time_join(gt, cust, ["customer", "timestamp"], ["customer_id", "feature_ts"])
     joined = point_in_time_join(joined, term, ["terminal", "timestamp"], ["terminal_id", "feature_ts"])
-    out = joined.drop("customer", "terminal", "feature_ts")
-    return out.drop("tx_amount", *fe.CUSTOMER_AVG_COLS, *fe.TERMINAL_RISK_COLS)
+    return joined.drop("customer", "terminal", "feature_ts")

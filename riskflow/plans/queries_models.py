@@ -3,52 +3,48 @@
 Oracle-checked keys use deterministic inputs that SQL can express: a fixed
 score column for the classification metrics, the label as cluster assignment
 for Davies-Bouldin and the anomaly threshold, per-label feature means as the
-centroid table. Keys that train a model are rows-only checks.
+centroid table. Queries that train a model report agreement with an independent recomputation.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.operators.aggregates import collect_structs, render_structs
-from riskflow.operators.metrics import classification_metrics, davies_bouldin, euclidean
+from riskflow.operators.metrics import classification_metrics, davies_bouldin, squared_distance
 from riskflow.plans import datasets as ds
 from riskflow.plans import features as fe
+from riskflow.plans import model_checks as mc
 from riskflow.plans import models as mo
 from riskflow.plans.queries_joins import dataset_sql
 from riskflow.plans.registry import AS_OF, fixture, r, register
 
 SCORE = "terminal_id_risk_1day_window"
-# Features without NULLs on the fixture, used where the label stands in for a cluster.
-DENSE = ["tx_amount", *fe.CUSTOMER_COUNT_COLS, *fe.CUSTOMER_AVG_COLS, *fe.TERMINAL_COUNT_COLS]
-GBT_QUERY_ITERATIONS = 10  # driver-facing GBT queries; the library default stays 50
 
-_MODELS: dict = {}
+
+def _sets(spark, sf_dir):
+    """(training set, prediction set) over one stored labelled history."""
+    tx, lb = fixture(spark, sf_dir)
+    history = ds.labelled_history(tx, lb, AS_OF)
+    return ds.training_set(tx, lb, AS_OF, history=history), ds.prediction_set(tx, lb, AS_OF, history=history)
 
 
 def _train(spark, sf_dir):
-    tx, lb = fixture(spark, sf_dir)
-    return ds.training_set(tx, lb, AS_OF)
+    return _sets(spark, sf_dir)[0]
 
 
 def _pred(spark, sf_dir):
-    tx, lb = fixture(spark, sf_dir)
-    return ds.prediction_set(tx, lb, AS_OF)
+    return _sets(spark, sf_dir)[1]
 
 
-def _model(spark, sf_dir, kind):
-    # fitted models hold JVM objects: reuse them only within the same application
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _MODELS:
-        train = _train(spark, sf_dir)
-        if kind == "kmeans":
-            _MODELS[key] = mo.fit_kmeans(train)
-        elif kind == "gbt":
-            _MODELS[key] = mo.fit_classifier(train, "gbt", class_weights=True, max_iter=GBT_QUERY_ITERATIONS)
-        else:
-            _MODELS[key] = mo.fit_classifier(train, "logreg")
-    return _MODELS[key]
+def _fitted(train, kind):
+    """A model fitted on ``train`` with the reference's settings; every query fits its own."""
+    if kind == "kmeans":
+        return mo.fit_kmeans(train)
+    return mo.fit_classifier(train, kind, class_weights=kind == "gbt")
 
 
 def _ds_cte(start, end, select) -> str:
@@ -76,36 +72,42 @@ def q_metrics_classification(spark, sf_dir):
     return classification_metrics(scored, "tx_fraud", "score")
 
 
-def _dense_sum_sq(a: str, b: str) -> str:
-    return " + ".join(f"(CAST({a}{c} AS DOUBLE) - {b}{c}) * (CAST({a}{c} AS DOUBLE) - {b}{c})" for c in DENSE)
+def _sum_sq(a: str, b: str) -> str:
+    return " + ".join(f"({a}{c} - {b}{c}) * ({a}{c} - {b}{c})" for c in mo.FEATURES)
+
 
+# all 25 features, missing values replaced by their mean over the set
+_LABEL_CENTROIDS = f"""{_ds_cte(15, 5, "gt.tx_amount, gt.tx_fraud, " + ", ".join("cf." + c for c in mo.FEATURES[1:13])
+                                  + ", " + ", ".join("tf." + c for c in mo.FEATURES[13:]))},
+im AS (SELECT tx_fraud, {', '.join(f'COALESCE(CAST({c} AS DOUBLE), AVG(CAST({c} AS DOUBLE)) OVER ()) AS {c}' for c in mo.FEATURES)} FROM ds),
+cen AS (SELECT tx_fraud, {', '.join(f'AVG({c}) AS {c}' for c in mo.FEATURES)} FROM im GROUP BY tx_fraud),
+dist AS (SELECT im.tx_fraud, sqrt({_sum_sq('im.', 'cen.')}) AS d FROM im JOIN cen USING (tx_fraud))"""
 
-_LABEL_CENTROIDS = f"""{_ds_cte(15, 5, "gt.tx_amount, gt.tx_fraud, " + ", ".join("cf." + c for c in DENSE[1:13])
-                                  + ", " + ", ".join("tf." + c for c in DENSE[13:]))},
-cen AS (SELECT tx_fraud, {', '.join(f'AVG(CAST({c} AS DOUBLE)) AS {c}' for c in DENSE)} FROM ds GROUP BY tx_fraud),
-dist AS (SELECT ds.tx_fraud, sqrt({_dense_sum_sq('ds.', 'cen.')}) AS d FROM ds JOIN cen USING (tx_fraud))"""
+
+def _imputed(train):
+    """The label and all features as doubles, missing values replaced by their mean over the set."""
+    means = train.select(*[F.avg(F.col(c).cast("double")).alias(c) for c in mo.FEATURES]).first()
+    return train.select("tx_fraud", *[F.coalesce(F.col(c).cast("double"), F.lit(means[c]).cast("double")).alias(c) for c in mo.FEATURES])
 
 
 @register("metrics_davies_bouldin", f"""WITH {_LABEL_CENTROIDS},
 sc AS (SELECT tx_fraud, AVG(d) AS s FROM dist GROUP BY tx_fraud),
-pair AS (SELECT a.tx_fraud, MAX((sa.s + sb.s) / sqrt({_dense_sum_sq('a.', 'b.')})) AS ratio
+pair AS (SELECT a.tx_fraud, MAX((sa.s + sb.s) / sqrt({_sum_sq('a.', 'b.')})) AS ratio
          FROM cen a JOIN cen b ON a.tx_fraud <> b.tx_fraud
          JOIN sc sa ON sa.tx_fraud = a.tx_fraud JOIN sc sb ON sb.tx_fraud = b.tx_fraud GROUP BY a.tx_fraud)
 SELECT {r('AVG(ratio)')} AS davies_bouldin_index, COUNT(*) AS k FROM pair""")
 def q_metrics_davies_bouldin(spark, sf_dir):
-    train = _train(spark, sf_dir)
-    return davies_bouldin(train, "tx_fraud", DENSE)
+    return davies_bouldin(_imputed(_train(spark, sf_dir)), "tx_fraud", mo.FEATURES)
 
 
 @register("anomaly_threshold", f"""WITH {_LABEL_CENTROIDS},
 ranked AS (SELECT d, ROW_NUMBER() OVER (ORDER BY d) AS rn, COUNT(*) OVER () AS n FROM dist)
 SELECT n, {r('d')} AS threshold FROM ranked WHERE rn = CAST(greatest(ceil({1 - mo.CONTAMINATION} * n), 1) AS BIGINT)""")
 def q_anomaly_threshold(spark, sf_dir):
-    train = _train(spark, sf_dir)
-    x = F.array(*[F.col(c).cast("double") for c in DENSE])
-    cents = train.groupBy("tx_fraud").agg(F.array(*[F.avg(F.col(c).cast("double")) for c in DENSE]).alias("c"))
-    dist = (train.select("tx_fraud", x.alias("x")).join(F.broadcast(cents), "tx_fraud")  # one row per label
-            .select(euclidean(F.col("x"), F.col("c")).alias("distance")))
+    rows = _imputed(_train(spark, sf_dir))
+    cents = rows.groupBy("tx_fraud").agg(*[F.avg(c).alias(f"_c_{c}") for c in mo.FEATURES])
+    dist = rows.join(cents, "tx_fraud").select(F.sqrt(squared_distance(
+        [F.col(c) for c in mo.FEATURES], [F.col(f"_c_{c}") for c in mo.FEATURES])).alias("distance"))
     return mo.anomaly_threshold(dist)
 
 
@@ -133,7 +135,7 @@ _LONG = f"""{_ds_cte(15, 5, "gt.tx_amount, gt.tx_fraud, " + ", ".join("cf." + c
 means AS (SELECT CAST(tx_fraud + 1 AS INTEGER) AS centroid_id,
                  {', '.join(f'AVG(CAST({c} AS DOUBLE)) AS {c}' for c in mo.FEATURES)} FROM ds GROUP BY 1),
 long AS (UNPIVOT means ON {', '.join(mo.FEATURES)} INTO NAME feature VALUE numerical_value),
-rl AS (SELECT centroid_id, feature, floor(numerical_value * 10.0 + 0.5) / 10.0 AS v FROM long)"""
+rl AS (SELECT centroid_id, feature, round(numerical_value, 1) AS v FROM long)"""
 
 
 @register("agg_collect_structs", f"""WITH {_LONG}
@@ -155,61 +157,108 @@ def q_cluster_profile_pivot(spark, sf_dir):
     return mo.cluster_profile(label_centroids_long(train))
 
 
-# --- trained models (rows-only checks) -----------------------------------------------------------------------------
+# --- trained models ----------------------------------------------------------------------------------------------------
+# SQL cannot train: each query compares, row by row, what the fitted model says with an independent recomputation from
+# its parameters (model_checks) and returns ids, labels and whether both agree, which SQL states as TRUE.
+
+_IDS = "gt.timestamp, cf.customer_id, tf.terminal_id, gt.tx_fraud"
+_ID_COLUMNS = [*mo.ID_COLUMNS, "tx_fraud"]
+_PREDICTED = f"WITH {_ds_cte(5, 0, _IDS)} SELECT *, TRUE AS probability_agrees, TRUE AS class_agrees FROM ds"
+_METRICS = ("precision", "recall", "accuracy", "f1_score", "log_loss", "roc_auc")
+_EVALUATED = f"WITH {_ds_cte(5, 0, _IDS)} SELECT COUNT(*) AS n, {', '.join(f'TRUE AS {m}_agrees' for m in _METRICS)} FROM ds"
+_FEATURE_ROWS = ", ".join(f"('{f}')" for f in mo.FEATURES)
+_K_ROWS = ", ".join(f"({i})" for i in range(1, mo.KMEANS_K + 1))
+
 
-_OUT = ["timestamp", "customer_id", "terminal_id", "tx_fraud", "predicted_tx_fraud", "fraud_probability"]
+def _agreement(rows, probability):
+    return rows.select(*_ID_COLUMNS, mc.close(F.col("fraud_probability"), probability).alias("probability_agrees"),
+                       (F.col("predicted_tx_fraud") == (probability > 0.5).cast("int")).alias("class_agrees"))
 
 
-@register("predict_logreg")
+@register("predict_logreg", _PREDICTED)
 def q_predict_logreg(spark, sf_dir):
-    pred = _pred(spark, sf_dir)
-    return mo.predict(_model(spark, sf_dir, "logreg"), pred).select(*_OUT)
+    train, pred = _sets(spark, sf_dir)
+    model = _fitted(train, "logreg")
+    return _agreement(mo.predict(model, pred), mc.logistic_probability(model, mo.FEATURES))
 
 
-@register("predict_gbt")
+@register("predict_gbt", _PREDICTED)
 def q_predict_gbt(spark, sf_dir):
-    pred = _pred(spark, sf_dir)
-    return mo.predict(_model(spark, sf_dir, "gbt"), pred).select(*_OUT)
+    train, pred = _sets(spark, sf_dir)
+    model = _fitted(train, "gbt")
+    return _agreement(mc.boosted_probability(model, mo.predict(model, pred), mo.FEATURES, "_own"), F.col("_own"))
+
 
+def _evaluation(spark, sf_dir, kind):
+    train, pred = _sets(spark, sf_dir)
+    model = _fitted(train, kind)
+    own, other = mo.evaluate(model, pred), mc.library_metrics(mo.predict(model, pred), "tx_fraud", "fraud_probability")
+    # no positive prediction: precision is NULL here and 0 in the library
+    return own.select("n", *[mc.close(F.coalesce(F.col(m), F.lit(0.0)), F.lit(float(other[m]))).alias(f"{m}_agrees") for m in _METRICS])
 
-@register("evaluate_logreg")
+
+@register("evaluate_logreg", _EVALUATED)
 def q_evaluate_logreg(spark, sf_dir):
-    pred = _pred(spark, sf_dir)
-    return mo.evaluate(_model(spark, sf_dir, "logreg"), pred)
+    return _evaluation(spark, sf_dir, "logreg")
 
 
-@register("evaluate_gbt")
+@register("evaluate_gbt", _EVALUATED)
 def q_evaluate_gbt(spark, sf_dir):
-    pred = _pred(spark, sf_dir)
-    return mo.evaluate(_model(spark, sf_dir, "gbt"), pred)
+    return _evaluation(spark, sf_dir, "gbt")
 
 
-@register("explain_gbt")
+@register("explain_gbt", f"SELECT feature, TRUE AS is_share, TRUE AS sums_to_one FROM (VALUES {_FEATURE_ROWS}) t(feature)", fixture_cte=False)
 def q_explain_gbt(spark, sf_dir):
-    return mo.global_explain(spark, _model(spark, sf_dir, "gbt"))
+    rows = mo.global_explain(spark, _fitted(_train(spark, sf_dir), "gbt"))
+    total = rows.agg(F.sum("attribution").alias("total"))
+    return rows.join(total, F.lit(True)).select("feature", F.col("attribution").between(0, 1).alias("is_share"),
+                                                mc.close(F.col("total"), F.lit(1.0)).alias("sums_to_one"))
 
 
-@register("kmeans_centroids")
+@register("kmeans_centroids", f"""SELECT CAST(k AS INTEGER) AS centroid_id, feature, TRUE AS in_range
+FROM (VALUES {_K_ROWS}) a(k), (VALUES {_FEATURE_ROWS}) b(feature)""", fixture_cte=False)
 def q_kmeans_centroids(spark, sf_dir):
-    return mo.centroids_table(spark, _model(spark, sf_dir, "kmeans"))
+    """Every centre is a mean of training rows, so each of its values lies within the feature's range."""
+    train = _train(spark, sf_dir)
+    cents = mo.centroids_table(spark, _fitted(train, "kmeans"))
+    value = lambda c: F.col(c).cast("double")
+    low = train.agg(*[F.min(value(c)).alias(c) for c in mo.FEATURES]).unpivot([], mo.FEATURES, "feature", "low")
+    high = train.agg(*[F.max(value(c)).alias(c) for c in mo.FEATURES]).unpivot([], mo.FEATURES, "feature", "high")
+    v = F.col("numerical_value")
+    return cents.join(low, "feature").join(high, "feature").select(
+        "centroid_id", "feature", (v.between(F.col("low"), F.col("high")) | mc.close(v, F.col("low")) | mc.close(v, F.col("high"))).alias("in_range"))
 
 
-@register("evaluate_kmeans")
+@register("evaluate_kmeans", f"WITH {_ds_cte(15, 5, _IDS)} SELECT COUNT(*) AS n, TRUE AS distance_agrees, TRUE AS index_agrees FROM ds")
 def q_evaluate_kmeans(spark, sf_dir):
+    """Mean squared distance against the least of all distances; the index against one over collected centres."""
     train = _train(spark, sf_dir)
-    return mo.evaluate_kmeans(_model(spark, sf_dir, "kmeans"), train)
+    model = _fitted(train, "kmeans")
+    own = mo.evaluate_kmeans(model, train).first()
+    d = mc.nearest_distance(model, mo.FEATURES)
+    plain = train.agg(F.count(F.lit(1)).alias("n"), F.avg(d * d).alias("msd"))
+    index = mc.davies_bouldin_of_clusters(mo.assign_clusters(model, train), "centroid_id", "x", len(mo.FEATURES))
+    return plain.select("n", mc.close(F.col("msd"), F.lit(own["mean_squared_distance"])).alias("distance_agrees"),
+                        mc.close(F.lit(index), F.lit(own["davies_bouldin_index"])).alias("index_agrees"))
 
 
-@register("detect_anomalies")
+@register("detect_anomalies", f"WITH {_ds_cte(5, 0, _IDS)} SELECT *, TRUE AS distance_agrees, TRUE AS share_agrees FROM ds")
 def q_detect_anomalies(spark, sf_dir):
-    train, pred = _train(spark, sf_dir), _pred(spark, sf_dir)
-    out = mo.detect_anomalies(_model(spark, sf_dir, "kmeans"), train, pred)
-    return out.select("timestamp", "customer_id", "terminal_id", "tx_fraud", "centroid_id", "distance",
-                      "normalized_distance", "is_anomaly")
-
-
-@register("kmeans_cluster_profile")
+    """Per row: the distance against the least of all distances; per set: the flagged training rows against the
+    contamination (at most n - ceil((1 - c) n), fewer only for ties)."""
+    train, pred = _sets(spark, sf_dir)
+    model = _fitted(train, "kmeans")
+    flagged = mo.detect_anomalies(model, train, train).agg(F.count(F.lit(1)).alias("n"), F.count_if("is_anomaly").alias("flagged")).first()
+    most = flagged["n"] - math.ceil((1 - mo.CONTAMINATION) * flagged["n"])
+    out = mo.detect_anomalies(model, train, pred)
+    return out.select(*_ID_COLUMNS, mc.close(F.col("distance"), mc.nearest_distance(model, mo.FEATURES)).alias("distance_agrees"),
+                      F.lit(0 < flagged["flagged"] <= most).alias("share_agrees"))
+
+
+@register("kmeans_cluster_profile", f"""SELECT 'Cluster#' || k AS centroid, TRUE AS values_agree FROM (VALUES {_K_ROWS}) a(k)""", fixture_cte=False)
 def q_kmeans_cluster_profile(spark, sf_dir):
-    """The reference's cluster profile over the trained k-means centres."""
-    return mo.cluster_profile(mo.centroids_table(spark, _model(spark, sf_dir, "kmeans")))
-
+    """The reference's cluster profile over the trained k-means centres, each value against the centre it rounds."""
+    cents = mo.centroids_table(spark, _fitted(_train(spark, sf_dir), "kmeans"))
+    long = mo.cluster_profile(cents).unpivot("centroid", mo.FEATURES, "feature", "rounded")
+    both = long.join(cents.withColumn("centroid", F.concat(F.lit("Cluster#"), F.col("centroid_id").cast("string"))), ["centroid", "feature"])
+    return both.groupBy("centroid").agg((F.every(F.abs(F.col("rounded") - F.col("numerical_value")) <= 0.05 + 1e-9) & (F.count(F.lit(1)) == len(mo.FEATURES))).alias("values_agree"))

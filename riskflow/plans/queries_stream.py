@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from riskflow.plans import features as fe
 from riskflow.plans.queries_joins import SNAPSHOT_AS_OF, SNAPSHOT_SQL
 from riskflow.plans.queries_features import AS_OF_SQL, feature_ctes
-from riskflow.plans.queries_models import _model
+from riskflow.plans import model_checks as mc
+from riskflow.plans import models as mo
+from riskflow.plans.queries_models import _fitted, _train
 from riskflow.plans.registry import AS_OF, fixture, r, register
 from riskflow.session import scratch_path
 from riskflow.sources.fixtures import labels_from_events, load_table, messages_from_events, transactions_from_events
@@ -40,7 +42,7 @@ def _message_stream(spark, path):
 
 
 def _read_batches(spark, path):
-    return spark.read.parquet(path).drop("batch_id")
+    return spark.read.parquet(path).drop("run", "batch_id")
 
 
 TX_SELECT = f"TX_ID, TX_TS, CUSTOMER_ID, TERMINAL_ID, {r('TX_AMOUNT')} AS TX_AMOUNT"
@@ -131,14 +133,20 @@ def q_latest_predictions(spark, sf_dir):
     return sc.latest_predictions(_fixed_predictions(spark, sf_dir)).select(*sc.PREDICTION_COLUMNS)
 
 
-@register("stream_score")
+@register("stream_score", f"""WITH {_enriched_sql()}
+SELECT TX_ID, TX_TS AS prediction_timestamp, 'logreg' AS model_version, TRUE AS probability_agrees, TRUE AS flag_agrees FROM en""")
 def q_stream_score(spark, sf_dir):
-    """Score the topic with the logistic-regression model (rows-only check: created_at is now)."""
-    model = _model(spark, sf_dir, "logreg")
+    """Score the topic with the logistic-regression model; every stored row against the sigmoid of the model's
+    coefficients over the batch-enriched transaction."""
+    model = _fitted(_train(spark, sf_dir), "logreg")
     paths = _snapshot(spark, sf_dir)
     topic = _topic(spark, sf_dir)
     sink, ckpt = scratch_path(spark, "scores"), scratch_path(spark, "ckpt")
     sc.run_scoring_stream(spark, _message_stream(spark, topic), paths, sink, ckpt, model=model,
                           model_version="logreg")
-    return _read_batches(spark, sink).select(*sc.PREDICTION_COLUMNS)
-
+    stored = _read_batches(spark, sink)
+    rows = sc.enrich_with(msg.parse_messages(spark.read.text(topic)), sc.read_snapshot(spark, paths))
+    plain = rows.select("TX_ID", mc.logistic_probability(model, mo.FEATURES).alias("_own"))
+    return stored.join(plain, "TX_ID").select(
+        "TX_ID", "prediction_timestamp", "model_version", mc.close(F.col("fraud_probability"), F.col("_own")).alias("probability_agrees"),
+        (F.col("is_fraud") == (F.col("_own") > 0.5)).alias("flag_agrees"))

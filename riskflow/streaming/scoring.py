@@ -13,9 +13,9 @@ handled as a whole inside ``foreachBatch``:
 2. ``PipelineModel.transform`` scores the batch (probability of class 1);
 3. ``prediction_rows`` projects the six prediction columns (NULL probability
    -> 0.0, ``is_fraud = p > 0.5``);
-4. the batch is written to ``<sink>/batch_id=<n>`` with overwrite, so a replayed
-   batch (after a failure, from the checkpoint) replaces its own output instead
-   of duplicating it.
+4. the batch is written to ``<sink>/run=<checkpoint>/batch_id=<n>`` with overwrite, so
+   a replayed batch (after a failure, from the checkpoint) replaces its own output
+   instead of duplicating it, and a stream with another checkpoint appends.
 
 Offsets live in the checkpoint folder below the shared ``spark.checkpoint.dir``;
 ``maxFilesPerTrigger`` (file source) bounds the size of a batch.
@@ -23,7 +23,7 @@ Offsets live in the checkpoint folder below the shared ``spark.checkpoint.dir``;
 
 from __future__ import annotations
 
-import datetime as _dt
+import hashlib
 import os
 
 from pyspark.ml import PipelineModel
@@ -215,9 +215,16 @@ def score_batch(batch: DataFrame, snapshot: dict, model: PipelineModel | None, m
     return prediction_rows(scored, "fraud_probability", model_version, created_at)
 
 
-def write_batch(df: DataFrame, sink: str, batch_id: int) -> None:
-    """Idempotent per-batch write: a replay of ``batch_id`` overwrites its own folder."""
-    df.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={int(batch_id)}")
+def run_of(checkpoint: str) -> str:
+    """A name for all runs of a stream on one checkpoint: batch numbers go on with the checkpoint, and start again
+    with a new one."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def write_batch(df: DataFrame, sink: str, batch_id: int, run: str = "0") -> None:
+    """Idempotent per-batch write: a replay of ``batch_id`` of the same ``run`` overwrites its own folder; streams with
+    other checkpoints append to the table."""
+    df.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/run={run}/batch_id={int(batch_id)}")
 
 
 def run_scoring_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths: dict, sink: str,
@@ -226,6 +233,7 @@ def run_scoring_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths
                        available_now: bool = True):
     """Start (and with ``available_now`` run to completion) the scoring stream over ``raw_stream``
     (a streaming frame with a text column ``value``). Returns the StreamingQuery."""
+    run = run_of(checkpoint)
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         keep = Persisted()
@@ -233,9 +241,9 @@ def run_scoring_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths
             raw = keep(batch_df)
             rows = score_batch(parse_messages(raw), read_snapshot(spark, feature_paths), model, model_version,
                                created_at, score_col, keep)
-            write_batch(rows, sink, batch_id)
+            write_batch(rows, sink, batch_id, run)
             if dead_letter_sink:
-                write_batch(dead_letters(raw), dead_letter_sink, batch_id)
+                write_batch(dead_letters(raw), dead_letter_sink, batch_id, run)
         finally:
             keep.release()
 
@@ -250,12 +258,13 @@ def run_scoring_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths
 def run_enrich_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths: dict, sink: str,
                       checkpoint: str):
     """Stream of enriched transactions (R1 alone), written per batch like the scores."""
+    run = run_of(checkpoint)
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         keep = Persisted()
         try:
             enriched = enrich_with(parse_messages(batch_df), read_snapshot(spark, feature_paths), keep=keep)
-            write_batch(enriched, sink, batch_id)
+            write_batch(enriched, sink, batch_id, run)
         finally:
             keep.release()
 
@@ -274,7 +283,3 @@ def land_stream(stream: DataFrame, sink: str, checkpoint: str, fmt: str = "parqu
     q = w.trigger(availableNow=True).start(sink)
     q.awaitTermination()
     return q
-
-
-def now_utc() -> _dt.datetime:
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
