@@ -8,10 +8,13 @@ once, without pairing probes with candidates:
 1. both sides are reduced to distinct (key, instant) rows -- a key then holds at
    most one row per distinct instant of its history, however many
    transactions (or copies of one) it has;
-2. the two are unioned and, per key in time order (right rows before left rows
-   at equal instants, so ``<=`` holds), ``last(payload, ignorenulls)`` over a
-   growing frame carries the newest right row forward -- one linear pass;
-3. the answers, unique per (key, instant), are equi-joined back to the left
+2. a key's time is cut into spans of ``SPAN_MICROS``; the newest right row before
+   each span comes from a table of one row per (key, span), so that no window
+   has to hold a key's whole history;
+3. per (key, span) in time order (right rows before left rows at equal instants,
+   so ``<=`` holds), ``last(payload, ignorenulls)`` over a growing frame carries
+   the newest right row forward -- one linear pass;
+4. the answers, unique per (key, instant), are equi-joined back to the left
    rows; AQE's skew-join splitting applies to that join if a key is hot.
 """
 
@@ -22,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SPAN_MICROS = 86_400_000_000  # one day
+
 
 def point_in_time_join(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
                        how: str = "left") -> DataFrame:
@@ -51,28 +56,40 @@ def asof_join(left: DataFrame, right: DataFrame, left_key: str, left_ts: str, ri
     columns = list(columns) if columns is not None else [c for c in right.columns if c != right_key]
     payload_cols = [c for c in columns if c != right_ts] + ([right_ts] if keep_right_ts else [])
     k, t = "_asof_key", "_asof_t"
-    rights = right.select(F.col(right_key).alias(k), F.unix_micros(F.col(right_ts).cast("timestamp")).alias(t),
-                          F.struct(*[F.col(c) for c in payload_cols]).alias("_p"))
+    span = F.floor(F.col(t) / F.lit(SPAN_MICROS)).alias("_span")
+    rights = right.where(F.col(right_key).isNotNull()).select(  # NULL keys match nothing
+        F.col(right_key).alias(k), F.unix_micros(F.col(right_ts).cast("timestamp")).alias(t),
+        F.struct(*[F.col(c) for c in payload_cols]).alias("_p"))
     if not right_unique:
         rights = rights.groupBy(k, t).agg(F.max("_p").alias("_p"))
-    rights = rights.withColumn("_side", F.lit(0))
-    w = (Window.partitionBy(k).orderBy(F.col(t), F.col("_side"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rights = rights.select(k, t, "_p", F.lit(0).alias("_side"), span)
     none = F.lit(None).cast(rights.schema["_p"].dataType)
+    probe = [F.col(left_key).alias(k), F.unix_micros(F.col(left_ts).cast("timestamp")).alias(t)]
+    probes = left.select(*probe).where(F.col(k).isNotNull())
+
+    # the newest right row before each span: one row per key and span with rights or probes
+    newest = rights.groupBy(k, "_span").agg(F.max_by("_p", t).alias("_p"))
+    spans = newest.unionByName(probes.select(k, span).distinct().select(k, "_span", none.alias("_p")))
+    spans = spans.groupBy(k, "_span").agg(F.first("_p", ignorenulls=True).alias("_p"))
+    before = Window.partitionBy(k).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (spans.select(k, (F.col("_span") * F.lit(SPAN_MICROS) - 1).alias(t), F.last("_p", ignorenulls=True).over(before).alias("_p"),
+                            F.lit(0).alias("_side"), "_span").where(F.col("_p").isNotNull()))
+    candidates = rights.unionByName(carried)
+
+    w = (Window.partitionBy(k, "_span").orderBy(F.col(t), F.col("_side"))
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     if not compact_left:
-        lcols = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
-        carried = rights.select(k, t, "_p", "_side", *lcols)
-        probes = left.select(F.col(left_key).alias(k), F.unix_micros(F.col(left_ts).cast("timestamp")).alias(t),
-                             none.alias("_p"), F.lit(1).alias("_side"), *[F.col(c) for c in left.columns])
-        joined = (carried.unionByName(probes)
-                  .withColumn("_hit", F.last("_p", ignorenulls=True).over(w))
+        names = [f"_l{i}" for i in range(len(left.columns))]  # the left rows may have columns of any name
+        lcols = [F.lit(None).cast(f.dataType).alias(n) for n, f in zip(names, left.schema.fields)]
+        rows = left.select(*probe, none.alias("_p"), F.lit(1).alias("_side"), *[F.col(f"`{c}`").alias(n) for n, c in zip(names, left.columns)])
+        rows = rows.select("*", span)
+        joined = (candidates.select("*", *lcols).unionByName(rows)
+                  .withColumn("_hit", F.when(F.col(k).isNotNull(), F.last("_p", ignorenulls=True).over(w)))
                   .where(F.col("_side") == 1))
-        left_out = [F.col(c) for c in left.columns]
+        left_out = [F.col(n).alias(c) for n, c in zip(names, left.columns)]
     else:
-        probes = (left.select(F.col(left_key).alias(k), F.unix_micros(F.col(left_ts).cast("timestamp")).alias(t))
-                  .distinct()
-                  .select(k, t, none.alias("_p"), F.lit(1).alias("_side")))
-        found = (rights.unionByName(probes)
+        points = probes.distinct().select(k, t, none.alias("_p"), F.lit(1).alias("_side"), span)
+        found = (candidates.unionByName(points)
                  .withColumn("_hit", F.last("_p", ignorenulls=True).over(w))
                  .where(F.col("_side") == 1)
                  .select(k, t, "_hit"))

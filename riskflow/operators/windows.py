@@ -20,8 +20,8 @@ Here the work is split into three linear steps:
    one pass each; a frame ``[t+start, t+end]`` is ``P(t+end) - P(t+start-1)``.
    Exact, because the totals are integers (counts) and decimals (amounts).
 3. ``replicate_rows`` -- turn per-second results back into one row per
-   transaction where the caller needs that cardinality, in bounded chunks
-   spread over tasks by hash.
+   transaction where the caller needs that cardinality, in place and in
+   bounded chunks.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ def compact_by_second(df: DataFrame, key: str, ts: str, measures: Mapping[str, C
 
 
 def frame_totals(compact: DataFrame, key: str, columns: Sequence[str], frames: Mapping[str, tuple[int, int]],
-                 sec_col: str = SEC, form: str = "prefix") -> DataFrame:
+                 sec_col: str = SEC, form: str = "prefix", by_span: bool = False) -> DataFrame:
     """Add ``{column}__{frame}`` = sum of ``column`` over rows of the same key whose
     second lies in ``[sec + start, sec + end]`` (inclusive, ``start <= end <= 0``).
 
@@ -54,15 +54,28 @@ def frame_totals(compact: DataFrame, key: str, columns: Sequence[str], frames: M
     it is kept for equivalence tests.
     All frames share one partitioning and ordering, so Spark plans a single
     Exchange, Sort and Window node for them.
+
+    ``by_span`` cuts a key's time into spans as long as the longest frame: each row goes to its own span and, as a
+    halo, to the next one, and the windows are partitioned by (key, span). A window partition then holds two spans
+    however long the history is; each row is windowed twice. Histories that are themselves bounded by a few spans
+    (the 15-day views) need no spans.
     """
-    w = Window.partitionBy(key).orderBy(F.col(sec_col))
+    keys = [key]
+    columns_in = compact.columns
+    if by_span:
+        longest = max(1 - start for start, _ in frames.values())
+        own = F.floor(F.col(sec_col) / F.lit(longest))
+        compact = (compact.withColumn("_halo", F.explode(F.array(F.lit(0), F.lit(1))))
+                   .withColumn("_span", own + F.col("_halo")))
+        keys.append("_span")
+    w = Window.partitionBy(*keys).orderBy(F.col(sec_col))
     out = []
     if form == "sliding":
         for name, (start, end) in frames.items():
             wf = w.rangeBetween(start, end)
             for c in columns:
                 out.append(F.coalesce(F.sum(c).over(wf), F.lit(0)).alias(f"{c}__{name}"))
-        return compact.select("*", *out)
+        return _own_rows(compact.select("*", *out), by_span)
     if form != "prefix":
         raise ValueError(f"unknown form {form!r}")
     needed: dict[tuple[str, int], str] = {}  # each distinct prefix is computed once
@@ -79,22 +92,22 @@ def frame_totals(compact: DataFrame, key: str, columns: Sequence[str], frames: M
     for name, (start, end) in frames.items():
         for c in columns:
             out.append((F.col(needed[(c, end)]) - F.col(needed[(c, start - 1)])).alias(f"{c}__{name}"))
-    return with_prefix.select(*[F.col(c) for c in compact.columns], *out)
+    return _own_rows(with_prefix, by_span).select(*[F.col(c) for c in columns_in], *out)
+
+
+def _own_rows(df: DataFrame, by_span: bool) -> DataFrame:
+    return df.where("_halo = 0").drop("_halo", "_span") if by_span else df
 
 
-def replicate_rows(df: DataFrame, count_col: str, chunk: int = REPLICATE_CHUNK,
-                   spread_by: Sequence[str] = ()) -> DataFrame:
+def replicate_rows(df: DataFrame, count_col: str, chunk: int = REPLICATE_CHUNK) -> DataFrame:
     """Emit each row ``count_col`` times (rows with count <= 0 vanish).
 
-    Counts are cut into chunks of at most ``chunk`` copies; chunks are hash
-    distributed on ``spread_by`` plus the chunk number before the copies are
-    generated, so a very large count is expanded by many tasks instead of one.
+    Copies are generated where the row is, ``chunk`` at a time, so that no wide row is shuffled for the sake of
+    copies that almost never exist: the transactions of one key within one second.
     """
     n = F.col(count_col).cast("long")
     n_chunks = F.ceil(n / F.lit(chunk)).cast("int")
     parts = df.where(n > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(0), n_chunks - 1)))
-    if spread_by:
-        parts = parts.repartition(*[F.col(c) for c in spread_by], F.col("_chunk"))
     size = F.least(F.lit(chunk).cast("long"), n - F.col("_chunk").cast("long") * F.lit(chunk)).cast("int")
     return (parts.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), size)))
             .drop("_chunk", "_copy"))

@@ -92,7 +92,7 @@ def customer_per_second(tx: DataFrame, labels: DataFrame, as_of=None, days: int
         "n_tx": F.count(F.lit(1)),
     })
     frames = {w: (-n, 0) for w, n in windows.items()}
-    t = frame_totals(compact, "CUSTOMER_ID", ["n_lab", "n_amt", "amt", "n_odd"], frames, form=form)
+    t = frame_totals(compact, "CUSTOMER_ID", ["n_lab", "n_amt", "amt", "n_odd"], frames, form=form, by_span=days is None)
     cols = [F.timestamp_seconds(F.col(SEC)).alias("feature_ts"), F.col("CUSTOMER_ID").alias("customer_id")]
     for w in windows:
         cols.append(F.col(f"n_lab__{w}").cast("long").alias(f"customer_id_nb_tx_{w}_window"))
@@ -119,7 +119,7 @@ def customer_features(tx: DataFrame, labels: DataFrame, as_of=None, days: int =
     ``days=36, output_days=15`` gives every output row its full windows.
     """
     per_sec = _output_window(customer_per_second(tx, labels, as_of, days, form=form), as_of, output_days)
-    return replicate_rows(per_sec, "n_tx", spread_by=["customer_id", "feature_ts"]).drop("n_tx")
+    return replicate_rows(per_sec, "n_tx").drop("n_tx")
 
 
 # --- terminal -------------------------------------------------------------------------------------------------------
@@ -144,12 +144,12 @@ def terminal_per_second(tx: DataFrame, labels: DataFrame, as_of=None, days: int
     guard_frame = {"recent": (-delay, 0)}
     if form == "subtract":
         frames = {**guard_frame, **{w: (-delay - n, 0) for w, n in windows.items()}}
-        t = frame_totals(compact, "TERMINAL_ID", ["n_lab", "n_fraud"], frames, form="sliding")
+        t = frame_totals(compact, "TERMINAL_ID", ["n_lab", "n_fraud"], frames, form="sliding", by_span=days is None)
         counts = {w: F.col(f"n_lab__{w}") - F.col("n_lab__recent") for w in windows}
         frauds = {w: F.col(f"n_fraud__{w}") - F.col("n_fraud__recent") for w in windows}
     else:
         frames = {**guard_frame, **{w: (-delay - n, -delay - 1) for w, n in windows.items()}}
-        t = frame_totals(compact, "TERMINAL_ID", ["n_lab", "n_fraud"], frames, form=form)
+        t = frame_totals(compact, "TERMINAL_ID", ["n_lab", "n_fraud"], frames, form=form, by_span=days is None)
         counts = {w: F.col(f"n_lab__{w}") for w in windows}
         frauds = {w: F.col(f"n_fraud__{w}") for w in windows}
     labelled_recently = F.col("n_lab__recent") > 0
@@ -178,7 +178,7 @@ def terminal_delay_frames(tx: DataFrame, labels: DataFrame, as_of=None, days: in
         "n_tx": F.count(F.lit(1)),
     })
     frames = {"delay": (-delay, 0), **{w: (-delay - n, 0) for w, n in windows.items()}}
-    t = frame_totals(compact, "TERMINAL_ID", ["n_lab", "n_fraud"], frames)
+    t = frame_totals(compact, "TERMINAL_ID", ["n_lab", "n_fraud"], frames, by_span=days is None)
     cols = [F.timestamp_seconds(F.col(SEC)).alias("feature_ts"), F.col("TERMINAL_ID").alias("terminal_id")]
     for name in frames:
         suffix = "delay" if name == "delay" else f"{name}_delay_window"
@@ -195,7 +195,7 @@ def terminal_features(tx: DataFrame, labels: DataFrame, as_of=None, days: int =
     longest delayed window)."""
     per_sec = _output_window(terminal_per_second(tx, labels, as_of, days, delay=delay, form=form), as_of,
                              output_days)
-    return replicate_rows(per_sec, "n_tx", spread_by=["terminal_id", "feature_ts"]).drop("n_tx")
+    return replicate_rows(per_sec, "n_tx").drop("n_tx")
 
 
 def latest_per_key(features: DataFrame, key: str, ts: str = "feature_ts") -> DataFrame:

@@ -78,7 +78,7 @@ tf AS (SELECT DISTINCT * FROM ({_terminal_select(True, True, False)}))"""
 
 
 def _per_tx(per_sec, key):
-    return replicate_rows(per_sec, "n_tx", spread_by=[key, "feature_ts"]).drop("n_tx")
+    return replicate_rows(per_sec, "n_tx").drop("n_tx")
 
 
 @register("feat_base", f"""WITH {_base_sql()}

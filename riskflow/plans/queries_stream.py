@@ -14,11 +14,11 @@ from riskflow.plans import models as mo
 from riskflow.plans.queries_models import _fitted, _train
 from riskflow.plans.registry import AS_OF, fixture, r, register
 from riskflow.session import scratch_path
-from riskflow.sources.fixtures import labels_from_events, load_table, messages_from_events, transactions_from_events
+from riskflow.sources.fixtures import DEAD_MESSAGE, labels_from_events, load_table, messages_from_events, transactions_from_events
 from riskflow.streaming import messages as msg
 from riskflow.streaming import scoring as sc
 
-MESSAGE_FILES = 6        # the fixture topic is written as this many files
+MESSAGE_FILES = 6        # the fixture topic is written as at least this many files
 FILES_PER_TRIGGER = 2    # -> several micro-batches per run
 FIXED_MODEL_VERSION = "fixed-score"
 FIXED_SCORE = "terminal_id_risk_1day_window"
@@ -33,7 +33,9 @@ def _events_stream(spark, sf_dir):
 def _topic(spark, sf_dir) -> str:
     """Write the fixture's message topic as text files; returns the folder."""
     path = scratch_path(spark, "topic")
-    messages_from_events(load_table(spark, sf_dir, "events")).repartition(MESSAGE_FILES).write.text(path)
+    rows = messages_from_events(load_table(spark, sf_dir, "events"))
+    # several files at any size: more with the input, so that no task writes more than a scan task reads
+    rows.repartition(max(MESSAGE_FILES, rows.rdd.getNumPartitions())).write.text(path)
     return path
 
 
@@ -71,8 +73,9 @@ def q_stream_parse_json(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
-@register("stream_dead_letter", f"SELECT props AS value, '{msg.REASON_NO_ID}' AS reason FROM events "
-                                "WHERE event_type = 'signup'", fixture_cte=False)
+@register("stream_dead_letter", f"""SELECT {DEAD_MESSAGE} AS value,
+       ['{msg.REASON_NO_ID}', '{msg.REASON_MALFORMED}', '{msg.REASON_BAD_TS}', '{msg.REASON_NO_AMOUNT}', '{msg.REASON_NO_PARTY}'][event_id % 5 + 1] AS reason
+FROM events WHERE event_type = 'signup'""", fixture_cte=False)
 def q_stream_dead_letter(spark, sf_dir):
     topic = _topic(spark, sf_dir)
     sink, ckpt = scratch_path(spark, "dead_letter"), scratch_path(spark, "ckpt")

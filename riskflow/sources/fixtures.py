@@ -63,10 +63,19 @@ txlabels AS (SELECT CAST(event_id AS VARCHAR) AS TX_ID,
 
 
 def messages_from_events(events: DataFrame) -> DataFrame:
-    """The message topic of the fixture: every non-signup event as a transaction message,
-    every signup as its raw ``props`` object (not a transaction: it has no TX_ID)."""
+    """The message topic of the fixture: every non-signup event as a transaction message, every signup as one that
+    cannot be scored, of each kind in turn: no TX_ID, malformed, unreadable time, no amount, no customer or terminal."""
     from riskflow.streaming.messages import to_message
 
     tx = transactions_from_events(events.where(F.col("event_type") != UNLABELLED_EVENT))
-    other = events.where(F.col("event_type") == UNLABELLED_EVENT).select(F.col("props").alias("value"))
+    other = events.where(F.col("event_type") == UNLABELLED_EVENT).select(F.expr(DEAD_MESSAGE).alias("value"))
     return to_message(tx).unionByName(other)
+
+
+# The text of a signup's message, in SQL that both engines read alike.
+DEAD_MESSAGE = """CASE event_id % 5
+    WHEN 0 THEN props
+    WHEN 1 THEN concat('{"TX_ID": ', event_id, ', oops')
+    WHEN 2 THEN concat('{"TX_ID":"', event_id, '","TX_TS":"yesterday","CUSTOMER_ID":"c","TERMINAL_ID":"t","TX_AMOUNT":1.0}')
+    WHEN 3 THEN concat('{"TX_ID":"', event_id, '","TX_TS":"2024-01-20 10:00:00","CUSTOMER_ID":"c","TERMINAL_ID":"t"}')
+    ELSE concat('{"TX_ID":"', event_id, '","TX_TS":"2024-01-20 10:00:00","TX_AMOUNT":1.0}') END"""

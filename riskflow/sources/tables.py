@@ -32,10 +32,10 @@ def split_labels(all_rows: DataFrame) -> DataFrame:
 
 
 def write_transactions(tx: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Store transactions partitioned by day; rows are clustered by day before writing
-    so each task writes few files."""
+    """Store transactions partitioned by day. Rows are rebalanced by day before writing: small days share a task,
+    and adaptive execution splits a large day over several tasks and files."""
     (tx.withColumn(PARTITION_COLUMN, F.to_date("TX_TS"))
-     .repartition(F.col(PARTITION_COLUMN))
+     .hint("rebalance", PARTITION_COLUMN)
      .write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path))
 
 
@@ -89,8 +89,9 @@ def save_table(df: DataFrame, name: str, bucket_by: str | None = None, buckets:
     """``CREATE OR REPLACE TABLE name AS SELECT ...`` in the catalog; with ``bucket_by`` the table
     is hash-bucketed on that column, so joins/aggregations on it read it co-partitioned."""
     w = df.write.mode(mode).format("parquet")
-    if bucket_by and buckets:
-        w = w.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    if bucket_by and buckets:  # a task a bucket, and so a file a bucket
+        w = (df.repartition(buckets, bucket_by).write.mode(mode).format("parquet")
+             .bucketBy(buckets, bucket_by).sortBy(bucket_by))
     w.saveAsTable(name)
     return name
 

@@ -27,6 +27,8 @@ REASON_MALFORMED = "malformed json"
 REASON_NO_ID = "missing TX_ID"
 REASON_BAD_TS = "bad TX_TS"
 REASON_NO_AMOUNT = "missing TX_AMOUNT"
+REASON_NO_PARTY = "missing CUSTOMER_ID or TERMINAL_ID"
+FILES_PER_TRIGGER, OFFSETS_PER_TRIGGER = 100, 1_000_000
 
 
 def to_message(tx: DataFrame) -> DataFrame:
@@ -47,6 +49,7 @@ def _reason() -> Column:
     # json_object_keys is NULL for text that is not a JSON object
     return (F.when(m.isNull() | F.json_object_keys(F.col("_raw")).isNull(), F.lit(REASON_MALFORMED))
             .when(m["TX_ID"].isNull(), F.lit(REASON_NO_ID))
+            .when(m["CUSTOMER_ID"].isNull() | m["TERMINAL_ID"].isNull(), F.lit(REASON_NO_PARTY))
             .when(ts.isNull(), F.lit(REASON_BAD_TS))
             .when(m["TX_AMOUNT"].isNull(), F.lit(REASON_NO_AMOUNT)))
 
@@ -66,7 +69,7 @@ def dead_letters(raw: DataFrame, value: str = "value") -> DataFrame:
     return d.select(F.col("_raw").alias("value"), _reason().alias("reason")).where(F.col("reason").isNotNull())
 
 
-def message_stream(spark, source: str = "text", path: str | None = None, max_per_trigger: int | None = None,
+def message_stream(spark, source: str = "text", path: str | None = None, max_per_trigger: int | None = 0,
                    **options) -> DataFrame:
     """A stream of raw messages as one text column ``value``.
 
@@ -75,7 +78,11 @@ def message_stream(spark, source: str = "text", path: str | None = None, max_per
     source (``options`` as for Spark's Kafka source, e.g.
     ``kafka_bootstrap_servers=...``, ``subscribe=...``; ``maxOffsetsPerTrigger``
     bounds a micro-batch); it needs the spark-sql-kafka package on the classpath.
+    Without ``max_per_trigger`` a micro-batch is bounded by ``FILES_PER_TRIGGER`` files or ``OFFSETS_PER_TRIGGER``
+    messages; None lifts the bound.
     """
+    if max_per_trigger == 0:
+        max_per_trigger = FILES_PER_TRIGGER if source == "text" else OFFSETS_PER_TRIGGER
     reader = spark.readStream
     if source == "text":
         if max_per_trigger:

@@ -129,8 +129,8 @@ def enrich(batch: DataFrame, customer_features: DataFrame, terminal_features: Da
     key's newest row (replays, late arrivals) go through the general as-of join
     against the history of just their keys. When ``keep`` (a ``Persisted``) is
     given, the joined batch is persisted and one small job tells whether any row
-    is late; if none is, the history is not touched at all, else the whole batch
-    takes the general path.
+    is late; if none is, the history is not touched at all, else the late rows
+    alone take the general path.
     Without ``*_latest`` every row takes the general as-of join.
     """
     c_cols, t_cols = list(fe.CUSTOMER_FEATURES), list(fe.TERMINAL_FEATURES)
@@ -155,8 +155,9 @@ def enrich(batch: DataFrame, customer_features: DataFrame, terminal_features: Da
         if keep is _same:  # no persisted batch: split by row, one plan
             out = (j.where(~F.col("_late")).select(*batch.columns, *c_cols, *t_cols)
                    .unionByName(general(j.where(F.col("_late")).select(*batch.columns))))
-        elif j.where(F.col("_late")).limit(1).count() > 0:  # a replay / late data: whole batch, general path
-            out = general(keep(batch))
+        elif j.where(F.col("_late")).limit(1).count() > 0:  # late rows alone take the general path
+            late_rows = keep(j.where(F.col("_late")).select(*batch.columns))
+            out = j.where(~F.col("_late")).select(*batch.columns, *c_cols, *t_cols).unionByName(general(late_rows))
         else:  # live batch: the newest rows are the answer
             out = j.select(*batch.columns, *c_cols, *t_cols)
     feats = [(F.coalesce(F.col(c).cast("double"), F.lit(float(fill))) if fill is not None
