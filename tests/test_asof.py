@@ -87,3 +87,13 @@ def test_asof_uncompacted_left_equals_compacted(spark):
                   compact_left=False)
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_null_keys_match_nothing_and_gaps_of_many_days(spark):
+    left = spark.createDataFrame([("a", "2024-03-01 00:00:00", 1), (None, "2024-03-01 00:00:00", 2), ("a", "2023-12-31 00:00:00", 3), ("b", "2024-02-02 12:00:00", 4)],
+                                 "k string, ts string, n int").selectExpr("k", "cast(ts as timestamp) ts", "n")
+    right = spark.createDataFrame([("a", "2024-01-01 00:00:00", 5), (None, "2024-01-01 00:00:00", 6), ("a", "2024-01-02 07:00:00", 7), ("b", "2024-02-02 12:00:00", 8), ("b", "2024-02-02 12:00:01", 9)],
+                                  "k string, ts string, v int").selectExpr("k as rk", "cast(ts as timestamp) rts", "v")
+    for compact in (True, False):
+        got = {r["n"]: r["v"] for r in asof_join(left, right, "k", "ts", "rk", "rts", compact_left=compact).collect()}
+        assert got == {1: 7, 2: None, 3: None, 4: 8}

@@ -66,3 +66,14 @@ def test_overview_approx_distinct_close_to_exact(spark):
     assert approx["NUM_TX"] == exact["NUM_TX"]
     for c in ("NUM_CUSTOMERS", "NUM_TERMINALS"):
         assert abs(approx[c] - exact[c]) <= max(2, 0.05 * exact[c])
+
+
+def test_ground_truth_older_than_the_feature_history(spark):
+    tx, lb = load_fixture(spark, SF_SMALL)
+    got = ds.training_set(tx, lb, AS_OF, days=(30, 5))
+    want = tx.join(lb, "TX_ID").where(f"TX_TS between timestamp '{AS_OF}' - interval 30 days and timestamp '{AS_OF}' - interval 5 days")
+    assert got.count() == want.count() > ds.training_set(tx, lb, AS_OF).count()
+    old = got.where(f"timestamp < timestamp '{AS_OF}' - interval 15 days")
+    assert old.count() > 0 and old.where("customer_id is not null").count() == 0  # beyond the feature history
+    history = ds.labelled_history(tx, lb, AS_OF)  # a stored history that is too short does not cut the set
+    assert ds.training_set(tx, lb, AS_OF, days=(30, 5), history=history).count() == want.count()

@@ -75,9 +75,15 @@ def test_davies_bouldin_matches_numpy(spark):
     assert got == pytest.approx(exp)
 
 
-def test_range_count_grows_with_data():
-    from riskflow.operators.ordered import MAX_RANGES, ROWS_PER_RANGE, range_count
-
-    assert range_count(10) == 1
-    assert range_count(10 * ROWS_PER_RANGE) == 10
-    assert range_count(10 ** 15) == MAX_RANGES
+@pytest.mark.parametrize("buckets", [1, 3, 50])
+def test_running_totals_do_not_depend_on_the_ranges(spark, buckets):
+    vals = [float(v * v % 997) for v in range(400)]
+    df = spark.createDataFrame([(v,) for v in sorted(set(vals))], "v double").selectExpr("v", "cast(v as long) n")
+    out = {r["v"]: r["n_cum"] for r in running_totals(df, "v", ["n"], buckets).collect()}
+    assert out == {v: sum(int(x) for x in set(vals) if x <= v) for v in set(vals)}
+
+
+def test_metrics_of_empty_tables(spark):
+    empty = spark.createDataFrame([], "y int, p double")
+    assert classification_metrics(empty, "y", "p").collect()[0]["roc_auc"] is None
+    assert exact_quantile(empty.select("p"), "p", 0.5).collect()[0]["n"] == 0

@@ -35,10 +35,13 @@ def test_logreg_learns_a_real_signal(spark, sets):
     assert m["roc_auc"] > 0.9 and m["n"] == pred.count()
 
 
-def test_logreg_on_fixture_features(spark, sets):
-    train, pred = sets
-    m = mo.evaluate(mo.fit_classifier(train, "logreg"), pred).collect()[0]
-    assert 0.0 <= m["roc_auc"] <= 1.0 and m["n"] == pred.count()
+def test_validation_split_ignores_weights(spark, sets):
+    train, _ = sets
+    plain = mo._validation_flag(train).select("timestamp", "customer_id", "terminal_id", "_is_validation")
+    weighted = mo._validation_flag(train.withColumn("_weight", F.lit(7.0))).select("timestamp", "customer_id", "terminal_id", "_is_validation")
+    assert plain.exceptAll(weighted).count() == 0
+    share = plain.where("_is_validation").count() / plain.count()
+    assert 0.06 < share < 0.14
 
 
 def test_gbt_with_class_weights_and_explain(spark, sets):

@@ -51,3 +51,23 @@ def test_materialize_and_settings(spark):
     assert materialize(df, "m").count() == 10
     assert configure(spark).conf.get("spark.sql.session.timeZone") == "UTC"
     assert int(cluster_settings(1000)["spark.sql.shuffle.partitions"]) == 3000
+
+
+def test_large_day_is_written_by_several_tasks_and_buckets_have_one_file(spark):
+    from pyspark.sql import functions as F
+
+    tx = spark.range(200_000, numPartitions=8).select(
+        F.col("id").cast("string").alias("TX_ID"), F.lit("2024-01-20 10:00:00").cast("timestamp").alias("TX_TS"),
+        F.md5(F.col("id").cast("string")).alias("CUSTOMER_ID"), F.lit("t").alias("TERMINAL_ID"), F.rand(1).alias("TX_AMOUNT"))
+    path = scratch_path(spark, "day")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        tables.write_transactions(tx, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(spark.read.parquet(path).inputFiles()) > 1 and spark.read.parquet(path).count() == 200_000
+    name = f"one_file_{scratch_path(spark, 'x')[-12:]}"
+    tables.save_table(tx.limit(5000).withColumn("path", F.lit(1)), name, bucket_by="TX_ID", buckets=4)
+    assert len(spark.table(name).inputFiles()) == 4
+    spark.sql(f"DROP TABLE {name}")

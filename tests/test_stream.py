@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, make_labels, make_tx
+from conftest import SF_SMALL, make_tx
 from riskflow.session import scratch_path
 from riskflow.sources.fixtures import load_fixture, load_table, messages_from_events
 from riskflow.streaming import messages as msg
@@ -18,8 +18,8 @@ def test_dead_letter_reasons(spark):
     good = json.dumps({"TX_ID": "1", "TX_TS": "2024-01-21 10:00:00", "CUSTOMER_ID": "c", "TERMINAL_ID": "t",
                        "TX_AMOUNT": 3.5})
     rows = [good, "{not json", json.dumps({"k": 1}),
-            json.dumps({"TX_ID": "2", "TX_TS": "yesterday", "TX_AMOUNT": 1.0}),
-            json.dumps({"TX_ID": "3", "TX_TS": "2024-01-21 10:00:00", "TX_AMOUNT": None})]
+            json.dumps({"TX_ID": "2", "TX_TS": "yesterday", "CUSTOMER_ID": "c", "TERMINAL_ID": "t", "TX_AMOUNT": 1.0}),
+            json.dumps({"TX_ID": "3", "TX_TS": "2024-01-21 10:00:00", "CUSTOMER_ID": "c", "TERMINAL_ID": "t", "TX_AMOUNT": None})]
     raw = spark.createDataFrame([(r,) for r in rows], "value string")
     parsed = msg.parse_messages(raw).collect()
     assert [r["TX_ID"] for r in parsed] == ["1"]
@@ -75,8 +75,9 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
                           score_col="terminal_id_risk_1day_window")
     assert spark.read.parquet(sink).count() == n
     # a replayed batch (same id) overwrites its own output
-    sc.write_batch(batch.limit(5), sink, 0)
-    sc.write_batch(batch.limit(5), sink, 0)
+    run = sc.run_of(ckpt)
+    sc.write_batch(batch.limit(5), sink, 0, run)
+    sc.write_batch(batch.limit(5), sink, 0, run)
     assert spark.read.parquet(sink).where("batch_id = 0").count() == 5
 
 
@@ -107,9 +108,25 @@ def test_parse_round_trip(spark):
     assert back["TX_AMOUNT"] == pytest.approx(3.25)
 
 
-def test_labels_fixture(spark):
-    lb = make_labels(spark, [("1", 1)])
-    assert lb.count() == 1
+def test_streams_with_other_checkpoints_append(spark):
+    tx, lb = load_fixture(spark, SF_SMALL)
+    paths = sc.materialize_features(spark, tx, lb, SNAP, scratch_path(spark, "feat"))
+    sink = scratch_path(spark, "pred")
+    for ids in (["a", "b", "c"], ["d"]):
+        topic = scratch_path(spark, "topic")
+        rows = make_tx(spark, [(i, "2024-01-25 00:00:00", "1", "t1", 12.0) for i in ids])
+        msg.to_message(rows).coalesce(1).write.text(topic)
+        sc.run_scoring_stream(spark, msg.message_stream(spark, "text", topic), paths, sink, scratch_path(spark, "ckpt"),
+                              model_version="fixed", created_at=SNAP, score_col="terminal_id_risk_1day_window")
+    assert sorted(r["TX_ID"] for r in spark.read.parquet(sink).collect()) == ["a", "b", "c", "d"]
+
+
+def test_messages_without_their_parties_are_dead_letters(spark):
+    body = {"TX_ID": "1", "TX_TS": "2024-01-21 10:00:00", "CUSTOMER_ID": "c", "TERMINAL_ID": "t", "TX_AMOUNT": 3.5}
+    rows = [json.dumps({k: v for k, v in body.items() if k != gone}) for gone in ("CUSTOMER_ID", "TERMINAL_ID")]
+    raw = spark.createDataFrame([(r,) for r in rows], "value string")
+    assert msg.parse_messages(raw).count() == 0
+    assert {r["reason"] for r in msg.dead_letters(raw).collect()} == {msg.REASON_NO_PARTY}
 
 
 def test_single_transaction_lookup_matches_batch(spark):
@@ -132,11 +149,11 @@ def test_failed_batch_is_replayed_without_duplicates(spark, monkeypatch):
     real_write = sc.write_batch
     failed = []
 
-    def flaky_write(df, path, batch_id):
+    def flaky_write(df, path, batch_id, run):
         if batch_id == 1 and not failed:  # the task/executor dies while batch 1 is written
             failed.append(batch_id)
             raise RuntimeError("lost executor")
-        real_write(df, path, batch_id)
+        real_write(df, path, batch_id, run)
 
     monkeypatch.setattr(sc, "write_batch", flaky_write)
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(topic)

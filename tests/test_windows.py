@@ -122,7 +122,7 @@ def test_compact_bounds_rows_per_key(spark):
 
 def test_replicate_rows_in_chunks(spark):
     df = spark.createDataFrame([("a", 5), ("b", 0), ("c", 2)], "k string, n long")
-    out = replicate_rows(df, "n", chunk=2, spread_by=["k"])
+    out = replicate_rows(df, "n", chunk=2)
     counts = {r["k"]: r["count"] for r in out.groupBy("k").count().collect()}
     assert counts == {"a": 5, "c": 2}
 
@@ -176,6 +176,50 @@ def test_replicate_rows_beyond_one_chunk(spark):
 
     n = 3 * REPLICATE_CHUNK + 1234  # one hot (key, second) needing four chunks
     df = spark.createDataFrame([("hot", n), ("cold", 3)], "k string, n long")
-    out = replicate_rows(df, "n", spread_by=["k"])
+    out = replicate_rows(df, "n")
     counts = {r["k"]: r["count"] for r in out.groupBy("k").count().collect()}
     assert counts == {"hot": n, "cold": 3}
+
+
+def test_frames_by_span_equal_frames_over_the_whole_key(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = sorted({("k%d" % rng.randint(0, 2), rng.randint(-500, 4000)) for _ in range(900)})
+    df = spark.createDataFrame([(k, s, rng.randint(0, 9)) for k, s in rows], "k string, _sec long, n long")
+    frames = {"a": (-30, 0), "b": (-200, -51)}
+    whole = frame_totals(df, "k", ["n"], frames)
+    spans = frame_totals(df, "k", ["n"], frames, by_span=True)
+    sliding = frame_totals(df, "k", ["n"], frames, form="sliding", by_span=True)
+    assert whole.count() == spans.count() == len(rows) and whole.columns == spans.columns
+    assert whole.exceptAll(spans).count() == 0 and whole.exceptAll(sliding.select(*whole.columns)).count() == 0
+
+
+def test_unbounded_history_is_windowed_by_key_and_span(spark):
+    from riskflow.plans import features as fe
+    from riskflow.sources.fixtures import load_fixture
+
+    tx, lb = load_fixture(spark, "/root/testdata/sf0.001")
+    plan = fe.customer_per_second(tx, lb, days=None)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(CUSTOMER_ID" in plan and "_span" in plan
+
+
+def test_average_amounts_keep_their_decimals(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import make_labels, make_tx
+    from riskflow.plans import eda
+    from riskflow.plans import features as fe
+
+    def averages(amounts):
+        tx = make_tx(spark, [(str(i), f"2024-01-20 00:00:{i:02d}", "c", "t", a) for i, a in enumerate(amounts)])
+        per_tx = fe.customer_features(tx, make_labels(spark, [("0", 1)]), "2024-01-31 00:00:00")
+        last = per_tx.orderBy(F.col("feature_ts").desc()).first()["customer_id_avg_amount_15min_window"]
+        return eda.overview(tx).first()["AVG_TX_AMOUNT"], last
+
+    assert averages([0.004, 0.004]) == (0.004, 0.004)
+    assert averages([1e18, 2.0]) == (5e17 + 1, 5e17 + 1)
+    assert averages([None, 3.0]) == (3.0, 3.0)
+    for bad in (float("nan"), float("inf")):
+        a, b = averages([bad, 1.0])
+        assert (a != a or a == float("inf")) and b != b
