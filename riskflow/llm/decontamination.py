@@ -4,8 +4,9 @@ The test items are indexed: items longer than ``PART`` words in overlapping part
 training passage (``PASSAGE`` words, every ``STEP`` words, of every whole text) is a query, and all items whose BM25
 score reaches ``share`` of the score the item gives itself are retrieved. Posting lists carry a largest score for the
 list and for each block of ``BLOCK`` parts, and are walked as in block-max WAND: the pivot is the first part whose
-lists could reach the threshold together, and a pivot whose blocks cannot is skipped with its whole block range. A
-first test, the sum of list maxima over a passage, is taken for all passages of a text at once.
+lists could reach the threshold together, and a pivot whose blocks cannot is skipped with its whole block range. The
+walk starts only in those of up to ``COARSE`` equal ranges of parts whose block maxima, summed over a passage, can
+reach the threshold; this first test is taken for all passages of a text and all ranges at once.
 A retrieved item is a leak if enough word n-grams of both its question and its answer occur around the passage. The
 answer is the last line of an item, or else its last sentence, or else its last third.
 
@@ -32,7 +33,8 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import shipped, slices
 
 K1, B = 1.2, 0.75
-PASSAGE, STEP, PART, PART_STEP, BLOCK, SHARD = 64, 32, 48, 24, 16, 5_000
+STEP, PART, PART_STEP, BLOCK, COARSE, SHARD = 32, 48, 24, 8, 32, 5_000
+PASSAGE = 2 * STEP
 SHARE, GRAM, QUESTION_SHARE, ANSWER_SHARE = 0.55, 3, 0.6, 0.6
 WORDS = re.compile(r"\w+")
 
@@ -77,19 +79,28 @@ class Index:
         self.term = {t: i for i, t in enumerate(lists)}
         self.parts = [[p for p, _ in x] for x in lists.values()]
         self.scores = [[s for _, s in x] for x in lists.values()]
-        self.most = np.array([max(s) for s in self.scores] + [0.0])  # the last is for words that no item has
+        self.most = [max(s) for s in self.scores]
         self.blocks = []
         for parts, scores in zip(self.parts, self.scores):
             top: dict[int, float] = {}
             for p, s in zip(parts, scores):
                 top[p // BLOCK] = max(top.get(p // BLOCK, 0.0), s)
             self.blocks.append(top)
+        self.range = -(-max(1, len(self.part_item)) // COARSE)  # parts in a range
+        self.top = np.zeros((len(lists), -(-len(self.part_item) // self.range)), np.float32)
+        for t, (parts, scores) in enumerate(zip(self.parts, self.scores)):
+            np.maximum.at(self.top[t], np.array(parts) // self.range, np.array(scores, np.float32))
 
-    def retrieve(self, terms: list[int], least: float) -> list[tuple[int, float]]:
-        """All (part, score) with score >= ``least`` for a set of terms."""
+    def retrieve(self, terms: list[int], least: float, first: int = 0, end: int | None = None) -> list[tuple[int, float]]:
+        """All (part, score) with score >= ``least`` for a set of terms, of the parts from ``first`` to before ``end``."""
         least -= 1e-9
         most, parts = self.most, self.parts
-        live = [[parts[t][0], 0, t] for t in terms]  # current part, position, term
+        end = len(self.part_item) if end is None else end
+        live = []  # current part, position, term
+        for t in terms:
+            k = bisect_left(parts[t], first)
+            if k < len(parts[t]) and parts[t][k] < end:
+                live.append([parts[t][k], k, t])
         out = []
         while live:
             live.sort()
@@ -118,7 +129,7 @@ class Index:
                 to = at
             rest = []
             for part, k, t in live:
-                if part < to and (k := bisect_left(parts[t], to, k)) >= len(parts[t]):
+                if part < to and ((k := bisect_left(parts[t], to, k)) >= len(parts[t]) or parts[t][k] >= end):
                     continue
                 rest.append([parts[t][k], k, t])
             live = rest
@@ -129,17 +140,23 @@ class Index:
         w = words(text)
         if not w or not self.items:
             return {}
-        none = len(self.most) - 1
-        term = self.term
+        none, term = len(self.most), self.term
         ids = np.fromiter((term.get(x, none) for x in w), np.int64, len(w))
-        total = np.concatenate(([0.0], np.cumsum(self.most[ids])))
-        starts = np.arange(0, max(1, len(w) - PASSAGE + STEP), STEP)
-        bound = total[np.minimum(starts + PASSAGE, len(w))] - total[starts]
+        # the distinct terms of each step, a passage being two steps, and their maxima in each range
+        known = np.flatnonzero(ids != none)
+        step_term = np.unique(known // STEP * none + ids[known])
+        if not len(step_term):
+            return {}
+        step, terms_of = step_term // none, step_term % none
+        begin = np.flatnonzero(np.concatenate(([True], step[1:] != step[:-1])))
+        bound = np.zeros((len(w) // STEP + 2, self.top.shape[1]), np.float32)
+        bound[step[begin]] = np.add.reduceat(self.top[terms_of], begin, axis=0)
+        bound = bound[:-1] + bound[1:]
         found: dict[int, tuple] = {}
-        for s in starts[bound >= share - 1e-9]:
-            s = int(s)
-            terms = np.unique(ids[s:s + PASSAGE])
-            for part, score in self.retrieve(terms[terms != none].tolist(), share):
+        for p, c in zip(*np.nonzero(bound[:max(1, -(-(len(w) - STEP) // STEP))] >= share - 1e-4)):
+            s = int(p) * STEP
+            own = np.unique(terms_of[(step == p) | (step == p + 1)]).tolist()
+            for part, score in self.retrieve(own, share, int(c) * self.range, (int(c) + 1) * self.range):
                 k = self.part_item[part]
                 n = len(self.items[k][1])
                 around = w[max(0, s - n):s + PASSAGE + n]
