@@ -55,6 +55,7 @@ def labelled_feature_set(tx: DataFrame, labels: DataFrame, as_of=None, start_day
     that extends past the set's end changes no value. Transactions older than
     ``history_days`` are in the set if ``start_days`` reaches them, with NULL features.
     """
+    as_of = fe.resolve_as_of(as_of)
     rows = history
     if rows is None or start_days > history_days:  # the ground truth may reach further back than the feature history
         rows = fe.labelled_recent(tx, labels, as_of, max(start_days, history_days), end_days_before)

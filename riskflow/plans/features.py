@@ -20,6 +20,8 @@ transactions of a key give identical rows).
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +62,11 @@ def recent_window(tx: DataFrame, as_of=None, days: int | None = HISTORY_DAYS, en
     return tx.where(F.col("TX_TS").between(lo, hi))
 
 
+def resolve_as_of(as_of):
+    """``as_of`` itself, or the present moment: one time for all jobs of a computation."""
+    return _dt.datetime.now(_dt.timezone.utc) if as_of is None else as_of
+
+
 def as_of_col(as_of) -> Column:
     return as_timestamp(as_of)
 

@@ -84,7 +84,7 @@ def _per_tx(per_sec, key):
 @register("feat_base", f"""WITH {_base_sql()}
 SELECT TX_TS, TX_ID, CUSTOMER_ID, TERMINAL_ID, {r('TX_AMOUNT')} AS TX_AMOUNT, TX_FRAUD FROM raw""")
 def q_feat_base(spark, sf_dir):
-    tx, lb = fixture(spark, sf_dir)
+    tx, lb = fixture(spark, sf_dir, fe.HISTORY_DAYS)
     return fe.labelled_recent(tx, lb, AS_OF).select("TX_TS", "TX_ID", "CUSTOMER_ID", "TERMINAL_ID",
                                                     "TX_AMOUNT", "TX_FRAUD")
 
@@ -93,19 +93,19 @@ def q_feat_base(spark, sf_dir):
 SELECT TX_ID, TX_TS, CUSTOMER_ID, TERMINAL_ID, {r('TX_AMOUNT')} AS TX_AMOUNT FROM tx
 WHERE TX_TS BETWEEN {AS_OF_SQL} - INTERVAL 15 DAY AND {AS_OF_SQL}""")
 def q_filter_recent(spark, sf_dir):
-    tx, _ = fixture(spark, sf_dir)
+    tx, _ = fixture(spark, sf_dir, fe.HISTORY_DAYS)
     return fe.recent_window(tx, AS_OF, 15)
 
 
 @register("feat_customer", customer_sql())
 def q_feat_customer(spark, sf_dir):
-    tx, lb = fixture(spark, sf_dir)
+    tx, lb = fixture(spark, sf_dir, fe.HISTORY_DAYS)
     return fe.customer_features(tx, lb, AS_OF)
 
 
 @register("feat_terminal", terminal_sql())
 def q_feat_terminal(spark, sf_dir):
-    tx, lb = fixture(spark, sf_dir)
+    tx, lb = fixture(spark, sf_dir, fe.HISTORY_DAYS)
     return fe.terminal_features(tx, lb, AS_OF)
 
 

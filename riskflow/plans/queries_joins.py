@@ -94,13 +94,13 @@ WHERE gt.timestamp BETWEEN {lo} AND {hi} AND gt.tx_fraud IS NOT NULL"""
 
 @register("train_data", dataset_sql(15, 5))
 def q_train_data(spark, sf_dir):
-    tx, lb = fixture(spark, sf_dir)
+    tx, lb = fixture(spark, sf_dir, fe.HISTORY_DAYS)
     return ds.training_set(tx, lb, AS_OF)
 
 
 @register("predict_data", dataset_sql(5, 0))
 def q_predict_data(spark, sf_dir):
-    tx, lb = fixture(spark, sf_dir)
+    tx, lb = fixture(spark, sf_dir, fe.HISTORY_DAYS)
     return ds.prediction_set(tx, lb, AS_OF)
 
 
@@ -116,7 +116,7 @@ def _input_col(c: str) -> str:
 
 @register("model_input", dataset_sql(15, 5, ", ".join(_input_col(c) for c in _INPUT_COLS)))
 def q_model_input(spark, sf_dir):
-    tx, lb = fixture(spark, sf_dir)
+    tx, lb = fixture(spark, sf_dir, fe.HISTORY_DAYS)
     return ds.model_input(ds.training_set(tx, lb, AS_OF))
 
 
@@ -128,7 +128,7 @@ _STAR_EXCEPT = ("* EXCLUDE (customer, terminal, feature_ts) REPLACE ("
 def q_proj_star_except(spark, sf_dir):
     """``SELECT * EXCEPT (customer, terminal, feature_ts)`` over the ground truth joined to
     both feature tables; drops every column so named (both ``feature_ts``)."""
-    tx, lb = fixture(spark, sf_dir)
+    tx, lb = fixture(spark, sf_dir, fe.HISTORY_DAYS)
     base = fe.labelled_recent(tx, lb, AS_OF, 15, 5)
     gt = (base.where(F.col("TX_FRAUD").isNotNull())
           .select(F.col("TX_TS").alias("timestamp"), F.col("CUSTOMER_ID").alias("customer"),

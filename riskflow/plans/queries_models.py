@@ -27,7 +27,7 @@ SCORE = "terminal_id_risk_1day_window"
 
 def _sets(spark, sf_dir):
     """(training set, prediction set) over one stored labelled history."""
-    tx, lb = fixture(spark, sf_dir)
+    tx, lb = fixture(spark, sf_dir, fe.HISTORY_DAYS)
     history = ds.labelled_history(tx, lb, AS_OF)
     return ds.training_set(tx, lb, AS_OF, history=history), ds.prediction_set(tx, lb, AS_OF, history=history)
 

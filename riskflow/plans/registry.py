@@ -72,8 +72,11 @@ def oracle_text(body: str, fixture_cte: bool = True) -> str:
     return f"WITH {DUCKDB_FIXTURE_CTE}\n{body}"
 
 
-def fixture(spark: SparkSession, sf_dir: str):
-    return load_fixture(spark, sf_dir)
+def fixture(spark: SparkSession, sf_dir: str, days: int | None = None):
+    """(tx, labels) of the fixture; with ``days`` only those of the days up to the fixture's as-of time."""
+    if days is None:
+        return load_fixture(spark, sf_dir)
+    return load_fixture(spark, sf_dir, F.expr(f"TIMESTAMP '{AS_OF}' - INTERVAL {int(days)} DAYS"), AS_OF)
 
 
 def r(expr: str) -> str:
@@ -82,10 +85,6 @@ def r(expr: str) -> str:
     return f"(floor(CAST({expr} AS DOUBLE) * {scale} + 0.5) / {scale})"
 
 
-def as_of() -> str:
-    return AS_OF
-
-
 def load_all() -> None:
     """Import every module that registers queries."""
     import riskflow.plans.queries_eda  # noqa: F401
@@ -94,3 +93,4 @@ def load_all() -> None:
     import riskflow.plans.queries_models  # noqa: F401
     import riskflow.plans.queries_sources  # noqa: F401
     import riskflow.plans.queries_stream  # noqa: F401
+    import riskflow.plans.queries_views  # noqa: F401

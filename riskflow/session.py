@@ -12,12 +12,13 @@ setting is absent, as in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_scratch: dict[str, list[str]] = {}  # application id -> scratch paths
+
 # Settings applied to every session handed to the library.
 _RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -89,11 +90,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def unique_name(name: str) -> str:
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "riskflow", f"{name}-{uuid.uuid4().hex}") if "://" not in base \
-        else f"{base.rstrip('/')}/riskflow/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path below the shared checkpoint folder; ``release_scratch`` removes it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/riskflow/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove what ``scratch_path`` and ``materialize`` have handed out in this application (tables that were built
+    on it can then no longer be read); returns how many folders were there."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    removed = 0
+    for path in _scratch.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        removed += bool(p.getFileSystem(conf).delete(p, True))
+    return removed
 
 
 def materialize(df, name: str, partition_by: list[str] | None = None):

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.functions import trunc_second
+from riskflow.functions import as_timestamp, trunc_second
 from riskflow.session import configure
 
 # Fixed values of the fixture mapping.
@@ -45,10 +45,18 @@ def labels_from_events(events: DataFrame) -> DataFrame:
                     F.when(fraud, 1).otherwise(0).cast("int").alias("TX_FRAUD")))
 
 
-def load_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(tx, txlabels) from ``events.parquet`` under ``sf_dir``."""
+def load_fixture(spark: SparkSession, sf_dir: str, start=None, end=None) -> tuple[DataFrame, DataFrame]:
+    """(tx, txlabels) from ``events.parquet`` under ``sf_dir``.
+
+    ``start`` / ``end`` (whole seconds, inclusive) bound TX_TS by a predicate on the raw ``ts``, which reaches the
+    parquet scan (one on the truncated TX_TS does not); the labels are then those of the same events.
+    """
     configure(spark)
     events = load_table(spark, sf_dir, "events")
+    if start is not None:
+        events = events.where(F.col("ts") >= as_timestamp(start))
+    if end is not None:
+        events = events.where(F.col("ts") < as_timestamp(end) + F.expr("INTERVAL 1 SECOND"))
     return transactions_from_events(events), labels_from_events(events)
 
 

@@ -59,6 +59,7 @@ def materialize_features(spark: SparkSession, tx: DataFrame, labels: DataFrame,
     its two feature tables are written.
     """
     out = {k: os.path.join(path, k) for k in ("customer", "terminal", "customer_latest", "terminal_latest")}
+    as_of = fe.resolve_as_of(as_of)
     base = fe.labelled_recent(tx, labels, as_of).persist()
     try:
         fe.customer_per_second(tx, labels, base=base).drop("n_tx").write.mode("overwrite").parquet(out["customer"])

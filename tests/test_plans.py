@@ -92,3 +92,22 @@ def test_co_bucketed_tables_join_without_shuffle(spark):
         assert joined.count() == tx.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_recent_views_push_their_time_range_into_the_scan(spark):
+    import __spark_entry__ as E
+
+    queries = E.queries()
+    for name in ("feat_customer", "feat_terminal", "view_customer_features"):
+        plan = queries[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        scans = [x for x in plan.split("\n") if "FileScan parquet" in x]
+        assert scans and all("GreaterThanOrEqual(ts," in x and "LessThan(ts," in x for x in scans)
+
+
+def test_no_exchange_after_the_window_of_a_view(spark):
+    from riskflow.plans import features as fe
+
+    tx, lb = load_fixture(spark, SF_SMALL)
+    plan = fe.customer_features(tx, lb, "2024-01-31 00:00:00")._jdf.queryExecution().executedPlan().toString()
+    above_window = plan[:plan.index("Window [")]
+    assert "Exchange" not in above_window and "Generate" in above_window
