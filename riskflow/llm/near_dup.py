@@ -307,3 +307,26 @@ def representatives(docs: DataFrame, percent: int = 80, size: int = SHINGLE) ->
 
 def op9(docs: DataFrame) -> DataFrame:
     return components(docs, percent=85)
+
+
+#: Shingle sets joined on their shingles, and reachability over the links.
+ORACLE = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sh AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+    SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), link AS (
+    SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+    JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * k >= 85 * (x.n + y.n - k)
+), reach AS (
+    SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), root AS (
+    SELECT a AS doc_id, least(a, min(b)) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       doc_id = coalesce(component_id, doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN root USING (doc_id)
+"""

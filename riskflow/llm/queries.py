@@ -31,5 +31,7 @@ QUERIES = {
 
 ORACLES = {
     "op3_sharding": sharding.ORACLE,
+    "op4_suffix_dedup": suffix_dedup.ORACLE,
     "op5_warc_index": warc.ORACLE,
+    "op9_near_duplicates": near_dup.ORACLE,
 }

@@ -300,3 +300,27 @@ def deduplicate(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def op4(docs: DataFrame) -> DataFrame:
     return deduplicate(docs)
+
+
+#: All windows of all texts, counted; the marked runs are cut out of the text in hexadecimal.
+ORACLE = """
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h, encode(coalesce(text, '')) AS t FROM documents
+), w AS (
+    SELECT rid, i, md5(t[i + 1:i + 400]) AS s FROM (SELECT rid, t, unnest(range(octet_length(t) - 399)) AS i FROM d)
+), hit AS (
+    SELECT rid, i FROM w WHERE s IN (SELECT s FROM w GROUP BY s HAVING count(*) > 1)
+), run AS (
+    SELECT rid, i, sum(new) OVER (PARTITION BY rid ORDER BY i) AS g
+    FROM (SELECT rid, i, CASE WHEN i - lag(i) OVER (PARTITION BY rid ORDER BY i) <= 400 THEN 0 ELSE 1 END AS new FROM hit)
+), span AS (
+    SELECT rid, min(i) AS a, max(i) + 400 AS b FROM run GROUP BY rid, g
+), spans AS (
+    SELECT rid, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b, sum(b - a) AS removed, count(*) AS n FROM span GROUP BY rid
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN n IS NULL THEN h ELSE array_to_string([
+           substr(h, 2 * CASE WHEN k = 0 THEN 0 ELSE b[k] END + 1,
+                  2 * (CASE WHEN k = n THEN length(h) // 2 ELSE a[k + 1] END - CASE WHEN k = 0 THEN 0 ELSE b[k] END)) for k in range(n + 1)], '') END)) AS kept_sha256
+FROM d LEFT JOIN spans USING (rid)
+"""
