@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm.common import materialize, scratch_path, shipped
 
-ARCHIVE_BYTES, BLOCK_LINES, MOST_URLS = 16 << 20, 256, 100_000
+ARCHIVE_BYTES, BLOCK_LINES, MOST_URLS, MOST_BROADCAST = 16 << 20, 256, 100_000, 2_000_000
 DATE = "2024-01-01T00:00:00Z"  # the pages carry no capture time
 END = "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -200,6 +200,10 @@ def _ranges(spark: SparkSession, at: Archive, entries: DataFrame, payloads: bool
     if at.empty:
         return spark.createDataFrame([], schema)
     own = entries.groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("ranges"))
+    # archives are large and their ranges are two numbers a record: these go to the archives, which are not shuffled,
+    # as long as there are few; beyond that both sides are shuffled by archive
+    if (spark.read.parquet(at.blocks).agg(F.sum("n")).first()[0] or 0) <= MOST_BROADCAST:
+        own = F.broadcast(own)
     files = spark.read.format("binaryFile").load(at.records).select(F.col("archive").cast("int").alias("archive"), "content")
 
     def run(batches):

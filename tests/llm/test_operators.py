@@ -216,7 +216,9 @@ def test_repeated_bytes_rows_without_or_with_equal_ids(spark):
 
 
 # -- 5 ------------------------------------------------------------------------------------------------------------
-def test_warc_round_trip(spark):
+@pytest.mark.parametrize("broadcast", [warc.MOST_BROADCAST, 0])
+def test_warc_round_trip(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(warc, "MOST_BROADCAST", broadcast)
     html = ["<p>a</p>", "<p>a</p>", "", None, "x\r\n\r\ny", "WARC/1.0\r\n\r\n", "é漢" * 1000, "<p>a</p>", "big" * 50_000]
     urls = ["http://www.Example.com/a?b=1#c", "https://example.org", None, "not a url", "http://example.com:80/x y", "http://u@h.example.com/\r\nEvil: 1", "", "http://www.example.com/a?b=1", "ftp://z.example/q"]
     pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(zip(urls, html))] + [(0, urls[0], html[0]), (None, "http://n.example/", "<p>a</p>"), (None, None, "only")],
