@@ -20,7 +20,7 @@ import riskflow
 from riskflow.session import checkpoint_dir, materialize, scratch_path
 
 __all__ = ["ASCII_LOWER", "WORD", "checkpoint_dir", "materialize", "scratch_path", "documents", "fold",
-           "map_rows", "parquet", "shipped", "slices"]
+           "join_apart", "map_rows", "parquet", "shipped", "slices"]
 
 #: Words of the contracts: runs without space, tab, line feed, vertical tab, form feed or carriage return.
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -54,6 +54,18 @@ def fold(col: Column, mod: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(col.cast("string"), F.lit(""))), F.lit(mod))
 
 
+def join_apart(rows: DataFrame, groups: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``groups``, which has one row for each ``key`` (an aggregation over it).
+
+    Joined on the key itself, the aggregation and the join would share a shuffle, and then adaptive execution cannot
+    split a key that holds very many of the rows. Joined on an expression of the key, both sides are shuffled for the
+    join, and it can.
+    """
+    apart = F.bitwise_not if rows.schema[key].dataType.typeName() == "long" else F.hex
+    other = groups.withColumnRenamed(key, "_apart")
+    return rows.join(other, apart(rows[key]) == apart(other["_apart"]), how).drop("_apart")
+
+
 def slices(batch: pa.RecordBatch, rows: int = 256):
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)

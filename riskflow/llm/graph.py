@@ -1,7 +1,7 @@
 """Connected components of a table of links, as DataFrame rounds (large-star / small-star).
 
-Every round is a map-side combined minimum per node and an equi-join back, which adaptive execution splits where a
-node has very many links; nothing is gathered on the driver but two numbers a round. Rounds are cut from each other
+Every round is a map-side combined minimum per node and a join back, which adaptive execution splits where a node
+has very many links; nothing is gathered on the driver but two numbers a round. Rounds are cut from each other
 by tables in the shared checkpoint folder.
 """
 
@@ -10,18 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import materialize
+from riskflow.llm.common import join_apart, materialize
 
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    return join_apart(both.filter("v > u"), least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     least = e.groupBy("a").agg(F.min("b").alias("m"))
-    moved = e.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = join_apart(e, least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import materialize, shipped, slices
+from riskflow.llm.common import join_apart, materialize, shipped, slices
 from riskflow.llm.graph import connected_components
 
 SHINGLE, COORDINATES = 5, 64
@@ -262,7 +262,7 @@ def components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataF
     posts = classes.select("key", F.posexplode("sig").alias("i", "v")).select(
         "key", (F.shiftleft(F.col("i").cast("long"), 32) + F.col("v").cast("long")).alias("post"))
     shared = posts.groupBy("post").agg(F.count(F.lit(1)).alias("freq")).filter("freq > 1")
-    prefix = (posts.join(shared, "post").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("freq", "post"))).alias("own"))
+    prefix = (join_apart(posts, shared, "post").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("freq", "post"))).alias("own"))
               .filter(F.size("own") >= least)
               .select("key", F.slice("own", F.lit(1), F.size("own") - (least - 1)).alias("own")))
     listed = (prefix.join(classes.select("key", "sig"), "key")
@@ -274,7 +274,7 @@ def components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataF
 
     members = groups.join(classes.select(F.col("key").alias("node"), "rep", "n_shingles"), "node")
     sizes = members.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks"))
-    members = members.join(sizes, "root").select("root", "blocks", F.col("node").alias("key"), "rep")
+    members = join_apart(members, sizes, "root").select("root", "blocks", F.col("node").alias("key"), "rep")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.join(members, F.col("doc_id").eqNullSafe(F.col("rep"))).select("root", "blocks", "key", "text")
     links = _in_blocks(texts, "root", F.col("blocks")).select("root", "lo", "hi", "key", "text").mapInArrow(
@@ -283,7 +283,7 @@ def components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataF
 
     owner = classes.select("key", "rep").join(linked, "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
     ids = owner.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = owner.join(ids, "root").select("key", "component_id")
+    named = join_apart(owner, ids, "root").select("key", "component_id")
     out = base.select("doc_id", "n_shingles", "key").join(named, "key", "left")
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))

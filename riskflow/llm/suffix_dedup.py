@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import materialize, shipped, slices
+from riskflow.llm.common import join_apart, materialize, shipped, slices
 
 LENGTH, GRAM, HOT, BATCH, MOST_BROADCAST = 400, 32, 20_000, 4096, 200_000
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -230,7 +230,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     kinds = materialize(cut.groupBy("mini", "digest").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "text_key", "start", "n", "place")).alias("at")), "segment-kinds")
     crowds = kinds.groupBy("mini").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    members = kinds.join(crowds, "mini").select("at.*", "mini", "digest", "kinds")
+    members = join_apart(kinds, crowds, "mini").select("at.*", "mini", "digest", "kinds")
     members = materialize(members, "segment-members")
     normal = _fetch(docs, members.filter(F.col("kinds") <= HOT).drop("kinds"), length, False)
     marks = normal.repartition("mini").sortWithinPartitions("mini").mapInArrow(
