@@ -23,8 +23,8 @@ Offsets live in the checkpoint folder below the shared ``spark.checkpoint.dir``;
 
 from __future__ import annotations
 
+import datetime as _dt
 import hashlib
-import os
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +38,7 @@ from riskflow.streaming.messages import dead_letters, parse_messages
 
 ENRICHED_FEATURES = [*fe.CUSTOMER_FEATURES, *fe.TERMINAL_FEATURES]
 THRESHOLD = 0.5
+KEY_PART, KEY_PARTS, COMPLETE = "key_part", 32, "_COMPLETE"
 # The prediction table (typed DDL of the reference; created_at defaults to the time of the write).
 PREDICTION_SCHEMA = T.StructType([
     T.StructField("TX_ID", T.StringType()),
@@ -50,34 +51,73 @@ PREDICTION_SCHEMA = T.StructType([
 PREDICTION_COLUMNS = [f.name for f in PREDICTION_SCHEMA.fields]
 
 
+def _stored_by_key(df: DataFrame, key: str, path: str) -> None:
+    """Write a feature table in ``KEY_PARTS`` folders by the hash of its key, sorted by key."""
+    (df.withColumn(KEY_PART, _key_part(F.col(key))).repartition(KEY_PART).sortWithinPartitions(KEY_PART, key)
+     .write.partitionBy(KEY_PART).parquet(path))
+
+
+def _key_part(key):
+    return F.pmod(F.hash(key), F.lit(KEY_PARTS))
+
+
 def materialize_features(spark: SparkSession, tx: DataFrame, labels: DataFrame, as_of, path: str) -> dict:
     """Write the feature snapshot of ``as_of`` below ``path``: the per-second customer and
     terminal tables and, for each, its newest row per key (``*_latest``).
 
-    Computed once, read by every micro-batch; returns the table paths. The
-    labelled history (one scan and label join) is kept persisted only while
-    its two feature tables are written.
+    Computed once, read by every micro-batch; returns the table paths. Every
+    call writes a version folder of its own, marked when it is complete, so a
+    running stream never loses the files it reads; a stream given ``path`` itself
+    takes the newest complete version with each batch (``newest_snapshot``).
+    The tables are partitioned by a hash of their key, so that a batch reads
+    only the folders of its keys. The labelled history (one scan and label join)
+    is kept persisted only while its two feature tables are written.
     """
-    out = {k: os.path.join(path, k) for k in ("customer", "terminal", "customer_latest", "terminal_latest")}
+    version = f"{path.rstrip('/')}/version={_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S%f}"
+    out = {k: f"{version}/{k}" for k in ("customer", "terminal", "customer_latest", "terminal_latest")}
     as_of = fe.resolve_as_of(as_of)
     base = fe.labelled_recent(tx, labels, as_of).persist()
     try:
-        fe.customer_per_second(tx, labels, base=base).drop("n_tx").write.mode("overwrite").parquet(out["customer"])
-        fe.terminal_per_second(tx, labels, base=base).drop("n_tx").write.mode("overwrite").parquet(out["terminal"])
+        _stored_by_key(fe.customer_per_second(tx, labels, base=base).drop("n_tx"), "customer_id", out["customer"])
+        _stored_by_key(fe.terminal_per_second(tx, labels, base=base).drop("n_tx"), "terminal_id", out["terminal"])
     finally:
         base.unpersist()
     for kind, key in (("customer", "customer_id"), ("terminal", "terminal_id")):
-        table = spark.read.parquet(out[kind])
-        fe.latest_per_key(table, key).write.mode("overwrite").parquet(out[f"{kind}_latest"])
+        table = spark.read.parquet(out[kind]).drop(KEY_PART)
+        _stored_by_key(fe.latest_per_key(table, key), key, out[f"{kind}_latest"])
+    _files(spark, version)[0].createNewFile(_files(spark, f"{version}/{COMPLETE}")[1])
     return out
 
 
-def read_snapshot(spark: SparkSession, paths: dict) -> dict:
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's API."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def newest_snapshot(spark: SparkSession, path: str) -> dict:
+    """The table paths of the newest complete version below ``path``."""
+    fs, p = _files(spark, path)
+    versions = sorted(str(s.getPath()) for s in fs.listStatus(p) if s.isDirectory())
+    done = [v for v in versions if fs.exists(_files(spark, f"{v}/{COMPLETE}")[1])]
+    if not done:
+        raise FileNotFoundError(f"no complete feature snapshot below {path}")
+    return {k: f"{done[-1]}/{k}" for k in ("customer", "terminal", "customer_latest", "terminal_latest")}
+
+
+def read_snapshot(spark: SparkSession, paths: dict | str) -> dict:
+    """The snapshot's tables, from their paths or from the folder of all versions."""
+    if isinstance(paths, str):
+        paths = newest_snapshot(spark, paths)
     return {k: spark.read.parquet(v) for k, v in paths.items()}
 
 
 def _keys_in(batch: DataFrame, key: str, features: DataFrame, fkey: str) -> DataFrame:
+    """The feature rows of the batch's keys; of a stored snapshot, only the key folders of the batch are read."""
     keys = batch.select(F.col(key).alias(fkey)).distinct()
+    if KEY_PART in features.columns:
+        parts = [r[0] for r in keys.select(_key_part(F.col(fkey))).distinct().collect()]  # at most KEY_PARTS numbers
+        features = features.where(F.col(KEY_PART).isin(parts)).drop(KEY_PART)
     return features.join(keys, fkey, "left_semi")
 
 

@@ -170,3 +170,16 @@ def test_failed_batch_is_replayed_without_duplicates(spark, monkeypatch):
     assert out.count() == expected
     assert out.select("TX_ID").distinct().count() == expected
     assert sorted(r[0] for r in out.select("batch_id").distinct().collect()) == [0, 1, 2]
+
+
+def test_refreshed_snapshot_is_taken_and_the_old_one_stays(spark):
+    tx, lb = load_fixture(spark, SF_SMALL)
+    path = scratch_path(spark, "feat")
+    old = sc.materialize_features(spark, tx, lb, "2024-01-10 00:00:00", path)
+    before = sc.read_snapshot(spark, old)["customer"].count()
+    new = sc.materialize_features(spark, tx, lb, SNAP, path)
+    assert sc.newest_snapshot(spark, path)["customer"].endswith(new["customer"].split("/riskflow/")[-1])
+    assert sc.read_snapshot(spark, old)["customer"].count() == before  # a running stream's files are still there
+    one = tx.limit(1)
+    plan = sc._keys_in(one, "CUSTOMER_ID", sc.read_snapshot(spark, path)["customer"], "customer_id")
+    assert "PartitionFilters: [isnotnull(key_part" in plan._jdf.queryExecution().executedPlan().toString() or "key_part#" in plan._jdf.queryExecution().executedPlan().toString()
