@@ -28,7 +28,7 @@ from riskflow.llm.common import fold, map_rows, shipped, slices
 
 BINS = 1 << 14
 UND = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile("[A-Za-z]")
 
 # Bytes that stay (ASCII letters, and all bytes of non-ASCII characters); everything else becomes a space.
 _KEEP = np.full(256, 32, np.uint8)
@@ -58,7 +58,7 @@ def vector(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    return bool(text) and (_LETTER.search(text) is not None or any(map(str.isalpha, text)))
 
 
 @dataclass
