@@ -1,7 +1,7 @@
 """Connected components of a table of links, as DataFrame rounds (large-star / small-star).
 
 Every round is a map-side combined minimum per node and a join back, which adaptive execution splits where a node
-has very many links; nothing is gathered on the driver but two numbers a round. Rounds are cut from each other
+has very many links; nothing is gathered on the driver but whether a round was the last. Rounds are cut from each other
 by tables in the shared checkpoint folder.
 """
 
@@ -29,14 +29,14 @@ def connected_components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     """node, root (the smallest node reachable) for every node that ``links`` (a, b) mention; null ends are dropped."""
     e = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = materialize(e, "components")
-    state = None
     for _ in range(most_rounds):
         e = materialize(_small_star(_large_star(e)), "components")
-        now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == state:
+        # done when every node hangs on one root, and no root on another
+        ends = e.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            e.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if not ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or up > 0 and down > 0").head(1):
             break
-        state = now
     else:
-        raise RuntimeError(f"no fixed point after {most_rounds} rounds")
+        raise RuntimeError(f"not all components found after {most_rounds} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
