@@ -34,6 +34,8 @@ from riskflow.llm.graph import connected_components
 
 SHINGLE, COORDINATES = 5, 64
 BLOCK, BLOCK_SHINGLES = 4096, 2_000_000
+#: Small sides of up to so many rows (under 100 bytes and 16 bytes each) are broadcast; larger ones are joined by shuffle.
+MOST_MEMBERS, MOST_IDS = 200_000, 2_000_000
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -276,6 +278,9 @@ def components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataF
     sizes = members.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks"))
     members = join_apart(members, sizes, "root").select("root", "blocks", F.col("node").alias("key"), "rep")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    members = materialize(members, "members")
+    if members.count() <= MOST_MEMBERS:  # a size check: then no text is shuffled for the look-up
+        members = F.broadcast(members)
     texts = texts.join(members, F.col("doc_id").eqNullSafe(F.col("rep"))).select("root", "blocks", "key", "text")
     links = _in_blocks(texts, "root", F.col("blocks")).select("root", "lo", "hi", "key", "text").mapInArrow(
         _confirmed_links(percent, size), "a binary, b binary")
@@ -298,6 +303,8 @@ def representatives(docs: DataFrame, percent: int = 80, size: int = SHINGLE) ->
     verdicts = components(docs, percent, size).filter("kept and doc_id is not null")
     ids = materialize(verdicts.groupBy(F.col("doc_id").alias("_near_id")).agg(F.count(F.lit(1)).alias("_near_n")), "kept")
     own = [F.col(f"`{c}`") for c in docs.columns]
+    if ids.count() <= MOST_IDS:
+        ids = F.broadcast(ids)
     rows = docs.join(ids, F.col("doc_id").cast("long") == F.col("_near_id"))
     out = rows.filter("_near_n = 1").select(*own)
     if ids.filter("_near_n > 1").head(1):
