@@ -1,10 +1,10 @@
 """WARC archives with a two-level capture index (operator 5).
 
 Writing: every page becomes a WARC record: the response with the page's payload, or, where the same payload has been
-captured under a smaller page_id, a revisit record that refers to it. Records are dealt by hash into archives of
-about ``archive_bytes`` and written by Spark's text writer (a record ends with CR LF CR LF, the writer's line
-separator), so archives can be in any store that Spark writes to. Offsets are running sums of the record lengths in
-the order in which the records of an archive are sorted and written.
+captured under a smaller page_id, a revisit record that refers to it. Every task writes its records to archives of
+up to ``archive_records`` records with Spark's text writer (a record ends with CR LF CR LF, the writer's line
+separator), so archives can be in any store that Spark writes to, and payloads are not shuffled. The index is made
+from the archives: each is walked once, record by record.
 
 Index: a line per record (reversed-host URL key, page_id, archive, offset, length), sorted by key over range
 partitions and cut into compressed blocks of ``BLOCK_LINES`` lines; the sparse directory has the first and last key of
@@ -29,17 +29,15 @@ from dataclasses import dataclass
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskflow.llm.common import materialize, scratch_path, shipped
 
-ARCHIVE_BYTES, BLOCK_LINES, MOST_URLS, MOST_BROADCAST = 16 << 20, 256, 100_000, 2_000_000
+ARCHIVE_RECORDS, BLOCK_LINES, MOST_URLS, MOST_BROADCAST = 4096, 256, 100_000, 2_000_000
 DATE = "2024-01-01T00:00:00Z"  # the pages carry no capture time
 END = "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_ORDER = ["archive", "page_id", "url", "digest"]
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -70,7 +68,6 @@ class Archive:
     records: str
     blocks: str
     directory: str
-    empty: bool = False
 
 
 def _uuid(page_id: Column) -> Column:
@@ -78,13 +75,15 @@ def _uuid(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *(F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))), F.lit(">"))
 
 
-def _records(pages: DataFrame, archives: int, least_revisit: int) -> DataFrame:
-    """archive, page_id, url, digest, key, head (all before the payload), payload (empty for revisits)."""
+def _records(pages: DataFrame, least_revisit: int) -> DataFrame:
+    """value: the text of each record, without the end that all records have."""
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), clean_url(F.col("url")).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", base32_sha1(F.col("payload").cast("binary"))).withColumn("bytes", F.octet_length("payload").cast("long"))
     twice = materialize(rows.filter(F.col("bytes") >= least_revisit).groupBy("digest").agg(
         F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "payloads")
+    if twice.count() <= MOST_BROADCAST:  # two numbers each; beyond it the payloads are shuffled by digest
+        twice = F.broadcast(twice)
     rows = rows.join(twice, "digest", "left")
     again = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
@@ -99,30 +98,48 @@ def _records(pages: DataFrame, archives: int, least_revisit: int) -> DataFrame:
         F.lit("WARC/1.0\r\nWARC-Type: revisit\r\n"), common, line("WARC-Profile", F.lit(REVISIT_PROFILE)),
         line("WARC-Refers-To", _uuid(F.col("first_id"))), line("X-Refers-To-Page", F.col("first_id").cast("string")),
         line("X-Payload-Length", F.col("bytes").cast("string")), F.lit("Content-Length: 0" + END))
-    return rows.select(
-        F.pmod(F.xxhash64("page_id", "url", "digest"), F.lit(archives)).cast("int").alias("archive"), "page_id", "url", "digest",
-        url_key(F.col("url")).alias("key"), F.when(again, revisit).otherwise(response).alias("head"), F.when(again, "").otherwise(F.col("payload")).alias("payload"))
+    return rows.select(F.when(again, revisit).otherwise(F.concat(response, F.col("payload"))).alias("value"))
 
 
-def write(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES, least_revisit: int = 0) -> Archive:
+def write(pages: DataFrame, archive_records: int = ARCHIVE_RECORDS, least_revisit: int = 0) -> Archive:
     """Write archives and index below the shared folder."""
     spark = shipped(pages).sparkSession
-    size = pages.select(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)).cast("long") + 600)).first()[0]
-    archives = max(1, -(-(size or 0) // archive_bytes))
-    records = _records(pages, archives, least_revisit)
-    at = Archive(*(scratch_path(spark, f"warc-{x}") for x in ("records", "blocks", "directory")), empty=size is None)
-    (records.select(*_ORDER, F.concat("head", "payload").alias("value")).repartition(archives, "archive")
-     .sortWithinPartitions(*_ORDER).select("archive", "value")
-     .write.partitionBy("archive").option("lineSep", END).text(at.records))
-
-    length = (F.octet_length("head") + F.octet_length("payload")).cast("long")
-    before = W.partitionBy("archive").orderBy(*_ORDER[1:]).rowsBetween(W.unboundedPreceding, -1)
-    lines = (records.select(*_ORDER, "key", length.alias("length"))
-             .withColumn("offset", F.coalesce(F.sum(F.col("length") + len(END)).over(before), F.lit(0))))
-    _write_index(lines, at)
+    at = Archive(*(scratch_path(spark, f"warc-{x}") for x in ("records", "blocks", "directory")))
+    _records(pages, least_revisit).write.option("lineSep", END).option("maxRecordsPerFile", archive_records).text(at.records)
+    lines = _files(spark, at).mapInArrow(_walk, "url string, page_id long, archive string, offset long, length long")
+    _write_index(lines.withColumn("key", url_key(F.col("url"))), at)
     return at
 
 
+def _files(spark: SparkSession, at: Archive) -> DataFrame:
+    """archive (file name), content."""
+    return spark.read.format("binaryFile").load(at.records).select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
+
+
+def _walk(batches):
+    """Where the records of whole archives are."""
+    end, types = END.encode(), (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+    for batch in batches:
+        for archive, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            text, at, out = content.as_py(), 0, []
+            while at < len(text):
+                body = text.index(end, at) + len(end)
+                h = _headers(text[at:body - len(end)])
+                length = body - at + int(h["Content-Length"])
+                page = h.get("X-Page-Id")
+                out.append((h["WARC-Target-URI"], None if page is None else int(page), archive, at, length))
+                at += length + len(end)
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(types)],
+                                             names=["url", "page_id", "archive", "offset", "length"])
+
+
+def _headers(head: bytes) -> dict:
+    first, *rest = head.decode().split("\r\n")
+    if first != "WARC/1.0":
+        raise ValueError("not a WARC record")
+    return dict(x.split(": ", 1) for x in rest)
+
+
 def _write_index(lines: DataFrame, at: Archive) -> None:
     """Sorted lines -> compressed blocks, and their first and last keys."""
     def pack(batches):
@@ -151,7 +168,7 @@ def _write_index(lines: DataFrame, at: Archive) -> None:
     spark.read.parquet(at.blocks).select("part", "block", "first_key", "last_key").write.parquet(at.directory)
 
 
-_ENTRY = "key string, archive int, offset long, length long"
+_ENTRY = "key string, archive string, offset long, length long"
 
 
 def _opened(blocks: DataFrame, wanted: set | None = None) -> DataFrame:
@@ -166,16 +183,15 @@ def _opened(blocks: DataFrame, wanted: set | None = None) -> DataFrame:
                     rows = [r for k in sorted(wanted) for r in rows[bisect_left(keys, k):bisect_right(keys, k)]]
                 out += rows
             df = pd.DataFrame(out, columns=["key", "archive", "offset", "length"])
-            yield df.astype({"archive": "int32", "offset": "int64", "length": "int64"})
+            yield df.astype({"archive": object, "offset": "int64", "length": "int64"})
     return blocks.select("data").mapInPandas(run, _ENTRY)
 
 
 def parse(record: bytes) -> dict:
     """The fields of one record; raises if its length or its digest is not what it says."""
     head, _, block = record.partition(b"\r\n\r\n")
-    first, *rest = head.decode().split("\r\n")
-    h = dict(x.split(": ", 1) for x in rest)
-    if first != "WARC/1.0" or int(h["Content-Length"]) != len(block):
+    h = _headers(head)
+    if int(h["Content-Length"]) != len(block):
         raise ValueError("not a whole WARC record")
     digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
     kind, page = h["WARC-Type"], h.get("X-Page-Id")
@@ -197,14 +213,11 @@ def _ranges(spark: SparkSession, at: Archive, entries: DataFrame, payloads: bool
     if payloads:
         fields.append(("payload", pa.binary()))
         schema += ", payload binary"
-    if at.empty:
-        return spark.createDataFrame([], schema)
     own = entries.groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("ranges"))
     # archives are large and their ranges are two numbers a record: these go to the archives, which are not shuffled,
     # as long as there are few; beyond that both sides are shuffled by archive
     if (spark.read.parquet(at.blocks).agg(F.sum("n")).first()[0] or 0) <= MOST_BROADCAST:
         own = F.broadcast(own)
-    files = spark.read.format("binaryFile").load(at.records).select(F.col("archive").cast("int").alias("archive"), "content")
 
     def run(batches):
         for batch in batches:
@@ -214,7 +227,7 @@ def _ranges(spark: SparkSession, at: Archive, entries: DataFrame, payloads: bool
                     rows = [parse(content.slice(r["offset"], r["length"]).to_pybytes()) for r in ranges[i:i + 500]]
                     yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in fields], names=[n for n, _ in fields])
 
-    return files.join(own, "archive").select("content", "ranges").mapInArrow(run, schema)
+    return _files(spark, at).join(own, "archive").select("content", "ranges").mapInArrow(run, schema)
 
 
 def read(spark: SparkSession, at: Archive, payloads: bool = False) -> DataFrame:

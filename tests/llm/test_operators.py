@@ -223,7 +223,7 @@ def test_warc_round_trip(spark, monkeypatch, broadcast):
     urls = ["http://www.Example.com/a?b=1#c", "https://example.org", None, "not a url", "http://example.com:80/x y", "http://u@h.example.com/\r\nEvil: 1", "", "http://www.example.com/a?b=1", "ftp://z.example/q"]
     pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(zip(urls, html))] + [(0, urls[0], html[0]), (None, "http://n.example/", "<p>a</p>"), (None, None, "only")],
                                   "page_id long, url string, html string").withColumn("digest", F.lit("x")).withColumn("archive", F.lit(3))
-    at = warc.write(pages, archive_bytes=4000)
+    at = warc.write(pages, archive_records=3)
     out = rows(warc.read(spark, at, payloads=True))
     assert len(out) == 12
     first = {}
