@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import map_rows
 
 #: Pre-tokens remembered per task (those of up to CACHED_LENGTH characters); the memory is emptied when full.
-CACHE, CACHED_LENGTH = 200_000, 64
+CACHE, CACHED_LENGTH = 50_000, 32
 
 
 def byte_characters() -> list[str]:

@@ -66,7 +66,7 @@ def join_apart(rows: DataFrame, groups: DataFrame, key: str, how: str = "inner")
     return rows.join(other, apart(rows[key]) == apart(other["_apart"]), how).drop("_apart")
 
 
-def slices(batch: pa.RecordBatch, rows: int = 256):
+def slices(batch: pa.RecordBatch, rows: int = 64):
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 
