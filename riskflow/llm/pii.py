@@ -2,14 +2,17 @@
 
 Base: e-mail addresses, IP addresses, card numbers and phone numbers are found with their positions (code points).
 Method: each found value is a protected entity. Over the whole corpus it is counted in how many documents an entity
-occurs, in how many a term, and in how many a term stands within ``CONTEXT`` characters of the entity. A term tells
-PMI(term; entity) = log(N n(term, entity) / (n(term) n(entity))) of the entity's information IC = log(N / n(entity)).
-A term that tells at least ``disclose`` of it is a span of kind ``term`` wherever it stands in the entity's context;
-it is generalised to a placeholder, or removed where it tells at least ``remove``. An entity must occur in
-``support`` documents, together with the term, for there to be evidence. Base spans always stay.
-
-No shuffle carries texts: spans and contexts are found in one projection, and counts are combined map-side. A text's
-contexts are kept once for all its copies (with their number), so groups of copies do not make hot keys.
+occurs, in how many a term, and in how many both do, wherever they stand; words inside base spans are no terms of their
+document. A term tells PMI(term; entity) = log(N n(term, entity) / (n(term) n(entity))) of the entity's information
+IC = log(N / n(entity)). A term that tells at least ``disclose`` of some entity is a span of kind ``term`` wherever it
+stands in the corpus outside base spans, in documents without base spans too; it is generalised to a placeholder, or
+removed where it tells at least ``remove``. An entity must occur in ``support`` documents, together with the term, for
+there to be evidence. Base spans always stay.
+
+As n(term, entity) is at most n(entity), a term in over n(entity) (N / n(entity))^(1 - disclose) documents cannot tell
+enough: such pairs are left out before they are counted, with the same result. Counts are combined map-side; terms and
+entities of up to ``MOST_BROADCAST`` rows go to the documents, beyond that both sides are shuffled. No text is shuffled
+for ``detect``.
 
 Patterns are the contract's, written so that Java's engine does not backtrack or recurse over long runs: possessive
 where the next character cannot belong to the run, and starting only at the start of a run.
@@ -27,7 +30,8 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT, SUPPORT, DISCLOSE, REMOVE, MOST_BROADCAST = 48, 3, 0.9, 0.99, 200_000
+SUPPORT, DISCLOSE, REMOVE, MOST_BROADCAST = 3, 0.9, 0.99, 200_000
+RUN = 128  # matches whose positions are added up at a time
 
 # Kind -> (a cheap test, the pattern). \G is the end of the match before: a run may start there.
 _PATTERNS = {
@@ -40,18 +44,38 @@ _TERM = r"\p{L}++"
 _NO_SPANS = "cast(array() as array<struct<s:int,e:int,v:string>>)"
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def found(text: Column, pattern: str) -> Column:
-    """array<struct<s, e, v>>: leftmost non-overlapping matches with their positions (end exclusive)."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """array<struct<s, e, v>>: leftmost non-overlapping matches with their positions (end exclusive). Positions are
+    added up in runs, as an array that grows by one match at a time costs the square of its length."""
     gaps = F.split(text, pattern, -1)
-    start = lambda acc, x: acc["at"] + F.length(x["gap"])
+    start = lambda acc, x: acc["at"] + x["gap"]
     end = lambda acc, x: start(acc, x) + F.length(x["hit"])
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    return F.aggregate(
-        pairs, F.struct(F.lit(0).alias("at"), F.expr(_NO_SPANS).alias("out")),
-        lambda acc, x: F.struct(end(acc, x).alias("at"), F.concat(acc["out"], F.array(F.struct(
-            start(acc, x).alias("s"), end(acc, x).alias("e"), x["hit"].alias("v")))).alias("out")),
-        lambda acc: acc["out"])
+
+    def in_runs(pairs):
+        return F.transform(F.sequence(F.lit(0), F.floor(F.size(pairs) / RUN).cast("int")), lambda i: F.slice(pairs, i * RUN + 1, F.lit(RUN)))
+
+    def starts(runs):
+        lengths = F.transform(runs, lambda run: F.aggregate(run, F.lit(0), lambda acc, x: acc + x["gap"] + F.length(x["hit"])))
+        return F.aggregate(
+            lengths, F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out")),
+            lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"])
+
+    def placed(run, at):
+        return F.aggregate(
+            run, F.struct(at.alias("at"), F.expr(_NO_SPANS).alias("out")),
+            lambda acc, x: F.struct(end(acc, x).alias("at"), F.concat(acc["out"], F.array(F.struct(
+                start(acc, x).alias("s"), end(acc, x).alias("e"), x["hit"].alias("v")))).alias("out")),
+            lambda acc: acc["out"])
+
+    pairs = _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda hits: F.zip_with(
+        F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, h: F.struct(F.length(g).alias("gap"), h.alias("hit"))))
+    return _let(_let(pairs, in_runs), lambda runs: F.flatten(F.zip_with(runs, starts(runs), placed)))
 
 
 def _digits(v: Column) -> Column:
@@ -100,61 +124,85 @@ def _entity(x: Column) -> Column:
     return F.concat(x["kind"], F.lit(":"), F.when(x["kind"].isin("card", "phone"), _digits(x["v"])).otherwise(F.lower(x["v"])))
 
 
-def contexts(text: Column, spans: Column) -> Column:
-    """array<struct<entity, terms>>: the whole words within ``CONTEXT`` characters left and right of each span,
-    up to the neighbouring spans."""
-    n = F.length(text)
+def _outside(text: Column, spans: Column) -> Column:
+    """array<struct<lo, hi>>: the stretches of the text between its base spans."""
+    none = F.expr("cast(array() as array<struct<lo:int,hi:int>>)")
+    stretch = lambda lo, hi: F.array(F.struct(lo.alias("lo"), F.greatest(lo, hi).alias("hi")))
+    return F.aggregate(
+        spans, F.struct(F.lit(0).alias("at"), none.alias("out")),
+        lambda acc, x: F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.concat(acc["out"], stretch(acc["at"], x["s"])).alias("out")),
+        lambda acc: F.concat(acc["out"], stretch(acc["at"], F.length(text))))
+
+
+def _part(text: Column, x: Column) -> Column:
+    return F.substr(text, x["lo"] + 1, x["hi"] - x["lo"])
+
+
+def _distinct_terms(words: Column) -> Column:
+    return F.array_distinct(F.transform(F.array_distinct(words), F.lower))
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_TERM), F.lit(0))
+
+
+def terms_at(text: Column, spans: Column) -> Column:
+    """array<struct<s, e, term>>: all words outside the base spans."""
+    return F.flatten(F.transform(_outside(text, spans), lambda x: F.transform(found(_part(text, x), _TERM), lambda t: F.struct(
+        (t["s"] + x["lo"]).alias("s"), (t["e"] + x["lo"]).alias("e"), F.lower(t["v"]).alias("term")))))
 
-    def around(x, i):
-        before = F.coalesce(F.get(spans, i - 1)["e"], F.lit(0))
-        after = F.coalesce(F.get(spans, i + 1)["s"], n)
-        lo = F.least(x["s"], F.greatest(before, x["s"] - CONTEXT))
-        hi = F.greatest(x["e"], F.least(after, x["e"] + CONTEXT))
-        left, right = F.substr(text, lo + 1, x["s"] - lo), F.substr(text, x["e"] + 1, hi - x["e"])
-        # a word that touches the cut may go on beyond it
-        whole_left = F.filter(found(left, _TERM), lambda t: (t["s"] > 0) | (lo == before))
-        whole_right = F.filter(found(right, _TERM), lambda t: (t["e"] < hi - x["e"]) | (hi == after))
-        move = lambda terms, by: F.transform(terms, lambda t: F.struct((t["s"] + by).alias("s"), (t["e"] + by).alias("e"), F.lower(t["v"]).alias("v")))
-        return F.struct(_entity(x).alias("entity"), F.concat(move(whole_left, lo), move(whole_right, x["e"])).alias("terms"))
 
-    return F.transform(spans, around)
+def _with_spans(docs: DataFrame, *columns) -> DataFrame:
+    return docs.select(*columns, F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("spans", base_spans(F.col("text")))
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, spans, and for rows with spans: text_key and contexts. One projection over the texts."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("spans", base_spans(F.col("text")))
-    some = F.size("spans") > 0
-    return rows.select("doc_id", "spans", F.when(some, F.md5(F.col("text").cast("binary"))).alias("text_key"),
-                       F.when(some, contexts(F.col("text"), F.col("spans"))).alias("contexts"))
+    """doc_id, spans, text_key, and for rows with spans: entities and terms. One projection over the texts."""
+    text, some = F.col("text"), F.size("spans") > 0
+    terms = _distinct_terms(F.flatten(F.transform(_outside(text, F.col("spans")), lambda x: _words(_part(text, x)))))
+    return _with_spans(docs, F.col("doc_id").cast("long").alias("doc_id")).select(
+        "doc_id", "spans", F.md5(text.cast("binary")).alias("text_key"),
+        F.when(some, F.array_distinct(F.transform("spans", _entity))).alias("entities"), F.when(some, terms).alias("terms"))
 
 
-def _term_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """term, n_term: in how many documents each of the ``wanted`` terms occurs, over all documents."""
-    terms = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term"))
-    if wanted.count() <= MOST_BROADCAST:  # its size is checked; more terms are counted first and joined then
-        return terms.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "term", "left_semi")
+def _sent(df: DataFrame) -> DataFrame:
+    """``df``, broadcast if its size, which is checked, allows it."""
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
 
 def disclosing_terms(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT, disclose: float = DISCLOSE) -> DataFrame:
-    """text_key, terms array<struct<s, k, e, kind, v, told>>: the disclosing terms in the contexts of each text."""
-    total = docs.count()
-    texts = scanned.filter("text_key is not null").groupBy("text_key").agg(
-        F.first("contexts").alias("contexts"), F.count(F.lit(1)).alias("copies"))
-    seen = texts.select("text_key", "copies", F.explode("contexts").alias("c")).select("text_key", "copies", "c.entity", "c.terms")
-    entities = seen.dropDuplicates(["text_key", "entity"]).groupBy("entity").agg(F.sum("copies").alias("n_entity")).filter(F.col("n_entity") >= support)
-    places = seen.select("text_key", "copies", "entity", F.explode("terms").alias("t")).select("text_key", "copies", "entity", "t.s", "t.e", F.col("t.v").alias("term"))
-    pairs = (places.select("text_key", "copies", "entity", "term").distinct().groupBy("entity", "term")
-             .agg(F.sum("copies").alias("n_both")).filter(F.col("n_both") >= support).join(entities, "entity"))
-    pairs = materialize(pairs, "pairs")
-    told = pairs.join(_term_counts(docs, materialize(pairs.select("term").distinct(), "terms")), "term")
-    ic = F.log(F.lit(float(total)) / F.col("n_entity"))
-    pmi = F.log(F.lit(float(total)) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    told = told.filter(ic > 0).select("entity", "term", (pmi / ic).alias("told")).filter(F.col("told") >= disclose)
-    spans = places.join(told, ["entity", "term"]).groupBy("text_key", "s", "e", "term").agg(F.max("told").alias("told"))
-    return spans.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct(
-        "s", F.lit(len(KINDS)).alias("k"), "e", F.lit("term").alias("kind"), F.col("term").alias("v"), "told"))).alias("terms"))
+    """term, told: the terms that tell at least ``disclose`` of an entity, and the most they tell of one."""
+    total = float(docs.count())
+    count = F.count(F.lit(1))
+    entities = materialize(scanned.select(F.explode("entities").alias("entity")).groupBy("entity").agg(count.alias("n_entity"))
+                           .filter((F.col("n_entity") >= support) & (F.col("n_entity") < total)), "entities")
+    most = lambda n: n * F.pow(F.lit(total) / n, F.lit(1 - disclose)) * (1 + 1e-9)
+    largest = entities.agg(F.max(most(F.col("n_entity")))).first()[0] or 0.0
+    counted = docs.select(F.explode(_distinct_terms(_words(F.col("text")))).alias("term")).groupBy("term").agg(count.alias("n_term"))
+    counted = materialize(counted.filter(F.col("n_term").between(support, largest)), "terms")
+    pairs = (scanned.select("terms", F.explode("entities").alias("entity")).join(_sent(entities), "entity")
+             .select("entity", "n_entity", F.explode("terms").alias("term")).join(_sent(counted), "term")
+             .filter(F.col("n_term") <= most(F.col("n_entity")))
+             .groupBy("entity", "term", "n_entity", "n_term").agg(count.alias("n_both")).filter(F.col("n_both") >= support))
+    ic = F.log(F.lit(total) / F.col("n_entity"))
+    pmi = F.log(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    told = pairs.select("term", (pmi / ic).alias("told")).filter(F.col("told") >= disclose)
+    return materialize(told.groupBy("term").agg(F.max("told").alias("told")), "disclosing")
+
+
+def term_spans(docs: DataFrame, told: DataFrame) -> DataFrame:
+    """text_key, terms array<struct<s, k, e, kind, told>>: the disclosing terms of each text that has some."""
+    words = _with_spans(docs).select(F.md5(F.col("text").cast("binary")).alias("text_key"), F.explode(terms_at(F.col("text"), F.col("spans"))).alias("w"))
+    spans = words.select("text_key", "w.s", "w.e", "w.term").join(_sent(told), "term")
+    # a set: copies of a text share its row
+    return materialize(spans.groupBy("text_key").agg(F.sort_array(F.collect_set(F.struct(
+        "s", F.lit(len(KINDS)).alias("k"), "e", F.lit("term").alias("kind"), "told"))).alias("terms")), "term-spans")
+
+
+def _few(marks: DataFrame) -> DataFrame:
+    """Term spans by text, broadcast if they are few, so that what they are joined with is not shuffled."""
+    n = marks.agg(F.sum(F.size("terms"))).first()[0] or 0
+    return F.broadcast(marks) if n <= MOST_BROADCAST else marks
 
 
 def _count(kind: str) -> Column:
@@ -164,30 +212,26 @@ def _count(kind: str) -> Column:
 def detect(docs: DataFrame, support: int = SUPPORT, disclose: float = DISCLOSE) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: one row per row of ``docs``."""
     scanned = materialize(scan(docs), "pii")
-    terms = disclosing_terms(docs, scanned, support, disclose)
-    found_terms = scanned.filter("text_key is not null").join(terms, "text_key", "left")
+    marks = term_spans(docs, disclosing_terms(docs, scanned, support, disclose))
+    rows = scanned.select("doc_id", "spans", "text_key").join(_few(marks), "text_key", "left")
     drop = lambda spans: F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), x["kind"].alias("kind")))
     every = F.when(F.col("terms").isNull(), _joined(F.col("spans"))).otherwise(
         _joined(F.sort_array(F.concat(drop(F.col("spans")), drop(F.col("terms"))))))
-    counts = [_count(k) for k in KINDS]
     base = F.sha2(_joined(F.col("spans")).cast("binary"), 256).alias("base_sha256")
-    some = found_terms.select("doc_id", *counts, base, every.alias("spans"))
-    none = scanned.filter("text_key is null").select("doc_id", *counts, base, F.lit("").alias("spans"))
-    return some.unionByName(none)
+    return rows.select("doc_id", *(_count(k) for k in KINDS), base, every.alias("spans"))
 
 
 def sanitise(docs: DataFrame, support: int = SUPPORT, disclose: float = DISCLOSE, remove: float = REMOVE) -> DataFrame:
     """``docs`` with its base spans replaced by [EMAIL], [IP], [CARD], [PHONE], disclosing terms by [TERM], or by
     nothing where they tell at least ``remove``. All rows and columns stay; n_chars, if there, follows the text."""
     scanned = materialize(scan(docs), "pii")
-    terms = materialize(disclosing_terms(docs, scanned, support, disclose), "pii-terms")
+    marks = term_spans(docs, disclosing_terms(docs, scanned, support, disclose))
     text = F.col("text")
-    own = base_spans(F.coalesce(text, F.lit("")))
     key = "_pii_text_key"
-    rows = docs.withColumn("_pii_spans", own)
-    clean = rows.filter(F.size("_pii_spans") == 0).select(*(F.col(f"`{c}`") for c in docs.columns))
-    told = terms.select(F.col("text_key").alias(key), F.col("terms").alias("_pii_terms"))
-    some = rows.filter(F.size("_pii_spans") > 0).withColumn(key, F.md5(text.cast("binary"))).join(told, key, "left")
+    told = _few(marks.select("text_key", "terms")).select(F.col("text_key").alias(key), F.col("terms").alias("_pii_terms"))
+    rows = docs.withColumn(key, F.md5(F.coalesce(text, F.lit("")).cast("binary"))).join(told, key, "left").withColumn(
+        "_pii_spans", base_spans(F.coalesce(text, F.lit(""))))
+    some = (F.size("_pii_spans") > 0) | F.col("_pii_terms").isNotNull()
     base = F.transform("_pii_spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")).alias("to")))
     more = F.coalesce(F.transform("_pii_terms", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.when(x["told"] >= remove, "").otherwise("[TERM]").alias("to"))),
                       F.expr("cast(array() as array<struct<s:int,e:int,to:string>>)"))
@@ -196,8 +240,7 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, disclose: float = DISCLOSE
         lambda acc, x: F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], F.concat(
             acc["out"], F.substr(text, acc["at"] + 1, x["s"] - acc["at"]), x["to"])).otherwise(acc["out"]).alias("out")),
         lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))))
-    some = some.withColumn("text", new).select(*(F.col(f"`{c}`") for c in docs.columns))
-    out = clean.unionByName(some)
+    out = rows.withColumn("text", F.when(some, new).otherwise(text)).select(*(F.col(f"`{c}`") for c in docs.columns))
     if dict(docs.dtypes).get("n_chars") in ("bigint", "int"):
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return out

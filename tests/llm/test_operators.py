@@ -488,3 +488,27 @@ def test_disclosing_terms(spark):
     for i in range(6):
         assert "bob@x.org" not in clean[i]["text"] and "zorblatt" not in clean[i]["text"] and "[EMAIL]" in clean[i]["text"] and clean[i]["n_chars"] == len(clean[i]["text"])
     assert all(clean[i]["text"] == texts[i] for i in range(6, 96))
+
+
+def test_disclosing_terms_anywhere(spark, monkeypatch):
+    rng = random.Random(16)
+    far = [f"zorblatt {prose(rng, 400)} bob@x.org {prose(rng, 300)} Zorblatt {i}" for i in range(6)]
+    alone = f"{prose(rng, 20)} ZORBLATT {prose(rng, 20)}"
+    texts = [*far, alone, *(prose(rng, 60) for _ in range(60))]
+    docs = table(spark, texts)
+    for most in (pii.MOST_BROADCAST, 0):
+        monkeypatch.setattr(pii, "MOST_BROADCAST", most)
+        got, clean = by_id(pii.op10(docs)), by_id(pii.sanitise(docs))
+        for i, t in enumerate(texts):
+            want = sorted([(m.start(), "term", m.end()) for m in re.finditer("zorblatt", t, re.I)] + [(m.start(), "email", m.end()) for m in re.finditer("bob@x.org", t)])
+            assert got[i]["spans"] == ",".join(f"{k}:{a}:{b}" for a, k, b in want)
+            assert "zorblatt" not in clean[i]["text"].lower() and "bob@" not in clean[i]["text"]
+        assert all(clean[i]["text"] == texts[i] for i in range(7, len(texts)))
+
+
+def test_positions_over_many_runs(spark):
+    rng = random.Random(17)
+    texts = ["", "a", "漢 🙂 b", *(" ".join(rng.choice(["ab", "é", "🙂", "漢字", "1"]) for _ in range(n)) for n in (127, 128, 129, 700))]
+    df = table(spark, texts).select("doc_id", pii.found(F.col("text"), pii._TERM).alias("w"))
+    for r in rows(df):
+        assert [(x["s"], x["e"], x["v"]) for x in r["w"]] == [(m.start(), m.end(), m.group()) for m in re.finditer(r"[^\W\d_]+", texts[r["doc_id"]])]
