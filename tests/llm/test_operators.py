@@ -352,6 +352,21 @@ def test_quality_counts_and_verdicts(spark):
     assert quality.op8(docs, labels.limit(0)).count() == 153
 
 
+def test_forest_range_and_fallback_are_those_of_all_rows(spark, monkeypatch):
+    rng = random.Random(18)
+    docs = table(spark, [prose(rng, rng.randint(60, 300)) for _ in range(300)] + ["#" * 5000 + " " + prose(rng, 80)])
+    boxes, fit = [], quality.IsolationForest.fit
+    monkeypatch.setattr(quality.IsolationForest, "fit", lambda self, x, low, high: boxes.append((low, high)) or fit(self, x, low, high))
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    sampled = quality._sampled
+    monkeypatch.setattr(quality, "_sampled", lambda df, n, total: sampled(df, n, total).filter("doc_id < 300"))  # the odd row is not sampled
+    forest, cut = quality.fit(docs, labels, sample=100)
+    every = np.array([quality.statistics(r["text"])[1] for r in docs.collect()])
+    assert np.array_equal(boxes[0][0], every.min(axis=0)) and np.array_equal(boxes[0][1], every.max(axis=0))
+    scores = forest.score(every)
+    assert np.argmax(scores) == 300 and cut in scores and (scores > cut).sum() <= 0.02 * len(scores) < (scores >= cut).sum()
+
+
 def test_isolation_paths_are_shorter_for_outliers():
     rng = np.random.default_rng(0)
     x = np.vstack([rng.normal(size=(500, 3)), [[9.0, 9, 9]]])
