@@ -11,8 +11,8 @@ there to be evidence. Base spans always stay.
 
 As n(term, entity) is at most n(entity), a term in over n(entity) (N / n(entity))^(1 - disclose) documents cannot tell
 enough: such pairs are left out before they are counted, with the same result. Counts are combined map-side; terms and
-entities of up to ``MOST_BROADCAST`` rows go to the documents, beyond that both sides are shuffled. No text is shuffled
-for ``detect``.
+entities of up to ``MOST_BROADCAST`` rows go to the documents, beyond that both sides are shuffled. Positions are
+taken only in texts that have a disclosing term; texts are shuffled only where over ``MOST_BROADCAST`` have one.
 
 Patterns are the contract's, written so that Java's engine does not backtrack or recurse over long runs: possessive
 where the next character cannot belong to the run, and starting only at the start of a run.
@@ -31,7 +31,7 @@ from riskflow.llm.common import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT, DISCLOSE, REMOVE, MOST_BROADCAST = 3, 0.9, 0.99, 200_000
-RUN = 128  # matches whose positions are added up at a time
+RUN = 16  # matches whose positions are added up at a time
 
 # Kind -> (a cheap test, the pattern). \G is the end of the match before: a run may start there.
 _PATTERNS = {
@@ -192,8 +192,14 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT
 
 def term_spans(docs: DataFrame, told: DataFrame) -> DataFrame:
     """text_key, terms array<struct<s, k, e, kind, told>>: the disclosing terms of each text that has some."""
-    words = _with_spans(docs).select(F.md5(F.col("text").cast("binary")).alias("text_key"), F.explode(terms_at(F.col("text"), F.col("spans"))).alias("w"))
-    spans = words.select("text_key", "w.s", "w.e", "w.term").join(_sent(told), "term")
+    told = _sent(told)
+    key = F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key")
+    # positions are dear: they are taken in the texts that have a disclosing term somewhere
+    own = docs.select(key, F.explode(_distinct_terms(_words(F.col("text")))).alias("term")).join(told, "term", "left_semi").select("text_key").distinct()
+    own = _sent(materialize(own, "term-texts"))
+    words = _with_spans(docs.select(key, "text").join(own, "text_key", "left_semi"), "text_key")
+    words = words.select("text_key", F.explode(terms_at(F.col("text"), F.col("spans"))).alias("w"))
+    spans = words.select("text_key", "w.s", "w.e", "w.term").join(told, "term")
     # a set: copies of a text share its row
     return materialize(spans.groupBy("text_key").agg(F.sort_array(F.collect_set(F.struct(
         "s", F.lit(len(KINDS)).alias("k"), "e", F.lit("term").alias("kind"), "told"))).alias("terms")), "term-spans")
