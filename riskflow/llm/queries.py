@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from riskflow.llm import (
     bpe,
+    centroids,
     decontamination,
     langid,
+    merkle,
     near_dup,
+    packing,
     pii,
     quality,
     sharding,
@@ -27,6 +30,9 @@ QUERIES = {
     "op8_quality_forest": lambda spark, sf_dir: quality.op8(documents(spark, sf_dir), parquet(spark, sf_dir, "labels")),
     "op9_near_duplicates": lambda spark, sf_dir: near_dup.op9(documents(spark, sf_dir)),
     "op10_personal_data": lambda spark, sf_dir: pii.op10(documents(spark, sf_dir)),
+    "op11_orchard_clusters": lambda spark, sf_dir: centroids.op11(parquet(spark, sf_dir, "embeddings")),
+    "op12_merkle_manifest": lambda spark, sf_dir: merkle.op12(documents(spark, sf_dir)),
+    "op13_mixture_packing": lambda spark, sf_dir: packing.op13(documents(spark, sf_dir)),
 }
 
 ORACLES = {
@@ -34,4 +40,6 @@ ORACLES = {
     "op4_suffix_dedup": suffix_dedup.ORACLE,
     "op5_warc_index": warc.ORACLE,
     "op9_near_duplicates": near_dup.ORACLE,
+    "op11_orchard_clusters": centroids.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
