@@ -27,57 +27,64 @@ bound and encoded again beyond it.
 
 from __future__ import annotations
 
+import os
 import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import OrderedDict
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import WORD, materialize, shipped, slices
+from riskflow.llm.common import materialize, shipped, slices
 
 WINDOW, END, FAN, MOST_TARGETS, MOST_BROADCAST = 4096, 2, 64, 256, 200_000
 #: Words remembered by a worker, their greatest length, and the characters encoded at a time.
-KNOWN, KNOWN_LENGTH, PART = 100_000, 40, 1 << 20
+KNOWN, KNOWN_LENGTH, PART = 400_000, 40, 1 << 20
 _ASCII_SPACE = re.compile("[\x20\x09-\x0d]")
+_MARKS = re.compile("[\u0300-\U0010ffff]")
+_UNIT = re.compile(r"""[a-zA-ZÀ-ÖØ-öø-ÿ]+(?=[.,;:!?)"])|[^\x20\x09-\x0d]+""")
 
 
 # -- encoding ------------------------------------------------------------------------------------------------------
-class WordEncoder:
-    """Ids of whole texts by a tokenizer that never joins what white space parts (its pre-tokens hold none), so that
-    each word of a text can be encoded on its own, once."""
+class WordEncoder(dict):
+    """Ids of whole texts by a lower-casing tokenizer that never joins what white space, or the end of a run of Latin-1
+    letters before a full stop or the like, parts (its pre-tokens are letters, single digits or other signs): each word of a text
+    is encoded on its own, once. Ids are little-endian bytes, ``width`` of them each; the words seen are the keys."""
 
     def __init__(self, serialised: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
         self.tokenizer = Tokenizer.from_str(serialised)
-        self.known: dict[str, list[int]] = {}
-
-    def _learn(self, words: set[str]) -> dict[str, list[int]]:
-        fresh = [w for w in words if w not in self.known]
-        found = dict(zip(fresh, (e.ids for e in self.tokenizer.encode_batch(fresh, add_special_tokens=False)))) if fresh else {}
-        if len(self.known) + len(found) > KNOWN:
-            found |= {w: self.known[w] for w in words if w in self.known}
-            self.known = {}
-        short = {w: ids for w, ids in found.items() if len(w) <= KNOWN_LENGTH}
-        if len(self.known) + len(short) <= KNOWN:
-            self.known |= short
-        return found
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        words = [WORD.findall(t) for t in texts]
-        found = self._learn(set(chain.from_iterable(words)))
-        ids = lambda w, a=found, b=self.known: a[w] if w in a else b[w]
-        return [np.fromiter(chain.from_iterable(map(ids, w)), np.uint32) for w in words]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if sum(map(len, texts)) <= PART:
-            return self._encode(texts)
-        return [np.concatenate([np.zeros(0, np.uint32), *(self._encode([p])[0] for p in parts(t))]) for t in texts]
+        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.kind = "HI"[self.width // 4]
+        self.special = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+
+    def __missing__(self, word: str) -> bytes:
+        ids = array(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        if len(word) <= KNOWN_LENGTH:
+            if len(self) >= KNOWN:
+                self.clear()
+            self[word] = ids.tobytes()
+        return ids.tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text, encoded a part at a time."""
+        out = []
+        for part in parts(text):
+            lower = part.lower()
+            # below the combining marks lower-casing commutes with composition; it must not make up a special token
+            if not _MARKS.search(part) and not any(s in lower for s in self.special):
+                part = lower
+            out.append(b"".join(map(self.__getitem__, _UNIT.findall(part))))
+        return b"".join(out)
 
 
 def parts(text: str):
@@ -116,13 +123,12 @@ def encoded(docs: DataFrame, tokenizer_path: str, end: int = END) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 32):
                 doc_id, text, source = (part.column(i).to_pylist() for i in range(3))
-                ids = encoder.encode([t or "" for t in text])
                 out = []
-                for d, s, x in zip(doc_id, source, ids):
-                    x = np.append(x, np.uint32(end))
-                    width = 2 if x.max() < 1 << 16 else 4
-                    out.append((d, s, given.get(s, 0), len(x), width, x.astype(f"<u{width}").tobytes()))
-                    given[s] = given.get(s, 0) + len(x)
+                for d, s, t in zip(doc_id, source, text):
+                    x = encoder.encode(t or "") + end.to_bytes(encoder.width, "little")
+                    n = len(x) // encoder.width
+                    out.append((d, s, given.get(s, 0), n, encoder.width, x))
+                    given[s] = given.get(s, 0) + n
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
     rows = shipped(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"))
