@@ -40,14 +40,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskflow.llm.bpe import byte_characters
 from riskflow.llm.common import materialize, shipped, slices
 
 WINDOW, END, FAN, MOST_TARGETS, MOST_BROADCAST = 4096, 2, 64, 256, 200_000
-#: Words remembered by a worker, their greatest length, and the characters encoded at a time.
-KNOWN, KNOWN_LENGTH, PART = 400_000, 40, 1 << 20
+#: Words remembered by a worker (as many older ones beside them), their greatest length, and the characters encoded at a time.
+KNOWN, KNOWN_LENGTH, PART = 250_000, 40, 1 << 20
 _ASCII_SPACE = re.compile("[\x20\x09-\x0d]")
 _MARKS = re.compile("[\u0300-\U0010ffff]")
-_UNIT = re.compile(r"""[a-zA-ZÀ-ÖØ-öø-ÿ]+(?=[.,;:!?)"])|[^\x20\x09-\x0d]+""")
+_UNIT = re.compile(r"""[a-zA-ZÀ-ÖØ-öø-ÿ]++(?:(?=[.,;:!?)"])|[^\x20\x09-\x0d]*+)|[^\x20\x09-\x0d]++""")
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
 
 
 # -- encoding ------------------------------------------------------------------------------------------------------
@@ -64,16 +66,27 @@ class WordEncoder(dict):
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.kind = "HI"[self.width // 4]
         self.special = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.model, self.to_chars = self.tokenizer.model, dict(enumerate(byte_characters()))
+        self.old: dict[str, bytes] = {}  # the words seen before those
+
+    def _ids(self, word: str) -> list[int]:
+        if _LETTERS.fullmatch(word):  # one pre-token that the normaliser leaves as it is
+            return [t.id for t in self.model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(self.to_chars))]
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def __missing__(self, word: str) -> bytes:
-        ids = array(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids)
-        if sys.byteorder == "big":
-            ids.byteswap()
+        found = self.old.get(word)
+        if found is None:
+            ids = array(self.kind, self._ids(word))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            found = ids.tobytes()
         if len(word) <= KNOWN_LENGTH:
             if len(self) >= KNOWN:
+                self.old = dict(self)
                 self.clear()
-            self[word] = ids.tobytes()
-        return ids.tobytes()
+            self[word] = found
+        return found
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, encoded a part at a time."""
