@@ -1,6 +1,6 @@
 """Global orderings without a single-partition window.
 
-Running totals over all distinct values of a column, and the exact discrete percentile built on them. The rows are
+Running totals over all distinct values of a column, row numbers, and the exact discrete percentile. For totals the rows are
 range-partitioned by value and written once to the checkpoint folder, so that every row's range is fixed; each range
 has a total (one row a partition), the totals of the ranges before give its offset, and a window partitioned by range
 finishes the running totals. The plan is the same at every size: the number of ranges is the number of shuffle
@@ -15,7 +15,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.session import checkpoint_dir
+from riskflow.session import checkpoint_dir, materialize
+
+#: Distinct values that one task may order to finish a selection, and the share of rows by which a sketch may be off.
+MOST_ORDERED, SKETCH_ERROR = 100_000, 0.001
+_POSITION_BITS = 33  # of monotonically_increasing_id: the row's place in its partition
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """``df`` with the number (0, 1, ...) of each row in the order of the columns ``order``, stored.
+
+    A range sort fixes every row's partition and place; the rows of the partitions before (one row a partition, thus a
+    broadcast of bounded size) are added. Rows that are equal in ``order`` stay in one range: end it with a column that
+    tells them apart where very many can be equal.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in order]
+    stored = materialize(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", _POSITION_BITS)
+    counts = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    return (stored.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .select(*df.columns, (F.col("_before") + place).alias(name)))
 
 
 def running_totals(distinct_values: DataFrame, value: str, columns: Sequence[str],
@@ -40,12 +62,45 @@ def running_totals(distinct_values: DataFrame, value: str, columns: Sequence[str
                       *[(F.col(f"_o_{c}") + F.col(f"_l_{c}")).alias(f"{c}_cum") for c in columns])
 
 
-def exact_quantile(df: DataFrame, value: str, q: float, buckets: int | None = None) -> DataFrame:
+def exact_quantile(df: DataFrame, value: str, q: float, buckets: int | None = None, most: int = MOST_ORDERED,
+                   error: float = SKETCH_ERROR) -> DataFrame:
     """One row ``(n, quantile)``: the smallest value whose cumulative count reaches
-    ``ceil(q * n)`` (the discrete percentile; NULL values are ignored)."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = running_totals(counts, value, ["_n"], buckets)
-    n = cum.agg(F.max("_n_cum")).first()[0] or 0  # one scalar
+    ``ceil(q * n)`` (the discrete percentile; NULL values are ignored).
+
+    Selection without ordering: a quantile sketch gives two values between which the wanted one must lie, one
+    aggregation counts the rows below and checks that, and only the values inside are ordered. A bracket with more
+    than ``most`` different values is narrowed by a sketch of its own; each round keeps a few thousandths of the rows.
+    """
+    rows = materialize(df.where(F.col(value).isNotNull()).select(F.col(value).alias("v")), "quantile-values")
+    n = rows.count()
+    if not n:
+        return rows.agg(F.lit(0).cast("long").alias("n"), F.min("v").alias("quantile"))
     target = max(1, math.ceil(q * n))
-    return (cum.where(F.col("_n_cum") >= F.lit(target))
-            .agg(F.lit(n).cast("long").alias("n"), F.min(value).alias("quantile")))
+    skipped, v, inside, size = 0, F.col("v"), rows, n
+    while True:
+        share = (target - skipped) / size
+        # the sketch's ranks are off by at most error * size; twice that on either side, and the ends are exact
+        a, b = inside.select(v.cast("double").alias("v")).approxQuantile("v", [max(0.0, share - 2 * error), min(1.0, share + 2 * error)], error)
+        a = None if share - 2 * error <= 0 else a
+        b = None if share + 2 * error >= 1 else b
+        lower = v < F.lit(a) if a is not None else F.lit(False)
+        upper = v > F.lit(b) if b is not None else F.lit(False)
+        counted = inside.agg(F.count_if(lower).alias("below"), F.count_if(upper).alias("above")).first()
+        if skipped + counted["below"] < target <= skipped + size - counted["above"]:
+            kept = inside.where(~lower & ~upper)
+            skipped += counted["below"]
+        else:  # the sketch was off by more: order what there is
+            kept, most = inside, float("inf")
+        counts = materialize(kept.groupBy("v").agg(F.count(F.lit(1)).alias("_n")), "quantile-bracket")
+        different = counts.count()
+        if different <= most or different == size:
+            break
+        inside = materialize(kept, "quantile-values")
+        before, size = size, inside.count()
+        if size == before:  # no narrower: the sketch cannot tell these values apart
+            break
+    if different <= MOST_ORDERED:
+        cum = counts.select("v", F.sum("_n").over(Window.orderBy("v")).alias("_n_cum"))  # at most MOST_ORDERED rows
+    else:
+        cum = running_totals(counts, "v", ["_n"], buckets)
+    return cum.where(F.col("_n_cum") >= F.lit(target - skipped)).agg(F.lit(n).cast("long").alias("n"), F.min("v").alias("quantile"))

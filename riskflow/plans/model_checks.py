@@ -35,12 +35,41 @@ def logistic_probability(model: PipelineModel, features: Sequence[str]) -> Colum
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
-def _tree_sql(node, x: str) -> str:
+def _tree_sql(node, x: str, values=None) -> str:
+    """``values``: an iterator over other leaf values, from the left."""
     if node.getClass().getSimpleName() == "LeafNode":
-        return f"CAST('{node.prediction()!r}' AS DOUBLE)"
+        return f"CAST('{node.prediction() if values is None else next(values)!r}' AS DOUBLE)"
     split = node.split()
     return (f"CASE WHEN {x}{split.featureIndex()} <= CAST('{split.threshold()!r}' AS DOUBLE) "
-            f"THEN {_tree_sql(node.leftChild(), x)} ELSE {_tree_sql(node.rightChild(), x)} END")
+            f"THEN {_tree_sql(node.leftChild(), x, values)} ELSE {_tree_sql(node.rightChild(), x, values)} END")
+
+
+def tree_importances(model: PipelineModel, features: Sequence[str]) -> dict[str, float]:
+    """Each feature's share of the impurity that the splits of all trees take away, weighted by their rows."""
+    total = dict.fromkeys(features, 0.0)
+
+    def walk(node):
+        if node.getClass().getSimpleName() != "LeafNode":
+            total[features[node.split().featureIndex()]] += node.gain() * node.impurityStats().count()
+            walk(node.leftChild())
+            walk(node.rightChild())
+
+    for t in model.stages[-1].trees:
+        walk(t._call_java("rootNode"))
+    whole = sum(total.values())
+    return {f: v / whole if whole else 0.0 for f, v in total.items()}
+
+
+def penalised_probability(refitted, data: DataFrame, features: Sequence[str], name: str) -> DataFrame:
+    """``data`` plus column ``name``: the sigmoid of the refitted leaf values that the trees' splits lead to."""
+    rows = data.select("*", *[c.alias(f"_x{i}") for i, c in enumerate(imputed(refitted.model, features))])
+    trees = [F.expr(_tree_sql(t._call_java("rootNode"), "_x", iter(v))).alias(f"_t{i}")
+             for i, (t, v) in enumerate(zip(refitted.model.stages[-1].trees, refitted.values))]
+    rows = rows.select(*data.columns, *trees)
+    total = F.lit(0.0)
+    for i in range(len(trees)):
+        total = total + F.col(f"_t{i}")
+    return rows.select(*data.columns, (F.lit(1.0) / (F.lit(1.0) + F.exp(-total))).alias(name))
 
 
 def boosted_probability(model: PipelineModel, data: DataFrame, features: Sequence[str], name: str) -> DataFrame:

@@ -6,11 +6,13 @@ imputed with statistics of the training set only. What reaches the driver is
 bounded by the model size: coefficients, trees, k centres, feature importances.
 
 Differences from the reference service, stated plainly:
-* logistic regression stops on relative tolerance 0.01 (``tol``), with an
-  iteration cap; the service's early-stop rule is its own;
-* boosted trees have no L1/L2 leaf penalties in MLlib; column sampling is per
+* logistic regression stops at the first iteration whose loss falls by less
+  than 1 % of the loss before (``stop_iteration``), with an iteration cap;
+* boosted trees have no L1/L2 leaf penalties in MLlib: ``fit_penalised_trees``
+  fits the leaf values of the ensemble again with them; column sampling is per
   node (``featureSubsetStrategy``), not per tree; early stopping uses a
   deterministic 10 % hash split of the training rows as validation set;
+* k-means starts from k-means++ centres (``kmeans.plus_plus``);
 * the service evaluates on rows it held back itself; here evaluation takes an
   explicit data set (the prediction set by default).
 """
@@ -21,7 +23,6 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,10 @@ from pyspark.sql import functions as F
 from riskflow.operators.metrics import classification_metrics, davies_bouldin_arrays, squared_distance
 from riskflow.operators.ordered import exact_quantile
 from riskflow.plans import features as fe
+from riskflow.plans import kmeans
+from riskflow.plans.attribution import SEEDS, permutation_importance
+from riskflow.plans.leaf_refit import RefittedTrees, refit_leaves
+from riskflow.session import materialize
 
 LABEL = "tx_fraud"
 ID_COLUMNS = ["timestamp", "customer_id", "terminal_id"]
@@ -38,8 +43,9 @@ FEATURES = ["tx_amount", *fe.CUSTOMER_COUNT_COLS, *fe.CUSTOMER_AVG_COLS,
 
 # Fixed values of the reference model settings.
 CLASS_WEIGHTS = {1: 0.02, 0: 1.0}
-LOGREG = {"tol": 0.01, "maxIter": 20}
+LOGREG = {"min_rel_progress": 0.01, "maxIter": 20}
 GBT = {"maxDepth": 6, "maxIter": 50, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
+PENALTIES = {"l1": 0.1, "l2": 0.1}
 KMEANS_K = 8
 CONTAMINATION = 0.02
 VALIDATION_SHARE = 10  # percent of training rows held out for early stopping
@@ -76,15 +82,55 @@ def _front(features: Sequence[str], scale: bool) -> list:
     return stages
 
 
+def stop_iteration(losses: Sequence[float], min_rel_progress: float) -> int:
+    """The first iteration whose loss is lower than the one before by less than this share of it; the last if none is.
+    ``losses`` starts with the loss before the first iteration."""
+    for i in range(1, len(losses)):
+        if losses[i - 1] - losses[i] < min_rel_progress * abs(losses[i - 1]):
+            return i
+    return len(losses) - 1
+
+
+def fit_logistic(data: DataFrame, features: Sequence[str], label: str, max_iter: int,
+                 min_rel_progress: float = LOGREG["min_rel_progress"], validation: DataFrame | None = None) -> tuple[PipelineModel, list[float]]:
+    """(model of the iteration at which progress stopped, losses up to it).
+
+    The losses are those of the training rows, which one fit reports for all its iterations; the model is the same fit
+    cut off at the stopping iteration. With ``validation`` they are the log losses of those rows, for which the model of
+    each iteration is fitted, up to the one that stops."""
+    front = Pipeline(stages=_front(features, scale=False)).fit(data)
+    rows = front.transform(data).select(F.col(label), "raw_features").persist()
+
+    def cut(n: int):
+        return LogisticRegression(featuresCol="raw_features", labelCol=label, tol=0.0, maxIter=n, standardization=True).fit(rows)
+
+    def with_front(model) -> PipelineModel:
+        return PipelineModel(stages=[*front.stages, model])
+
+    try:
+        if validation is None:
+            full = cut(max_iter)
+            losses = list(full.summary.objectiveHistory)
+            n = stop_iteration(losses, min_rel_progress)
+            return with_front(full if n == len(losses) - 1 else cut(n)), losses[:n + 1]
+        losses, model = [], None
+        for n in range(max_iter + 1):
+            model = with_front(cut(n))
+            losses.append(evaluate_with(model, validation, features, label).first()["log_loss"])
+            if n and stop_iteration(losses[-2:], min_rel_progress) == 1 and losses[-2] - losses[-1] < min_rel_progress * abs(losses[-2]):
+                break
+        return model, losses
+    finally:
+        rows.unpersist()
+
+
 def fit_classifier(train: DataFrame, kind: str = "logreg", features: Sequence[str] = FEATURES,
                    label: str = LABEL, class_weights: dict | bool | None = None, early_stop: bool = True,
                    max_iter: int | None = None, seed: int = SEED) -> PipelineModel:
     """Fit ``logreg`` or ``gbt`` on labelled rows; returns a PipelineModel."""
     data = _as_double(train.where(F.col(label).isNotNull()), [*features, label])
     if kind == "logreg":
-        stages = _front(features, scale=False) + [LogisticRegression(
-            featuresCol="raw_features", labelCol=label, tol=LOGREG["tol"],
-            maxIter=max_iter or LOGREG["maxIter"], standardization=True)]
+        return fit_logistic(data, features, label, max_iter or LOGREG["maxIter"])[0]
     elif kind == "gbt":
         params = dict(GBT, maxIter=max_iter or GBT["maxIter"])
         gbt = GBTClassifier(featuresCol="raw_features", labelCol=label, seed=seed, **params)
@@ -105,8 +151,23 @@ def fit_classifier(train: DataFrame, kind: str = "logreg", features: Sequence[st
         data.unpersist()
 
 
-def predict(model: PipelineModel, data: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+def fit_penalised_trees(train: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL, l1: float = PENALTIES["l1"],
+                        l2: float = PENALTIES["l2"], class_weights: dict | bool | None = None, early_stop: bool = True,
+                        max_iter: int | None = None, seed: int = SEED) -> RefittedTrees:
+    """Boosted trees with L1 and L2 penalties on their leaf values; the rows held out for early stopping stay out."""
+    model = fit_classifier(train, "gbt", features, label, class_weights, early_stop, max_iter, seed)
+    data = _as_double(train.where(F.col(label).isNotNull()), [*features, label])
+    if early_stop:
+        data = _validation_flag(data).where(~F.col("_is_validation"))
+    weight = class_weight_column(label, CLASS_WEIGHTS if class_weights is True else class_weights) if class_weights else None
+    return refit_leaves(model, data, label, l1, l2, GBT["stepSize"], weight)
+
+
+def predict(model: PipelineModel | RefittedTrees, data: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """Adds ``predicted_tx_fraud`` and ``fraud_probability`` (probability of class 1)."""
+    if isinstance(model, RefittedTrees):
+        scored = model.probability(_as_double(data, list(features)), "fraud_probability")
+        return scored.withColumn("predicted_tx_fraud", (F.col("fraud_probability") > 0.5).cast("int"))
     scored = model.transform(_as_double(data, list(features)))
     extra = [c for c in scored.columns if c not in data.columns]
     return (scored.withColumn("fraud_probability", vector_to_array(F.col("probability")).getItem(1))
@@ -130,17 +191,22 @@ def global_explain(spark: SparkSession, model: PipelineModel, features: Sequence
     return spark.createDataFrame(rows, "feature string, attribution double")
 
 
+def permutation_explain(model: PipelineModel | RefittedTrees, data: DataFrame, features: Sequence[str] = FEATURES,
+                        label: str = LABEL, seeds: Sequence[int] = SEEDS) -> DataFrame:
+    """(feature, attribution, attribution_sd, baseline): the mean rise of the log loss when the feature is shuffled."""
+    return permutation_importance(lambda df: predict(model, df, features), data, features, label, "fraud_probability", seeds)
+
+
 # --- k-means ---------------------------------------------------------------------------------------------------------
 
 def fit_kmeans(train: DataFrame, k: int = KMEANS_K, features: Sequence[str] = FEATURES, seed: int = SEED,
-               max_iter: int = 20) -> PipelineModel:
-    data = _as_double(train, list(features)).persist()
-    try:
-        km = KMeans(k=k, initMode="k-means||", seed=seed, maxIter=max_iter, featuresCol="features",
-                    predictionCol="_cluster")
-        return Pipeline(stages=_front(features, scale=True) + [km]).fit(data)
-    finally:
-        data.unpersist()
+               max_iter: int = 50) -> PipelineModel:
+    """Imputed and scaled features, k-means++ centres, rounds of assignment and means until the centres rest."""
+    data = _as_double(train, list(features))
+    front = Pipeline(stages=_front(features, scale=True)).fit(data)
+    points = kmeans.weighted_points(front.transform(data), "features")
+    centres = kmeans.lloyd(points, kmeans.plus_plus(points, k, seed), max_iter)
+    return PipelineModel(stages=[*front.stages, kmeans.as_model(train.sparkSession, centres, "features", "_cluster")])
 
 
 def _kmeans_parts(model: PipelineModel):
@@ -221,23 +287,31 @@ def anomaly_threshold(train_distances: DataFrame, contamination: float = CONTAMI
     return exact_quantile(train_distances, value, 1.0 - contamination).withColumnRenamed("quantile", "threshold")
 
 
+class AnomalyRule:
+    """Radius of each cluster (mean distance of its training rows; k values) and the threshold on distances in units of
+    it that flags ``contamination`` of the training rows (exact discrete percentile)."""
+
+    def __init__(self, model: PipelineModel, train: DataFrame, contamination: float = CONTAMINATION,
+                 features: Sequence[str] = FEATURES):
+        self.model, self.features = model, features
+        assigned = materialize(assign_clusters(model, train, features).select("centroid_id", "distance"), "assigned")
+        self.radius = {r["centroid_id"]: r["radius"] for r in assigned.groupBy("centroid_id").agg(F.avg("distance").alias("radius")).collect()}
+        self.train = self._normalized(assigned)
+        self.threshold = anomaly_threshold(self.train, contamination, "normalized_distance").first()["threshold"]
+
+    def _normalized(self, df: DataFrame) -> DataFrame:
+        radius = F.create_map(*[x for cid, rad in sorted(self.radius.items()) for x in (F.lit(cid), F.lit(float(rad)))])
+        return df.withColumn("normalized_distance", F.try_divide(F.col("distance"), radius[F.col("centroid_id")]))
+
+    def flagged(self, assigned: DataFrame) -> DataFrame:
+        return assigned.withColumn("is_anomaly", F.col("normalized_distance") > F.lit(self.threshold))
+
+    def apply(self, data: DataFrame) -> DataFrame:
+        """``data`` plus centroid_id, distance, normalized_distance and is_anomaly."""
+        return self.flagged(self._normalized(assign_clusters(self.model, data, self.features).drop("x")))
+
+
 def detect_anomalies(model: PipelineModel, train: DataFrame, data: DataFrame,
                      contamination: float = CONTAMINATION, features: Sequence[str] = FEATURES) -> DataFrame:
-    """``data`` plus centroid_id, distance, normalized_distance and ``is_anomaly``.
-
-    ``normalized_distance`` is the distance to the nearest centre divided by that
-    cluster's radius (mean distance of its training rows; k values); a row is an
-    anomaly when it exceeds the threshold that flags ``contamination`` of the
-    training rows (exact discrete percentile).
-    """
-    assigned = assign_clusters(model, train, features)
-    radius = {r["centroid_id"]: r["radius"] for r in  # k rows
-              assigned.groupBy("centroid_id").agg(F.avg("distance").alias("radius")).collect()}
-    rmap = F.create_map(*[x for cid, rad in sorted(radius.items()) for x in (F.lit(cid), F.lit(float(rad)))])
-
-    def normalized(df: DataFrame) -> DataFrame:
-        return df.withColumn("normalized_distance", F.try_divide(F.col("distance"), rmap[F.col("centroid_id")]))
-
-    thr = anomaly_threshold(normalized(assigned), contamination, "normalized_distance").first()["threshold"]
-    scored = normalized(assign_clusters(model, data, features).drop("x"))
-    return scored.withColumn("is_anomaly", F.col("normalized_distance") > F.lit(thr))
+    """``data`` plus centroid_id, distance, normalized_distance and ``is_anomaly``; see ``AnomalyRule``."""
+    return AnomalyRule(model, train, contamination, features).apply(data)

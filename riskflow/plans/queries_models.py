@@ -10,17 +10,22 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.operators.aggregates import collect_structs, render_structs
 from riskflow.operators.metrics import classification_metrics, davies_bouldin, squared_distance
+from riskflow.plans import attribution as at
 from riskflow.plans import datasets as ds
 from riskflow.plans import features as fe
+from riskflow.plans import kmeans
+from riskflow.plans import leaf_refit as lr
 from riskflow.plans import model_checks as mc
 from riskflow.plans import models as mo
 from riskflow.plans.queries_joins import dataset_sql
 from riskflow.plans.registry import AS_OF, fixture, r, register
+from riskflow.session import materialize
 
 SCORE = "terminal_id_risk_1day_window"
 
@@ -207,26 +212,109 @@ def q_evaluate_gbt(spark, sf_dir):
     return _evaluation(spark, sf_dir, "gbt")
 
 
-@register("explain_gbt", f"SELECT feature, TRUE AS is_share, TRUE AS sums_to_one FROM (VALUES {_FEATURE_ROWS}) t(feature)", fixture_cte=False)
+@register("explain_gbt", f"SELECT feature, TRUE AS is_share, TRUE AS sums_to_one, TRUE AS agrees FROM (VALUES {_FEATURE_ROWS}) t(feature)", fixture_cte=False)
 def q_explain_gbt(spark, sf_dir):
-    rows = mo.global_explain(spark, _fitted(_train(spark, sf_dir), "gbt"))
+    """Each attribution against the impurity that the splits of the trees take away."""
+    model = _fitted(_train(spark, sf_dir), "gbt")
+    rows = mo.global_explain(spark, model)
     total = rows.agg(F.sum("attribution").alias("total"))
-    return rows.join(total, F.lit(True)).select("feature", F.col("attribution").between(0, 1).alias("is_share"),
-                                                mc.close(F.col("total"), F.lit(1.0)).alias("sums_to_one"))
+    own = spark.createDataFrame(list(mc.tree_importances(model, mo.FEATURES).items()), "feature string, own double")
+    return rows.join(total, F.lit(True)).join(own, "feature").select(
+        "feature", F.col("attribution").between(0, 1).alias("is_share"), mc.close(F.col("total"), F.lit(1.0)).alias("sums_to_one"),
+        mc.close(F.col("attribution"), F.col("own")).alias("agrees"))
+
+
+@register("explain_gbt_permutation", f"""WITH {_ds_cte(5, 0, _IDS)}
+SELECT feature, (SELECT COUNT(*) FROM ds WHERE tx_fraud IS NOT NULL) AS n, TRUE AS same_values, TRUE AS loss_agrees
+FROM (VALUES {_FEATURE_ROWS}) t(feature)""")
+def q_explain_gbt_permutation(spark, sf_dir):
+    """Per feature: the shuffled column holds the values of the column, and the loss equals that of the trees evaluated
+    as SQL on the same shuffled rows."""
+    train, pred = _sets(spark, sf_dir)
+    model = mo.fit_classifier(train, "gbt", class_weights=True, max_iter=10)
+    rows = at.numbered_rows(pred, mo.FEATURES, "tx_fraud")
+    shuffled = materialize(at.permuted(rows, mo.FEATURES, 1, ["tx_fraud"]), "shuffled")
+    both = mc.boosted_probability(model, mo.predict(model, shuffled), mo.FEATURES, "_own")
+    y = F.col("tx_fraud")
+    losses = both.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.avg(at.log_loss(y, F.col("fraud_probability"))).alias("a"),
+                                         F.avg(at.log_loss(y, F.col("_own"))).alias("b"),
+                                         *[F.sum(F.xxhash64(f).cast("decimal(38,0)")).alias(f) for f in mo.FEATURES])
+    sums = rows.agg(*[F.sum(F.xxhash64(f).cast("decimal(38,0)")).alias(f"_{f}") for f in mo.FEATURES])
+    same = F.lit(True)
+    for f in mo.FEATURES:
+        same = same & (F.col(f) == F.col(f"_{f}"))
+    return losses.join(sums, F.lit(True)).select("feature", "n", same.alias("same_values"), mc.close(F.col("a"), F.col("b")).alias("loss_agrees"))
+
+
+@register("predict_gbt_penalised", _PREDICTED)
+def q_predict_gbt_penalised(spark, sf_dir):
+    train, pred = _sets(spark, sf_dir)
+    model = mo.fit_penalised_trees(train, class_weights=True, max_iter=20)
+    return _agreement(mc.penalised_probability(model, mo.predict(model, pred), mo.FEATURES, "_own"), F.col("_own"))
 
 
-@register("kmeans_centroids", f"""SELECT CAST(k AS INTEGER) AS centroid_id, feature, TRUE AS in_range
+@register("refit_gbt_leaves", f"""WITH {_ds_cte(15, 5, _IDS)}
+SELECT CAST(t AS INTEGER) AS tree, (SELECT COUNT(*) FROM ds WHERE tx_fraud IS NOT NULL) AS n, TRUE AS leaves_agree FROM range(10) r(t)""")
+def q_refit_gbt_leaves(spark, sf_dir):
+    """Per tree: the value of every leaf against the penalised step of its rows, summed in one pass over all trees."""
+    train = _train(spark, sf_dir)
+    model = mo.fit_penalised_trees(train, class_weights=True, early_stop=False, max_iter=10)
+    rows = lr.leaves(model.model, mo._as_double(train.where("tx_fraud IS NOT NULL"), [*mo.FEATURES, "tx_fraud"])
+                     .withColumn("_w", mo.class_weight_column()))
+    steps, z = [], F.lit(0.0)
+    for t, own in enumerate(model.values):
+        p = lr.sigmoid(z)
+        steps.append(F.struct(F.lit(t).alias("tree"), F.col("_leaves")[t].alias("leaf"), (F.col("_w") * (p - F.col("tx_fraud"))).alias("g"),
+                              (F.col("_w") * p * (1 - p)).alias("h")))
+        z = z + lr.margin([own], F.array(F.col("_leaves")[t]))
+    sums = rows.select(F.explode(F.array(*steps)).alias("s")).select("s.*").groupBy("tree", "leaf").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("g").alias("g"), F.sum("h").alias("h"))
+    values = spark.createDataFrame([(t, i, v) for t, own in enumerate(model.values) for i, v in enumerate(own)], "tree int, leaf int, value double")
+    g, l1, l2 = F.col("g"), mo.PENALTIES["l1"], mo.PENALTIES["l2"]
+    step = F.lit(-mo.GBT["stepSize"]) * F.signum(g) * F.greatest(F.abs(g) - F.lit(l1), F.lit(0.0)) / (F.col("h") + F.lit(l2))
+    return sums.join(values, ["tree", "leaf"]).groupBy("tree").agg(F.sum("n").alias("n"), F.every(mc.close(step, F.col("value"))).alias("leaves_agree"))
+
+
+@register("logreg_stop", f"""WITH {_ds_cte(15, 5, _IDS)}
+SELECT COUNT(*) AS n, TRUE AS loss_agrees, TRUE AS stops_by_rule FROM ds WHERE tx_fraud IS NOT NULL""")
+def q_logreg_stop(spark, sf_dir):
+    """The loss of the model that was kept, from its coefficients, and the rule on the losses."""
+    data = mo._as_double(_train(spark, sf_dir).where("tx_fraud IS NOT NULL"), [*mo.FEATURES, "tx_fraud"])
+    model, losses = mo.fit_logistic(data, mo.FEATURES, "tx_fraud", mo.LOGREG["maxIter"])
+    least = mo.LOGREG["min_rel_progress"]
+    progress = [(a - b) / abs(a) for a, b in zip(losses, losses[1:])]
+    ruled = all(p >= least for p in progress[:-1]) and (progress[-1] < least or len(progress) == mo.LOGREG["maxIter"])
+    loss = at.log_loss(F.col("tx_fraud"), mc.logistic_probability(model, mo.FEATURES))
+    return data.agg(F.count(F.lit(1)).alias("n"), F.avg(loss).alias("loss")).select(
+        "n", mc.close(F.col("loss"), F.lit(losses[-1])).alias("loss_agrees"), F.lit(ruled).alias("stops_by_rule"))
+
+
+@register("kmeans_seeds", f"""WITH {_ds_cte(15, 5, _IDS)}
+SELECT CAST(k - 1 AS INTEGER) AS turn, (SELECT COUNT(*) FROM ds) AS n, TRUE AS is_row, TRUE AS is_apart FROM (VALUES {_K_ROWS}) a(k)""")
+def q_kmeans_seeds(spark, sf_dir):
+    """k-means++ centres: rows of the training set, none drawn twice."""
+    train = mo._as_double(_train(spark, sf_dir), mo.FEATURES)
+    front = Pipeline(stages=mo._front(mo.FEATURES, scale=True)).fit(train)
+    points = kmeans.weighted_points(front.transform(train), "features")
+    seeds = kmeans.plus_plus(points, mo.KMEANS_K, mo.SEED)
+    drawn = spark.createDataFrame([(t, s) for t, s in enumerate(seeds)], "turn int, x array<double>")
+    n = points.agg(F.sum("n")).first()[0]
+    return drawn.join(points, "x", "left").select("turn", F.lit(n).cast("long").alias("n"), F.col("n").isNotNull().alias("is_row"),
+                                                  (F.lit(len({tuple(s) for s in seeds})) == mo.KMEANS_K).alias("is_apart"))
+
+
+@register("kmeans_centroids", f"""SELECT CAST(k AS INTEGER) AS centroid_id, feature, TRUE AS mean_agrees
 FROM (VALUES {_K_ROWS}) a(k), (VALUES {_FEATURE_ROWS}) b(feature)""", fixture_cte=False)
 def q_kmeans_centroids(spark, sf_dir):
-    """Every centre is a mean of training rows, so each of its values lies within the feature's range."""
+    """Every centre against the mean of the training rows that are assigned to it (missing values imputed)."""
     train = _train(spark, sf_dir)
-    cents = mo.centroids_table(spark, _fitted(train, "kmeans"))
-    value = lambda c: F.col(c).cast("double")
-    low = train.agg(*[F.min(value(c)).alias(c) for c in mo.FEATURES]).unpivot([], mo.FEATURES, "feature", "low")
-    high = train.agg(*[F.max(value(c)).alias(c) for c in mo.FEATURES]).unpivot([], mo.FEATURES, "feature", "high")
-    v = F.col("numerical_value")
-    return cents.join(low, "feature").join(high, "feature").select(
-        "centroid_id", "feature", (v.between(F.col("low"), F.col("high")) | mc.close(v, F.col("low")) | mc.close(v, F.col("high"))).alias("in_range"))
+    model = mo.fit_kmeans(train, max_iter=200)  # until the centres rest
+    cents = mo.centroids_table(spark, model)
+    assigned = mo.assign_clusters(model, train)
+    means = assigned.groupBy("centroid_id").agg(*[F.avg(c).alias(f) for f, c in zip(mo.FEATURES, mc.imputed(model, mo.FEATURES))])
+    means = means.unpivot("centroid_id", mo.FEATURES, "feature", "mean")
+    return cents.join(means, ["centroid_id", "feature"], "left").select(
+        "centroid_id", "feature", mc.close(F.col("numerical_value"), F.col("mean"), 1e-3).alias("mean_agrees"))
 
 
 @register("evaluate_kmeans", f"WITH {_ds_cte(15, 5, _IDS)} SELECT COUNT(*) AS n, TRUE AS distance_agrees, TRUE AS index_agrees FROM ds")
@@ -248,9 +336,10 @@ def q_detect_anomalies(spark, sf_dir):
     contamination (at most n - ceil((1 - c) n), fewer only for ties)."""
     train, pred = _sets(spark, sf_dir)
     model = _fitted(train, "kmeans")
-    flagged = mo.detect_anomalies(model, train, train).agg(F.count(F.lit(1)).alias("n"), F.count_if("is_anomaly").alias("flagged")).first()
+    rule = mo.AnomalyRule(model, train)
+    flagged = rule.flagged(rule.train).agg(F.count(F.lit(1)).alias("n"), F.count_if("is_anomaly").alias("flagged")).first()
     most = flagged["n"] - math.ceil((1 - mo.CONTAMINATION) * flagged["n"])
-    out = mo.detect_anomalies(model, train, pred)
+    out = rule.apply(pred)
     return out.select(*_ID_COLUMNS, mc.close(F.col("distance"), mc.nearest_distance(model, mo.FEATURES)).alias("distance_agrees"),
                       F.lit(0 < flagged["flagged"] <= most).alias("share_agrees"))
 

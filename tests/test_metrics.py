@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskflow.operators.metrics import classification_metrics, davies_bouldin
 from riskflow.operators.ordered import exact_quantile, running_totals
@@ -87,3 +88,28 @@ def test_metrics_of_empty_tables(spark):
     empty = spark.createDataFrame([], "y int, p double")
     assert classification_metrics(empty, "y", "p").collect()[0]["roc_auc"] is None
     assert exact_quantile(empty.select("p"), "p", 0.5).collect()[0]["n"] == 0
+
+
+@pytest.mark.parametrize("most", [7, 100_000])
+def test_selection_by_bracket_equals_sorting(spark, most):
+    import random
+
+    rng = random.Random(6)
+    tables = {"normal": [rng.gauss(0, 1) for _ in range(5000)], "few": [float(rng.randrange(3)) for _ in range(3000)],
+              "hot": [5.0] * 3000 + [rng.random() * 10 for _ in range(2000)], "one": [2.5], "negative zero": [-0.0, 0.0, 1.0]}
+    for values in tables.values():
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "d double").repartition(4)
+        for q in (0.0, 0.5, 0.98):
+            got = exact_quantile(df, "d", q, most=most).collect()[0]
+            want = sorted(values)[max(1, math.ceil(q * len(values))) - 1]
+            assert (got["n"], got["quantile"]) == (len(values), want)
+
+
+def test_numbers_follow_the_global_order(spark):
+    from riskflow.operators.ordered import numbered
+
+    df = spark.range(0, 5000).select(F.pmod(F.xxhash64("id"), F.lit(300)).alias("k"), "id").union(spark.createDataFrame([(None, -1)], "k long, id long"))
+    out = [(r["k"], r["id"], r["at"]) for r in numbered(df, ["k", "id"], "at").collect()]
+    assert [r[:2] for r in sorted(out, key=lambda r: r[2])] == sorted((r[:2] for r in out), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert sorted(r[2] for r in out) == list(range(5001))
+    assert numbered(df.limit(0), ["k", "id"], "at").collect() == []

@@ -1,9 +1,11 @@
 """Models on the planted fixture signal (fixed seeds)."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID
+from riskflow.plans import attribution, kmeans, leaf_refit
 from riskflow.plans import datasets as ds
 from riskflow.plans import models as mo
 from riskflow.sources.fixtures import load_fixture
@@ -87,3 +89,143 @@ def test_cluster_profile_names_and_model_round_trip(spark, sets):
     a = mo.assign_clusters(model, pred).select("centroid_id")
     b = mo.assign_clusters(again, pred).select("centroid_id")
     assert a.exceptAll(b).count() == 0
+
+
+# --- penalties, attribution, stopping, seeding ---------------------------------------------------------------------------
+
+def _boost_by_hand(leaves, y, w, l1, l2, step):
+    """Leaf values and margins tree after tree, with NumPy."""
+    z, values = np.zeros(len(y)), []
+    for t in range(leaves.shape[1]):
+        p = 1 / (1 + np.exp(-z))
+        g, h = w * (p - y), w * p * (1 - p)
+        own = {}
+        for leaf in np.unique(leaves[:, t]):
+            m = leaves[:, t] == leaf
+            own[int(leaf)] = -step * np.sign(g[m].sum()) * max(abs(g[m].sum()) - l1, 0) / (h[m].sum() + l2)
+        z = z + np.array([own[int(v)] for v in leaves[:, t]])
+        values.append(own)
+    return values, z
+
+
+def test_penalised_leaves_follow_the_formula(spark):
+    """12 trees, so that the margin is stored on the way; weights; strong penalties set small leaves to zero."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, 2))
+    y = (x[:, 0] + 0.5 * rng.normal(size=400) > 0).astype(int)
+    df = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x, y)], "a double, b double, tx_fraud int")
+    for l1, l2 in ((0.1, 0.1), (0.0, 0.0), (1000.0, 0.0)):
+        model = mo.fit_penalised_trees(df, ["a", "b"], l1=l1, l2=l2, class_weights={1: 0.5, 0: 1.0}, early_stop=False, max_iter=12)
+        rows = leaf_refit.leaves(model.model, df).collect()
+        leaves = np.array([r["_leaves"] for r in rows])
+        label = np.array([r["tx_fraud"] for r in rows])
+        values, z = _boost_by_hand(leaves, label, np.where(label == 1, 0.5, 1.0), l1, l2, mo.GBT["stepSize"])
+        for t, own in enumerate(values):
+            for leaf, v in own.items():
+                assert abs(model.values[t][leaf] - v) < 1e-9
+        got = mo.predict(model, df.select("a", "b", "tx_fraud"), ["a", "b"]).collect()
+        assert np.allclose([r["fraud_probability"] for r in got], 1 / (1 + np.exp(-z)))
+        if l1 == 1000.0:
+            assert all(v == 0 for own in model.values for v in own)
+        elif l1 == 0.1:
+            assert mo.evaluate_with(model, df, ["a", "b"]).first()["roc_auc"] > 0.9
+
+
+def test_penalised_trees_round_trip_and_pure_leaves(spark):
+    from riskflow.session import scratch_path
+
+    df = spark.createDataFrame([(float(i), int(i > 10)) for i in range(40)], "a double, tx_fraud int")
+    model = mo.fit_penalised_trees(df, ["a"], early_stop=False, max_iter=5)
+    again = leaf_refit.RefittedTrees.load(model.save(scratch_path(spark, "trees")))
+    assert again.values == model.values
+    a, b = (mo.predict(m, df, ["a"]).select("a", "fraud_probability").exceptAll(mo.predict(model, df, ["a"]).select("a", "fraud_probability")) for m in (model, again))
+    assert a.count() == b.count() == 0
+
+
+def test_permutation_ranks_the_planted_feature_first(spark, sets):
+    train, pred = sets
+    feats = ["tx_amount", "customer_id_nb_tx_7day_window", "signal"]
+    model = mo.fit_classifier(_with_signal(train), "gbt", features=feats, max_iter=5)
+    got = mo.permutation_explain(model, _with_signal(pred), feats, seeds=(1, 2, 3)).orderBy(F.desc("attribution")).collect()
+    assert got[0]["feature"] == "signal" and got[0]["attribution"] > 10 * abs(got[1]["attribution"]) and got[0]["attribution_sd"] > 0
+    assert len({r["baseline"] for r in got}) == 1
+
+
+def test_permutation_is_a_permutation(spark):
+    df = spark.createDataFrame([(i % 2, float(i), float(-i) if i % 5 else None) for i in range(200)], "tx_fraud int, a double, b double")
+    rows = attribution.numbered_rows(df, ["a", "b"], "tx_fraud")
+    assert sorted(r[0] for r in rows.select("_number").collect()) == list(range(200))
+    orders = []
+    for seed in (1, 2):
+        out = attribution.permuted(rows, ["a", "b"], seed, ["_number"]).collect()
+        one = {f: {r["_number"]: r for r in out if r["feature"] == f} for f in ("a", "b")}
+        base = {r["_number"]: r for r in rows.collect()}
+        for f, other in (("a", "b"), ("b", "a")):
+            assert set(one[f]) == set(base)
+            assert all(one[f][i][other] == base[i][other] for i in base)
+            key = lambda v: (v is None, v or 0)
+            assert sorted((r[f] for r in one[f].values()), key=key) == sorted((r[f] for r in base.values()), key=key)
+        orders.append([one["a"][i]["a"] for i in sorted(base)])
+    assert orders[0] != orders[1] != [base[i]["a"] for i in sorted(base)]
+
+
+def test_stop_iteration():
+    assert mo.stop_iteration([1.0, 0.5, 0.499, 0.1], 0.01) == 2
+    assert mo.stop_iteration([1.0, 0.5, 0.25], 0.01) == 2
+    assert mo.stop_iteration([1.0, 1.2], 0.01) == 1  # a rise is no progress
+    assert mo.stop_iteration([1.0], 0.01) == 0
+
+
+def test_logistic_keeps_the_model_of_the_stopping_iteration(spark, sets):
+    train, pred = sets
+    feats = ["tx_amount", "signal"]
+    data = mo._as_double(_with_signal(train), [*feats, "tx_fraud"])
+    model, losses = mo.fit_logistic(data, feats, "tx_fraud", 20)
+    longer, all_losses = mo.fit_logistic(data, feats, "tx_fraud", 20, min_rel_progress=0.0)
+    n = len(losses) - 1
+    assert 0 < n < len(all_losses) - 1 and np.allclose(losses, all_losses[:n + 1])
+    assert model.stages[-1].summary.totalIterations == n
+    loss = attribution.log_loss(F.col("tx_fraud"), F.col("fraud_probability"))
+    assert abs(mo.predict(model, data, feats).agg(F.avg(loss)).first()[0] - losses[-1]) < 1e-9
+    held, curve = mo.fit_logistic(data, feats, "tx_fraud", 6, validation=_with_signal(pred))
+    assert mo.stop_iteration(curve, 0.01) == len(curve) - 1
+    assert abs(mo.evaluate_with(held, _with_signal(pred), feats).first()["log_loss"] - curve[-1]) < 1e-9
+
+
+def test_seeds_are_drawn_by_their_weights(spark):
+    """2,000 draws of the second centre against the exact weights (chi-squared), copies counted."""
+    values = [0.0] * 3 + [1.0] * 5 + [2.0, 4.0, 4.0]
+    df = spark.createDataFrame([([v],) for v in values], "x array<double>").groupBy("x").agg(F.count(F.lit(1)).alias("n")).persist()
+    weights = {0.0: 0.0, 1.0: 5 * 1.0, 2.0: 4.0, 4.0: 2 * 16.0}
+    trials = 2000
+    many = df.crossJoin(spark.range(trials).withColumnRenamed("id", "turn"))  # the draws of ``kmeans.draw``, all turns at once
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(7), F.col("turn").cast("int"), "x"), 11).cast("double") + 0.5) / float(1 << 53)
+    w = F.col("n") * kmeans.squared_distance_to([0.0])
+    drawn = many.where(w > 0).groupBy("turn").agg(F.max_by("x", F.log(u) / w).alias("x")).groupBy("x").count().collect()
+    total = sum(weights.values())
+    chi = sum((r["count"] - trials * weights[r["x"][0]] / total) ** 2 / (trials * weights[r["x"][0]] / total) for r in drawn)
+    assert len(drawn) == 3 and chi < 13.8  # two degrees of freedom, one in a thousand
+    same = [many.where(f"turn = {t}").where(w > 0).agg(F.max_by("x", F.log(u) / w)).first()[0] for t in range(5)]
+    assert same == [kmeans.draw(df, w, 7, t) for t in range(5)]
+
+
+def test_plus_plus_and_rounds(spark):
+    df = spark.createDataFrame([([float(a + i / 100), float(a)],) for a in (0, 50, 100) for i in range(20)] * 2, "x array<double>")
+    points = df.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    seeds = kmeans.plus_plus(points, 3, 5)
+    assert {round(s[1]) for s in seeds} == {0, 50, 100}  # far groups are drawn before near points
+    centres = kmeans.lloyd(points, seeds, 10)
+    assert np.allclose(sorted(centres), [[a + 0.095, a] for a in (0, 50, 100)])
+    model = kmeans.as_model(spark, centres, "v", "c")
+    assert np.allclose(model.clusterCenters(), centres)
+    assert len(kmeans.plus_plus(points.limit(2), 5, 1)) == 2  # fewer points than centres
+    assert kmeans.plus_plus(points.limit(0), 5, 1) == []
+
+
+def test_anomaly_rule_flags_once(spark, sets):
+    train, pred = sets
+    model = mo.fit_kmeans(train, k=3)
+    rule = mo.AnomalyRule(model, train)
+    a = rule.apply(pred).where("is_anomaly").count()
+    assert a == mo.detect_anomalies(model, train, pred).where("is_anomaly").count()
+    assert rule.flagged(rule.train).where("is_anomaly").count() <= mo.CONTAMINATION * train.count()
