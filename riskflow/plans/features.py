@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions import as_timestamp, exact_amount, inexact_amount
+from riskflow.operators.keyfilter import possible_matches
 from riskflow.operators.windows import SEC, compact_by_second, frame_totals, replicate_rows
 
 # Fixed values of the feature definitions (seconds).
@@ -72,9 +73,14 @@ def as_of_col(as_of) -> Column:
 
 
 def labelled_recent(tx: DataFrame, labels: DataFrame, as_of=None, days: int | None = HISTORY_DAYS,
-                    end_days_before: int = 0) -> DataFrame:
-    """Recent transactions left-joined to their label (NULL when unlabelled)."""
+                    end_days_before: int = 0, filter_labels: bool = False) -> DataFrame:
+    """Recent transactions left-joined to their label (NULL when unlabelled).
+
+    ``filter_labels``: for a label table that holds far more than the recent transactions, drop the labels of others
+    before the join's shuffle, by a bitmap of the recent ids (two more passes over the ids; same result)."""
     recent = recent_window(tx, as_of, days, end_days_before)
+    if filter_labels:
+        labels = possible_matches(labels, "TX_ID", recent, "TX_ID")
     return recent.join(labels.select("TX_ID", "TX_FRAUD"), on="TX_ID", how="left")
 
 
@@ -88,18 +94,27 @@ def customer_per_second(tx: DataFrame, labels: DataFrame, as_of=None, days: int
     ``base`` (optional) is an already filtered ``labelled_recent`` frame, so a caller
     that needs the same rows elsewhere shares one scan and label join.
     """
-    windows = windows or WINDOWS
     if base is None:
         base = labelled_recent(tx, labels, as_of, days, end_days_before)
-    compact = compact_by_second(base, "CUSTOMER_ID", "TX_TS", {
+    return customer_from_totals(customer_totals(base), form, windows, by_span=days is None)
+
+
+def customer_totals(base: DataFrame) -> DataFrame:
+    """What the customer features are sums of, per (customer, second)."""
+    return compact_by_second(base, "CUSTOMER_ID", "TX_TS", {
         "n_lab": F.count("TX_FRAUD"),
         "n_amt": F.count("TX_AMOUNT"),
         "amt": F.coalesce(F.sum(exact_amount("TX_AMOUNT")), F.lit(0).cast("decimal(37,8)")),
         "n_odd": F.count(inexact_amount("TX_AMOUNT")),  # NaN, infinities: the average of their frames is NaN
         "n_tx": F.count(F.lit(1)),
     })
+
+
+def customer_from_totals(compact: DataFrame, form: str = "prefix", windows: dict | None = None, by_span: bool = False) -> DataFrame:
+    """Customer features per (customer_id, feature_ts) from ``customer_totals``."""
+    windows = windows or WINDOWS
     frames = {w: (-n, 0) for w, n in windows.items()}
-    t = frame_totals(compact, "CUSTOMER_ID", ["n_lab", "n_amt", "amt", "n_odd"], frames, form=form, by_span=days is None)
+    t = frame_totals(compact, "CUSTOMER_ID", ["n_lab", "n_amt", "amt", "n_odd"], frames, form=form, by_span=by_span)
     cols = [F.timestamp_seconds(F.col(SEC)).alias("feature_ts"), F.col("CUSTOMER_ID").alias("customer_id")]
     for w in windows:
         cols.append(F.col(f"n_lab__{w}").cast("long").alias(f"customer_id_nb_tx_{w}_window"))
@@ -140,23 +155,33 @@ def terminal_per_second(tx: DataFrame, labels: DataFrame, as_of=None, days: int
     the single frame ``[t - delay - w, t - delay - 1]``; ``subtract`` evaluates it
     as the reference writes it, ``[t - delay - w, t] - [t - delay, t]``.
     """
-    windows = windows or WINDOWS
     if base is None:
         base = labelled_recent(tx, labels, as_of, days, end_days_before)
-    compact = compact_by_second(base, "TERMINAL_ID", "TX_TS", {
+    return terminal_from_totals(terminal_totals(base), delay, form, windows, by_span=days is None)
+
+
+def terminal_totals(base: DataFrame) -> DataFrame:
+    """What the terminal features are sums of, per (terminal, second)."""
+    return compact_by_second(base, "TERMINAL_ID", "TX_TS", {
         "n_lab": F.count("TX_FRAUD"),
         "n_fraud": F.coalesce(F.sum("TX_FRAUD"), F.lit(0)).cast("long"),
         "n_tx": F.count(F.lit(1)),
     })
+
+
+def terminal_from_totals(compact: DataFrame, delay: int = DELAY_SECONDS, form: str = "prefix", windows: dict | None = None,
+                         by_span: bool = False) -> DataFrame:
+    """Terminal features per (terminal_id, feature_ts) from ``terminal_totals``."""
+    windows = windows or WINDOWS
     guard_frame = {"recent": (-delay, 0)}
     if form == "subtract":
         frames = {**guard_frame, **{w: (-delay - n, 0) for w, n in windows.items()}}
-        t = frame_totals(compact, "TERMINAL_ID", ["n_lab", "n_fraud"], frames, form="sliding", by_span=days is None)
+        t = frame_totals(compact, "TERMINAL_ID", ["n_lab", "n_fraud"], frames, form="sliding", by_span=by_span)
         counts = {w: F.col(f"n_lab__{w}") - F.col("n_lab__recent") for w in windows}
         frauds = {w: F.col(f"n_fraud__{w}") - F.col("n_fraud__recent") for w in windows}
     else:
         frames = {**guard_frame, **{w: (-delay - n, -delay - 1) for w, n in windows.items()}}
-        t = frame_totals(compact, "TERMINAL_ID", ["n_lab", "n_fraud"], frames, form=form, by_span=days is None)
+        t = frame_totals(compact, "TERMINAL_ID", ["n_lab", "n_fraud"], frames, form=form, by_span=by_span)
         counts = {w: F.col(f"n_lab__{w}") for w in windows}
         frauds = {w: F.col(f"n_fraud__{w}") for w in windows}
     labelled_recently = F.col("n_lab__recent") > 0
@@ -179,11 +204,7 @@ def terminal_delay_frames(tx: DataFrame, labels: DataFrame, as_of=None, days: in
     """
     windows = windows or WINDOWS
     base = labelled_recent(tx, labels, as_of, days)
-    compact = compact_by_second(base, "TERMINAL_ID", "TX_TS", {
-        "n_lab": F.count("TX_FRAUD"),
-        "n_fraud": F.coalesce(F.sum("TX_FRAUD"), F.lit(0)).cast("long"),
-        "n_tx": F.count(F.lit(1)),
-    })
+    compact = terminal_totals(base)
     frames = {"delay": (-delay, 0), **{w: (-delay - n, 0) for w, n in windows.items()}}
     t = frame_totals(compact, "TERMINAL_ID", ["n_lab", "n_fraud"], frames, by_span=days is None)
     cols = [F.timestamp_seconds(F.col(SEC)).alias("feature_ts"), F.col("TERMINAL_ID").alias("terminal_id")]

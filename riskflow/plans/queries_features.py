@@ -89,6 +89,14 @@ def q_feat_base(spark, sf_dir):
                                                     "TX_AMOUNT", "TX_FRAUD")
 
 
+@register("feat_base_filtered_labels", f"""WITH {_base_sql()}
+SELECT TX_TS, TX_ID, CUSTOMER_ID, TERMINAL_ID, {r('TX_AMOUNT')} AS TX_AMOUNT, TX_FRAUD FROM raw""")
+def q_feat_base_filtered_labels(spark, sf_dir):
+    """All labels of the month, of which a bitmap of the recent ids keeps those that can matter."""
+    tx, lb = fixture(spark, sf_dir)
+    return fe.labelled_recent(tx, lb, AS_OF, filter_labels=True).select("TX_TS", "TX_ID", "CUSTOMER_ID", "TERMINAL_ID", "TX_AMOUNT", "TX_FRAUD")
+
+
 @register("filter_recent", f"""
 SELECT TX_ID, TX_TS, CUSTOMER_ID, TERMINAL_ID, {r('TX_AMOUNT')} AS TX_AMOUNT FROM tx
 WHERE TX_TS BETWEEN {AS_OF_SQL} - INTERVAL 15 DAY AND {AS_OF_SQL}""")

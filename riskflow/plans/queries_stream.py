@@ -6,15 +6,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskflow.functions import as_timestamp
 from riskflow.plans import features as fe
+from riskflow.plans import sql_functions
 from riskflow.plans.queries_joins import SNAPSHOT_AS_OF, SNAPSHOT_SQL
 from riskflow.plans.queries_features import AS_OF_SQL, feature_ctes
 from riskflow.plans import model_checks as mc
 from riskflow.plans import models as mo
 from riskflow.plans.queries_models import _fitted, _train
 from riskflow.plans.registry import AS_OF, fixture, r, register
-from riskflow.session import scratch_path
+from riskflow.session import scratch_path, unique_name
+from riskflow.sources import predictions, tables
 from riskflow.sources.fixtures import DEAD_MESSAGE, labels_from_events, load_table, messages_from_events, transactions_from_events
+from riskflow.streaming import commit_log
 from riskflow.streaming import messages as msg
 from riskflow.streaming import scoring as sc
 
@@ -44,7 +48,7 @@ def _message_stream(spark, path):
 
 
 def _read_batches(spark, path):
-    return spark.read.parquet(path).drop("run", "batch_id")
+    return sc.read_batches(spark, path).drop("run", "batch_id")
 
 
 TX_SELECT = f"TX_ID, TX_TS, CUSTOMER_ID, TERMINAL_ID, {r('TX_AMOUNT')} AS TX_AMOUNT"
@@ -116,12 +120,12 @@ SELECT TX_ID, prediction_timestamp, {r('p')} AS fraud_probability, p > 0.5 AS is
        '{FIXED_MODEL_VERSION}' AS model_version, {AS_OF_SQL} AS created_at FROM pr"""
 
 
-def _fixed_predictions(spark, sf_dir):
+def _fixed_predictions(spark, sf_dir, created_at=AS_OF):
     paths = _snapshot(spark, sf_dir)
     topic = _topic(spark, sf_dir)
     sink, ckpt = scratch_path(spark, "predictions"), scratch_path(spark, "ckpt")
     sc.run_scoring_stream(spark, _message_stream(spark, topic), paths, sink, ckpt,
-                          model_version=FIXED_MODEL_VERSION, created_at=AS_OF, score_col=FIXED_SCORE)
+                          model_version=FIXED_MODEL_VERSION, created_at=created_at, score_col=FIXED_SCORE)
     return _read_batches(spark, sink)
 
 
@@ -130,10 +134,54 @@ def q_prediction_rows(spark, sf_dir):
     return _fixed_predictions(spark, sf_dir).select(*sc.PREDICTION_COLUMNS)
 
 
+_LATER = "prediction_timestamp + INTERVAL 1 SECOND * (CAST(TX_ID AS BIGINT) % 7)"
+
+
 @register("latest_predictions", f"""WITH p AS ({_PRED_SQL})
-SELECT * FROM p ORDER BY created_at DESC, prediction_timestamp DESC, TX_ID ASC LIMIT 10""")
+SELECT * REPLACE ({_LATER} AS created_at) FROM p ORDER BY created_at DESC, prediction_timestamp DESC, TX_ID ASC LIMIT 10""")
 def q_latest_predictions(spark, sf_dir):
-    return sc.latest_predictions(_fixed_predictions(spark, sf_dir)).select(*sc.PREDICTION_COLUMNS)
+    """Predictions with creation times of their own."""
+    later = F.timestamp_seconds(F.unix_seconds("TX_TS") + F.col("TX_ID").cast("long") % 7)
+    return sc.latest_predictions(_fixed_predictions(spark, sf_dir, later)).select(*sc.PREDICTION_COLUMNS)
+
+
+@register("prediction_table", f"""WITH p AS ({_PRED_SQL})
+SELECT * EXCLUDE (created_at), CAST(TX_ID AS BIGINT) % 2 = 0 AS given, TRUE AS created_at_agrees FROM p""")
+def q_prediction_table(spark, sf_dir):
+    """Scored rows inserted by name into the catalog table: even ids with a creation time, the others take the default."""
+    rows = _fixed_predictions(spark, sf_dir)
+    db = unique_name("riskflow_predictions")
+    tables.create_namespace(spark, db, scratch_path(spark, "warehouse"))
+    name = predictions.create_prediction_table(spark, f"{db}.online_fraud_prediction")
+    start, even = spark.sql("SELECT current_timestamp() AS t").first()["t"], F.col("TX_ID").cast("long") % 2 == 0
+    predictions.insert_predictions(rows.where(even), name)
+    predictions.insert_predictions(rows.where(~even).drop("created_at"), name)
+    at = F.col("created_at")
+    agrees = F.when(even, at == as_timestamp(AS_OF)).otherwise(at.between(F.lit(start), F.current_timestamp()))
+    return spark.table(name).select(*[c for c in sc.PREDICTION_COLUMNS if c != "created_at"], even.alias("given"), agrees.alias("created_at_agrees"))
+
+
+@register("stream_replayed_batch", f"""SELECT TX_ID, TX_TS, CAST(CAST(TX_ID AS BIGINT) % 3 AS INTEGER) AS batch_id,
+       CASE WHEN CAST(TX_ID AS BIGINT) % 3 = 1 THEN {r('2 * TX_AMOUNT')} ELSE {r('TX_AMOUNT')} END AS TX_AMOUNT FROM tx""")
+def q_stream_replayed_batch(spark, sf_dir):
+    """Three published batches, one of them replayed with other amounts, and a compacted log."""
+    tx, _ = fixture(spark, sf_dir)
+    sink, batch = scratch_path(spark, "replayed"), F.col("TX_ID").cast("long") % 3
+    for i in range(3):
+        sc.write_batch(tx.where(batch == i), sink, i)
+    commit_log.compact(spark, sink)
+    sc.write_batch(tx.where(batch == 1).withColumn("TX_AMOUNT", F.col("TX_AMOUNT") * 2), sink, 1)
+    return sc.read_batches(spark, sink).select("TX_ID", "TX_TS", "batch_id", "TX_AMOUNT")
+
+
+@register("lookup_transaction", f"""WITH {_enriched_sql()}
+SELECT * FROM en ORDER BY TX_TS DESC, TX_ID DESC LIMIT 1""")
+def q_lookup_transaction(spark, sf_dir):
+    """The newest labelled transaction, given as named parameters of one statement."""
+    tx, lb = fixture(spark, sf_dir)
+    given = tx.join(lb, "TX_ID").orderBy(F.desc("TX_TS"), F.desc("TX_ID")).first()
+    snapshot = sc.read_snapshot(spark, _snapshot(spark, sf_dir))
+    return sql_functions.lookup(spark, given.asDict(), snapshot["customer"], snapshot["terminal"])
 
 
 @register("stream_score", f"""WITH {_enriched_sql()}

@@ -13,9 +13,10 @@ handled as a whole inside ``foreachBatch``:
 2. ``PipelineModel.transform`` scores the batch (probability of class 1);
 3. ``prediction_rows`` projects the six prediction columns (NULL probability
    -> 0.0, ``is_fraud = p > 0.5``);
-4. the batch is written to ``<sink>/run=<checkpoint>/batch_id=<n>`` with overwrite, so
-   a replayed batch (after a failure, from the checkpoint) replaces its own output
-   instead of duplicating it, and a stream with another checkpoint appends.
+4. the batch is written aside and then named in the sink's log (``commit_log``): a
+   replayed batch (after a failure, from the checkpoint) replaces its own entry, so
+   that readers see the old form or the new one, and a stream with another
+   checkpoint appends.
 
 Offsets live in the checkpoint folder below the shared ``spark.checkpoint.dir``;
 ``maxFilesPerTrigger`` (file source) bounds the size of a batch.
@@ -34,6 +35,7 @@ from pyspark.sql import types as T
 from riskflow.functions import as_timestamp
 from riskflow.operators.asof import asof_join
 from riskflow.plans import features as fe
+from riskflow.streaming import commit_log
 from riskflow.streaming.messages import dead_letters, parse_messages
 
 ENRICHED_FEATURES = [*fe.CUSTOMER_FEATURES, *fe.TERMINAL_FEATURES]
@@ -264,9 +266,14 @@ def run_of(checkpoint: str) -> str:
 
 
 def write_batch(df: DataFrame, sink: str, batch_id: int, run: str = "0") -> None:
-    """Idempotent per-batch write: a replay of ``batch_id`` of the same ``run`` overwrites its own folder; streams with
+    """Publish a batch (``commit_log``): a replay of ``batch_id`` of the same ``run`` replaces it in one step; streams with
     other checkpoints append to the table."""
-    df.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/run={run}/batch_id={int(batch_id)}")
+    commit_log.publish(df, sink, batch_id, run)
+
+
+def read_batches(spark: SparkSession, sink: str) -> DataFrame:
+    """The published batches of a sink, with ``run`` and ``batch_id``."""
+    return commit_log.read(spark, sink)
 
 
 def run_scoring_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths: dict, sink: str,

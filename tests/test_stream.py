@@ -59,7 +59,7 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(topic)
     sc.run_scoring_stream(spark, stream, paths, sink, ckpt, model_version="fixed", created_at=SNAP,
                           score_col="terminal_id_risk_1day_window")
-    first = spark.read.parquet(sink)
+    first = sc.read_batches(spark, sink)
     assert first.select("batch_id").distinct().count() == 3  # one batch per file
     n = first.count()
     # batch computation of the same rows
@@ -73,12 +73,12 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
     stream2 = spark.readStream.option("maxFilesPerTrigger", 1).text(topic)
     sc.run_scoring_stream(spark, stream2, paths, sink, ckpt, model_version="fixed", created_at=SNAP,
                           score_col="terminal_id_risk_1day_window")
-    assert spark.read.parquet(sink).count() == n
+    assert sc.read_batches(spark, sink).count() == n
     # a replayed batch (same id) overwrites its own output
     run = sc.run_of(ckpt)
     sc.write_batch(batch.limit(5), sink, 0, run)
     sc.write_batch(batch.limit(5), sink, 0, run)
-    assert spark.read.parquet(sink).where("batch_id = 0").count() == 5
+    assert sc.read_batches(spark, sink).where("batch_id = 0").count() == 5
 
 
 def test_latest_fast_path_equals_general_asof(spark):
@@ -118,7 +118,7 @@ def test_streams_with_other_checkpoints_append(spark):
         msg.to_message(rows).coalesce(1).write.text(topic)
         sc.run_scoring_stream(spark, msg.message_stream(spark, "text", topic), paths, sink, scratch_path(spark, "ckpt"),
                               model_version="fixed", created_at=SNAP, score_col="terminal_id_risk_1day_window")
-    assert sorted(r["TX_ID"] for r in spark.read.parquet(sink).collect()) == ["a", "b", "c", "d"]
+    assert sorted(r["TX_ID"] for r in sc.read_batches(spark, sink).collect()) == ["a", "b", "c", "d"]
 
 
 def test_messages_without_their_parties_are_dead_letters(spark):
@@ -165,7 +165,7 @@ def test_failed_batch_is_replayed_without_duplicates(spark, monkeypatch):
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(topic)
     sc.run_scoring_stream(spark, stream, paths, sink, ckpt, model_version="fixed", created_at=SNAP,
                           score_col="terminal_id_risk_1day_window")
-    out = spark.read.parquet(sink)
+    out = sc.read_batches(spark, sink)
     expected = msg.parse_messages(spark.read.text(topic)).count()
     assert out.count() == expected
     assert out.select("TX_ID").distinct().count() == expected
@@ -183,3 +183,75 @@ def test_refreshed_snapshot_is_taken_and_the_old_one_stays(spark):
     one = tx.limit(1)
     plan = sc._keys_in(one, "CUSTOMER_ID", sc.read_snapshot(spark, path)["customer"], "customer_id")
     assert "PartitionFilters: [isnotnull(key_part" in plan._jdf.queryExecution().executedPlan().toString() or "key_part#" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+# --- commit log and prediction table ---------------------------------------------------------------------------------
+
+def test_readers_see_the_old_batch_until_the_new_one_is_published(spark, monkeypatch):
+    from riskflow.streaming import commit_log
+
+    sink = scratch_path(spark, "log")
+    a, b = (spark.range(n).withColumnRenamed("id", "v") for n in (3, 5))
+    commit_log.publish(a, sink, 0, "r")
+    commit_log.publish(a, sink, 1, "r")
+    old = commit_log.read(spark, sink)
+    seen = []
+    put = commit_log._put
+
+    def watched(*args):  # the new form is written, its entry is not yet in place
+        seen.append(commit_log.read(spark, sink).where("batch_id = 1").count())
+        put(*args)
+
+    monkeypatch.setattr(commit_log, "_put", watched)
+    commit_log.publish(b, sink, 1, "r")
+    assert seen == [3] and commit_log.read(spark, sink).where("batch_id = 1").count() == 5
+    assert old.where("batch_id = 1").count() == 3  # a reader that has the old files still reads them
+
+    def broken(*args):
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(commit_log, "_put", broken)
+    with pytest.raises(RuntimeError):
+        commit_log.publish(a, sink, 1, "r")
+    monkeypatch.setattr(commit_log, "_put", put)
+    assert commit_log.read(spark, sink).count() == 8
+    assert commit_log.vacuum(spark, sink) == 2 and commit_log.read(spark, sink).count() == 8
+
+
+def test_compacted_log_gives_way_to_newer_entries(spark):
+    from riskflow.streaming import commit_log
+
+    sink = scratch_path(spark, "log")
+    with pytest.raises(FileNotFoundError):
+        commit_log.read(spark, sink)
+    assert commit_log.read(spark, sink, sc.PREDICTION_SCHEMA).count() == 0
+    for i in range(4):
+        commit_log.publish(spark.range(i + 1), sink, i, "r")
+    commit_log.publish(spark.range(7), sink, 0, "other")
+    assert commit_log.compact(spark, sink) == 5 and commit_log._log_files(spark, sink) == [commit_log.COMPACTED]
+    assert commit_log.read(spark, sink).count() == 17
+    commit_log.publish(spark.range(100), sink, 2, "r")
+    assert commit_log.read(spark, sink).count() == 114
+    assert commit_log.compact(spark, sink) == 5 and commit_log.read(spark, sink).count() == 114
+
+
+def test_prediction_table_fills_in_its_default(spark):
+    from riskflow.session import unique_name
+    from riskflow.sources import predictions, tables
+
+    db = unique_name("predictions")
+    tables.create_namespace(spark, db, scratch_path(spark, "warehouse"))
+    name = predictions.create_prediction_table(spark, f"{db}.online_fraud_prediction")
+    assert [f.name for f in spark.table(name).schema] == sc.PREDICTION_COLUMNS
+    assert [f.dataType for f in spark.table(name).schema] == [f.dataType for f in sc.PREDICTION_SCHEMA]
+    rows = spark.createDataFrame([("a", 0.9), ("b", None)], "TX_ID string, p double").withColumn("TX_TS", F.lit("2024-01-30 00:00:00").cast("timestamp"))
+    full = sc.prediction_rows(rows, "p", "v", "2024-01-31 00:00:00")
+    before = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    predictions.insert_predictions(full, name)
+    predictions.insert_predictions(full.drop("created_at").select(*reversed(sc.PREDICTION_COLUMNS[:-1])), name)  # by name
+    got = spark.table(name).collect()
+    assert sorted(r["fraud_probability"] for r in got) == [0.0, 0.0, 0.9, 0.9]
+    late = [r for r in got if r["created_at"] >= before]
+    assert len(late) == 2 and len(got) == 4
+    assert predictions.create_prediction_table(spark, name) == name and spark.table(name).count() == 4
+    spark.sql(f"DROP DATABASE {db} CASCADE")
