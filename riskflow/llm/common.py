@@ -20,7 +20,7 @@ import riskflow
 from riskflow.session import checkpoint_dir, materialize, scratch_path
 
 __all__ = ["ASCII_LOWER", "WORD", "checkpoint_dir", "materialize", "scratch_path", "documents", "fold",
-           "join_apart", "map_rows", "parquet", "shipped", "slices"]
+           "fresh", "join_apart", "map_rows", "parquet", "shipped", "slices"]
 
 #: Words of the contracts: runs without space, tab, line feed, vertical tab, form feed or carriage return.
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -66,6 +66,14 @@ def join_apart(rows: DataFrame, groups: DataFrame, key: str, how: str = "inner")
     return rows.join(other, apart(rows[key]) == apart(other["_apart"]), how).drop("_apart")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have: ``name``, with as many underscores behind as it takes."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batch: pa.RecordBatch, rows: int = 64):
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)

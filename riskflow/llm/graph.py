@@ -25,18 +25,18 @@ def _small_star(e: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def connected_components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """node, root (the smallest node reachable) for every node that ``links`` (a, b) mention; null ends are dropped."""
+def connected_components(links: DataFrame) -> DataFrame:
+    """node, root (the smallest node reachable) for every node that ``links`` (a, b) mention; null ends are dropped.
+
+    Rounds go on until all is settled; their number grows with the logarithm of the longest chain."""
     e = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = materialize(e, "components")
-    for _ in range(most_rounds):
+    while True:
         e = materialize(_small_star(_large_star(e)), "components")
         # done when every node hangs on one root, and no root on another
         ends = e.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
             e.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
         if not ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or up > 0 and down > 0").head(1):
             break
-    else:
-        raise RuntimeError(f"not all components found after {most_rounds} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -15,8 +15,9 @@
 ``least`` is set so that a pair exactly at the similarity misses it with probability below 1e-9.
 
 Defined results: null or wordless text has an empty set, is linked with nothing and stays. A text of fewer words than
-a shingle is one shingle. Repeated rows are copies of each other; rows with equal ids share the verdict. A null id
-counts only where a component has no other id. An empty table gives an empty result; other columns are not read.
+a shingle is one shingle. Repeated rows are copies of each other; every row is judged by its own text, whatever rows
+share its id. A null id counts only where a component has no other id. Ties (several texts with the smallest id) go to the
+smaller text digest. An empty table gives an empty result; other columns are not read, and may have any name.
 """
 
 from __future__ import annotations
@@ -26,10 +27,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import join_apart, materialize, shipped, slices
+from riskflow.llm.common import fresh, join_apart, materialize, shipped, slices
 from riskflow.llm.graph import connected_components
 
 SHINGLE, COORDINATES = 5, 64
@@ -37,6 +38,8 @@ BLOCK, BLOCK_SHINGLES = 4096, 2_000_000
 #: Small sides of up to so many rows (under 100 bytes and 16 bytes each) are broadcast; larger ones are joined by shuffle.
 MOST_MEMBERS, MOST_IDS = 200_000, 2_000_000
 
+_ANY_WORD = r"[^\x20\x09-\x0d]"
+
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -117,24 +120,30 @@ def least_agreements(similarity: float, miss: float = 1e-9) -> int:
 
 
 def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, key (digest of the shingle set; null for the empty set), n_shingles, sig: one row per row of ``docs``."""
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n_shingles", pa.int64()), ("sig", pa.list_(pa.int32()))])
+    """doc_id, text_key (digest of the text), key (digest of the shingle set; null for the empty set), n_shingles, sig: one
+    row per row of ``docs``."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("key", pa.binary()), ("n_shingles", pa.int64()), ("sig", pa.list_(pa.int32()))])
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 ids, texts = part.column(0), part.column(1).to_pylist()
-                keys, counts, sigs = [], [], []
+                texts_of, keys, counts, sigs = [], [], [], []
                 for t in texts:
                     s = shingles(t, size)
+                    texts_of.append(hashlib.md5((t or "").encode("utf-8", "surrogatepass")).digest())
                     keys.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
                     counts.append(len(s))
                     sigs.append(signature(s) if len(s) else None)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.binary()), pa.array(counts, pa.int64()),
+                yield pa.RecordBatch.from_arrays([ids, pa.array(texts_of, pa.binary()), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()),
                                                   pa.array(sigs, pa.list_(pa.int32()))], schema=schema)
 
     return shipped(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, key binary, n_shingles long, sig array<int>")
+        run, "doc_id long, text_key binary, key binary, n_shingles long, sig array<int>")
+
+
+def _text_key(text) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def _grouped(batches, columns: int):
@@ -250,16 +259,13 @@ def _in_blocks(df: DataFrame, group: str, blocks) -> DataFrame:
             .repartition(group, "lo", "hi").sortWithinPartitions(group, "lo", "hi"))
 
 
-def components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of ``docs``.
-
-    Texts are linked where 100 * intersection >= ``percent`` * union of their shingle sets; component_id is the
-    smallest id reachable over links, and the row with that id is kept.
-    """
+def _grouped_texts(docs: DataFrame, percent: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """The signature rows of ``docs``, and (key, rep, root): every different shingle set, its smallest id and the set that
+    names its component."""
     least = least_agreements(percent / 100)
     base = materialize(signatures(docs, size), "signatures")
     classes = materialize(base.filter("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "classes")
+        F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "text_key")).alias("at"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "classes")
 
     posts = classes.select("key", F.posexplode("sig").alias("i", "v")).select(
         "key", (F.shiftleft(F.col("i").cast("long"), 32) + F.col("v").cast("long")).alias("post"))
@@ -274,19 +280,28 @@ def components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataF
         _candidate_links(least), "a binary, b binary")
     groups = connected_components(candidates)
 
-    members = groups.join(classes.select(F.col("key").alias("node"), "rep", "n_shingles"), "node")
+    members = groups.join(classes.select(F.col("key").alias("node"), "at", "n_shingles"), "node")
     sizes = members.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks"))
-    members = join_apart(members, sizes, "root").select("root", "blocks", F.col("node").alias("key"), "rep")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    members = join_apart(members, sizes, "root").select("root", "blocks", F.col("node").alias("key"), F.col("at.doc_id").alias("id"), F.col("at.text_key").alias("tk"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key(F.col("text")).alias("text_key"))
     members = materialize(members, "members")
     if members.count() <= MOST_MEMBERS:  # a size check: then no text is shuffled for the look-up
         members = F.broadcast(members)
-    texts = texts.join(members, F.col("doc_id").eqNullSafe(F.col("rep"))).select("root", "blocks", "key", "text")
+    texts = texts.join(members, (F.col("text_key") == F.col("tk")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("root", "blocks", "key", "text")
     links = _in_blocks(texts, "root", F.col("blocks")).select("root", "lo", "hi", "key", "text").mapInArrow(
         _confirmed_links(percent, size), "a binary, b binary")
     linked = connected_components(links).select(F.col("node").alias("key"), "root")
 
-    owner = classes.select("key", "rep").join(linked, "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
+    return base, classes.select("key", "rep").join(linked, "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
+
+
+def components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of ``docs``.
+
+    Texts are linked where 100 * intersection >= ``percent`` * union of their shingle sets; component_id is the
+    smallest id reachable over links, and the row with that id is kept.
+    """
+    base, owner = _grouped_texts(docs, percent, size)
     ids = owner.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = join_apart(owner, ids, "root").select("key", "component_id")
     out = base.select("doc_id", "n_shingles", "key").join(named, "key", "left")
@@ -295,21 +310,30 @@ def components(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataF
 
 
 def representatives(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataFrame:
-    """``docs`` with one document of each component: all columns stay, and the row with the smallest id.
+    """``docs`` with one document of each component: all columns stay.
 
-    An id stands for one document: of rows with equal ids one stays. Rows without an id cannot be named by a
-    component; of those with equal texts one stays.
+    A document is an id with a text: rows with one id and different texts are judged each by its text, and rows without an
+    id are judged too. Of a component the row with the smallest (id, text digest) stays, one without id only where no row
+    of it has one; of rows equal in both, one. Texts without words are in no component and all stay.
     """
-    verdicts = components(docs, percent, size).filter("kept and doc_id is not null")
-    ids = materialize(verdicts.groupBy(F.col("doc_id").alias("_near_id")).agg(F.count(F.lit(1)).alias("_near_n")), "kept")
+    base, owner = _grouped_texts(docs, percent, size)
+    # one row for each document, so that copies of one are counted before the components are looked up
+    rows = base.filter("key is not null").groupBy("key", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "n")
+    classes = rows.groupBy("key").agg(F.min(first).alias("first"))
+    picked = owner.join(classes, "key").groupBy("root").agg(F.min("first").alias("first"))
+    key, id_, tk, n = (fresh(docs, c) for c in ("_near_key", "_near_id", "_near_text", "_near_n"))
+    picked = materialize(picked.select(F.col("first.doc_id").alias(id_), F.col("first.text_key").alias(tk), F.col("first.n").alias(n)), "kept")
     own = [F.col(f"`{c}`") for c in docs.columns]
-    if ids.count() <= MOST_IDS:
-        ids = F.broadcast(ids)
-    rows = docs.join(ids, F.col("doc_id").cast("long") == F.col("_near_id"))
-    out = rows.filter("_near_n = 1").select(*own)
-    if ids.filter("_near_n > 1").head(1):
-        out = out.unionByName(rows.filter("_near_n > 1").select(*own).dropDuplicates(["doc_id"]))
-    return out.unionByName(docs.filter("doc_id is null").dropDuplicates(["text"]))
+    several = picked.filter(F.col(n) > 1).head(1)
+    if picked.count() <= MOST_IDS:
+        picked = F.broadcast(picked)
+    keyed = docs.withColumn(key, _text_key(F.col("text")))
+    found = keyed.join(picked, (F.col(key) == F.col(tk)) & F.col("doc_id").cast("long").eqNullSafe(F.col(id_)))
+    out = found.filter(F.col(n) == 1).select(*own)
+    if several:
+        out = out.unionByName(found.filter(F.col(n) > 1).dropDuplicates([id_, tk]).select(*own))
+    return out.unionByName(docs.filter(~F.coalesce(F.col("text"), F.lit("")).rlike(_ANY_WORD)))
 
 
 def op9(docs: DataFrame) -> DataFrame:

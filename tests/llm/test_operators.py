@@ -430,8 +430,16 @@ def test_near_duplicates_awkward_ids(spark):
     assert sorted((r["doc_id"] or 0, r["component_id"], r["kept"]) for r in out if r["n_shingles"] == 76 and r["component_id"] == 3) == [(0, 3, False), (3, 3, True), (5, 3, False), (5, 3, False)]
     kept = near_dup.representatives(clashing(docs), 80)
     assert kept.columns == clashing(docs).columns
-    ids = collections.Counter(r["doc_id"] for r in rows(kept))
-    assert ids[3] == ids[9] == ids[1] == ids[2] == 1 and ids[5] == 0 and ids[None] == 2
+    left = rows(kept)
+    ids = collections.Counter(r["doc_id"] for r in left)
+    # both of id 9's texts stay; the copy without id of id 3's text goes, of the two equal rows without id one stays
+    assert ids[3] == ids[1] == ids[2] == 1 and ids[9] == 2 and ids[5] == 0 and ids[None] == 1
+    assert len({r["text"] for r in left if r["doc_id"] == 9}) == 2 and {r["text"] for r in left if r["doc_id"] is None} == {b}
+    near = c.split()
+    near[40] = "other"
+    more = table(spark, [(9, c), (9, " ".join(near)), (4, " ".join(near)), (None, " ".join(near) + " end"), (7, " \n"), (7, " \n"), (None, None)])
+    left = rows(near_dup.representatives(more.withColumn("_near_key", F.lit(1)).withColumn("_near_id", F.lit(2)).withColumn("_near_n", F.lit(3)), 80))
+    assert sorted(((r["doc_id"], r["text"]) for r in left), key=str) == sorted([(4, " ".join(near)), (7, " \n"), (7, " \n"), (None, None)], key=str)
     assert near_dup.op9(docs.limit(0)).count() == 0 and near_dup.representatives(docs.limit(0)).count() == 0
 
 
