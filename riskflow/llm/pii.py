@@ -1,25 +1,34 @@
 """Personal data and the terms that disclose it (operator 10; DataFrame functions only).
 
 Base: e-mail addresses, IP addresses, card numbers and phone numbers are found with their positions (code points).
-Method: each found value is a protected entity. Over the whole corpus it is counted in how many documents an entity
-occurs, in how many a term, and in how many both do, wherever they stand; words inside base spans are no terms of their
-document. A term tells PMI(term; entity) = log(N n(term, entity) / (n(term) n(entity))) of the entity's information
-IC = log(N / n(entity)). A term that tells at least ``disclose`` of some entity is a span of kind ``term`` wherever it
-stands in the corpus outside base spans, in documents without base spans too; it is generalised to a placeholder, or
-removed where it tells at least ``remove``. An entity must occur in ``support`` documents, together with the term, for
-there to be evidence. Base spans always stay.
-
-As n(term, entity) is at most n(entity), a term in over n(entity) (N / n(entity))^(1 - disclose) documents cannot tell
-enough: such pairs are left out before they are counted, with the same result. Counts are combined map-side; terms and
-entities of up to ``MOST_BROADCAST`` rows go to the documents, beyond that both sides are shuffled. Positions are
-taken only in texts that have a disclosing term; texts are shuffled only where over ``MOST_BROADCAST`` have one.
+Method: over the whole corpus it is counted in how many documents a protected entity occurs, in how many a term, and in
+how many both do, wherever they stand; words inside base spans are no terms of their document. A term tells
+PMI(term; entity) = log(P(entity | term) / P(entity)) of the entity's information IC = -log P(entity). A term that tells at
+least ``disclose`` of some entity is a span of kind ``term`` wherever it stands in the corpus outside base spans, in
+documents without base spans too; it is generalised to a placeholder, or removed where it tells at least ``remove``.
+Base spans always stay. Three kinds of entities are protected:
+
+* each value found. Most values occur once, and then every rare word of the document would "tell" them; so term and
+  entity must meet in ``support`` documents for there to be evidence.
+* what recurs in values: the host of an address, the network of an IP, the issuer of a card, the prefix of a phone
+  number, and the kind itself. P(entity | term) is shrunk to the lower end of its confidence interval (Wilson's, ``z``
+  standard errors), so that words which met an entity by chance a few times tell little.
+* the name in an address: a word (``NAME`` letters or more) of the part before the @ is known to belong to the address;
+  elsewhere it tells log(N / n(word)) of its log(N / n(address)), without further evidence.
+
+A pair tells enough only if P(entity | term) >= P(entity)^(1 - disclose); as n(term, entity) is at most n(entity), and the
+shrunk share at most n / (n + z^2), terms that are too frequent or too rare for an entity are left out before pairs are
+counted, with the same result. Texts are read once: spans and distinct words of each are stored. Counts are combined
+map-side; terms and entities of up to ``MOST_BROADCAST`` rows go to the documents, beyond that both sides are shuffled.
+Positions are taken only in texts that have a disclosing term; texts are shuffled only where over ``MOST_BROADCAST`` have
+one.
 
 Patterns are the contract's, written so that Java's engine does not backtrack or recurse over long runs: possessive
 where the next character cannot belong to the run, and starting only at the start of a run.
 
 Defined results: null and empty texts have no spans (the hash of an empty string). Ids may be null or repeated;
-repeated rows give repeated results; an empty table gives an empty result; other columns are not read by ``detect``
-and are kept by ``sanitise``.
+repeated rows give repeated results; an empty table gives an empty result; other columns, of whatever name, are not read
+by ``detect`` and are kept by ``sanitise``.
 """
 
 from __future__ import annotations
@@ -27,10 +36,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import materialize
+from riskflow.llm.common import fresh, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT, DISCLOSE, REMOVE, MOST_BROADCAST = 3, 0.9, 0.99, 200_000
+Z, NAME = 3.0, 4  # standard errors of the shrunk share; letters of a name
 RUN = 16  # matches whose positions are added up at a time
 
 # Kind -> (a cheap test, the pattern). \G is the end of the match before: a run may start there.
@@ -156,13 +166,32 @@ def _with_spans(docs: DataFrame, *columns) -> DataFrame:
     return docs.select(*columns, F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("spans", base_spans(F.col("text")))
 
 
+def _recurring(x: Column) -> Column:
+    """array<string>: what a span shares with other values of its kind, and the kind."""
+    v, kind = _entity(x), x["kind"]
+    part = (F.when(kind == "email", F.regexp_extract(v, "@(.*)$", 1)).when(kind == "ip", F.regexp_extract(v, r"^ip:([0-9]+\.[0-9]+)", 1))
+            .when(kind == "card", F.substring(v, 6, 6)).otherwise(F.substring(v, 7, 5)))
+    return F.array(F.concat(F.lit("part:"), kind, F.lit(":"), part), F.concat(F.lit("kind:"), kind))
+
+
+def _names(x: Column) -> Column:
+    """array<struct<name, entity>>: the words of the local part of an address."""
+    local = F.regexp_extract(F.lower(x["v"]), "^([^@]*)@", 1)
+    words = F.filter(F.array_distinct(_words(local)), lambda w: F.length(w) >= NAME)
+    return F.transform(words, lambda w: F.struct(w.alias("name"), _entity(x).alias("entity")))
+
+
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, spans, text_key, and for rows with spans: entities and terms. One projection over the texts."""
+    """doc_id, spans, text_key, words (distinct, outside base spans), and for rows with spans: values, recurring (parts
+    and kinds) and names. One projection over the texts."""
     text, some = F.col("text"), F.size("spans") > 0
-    terms = _distinct_terms(F.flatten(F.transform(_outside(text, F.col("spans")), lambda x: _words(_part(text, x)))))
-    return _with_spans(docs, F.col("doc_id").cast("long").alias("doc_id")).select(
-        "doc_id", "spans", F.md5(text.cast("binary")).alias("text_key"),
-        F.when(some, F.array_distinct(F.transform("spans", _entity))).alias("entities"), F.when(some, terms).alias("terms"))
+    outside = F.flatten(F.transform(_outside(text, F.col("spans")), lambda x: _words(_part(text, x))))
+    found = _with_spans(docs, F.col("doc_id").cast("long").alias("doc_id"))
+    return found.select(
+        "doc_id", "spans", F.md5(text.cast("binary")).alias("text_key"), _distinct_terms(F.when(some, outside).otherwise(_words(text))).alias("words"),
+        F.when(some, F.array_distinct(F.transform("spans", _entity))).alias("values"),
+        F.when(some, F.array_distinct(F.flatten(F.transform("spans", _recurring)))).alias("recurring"),
+        F.when(some, F.flatten(F.transform(F.filter("spans", lambda x: x["kind"] == "email"), _names))).alias("names"))
 
 
 def _sent(df: DataFrame) -> DataFrame:
@@ -170,34 +199,57 @@ def _sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
 
-def disclosing_terms(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT, disclose: float = DISCLOSE) -> DataFrame:
+def _lower_share(k: Column, n: Column, z: float) -> Column:
+    """The lower end of Wilson's interval for the share k / n."""
+    p = k / n
+    return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def disclosing_terms(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT, disclose: float = DISCLOSE, z: float = Z) -> DataFrame:
     """term, told: the terms that tell at least ``disclose`` of an entity, and the most they tell of one."""
-    total = float(docs.count())
+    total = float(scanned.count())
     count = F.count(F.lit(1))
-    entities = materialize(scanned.select(F.explode("entities").alias("entity")).groupBy("entity").agg(count.alias("n_entity"))
-                           .filter((F.col("n_entity") >= support) & (F.col("n_entity") < total)), "entities")
-    most = lambda n: n * F.pow(F.lit(total) / n, F.lit(1 - disclose)) * (1 + 1e-9)
-    largest = entities.agg(F.max(most(F.col("n_entity")))).first()[0] or 0.0
-    counted = docs.select(F.explode(_distinct_terms(_words(F.col("text")))).alias("term")).groupBy("term").agg(count.alias("n_term"))
-    counted = materialize(counted.filter(F.col("n_term").between(support, largest)), "terms")
-    pairs = (scanned.select("terms", F.explode("entities").alias("entity")).join(_sent(entities), "entity")
-             .select("entity", "n_entity", F.explode("terms").alias("term")).join(_sent(counted), "term")
-             .filter(F.col("n_term") <= most(F.col("n_entity")))
-             .groupBy("entity", "term", "n_entity", "n_term").agg(count.alias("n_both")).filter(F.col("n_both") >= support))
-    ic = F.log(F.lit(total) / F.col("n_entity"))
-    pmi = F.log(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    told = pairs.select("term", (pmi / ic).alias("told")).filter(F.col("told") >= disclose)
+    n, with_spans = F.col("n_entity"), scanned.filter("values is not null")
+    need = F.pow(n / F.lit(total), F.lit(1 - disclose)) * (1 - 1e-9)  # the least share that tells enough
+    listed = lambda name: with_spans.select(F.explode(name).alias("entity")).groupBy("entity").agg(count.alias("n_entity")).filter(n < total)
+    entities = listed("values").filter(n >= support).select("entity", "n_entity", F.lit(False).alias("shrunk"), F.lit(support).cast("double").alias("least"))
+    wide = listed("recurring").select("entity", "n_entity", F.lit(True).alias("shrunk"), F.greatest(z * z * need / (1 - need), F.lit(float(support))).alias("least"))
+    entities = materialize(entities.unionByName(wide).withColumn("most", n / need).filter(F.col("least") <= F.col("most")), "entities")
+    bounds = entities.agg(F.min("least").alias("least"), F.max("most").alias("most")).first()
+
+    known = listed("values").withColumnRenamed("n_entity", "n_value")
+    names = with_spans.select(F.explode("names").alias("x")).select("x.*").distinct().join(known, "entity")
+    names = materialize(names.groupBy(F.col("name").alias("term")).agg(F.min("n_value").alias("n_value")), "names")
+
+    counted = scanned.select(F.explode("words").alias("term")).groupBy("term").agg(count.alias("n_term"))
+    counted = counted.join(_sent(names), "term", "left")
+    inside = F.col("n_term").between(bounds["least"], bounds["most"]) if bounds["least"] is not None else F.lit(False)
+    counted = materialize(counted.filter(inside | F.col("n_value").isNotNull()), "terms")
+
+    ic = lambda k: F.log(F.lit(total) / k)
+    spoken = counted.filter("n_value is not null").select("term", (ic(F.greatest("n_term", "n_value")) / ic(F.col("n_value"))).alias("told"))
+
+    met = with_spans.select("words", F.explode(F.concat("values", "recurring")).alias("entity")).join(_sent(entities), "entity")
+    pairs = (met.select("entity", "n_entity", "shrunk", "least", "most", F.explode("words").alias("term"))
+             .join(_sent(counted.filter(inside).select("term", "n_term")), "term").filter(F.col("n_term").between(F.col("least"), F.col("most")))
+             .groupBy("entity", "term", "n_entity", "n_term", "shrunk").agg(count.alias("n_both")).filter(F.col("n_both") >= support))
+    share = F.when(F.col("shrunk"), _lower_share(F.col("n_both"), F.col("n_term"), z)).otherwise(F.col("n_both") / F.col("n_term"))
+    found = pairs.select("term", (1 + F.log(share) / ic(n)).alias("told"))
+    told = found.unionByName(spoken).filter(F.col("told") >= disclose - 1e-9)
     return materialize(told.groupBy("term").agg(F.max("told").alias("told")), "disclosing")
 
 
-def term_spans(docs: DataFrame, told: DataFrame) -> DataFrame:
+def term_spans(docs: DataFrame, scanned: DataFrame, told: DataFrame) -> DataFrame:
     """text_key, terms array<struct<s, k, e, kind, told>>: the disclosing terms of each text that has some."""
     told = _sent(told)
     key = F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key")
     # positions are dear: they are taken in the texts that have a disclosing term somewhere
-    own = docs.select(key, F.explode(_distinct_terms(_words(F.col("text")))).alias("term")).join(told, "term", "left_semi").select("text_key").distinct()
-    own = _sent(materialize(own, "term-texts"))
-    words = _with_spans(docs.select(key, "text").join(own, "text_key", "left_semi"), "text_key")
+    own = scanned.select("text_key", F.explode("words").alias("term")).join(told, "term", "left_semi").select("text_key").distinct()
+    own = materialize(own, "term-texts")
+    empty = F.expr("cast(array() as array<struct<s:int,k:int,e:int,kind:string,told:double>>)")
+    if not own.head(1):
+        return own.withColumn("terms", empty)
+    words = _with_spans(docs.select(key, "text").join(_sent(own), "text_key", "left_semi"), "text_key")
     words = words.select("text_key", F.explode(terms_at(F.col("text"), F.col("spans"))).alias("w"))
     spans = words.select("text_key", "w.s", "w.e", "w.term").join(told, "term")
     # a set: copies of a text share its row
@@ -218,7 +270,7 @@ def _count(kind: str) -> Column:
 def detect(docs: DataFrame, support: int = SUPPORT, disclose: float = DISCLOSE) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: one row per row of ``docs``."""
     scanned = materialize(scan(docs), "pii")
-    marks = term_spans(docs, disclosing_terms(docs, scanned, support, disclose))
+    marks = term_spans(docs, scanned, disclosing_terms(docs, scanned, support, disclose))
     rows = scanned.select("doc_id", "spans", "text_key").join(_few(marks), "text_key", "left")
     drop = lambda spans: F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), x["kind"].alias("kind")))
     every = F.when(F.col("terms").isNull(), _joined(F.col("spans"))).otherwise(
@@ -231,15 +283,15 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, disclose: float = DISCLOSE
     """``docs`` with its base spans replaced by [EMAIL], [IP], [CARD], [PHONE], disclosing terms by [TERM], or by
     nothing where they tell at least ``remove``. All rows and columns stay; n_chars, if there, follows the text."""
     scanned = materialize(scan(docs), "pii")
-    marks = term_spans(docs, disclosing_terms(docs, scanned, support, disclose))
+    marks = term_spans(docs, scanned, disclosing_terms(docs, scanned, support, disclose))
     text = F.col("text")
-    key = "_pii_text_key"
-    told = _few(marks.select("text_key", "terms")).select(F.col("text_key").alias(key), F.col("terms").alias("_pii_terms"))
+    key, terms, spans = (fresh(docs, c) for c in ("_pii_text_key", "_pii_terms", "_pii_spans"))
+    told = _few(marks.select("text_key", "terms")).select(F.col("text_key").alias(key), F.col("terms").alias(terms))
     rows = docs.withColumn(key, F.md5(F.coalesce(text, F.lit("")).cast("binary"))).join(told, key, "left").withColumn(
-        "_pii_spans", base_spans(F.coalesce(text, F.lit(""))))
-    some = (F.size("_pii_spans") > 0) | F.col("_pii_terms").isNotNull()
-    base = F.transform("_pii_spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")).alias("to")))
-    more = F.coalesce(F.transform("_pii_terms", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.when(x["told"] >= remove, "").otherwise("[TERM]").alias("to"))),
+        spans, base_spans(F.coalesce(text, F.lit(""))))
+    some = (F.size(spans) > 0) | F.col(terms).isNotNull()
+    base = F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")).alias("to")))
+    more = F.coalesce(F.transform(terms, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.when(x["told"] >= remove, "").otherwise("[TERM]").alias("to"))),
                       F.expr("cast(array() as array<struct<s:int,e:int,to:string>>)"))
     new = F.aggregate(
         F.sort_array(F.concat(base, more)), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),

@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -12,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskflow.llm import bpe, decontamination, graph, langid, near_dup, pii, quality, sharding, suffix_dedup, toxicity, warc
+from riskflow.llm.common import materialize
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -529,6 +531,86 @@ def test_disclosing_terms_anywhere(spark, monkeypatch):
         assert all(clean[i]["text"] == texts[i] for i in range(7, len(texts)))
 
 
+def plain_disclosure(texts, support=3, disclose=0.9, z=3.0):
+    """term -> the most it tells of an entity, from all pairs of terms and entities."""
+    docs, values, wide, names = [], collections.Counter(), collections.Counter(), {}
+    for t in texts:
+        t = t or ""
+        spans = plain_spans(t)
+        free, at = [], 0
+        for a, _, _, b in spans:
+            free.append(t[at:max(at, a)])
+            at = max(at, b)
+        words = {w.lower() for x in [*free, t[at:]] for w in re.findall(r"[^\W\d_]+", x)}
+        own, more = set(), set()
+        for a, _, kind, b in spans:
+            v = t[a:b].lower()
+            d = re.sub("[^0-9]", "", v)
+            own.add((kind, d if kind in ("card", "phone") else v))
+            part = {"email": v.split("@")[-1], "ip": ".".join(v.split(".")[:2]), "card": d[:6], "phone": d[:5]}[kind]
+            more |= {("part", kind, part), ("kind", kind)}
+            if kind == "email":
+                for w in set(re.findall(r"[^\W\d_]{4,}", v.split("@")[0])):
+                    names.setdefault(w, set()).add((kind, v))
+        docs.append((words, own, more))
+        values.update(own)
+        wide.update(more)
+    total, n_term, both = len(texts), collections.Counter(w for d in docs for w in d[0]), collections.Counter()
+    for words, own, more in docs:
+        both.update((w, e) for e in own | more for w in words)
+    told = {}
+    for (w, e), k in both.items():
+        n, n_e, p = n_term[w], (values | wide)[e], k / n_term[w]
+        if n_e == total or k < support:
+            continue
+        if e in wide:
+            p = (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        told[w] = max(told.get(w, 0), 1 + math.log(p) / math.log(total / n_e) if p > 0 else 0)
+    for w, own in names.items():
+        n_e = min(values[e] for e in own)
+        if n_term[w]:
+            told[w] = max(told.get(w, 0), math.log(total / max(n_term[w], n_e)) / math.log(total / n_e))
+    return {w: v for w, v in told.items() if v >= disclose - 1e-9}
+
+
+def test_disclosure_against_all_pairs(spark):
+    """Planted: a word that goes with a host, one with a kind, one with an address, a name out of its address; and words
+    that meet personal data by chance, or go with much else."""
+    rng = random.Random(18)
+    texts = []
+    for i in range(600):
+        t = prose(rng, rng.randint(5, 40))
+        if i < 40:
+            t += f" quillmark says w{rng.randrange(10**6)}@corp7.example.com often"
+        elif i < 80:
+            t += f" a{i}x@other{i}.example.com often"
+        elif i < 86:
+            t += " zorblatt bob@x.org"
+        elif i < 90:
+            t += f" chancy +1 202 555 01{i} or 10.20.{i}.7"
+        if 0 <= i < 86:
+            t += " postbox"
+        if i >= 400:
+            t += " often says or"
+        if i == 90:
+            t += " Xanthippe.77@y.org"
+        if i in (91, 300):
+            t += " xanthippe" if i == 300 else " Xanthippe"
+        texts.append(t)
+    docs = table(spark, [*texts, None, "", "often " * 3]).repartition(4)
+    scanned = materialize(pii.scan(docs), "scan")
+    got = {r["term"]: r["told"] for r in pii.disclosing_terms(docs, scanned).collect()}
+    want = plain_disclosure([*texts, None, "", "often " * 3])
+    assert {w: round(v, 9) for w, v in got.items() if w in want} == {w: round(v, 9) for w, v in want.items()}
+    spoken = {w for w in got if w not in want}  # names that stand nowhere else tell all, of no text
+    assert all(not re.search(rf"(?<![\w.]){w}(?![\w@.])", " ".join(texts), re.I) for w in spoken)
+    assert {"quillmark", "postbox", "zorblatt"} <= set(want) and "often" not in want and not any(w.startswith("chancy") for w in want)
+    found = by_id(pii.op10(docs))
+    for i, t in enumerate(texts):
+        terms = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", t) if m.group().lower() in want and not any(a <= m.start() < b for a, _, _, b in plain_spans(t))]
+        assert [tuple(map(int, x.split(":")[1:])) for x in found[i]["spans"].split(",") if x.startswith("term:")] == terms
+
+
 def test_positions_over_many_runs(spark):
     rng = random.Random(17)
     texts = ["", "a", "漢 🙂 b", *(" ".join(rng.choice(["ab", "é", "🙂", "漢字", "1"]) for _ in range(n)) for n in (127, 128, 129, 700))]

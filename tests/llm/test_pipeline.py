@@ -88,12 +88,13 @@ def test_awkward_rows_pass_every_stage(spark):
     rng = random.Random(21)
     first = rows(documents(spark, SF).filter("lang = 'en'").limit(3))
     text = first[0]["text"]
-    docs = clashing(table(spark, [text, text, None, "", "123", "漢字かな", (None, text + " " + prose(rng, 3)), (9, first[1]["text"] + " mail a@b.co"), (9, first[1]["text"] + " mail a@b.co")]))
+    docs = clashing(table(spark, [text, text, None, "", "123", "漢字かな", (None, text + " " + prose(rng, 3)), (None, first[2]["text"]), (9, first[1]["text"] + " mail a@b.co"), (9, first[1]["text"] + " mail a@b.co")]))
     for name, stage in corpus_pipeline.STAGES:
         columns = docs.columns
         docs = materialize(stage(spark, docs, SF), "test-awkward")
         assert docs.columns == columns or name == "byte_bpe"
-    assert {r["doc_id"] for r in rows(docs)} == {0, 9, None}
+    # the near copy without an id goes, the other document without one stays
+    assert sorted(str(r["doc_id"]) for r in rows(docs)) == ["0", "9", "None"]
     empty = documents(spark, SF).limit(0).withColumn("kept", F.lit(1))
     for name, stage in corpus_pipeline.STAGES:
         empty = materialize(stage(spark, empty, SF), "test-empty")
