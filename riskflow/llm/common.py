@@ -79,8 +79,8 @@ def slices(batch: pa.RecordBatch, rows: int = 64):
         yield batch.slice(at, rows)
 
 
-def map_rows(df: DataFrame, per_batch, schema: str) -> DataFrame:
-    """``per_batch(dict of column lists) -> dict of column lists``, applied to slices of Arrow batches.
+def map_rows(df: DataFrame, per_batch, schema: str, rows: int = 64) -> DataFrame:
+    """``per_batch(dict of column lists) -> dict of column lists``, applied to slices (of ``rows`` rows) of Arrow batches.
 
     ``per_batch`` may be a factory marked with ``.per_task = True``: it is then called once per task to build
     its state (a tokenizer, a table) and returns the function to apply.
@@ -93,8 +93,8 @@ def map_rows(df: DataFrame, per_batch, schema: str) -> DataFrame:
     def run(batches):
         f = per_batch() if getattr(per_batch, "per_task", False) else per_batch
         for batch in batches:
-            for part in slices(batch):
-                rows = f({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
-                yield pa.RecordBatch.from_arrays([pa.array(rows[x.name], type=x.type) for x in out_schema], schema=out_schema)
+            for part in slices(batch, rows):
+                found = f({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
+                yield pa.RecordBatch.from_arrays([pa.array(found[x.name], type=x.type) for x in out_schema], schema=out_schema)
 
     return shipped(df).mapInArrow(run, schema)

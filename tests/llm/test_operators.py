@@ -369,6 +369,33 @@ def test_forest_range_and_fallback_are_those_of_all_rows(spark, monkeypatch):
     assert np.argmax(scores) == 300 and cut in scores and (scores > cut).sum() <= 0.02 * len(scores) < (scores >= cut).sum()
 
 
+def test_quality_on_rows_not_used_to_fit(spark):
+    """Labels of a third of the labelled rows fit the forest and the threshold; the others are judged."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    used = F.pmod(F.xxhash64(F.lit("split"), "doc_id"), F.lit(3)) == 0
+    out = quality.op8(docs, labels.filter(used)).join(labels.filter(~used).filter("quality is not null"), "doc_id").filter("not base_failed")
+    caught, lost = (out.filter(f"quality = {q}").agg(F.avg((F.col("kept") == bool(q)).cast("double"))).first()[0] for q in (0, 1))
+    assert caught >= 0.8 and lost >= 0.98, (caught, lost)
+
+
+def test_path_lengths_by_hand(spark):
+    """The score of every row from walking its trees one by one, and the verdict on ties."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 4))
+    forest = quality.IsolationForest(20, 64).fit(x[:200], x.min(axis=0), x.max(axis=0))
+    for row, score in zip(x[::17], forest.score(x[::17])):
+        total = 0.0
+        for feature, cut, left, path in forest.forest:
+            at = 0
+            while feature[at] >= 0:
+                at = left[at] + int(row[feature[at]] >= cut[at])
+            total += path[at]
+        assert score == pytest.approx(2 ** (-total / 20 / forest.norm))
+    assert quality.threshold(np.array([0.1, 0.2, 0.3]), np.array([0.9, 0.8]), 0.0) == pytest.approx(0.55)
+    assert quality.threshold(np.array([0.1, 0.2]), np.array([0.1, 0.15]), 0.0) == 0.2
+
+
 def test_isolation_paths_are_shorter_for_outliers():
     rng = np.random.default_rng(0)
     x = np.vstack([rng.normal(size=(500, 3)), [[9.0, 9, 9]]])
