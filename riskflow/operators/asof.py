@@ -41,7 +41,7 @@ def point_in_time_join(left: DataFrame, right: DataFrame, left_on: Sequence[str]
 
 def asof_join(left: DataFrame, right: DataFrame, left_key: str, left_ts: str, right_key: str, right_ts: str,
               columns: Sequence[str] | None = None, fill=None, keep_right_ts: bool = True,
-              right_unique: bool = False, compact_left: bool = True) -> DataFrame:
+              right_unique: bool = False, compact_left: bool = True, by_span: bool = True) -> DataFrame:
     """For every ``left`` row, the newest ``right`` row of the same key with
     ``right_ts <= left_ts`` (left outer: no such row gives NULLs, or ``fill``).
 
@@ -52,6 +52,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_key: str, left_ts: str, ri
     ``compact_left=False`` sends the left rows through the window themselves
     instead of their distinct (key, instant) pairs plus a join back: fewer
     stages, for left sides whose size is bounded (a stream micro-batch).
+    ``by_span=False`` leaves the spans out, for right sides that are bounded themselves (a few days of features): a
+    window then holds a key's distinct instants, and nothing but the rows themselves is shuffled.
     """
     columns = list(columns) if columns is not None else [c for c in right.columns if c != right_key]
     payload_cols = [c for c in columns if c != right_ts] + ([right_ts] if keep_right_ts else [])
@@ -67,16 +69,18 @@ def asof_join(left: DataFrame, right: DataFrame, left_key: str, left_ts: str, ri
     probe = [F.col(left_key).alias(k), F.unix_micros(F.col(left_ts).cast("timestamp")).alias(t)]
     probes = left.select(*probe).where(F.col(k).isNotNull())
 
-    # the newest right row before each span: one row per key and span with rights or probes
-    newest = rights.groupBy(k, "_span").agg(F.max_by("_p", t).alias("_p"))
-    spans = newest.unionByName(probes.select(k, span).distinct().select(k, "_span", none.alias("_p")))
-    spans = spans.groupBy(k, "_span").agg(F.first("_p", ignorenulls=True).alias("_p"))
-    before = Window.partitionBy(k).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (spans.select(k, (F.col("_span") * F.lit(SPAN_MICROS) - 1).alias(t), F.last("_p", ignorenulls=True).over(before).alias("_p"),
-                            F.lit(0).alias("_side"), "_span").where(F.col("_p").isNotNull()))
-    candidates = rights.unionByName(carried)
+    candidates = rights
+    if by_span:
+        # the newest right row before each span: one row per key and span with rights or probes
+        newest = rights.groupBy(k, "_span").agg(F.max_by("_p", t).alias("_p"))
+        spans = newest.unionByName(probes.select(k, span).distinct().select(k, "_span", none.alias("_p")))
+        spans = spans.groupBy(k, "_span").agg(F.first("_p", ignorenulls=True).alias("_p"))
+        before = Window.partitionBy(k).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+        carried = (spans.select(k, (F.col("_span") * F.lit(SPAN_MICROS) - 1).alias(t), F.last("_p", ignorenulls=True).over(before).alias("_p"),
+                                F.lit(0).alias("_side"), "_span").where(F.col("_p").isNotNull()))
+        candidates = rights.unionByName(carried)
 
-    w = (Window.partitionBy(k, "_span").orderBy(F.col(t), F.col("_side"))
+    w = (Window.partitionBy(k, *["_span"] * by_span).orderBy(F.col(t), F.col("_side"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     if not compact_left:
         names = [f"_l{i}" for i in range(len(left.columns))]  # the left rows may have columns of any name

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.session import checkpoint_dir, materialize
+from riskflow.session import materialize
 
 #: Distinct values that one task may order to finish a selection, and the share of rows by which a sketch may be off.
 MOST_ORDERED, SKETCH_ERROR = 100_000, 0.001
@@ -45,12 +45,16 @@ def running_totals(distinct_values: DataFrame, value: str, columns: Sequence[str
     """For a table with one row per distinct ``value``, add ``{c}_cum`` = sum of ``c`` over
     rows with value <= this value, for each ``c`` in ``columns``.
 
-    ``buckets``: number of value ranges (default: the session's shuffle partitions).
+    Up to ``MOST_ORDERED`` rows are ordered by one task; more are cut into ``buckets`` value ranges (default: the
+    session's shuffle partitions), at any size where the number is given.
     """
-    checkpoint_dir(distinct_values.sparkSession)
     by = [F.col(value)]
-    ranged = (distinct_values.repartitionByRange(*([buckets] if buckets else []), *by)
-              .withColumn("_range", F.spark_partition_id()).checkpoint())  # the ranges are drawn once
+    distinct_values = materialize(distinct_values, "totals")  # read by the sample and by the sort
+    if not buckets and distinct_values.count() <= MOST_ORDERED:
+        whole = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+        return distinct_values.select("*", *[F.sum(c).over(whole).alias(f"{c}_cum") for c in columns])
+    ranged = materialize(distinct_values.repartitionByRange(*([buckets] if buckets else []), *by)
+                         .withColumn("_range", F.spark_partition_id()), "ranges")  # the ranges are drawn once
     totals = ranged.groupBy("_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     offsets = totals.select("_range", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
@@ -91,16 +95,13 @@ def exact_quantile(df: DataFrame, value: str, q: float, buckets: int | None = No
             skipped += counted["below"]
         else:  # the sketch was off by more: order what there is
             kept, most = inside, float("inf")
-        counts = materialize(kept.groupBy("v").agg(F.count(F.lit(1)).alias("_n")), "quantile-bracket")
-        different = counts.count()
+        counts = kept.groupBy("v").agg(F.count(F.lit(1)).alias("_n"))
+        different = counts.count() if most < size else 0
         if different <= most or different == size:
             break
         inside = materialize(kept, "quantile-values")
         before, size = size, inside.count()
         if size == before:  # no narrower: the sketch cannot tell these values apart
             break
-    if different <= MOST_ORDERED:
-        cum = counts.select("v", F.sum("_n").over(Window.orderBy("v")).alias("_n_cum"))  # at most MOST_ORDERED rows
-    else:
-        cum = running_totals(counts, "v", ["_n"], buckets)
+    cum = running_totals(counts, "v", ["_n"], buckets)
     return cum.where(F.col("_n_cum") >= F.lit(target - skipped)).agg(F.lit(n).cast("long").alias("n"), F.min("v").alias("quantile"))

@@ -61,7 +61,7 @@ def q_join_asof_customer(spark, sf_dir):
     tx, lb = fixture(spark, sf_dir)
     cust = fe.customer_per_second(tx, lb, SNAPSHOT_AS_OF).drop("n_tx")
     out = asof_join(tx.select("TX_ID", "TX_TS", "CUSTOMER_ID"), cust, "CUSTOMER_ID", "TX_TS", "customer_id",
-                    "feature_ts", right_unique=True)
+                    "feature_ts", right_unique=True, by_span=False)  # 15 days of features
     return out.select("TX_ID", "TX_TS", "CUSTOMER_ID", "feature_ts", *CUST_COLS[1:])
 
 
@@ -72,7 +72,7 @@ def q_join_asof_terminal(spark, sf_dir):
     tx, lb = fixture(spark, sf_dir)
     term = fe.terminal_per_second(tx, lb, SNAPSHOT_AS_OF).drop("n_tx")
     out = asof_join(tx.select("TX_ID", "TX_TS", "TERMINAL_ID"), term, "TERMINAL_ID", "TX_TS", "terminal_id",
-                    "feature_ts", right_unique=True)
+                    "feature_ts", right_unique=True, by_span=False)  # 15 days of features
     return out.select("TX_ID", "TX_TS", "TERMINAL_ID", "feature_ts", *TERM_COLS[1:])
 
 

@@ -109,7 +109,8 @@ def q_metrics_davies_bouldin(spark, sf_dir):
 ranked AS (SELECT d, ROW_NUMBER() OVER (ORDER BY d) AS rn, COUNT(*) OVER () AS n FROM dist)
 SELECT n, {r('d')} AS threshold FROM ranked WHERE rn = CAST(greatest(ceil({1 - mo.CONTAMINATION} * n), 1) AS BIGINT)""")
 def q_anomaly_threshold(spark, sf_dir):
-    rows = _imputed(_train(spark, sf_dir))
+    train = materialize(_train(spark, sf_dir).select("tx_fraud", *mo.FEATURES), "train")  # read for means, centres and distances
+    rows = _imputed(train)
     cents = rows.groupBy("tx_fraud").agg(*[F.avg(c).alias(f"_c_{c}") for c in mo.FEATURES])
     dist = rows.join(cents, "tx_fraud").select(F.sqrt(squared_distance(
         [F.col(c) for c in mo.FEATURES], [F.col(f"_c_{c}") for c in mo.FEATURES])).alias("distance"))

@@ -114,13 +114,46 @@ def read_snapshot(spark: SparkSession, paths: dict | str) -> dict:
     return {k: spark.read.parquet(v) for k, v in paths.items()}
 
 
+class Snapshots:
+    """The tables that a stream's batches read: listed once for each version (a version never changes), not per batch."""
+
+    def __init__(self, spark: SparkSession, paths: dict | str):
+        self.spark, self.paths, self.version, self.tables = spark, paths, None, {}
+
+    def current(self) -> dict:
+        paths = newest_snapshot(self.spark, self.paths) if isinstance(self.paths, str) else self.paths
+        if paths != self.version:
+            self.version, self.tables = paths, read_snapshot(self.spark, paths)
+        return self.tables
+
+
+class BatchKeys:
+    """The different customers and terminals of a batch, and the snapshot folders they are in: one small job for all
+    tables of the snapshot."""
+
+    def __init__(self, batch: DataFrame, keep=lambda df: df):
+        self.keys = {k: keep(batch.select(c).distinct()) for k, c in (("customer_id", "CUSTOMER_ID"), ("terminal_id", "TERMINAL_ID"))}
+        self.batch, self._parts = batch, None
+
+    def _key_parts(self, fkey: str) -> list[int]:
+        if self._parts is None:  # at most KEY_PARTS numbers each
+            sets = [F.collect_set(_key_part(F.col(df.columns[0]))).alias(k) for k, df in self.keys.items()]
+            self._parts = self.batch.agg(*sets).first()
+        return self._parts[fkey]
+
+    def of(self, features: DataFrame, fkey: str) -> DataFrame:
+        """The feature rows of the batch's keys; of a stored snapshot, only the key folders of the batch are read."""
+        keys = self.keys[fkey]
+        if KEY_PART in features.columns:
+            parts = self._key_parts(fkey)
+            if len(parts) < KEY_PARTS:
+                features = features.where(F.col(KEY_PART).isin(parts))
+            features = features.drop(KEY_PART)
+        return features.join(keys, features[fkey] == keys[keys.columns[0]], "left_semi")
+
+
 def _keys_in(batch: DataFrame, key: str, features: DataFrame, fkey: str) -> DataFrame:
-    """The feature rows of the batch's keys; of a stored snapshot, only the key folders of the batch are read."""
-    keys = batch.select(F.col(key).alias(fkey)).distinct()
-    if KEY_PART in features.columns:
-        parts = [r[0] for r in keys.select(_key_part(F.col(fkey))).distinct().collect()]  # at most KEY_PARTS numbers
-        features = features.where(F.col(KEY_PART).isin(parts)).drop(KEY_PART)
-    return features.join(keys, fkey, "left_semi")
+    return BatchKeys(batch).of(features, fkey)
 
 
 class Persisted:
@@ -149,11 +182,10 @@ def _same(df: DataFrame) -> DataFrame:
     return df
 
 
-def _general(batch: DataFrame, history: DataFrame, key: str, hkey: str, cols: list[str]) -> DataFrame:
-    """General as-of lookup against the history of the batch's keys only."""
-    hist = _keys_in(batch, key, history, hkey)
-    return asof_join(batch, hist, key, "TX_TS", hkey, "feature_ts", cols, keep_right_ts=False,
-                     right_unique=True, compact_left=False)
+def _general(batch: DataFrame, history: DataFrame, key: str, hkey: str, cols: list[str], keys: BatchKeys) -> DataFrame:
+    """General as-of lookup against the history of the batch's keys only; a snapshot's history is bounded by its days."""
+    return asof_join(batch, keys.of(history, hkey), key, "TX_TS", hkey, "feature_ts", cols, keep_right_ts=False,
+                     right_unique=True, compact_left=False, by_span=False)
 
 
 def _latest_cols(latest: DataFrame, hkey: str, cols: list[str], tag: str) -> DataFrame:
@@ -178,18 +210,21 @@ def enrich(batch: DataFrame, customer_features: DataFrame, terminal_features: Da
     """
     c_cols, t_cols = list(fe.CUSTOMER_FEATURES), list(fe.TERMINAL_FEATURES)
 
+    batch = keep(batch)
+    keys = BatchKeys(batch, keep)
+
     def general(rows: DataFrame) -> DataFrame:
-        out = _general(rows, customer_features, "CUSTOMER_ID", "customer_id", c_cols)
-        return _general(keep(out), terminal_features, "TERMINAL_ID", "terminal_id", t_cols)
+        out = _general(rows, customer_features, "CUSTOMER_ID", "customer_id", c_cols, keys)
+        return _general(out, terminal_features, "TERMINAL_ID", "terminal_id", t_cols, keys)
 
     if customer_latest is None or terminal_latest is None:
-        out = general(keep(batch))
+        out = general(batch)
     else:
         # newest rows of the batch's keys only: the distinct keys of a trigger-bounded
         # batch are the small side AQE can broadcast, so the key tables are filtered
         # where they are read instead of being shuffled whole for every batch
-        cl = _latest_cols(_keys_in(batch, "CUSTOMER_ID", customer_latest, "customer_id"), "customer_id", c_cols, "c")
-        tl = _latest_cols(_keys_in(batch, "TERMINAL_ID", terminal_latest, "terminal_id"), "terminal_id", t_cols, "t")
+        cl = _latest_cols(keys.of(customer_latest, "customer_id"), "customer_id", c_cols, "c")
+        tl = _latest_cols(keys.of(terminal_latest, "terminal_id"), "terminal_id", t_cols, "t")
         j = (batch.join(cl, batch["CUSTOMER_ID"] == cl["_ck"], "left")
              .join(tl, batch["TERMINAL_ID"] == tl["_tk"], "left"))
         late = (F.coalesce(F.col("_cts") > F.col("TX_TS"), F.lit(False))
@@ -282,13 +317,13 @@ def run_scoring_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths
                        available_now: bool = True):
     """Start (and with ``available_now`` run to completion) the scoring stream over ``raw_stream``
     (a streaming frame with a text column ``value``). Returns the StreamingQuery."""
-    run = run_of(checkpoint)
+    run, snapshots = run_of(checkpoint), Snapshots(spark, feature_paths)
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         keep = Persisted()
         try:
             raw = keep(batch_df)
-            rows = score_batch(parse_messages(raw), read_snapshot(spark, feature_paths), model, model_version,
+            rows = score_batch(parse_messages(raw), snapshots.current(), model, model_version,
                                created_at, score_col, keep)
             write_batch(rows, sink, batch_id, run)
             if dead_letter_sink:
@@ -307,12 +342,12 @@ def run_scoring_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths
 def run_enrich_stream(spark: SparkSession, raw_stream: DataFrame, feature_paths: dict, sink: str,
                       checkpoint: str):
     """Stream of enriched transactions (R1 alone), written per batch like the scores."""
-    run = run_of(checkpoint)
+    run, snapshots = run_of(checkpoint), Snapshots(spark, feature_paths)
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         keep = Persisted()
         try:
-            enriched = enrich_with(parse_messages(batch_df), read_snapshot(spark, feature_paths), keep=keep)
+            enriched = enrich_with(parse_messages(batch_df), snapshots.current(), keep=keep)
             write_batch(enriched, sink, batch_id, run)
         finally:
             keep.release()
