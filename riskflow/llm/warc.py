@@ -1,15 +1,18 @@
 """WARC archives with a two-level capture index (operator 5).
 
 Writing: every page becomes a WARC record: the response with the page's payload, or, where the same payload has been
-captured under a smaller page_id, a revisit record that refers to it. Every task writes its records to archives of
-up to ``archive_records`` records with Spark's text writer (a record ends with CR LF CR LF, the writer's line
-separator), so archives can be in any store that Spark writes to, and payloads are not shuffled. The index is made
+captured under a smaller page_id, a revisit record that refers to it. Every task writes its records to archives with
+Spark's text writer (a record ends with CR LF CR LF, the writer's line separator), so archives can be in any store that
+Spark writes to, and payloads are not shuffled. Archives are bounded by bytes: records go by size to archives of
+``archive_records``, fewer or one record (``SIZES``), about 64 MB at most or a single larger page. The index is made
 from the archives: each is walked once, record by record.
 
 Index: a line per record (reversed-host URL key, page_id, archive, offset, length), sorted by key over range
 partitions and cut into compressed blocks of ``BLOCK_LINES`` lines; the sparse directory has the first and last key of
-each block. ``lookup`` binary-searches the directory, opens the blocks found and reads the records' ranges; ``read``
-does the same for all blocks in order. A record is parsed from its range alone and its digest is checked.
+each block. ``lookup`` binary-searches the directory, opens the blocks found and reads the records' ranges, from the
+archives that the entries name and from no others (up to ``MOST_ARCHIVES`` of them; Spark's readers load an archive
+whole, its ranges are cut from it); ``read`` opens all blocks, and so all archives. A record is parsed from its range
+alone and its digest is checked.
 
 Defined results: a null html is the empty payload; a null url has the empty key; control characters and spaces of a
 url are percent-encoded. Rows that repeat a page_id and payload are all responses if that id is the smallest; records
@@ -33,7 +36,9 @@ from pyspark.sql import functions as F
 
 from riskflow.llm.common import materialize, scratch_path, shipped
 
-ARCHIVE_RECORDS, BLOCK_LINES, MOST_URLS, MOST_BROADCAST = 4096, 256, 100_000, 2_000_000
+ARCHIVE_RECORDS, BLOCK_LINES, MOST_URLS, MOST_BROADCAST, MOST_ARCHIVES = 4096, 256, 100_000, 2_000_000, 1000
+#: Payload bytes, and the records of up to so many that an archive holds (the first: ``archive_records``).
+SIZES = ((1 << 14, ARCHIVE_RECORDS), (1 << 20, 64), (1 << 62, 1))
 DATE = "2024-01-01T00:00:00Z"  # the pages carry no capture time
 END = "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -76,7 +81,7 @@ def _uuid(page_id: Column) -> Column:
 
 
 def _records(pages: DataFrame, least_revisit: int) -> DataFrame:
-    """value: the text of each record, without the end that all records have."""
+    """value: the text of each record, without the end that all records have; bytes: of its payload."""
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), clean_url(F.col("url")).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", base32_sha1(F.col("payload").cast("binary"))).withColumn("bytes", F.octet_length("payload").cast("long"))
@@ -98,22 +103,30 @@ def _records(pages: DataFrame, least_revisit: int) -> DataFrame:
         F.lit("WARC/1.0\r\nWARC-Type: revisit\r\n"), common, line("WARC-Profile", F.lit(REVISIT_PROFILE)),
         line("WARC-Refers-To", _uuid(F.col("first_id"))), line("X-Refers-To-Page", F.col("first_id").cast("string")),
         line("X-Payload-Length", F.col("bytes").cast("string")), F.lit("Content-Length: 0" + END))
-    return rows.select(F.when(again, revisit).otherwise(F.concat(response, F.col("payload"))).alias("value"))
+    return rows.select(F.when(again, revisit).otherwise(F.concat(response, F.col("payload"))).alias("value"),
+                       F.when(again, 0).otherwise(F.col("bytes")).alias("bytes"))
 
 
 def write(pages: DataFrame, archive_records: int = ARCHIVE_RECORDS, least_revisit: int = 0) -> Archive:
     """Write archives and index below the shared folder."""
     spark = shipped(pages).sparkSession
     at = Archive(*(scratch_path(spark, f"warc-{x}") for x in ("records", "blocks", "directory")))
-    _records(pages, least_revisit).write.option("lineSep", END).option("maxRecordsPerFile", archive_records).text(at.records)
+    records, largest = _records(pages, least_revisit), pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    over = -1
+    for size, n in SIZES:
+        if over < 0 or largest > over:
+            own = records.filter(F.col("bytes").between(over + 1, size)).select("value")
+            (own.write.mode("append").option("lineSep", END).option("maxRecordsPerFile", archive_records if over < 0 else n).text(at.records))
+        over = size
     lines = _files(spark, at).mapInArrow(_walk, "url string, page_id long, archive string, offset long, length long")
     _write_index(lines.withColumn("key", url_key(F.col("url"))), at)
     return at
 
 
-def _files(spark: SparkSession, at: Archive) -> DataFrame:
-    """archive (file name), content."""
-    return spark.read.format("binaryFile").load(at.records).select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
+def _files(spark: SparkSession, at: Archive, names: list[str] | None = None) -> DataFrame:
+    """archive (file name), content; of the archives ``names`` alone, if these are given."""
+    paths = at.records if names is None else [f"{at.records}/{n}" for n in names]
+    return spark.read.format("binaryFile").load(paths).select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
 
 
 def _walk(batches):
@@ -206,8 +219,9 @@ def parse(record: bytes) -> dict:
     return out | {"payload_bytes": size, "payload_digest": digest}
 
 
-def _ranges(spark: SparkSession, at: Archive, entries: DataFrame, payloads: bool) -> DataFrame:
-    """The records in the ranges of ``entries``; an archive's entries are as many as its records at most."""
+def _ranges(spark: SparkSession, at: Archive, entries: DataFrame, payloads: bool, names: list[str] | None = None) -> DataFrame:
+    """The records in the ranges of ``entries``; an archive's entries are as many as its records at most. ``names``: the
+    archives that have any, where these are known."""
     fields = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
     if payloads:
@@ -227,7 +241,7 @@ def _ranges(spark: SparkSession, at: Archive, entries: DataFrame, payloads: bool
                     rows = [parse(content.slice(r["offset"], r["length"]).to_pybytes()) for r in ranges[i:i + 500]]
                     yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in fields], names=[n for n, _ in fields])
 
-    return _files(spark, at).join(own, "archive").select("content", "ranges").mapInArrow(run, schema)
+    return _files(spark, at, names).join(own, "archive").select("content", "ranges").mapInArrow(run, schema)
 
 
 def read(spark: SparkSession, at: Archive, payloads: bool = False) -> DataFrame:
@@ -249,8 +263,9 @@ def lookup(spark: SparkSession, at: Archive, urls: list[str]) -> DataFrame:
             yield pdf[hit][["block"]]
 
     blocks = spark.read.parquet(at.directory).select("first_key", "last_key", "block").mapInPandas(search, "block long")
-    opened = _opened(spark.read.parquet(at.blocks).join(blocks, "block", "left_semi"), wanted)
-    return _ranges(spark, at, opened, True)
+    opened = materialize(_opened(spark.read.parquet(at.blocks).join(blocks, "block", "left_semi"), wanted), "entries")
+    names = sorted(r[0] for r in opened.select("archive").distinct().limit(MOST_ARCHIVES + 1).collect())
+    return _ranges(spark, at, opened, True, names if 0 < len(names) <= MOST_ARCHIVES else None)
 
 
 def op5(pages: DataFrame) -> DataFrame:

@@ -251,6 +251,30 @@ def test_warc_round_trip(spark, monkeypatch, broadcast):
         warc.lookup(spark, at, ["x"] * (warc.MOST_URLS + 1))
 
 
+def test_archives_are_bounded_by_bytes_and_lookups_read_those_named(spark, monkeypatch):
+    """Pages of all sizes; an archive holds no more than its class allows, and a look-up loads no other archive."""
+    monkeypatch.setattr(warc, "SIZES", ((100, 5), (10_000, 2), (1 << 62, 1)))
+    sizes = [0, 50, 99, 100, 101, 3000, 9999, 10_001, 50_000, 2_000_000]
+    pages = spark.createDataFrame([(i, f"http://h{i}.example.com/p", "x" * sizes[i % 10] + str(i) * (sizes[i % 10] > 0)) for i in range(80)],
+                                  "page_id long, url string, html string").repartition(2)
+    at = warc.write(pages, archive_records=5)
+    files = {r["archive"]: len(r["content"]) for r in rows(warc._files(spark, at))}
+    head = 700  # bytes of a record's headers at most
+    assert all(n <= 5 * (100 + head) or n <= 2 * (10_000 + head) or n <= 2_000_000 + head for n in files.values())
+    entries = rows(warc._opened(spark.read.parquet(at.blocks)))
+    held = collections.defaultdict(list)
+    for e in entries:
+        held[e["archive"]].append(e["length"])
+    assert sum(map(len, held.values())) == 80
+    assert all(len(x) == 1 or (max(x) <= 10_000 + head and len(x) <= 2) or (max(x) <= 100 + head and len(x) <= 5) for x in held.values())
+    out = {r["page_id"]: r for r in rows(warc.read(spark, at, payloads=True))}
+    assert all(out[r["page_id"]]["payload"] == r["html"].encode() for r in rows(pages) if out[r["page_id"]]["record_type"] == "response")
+    hit = warc.lookup(spark, at, ["http://h9.example.com/p", "http://h2.example.com/p"])
+    assert {r["page_id"] for r in rows(hit)} == {2, 9}
+    read = {f.rsplit("/", 1)[1] for f in hit.inputFiles() if f.endswith(".txt")}
+    assert read == {e["archive"] for e in entries if e["key"] in ("com,example,h9)/p", "com,example,h2)/p")} and len(read) == 2 < len(files)
+
+
 # -- 6 ------------------------------------------------------------------------------------------------------------
 def test_block_max_wand_finds_all_above_threshold():
     rng = random.Random(6)
