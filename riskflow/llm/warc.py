@@ -3,9 +3,10 @@
 Writing: every page becomes a WARC record: the response with the page's payload, or, where the same payload has been
 captured under a smaller page_id, a revisit record that refers to it. Every task writes its records to archives with
 Spark's text writer (a record ends with CR LF CR LF, the writer's line separator), so archives can be in any store that
-Spark writes to, and payloads are not shuffled. Archives are bounded by bytes: records go by size to archives of
-``archive_records``, fewer or one record (``SIZES``), about 64 MB at most or a single larger page. The index is made
-from the archives: each is walked once, record by record.
+Spark writes to, and payloads are not shuffled. Archives hold ``archive_records`` records; where one of them gets
+larger than ``most_bytes`` all are written again, records by their size to archives of ``archive_records``, fewer or one
+record (``SIZES``), about 64 MB at most or a single larger page. The index is made from the archives: each is walked
+once, record by record.
 
 Index: a line per record (reversed-host URL key, page_id, archive, offset, length), sorted by key over range
 partitions and cut into compressed blocks of ``BLOCK_LINES`` lines; the sparse directory has the first and last key of
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import materialize, scratch_path, shipped
 
 ARCHIVE_RECORDS, BLOCK_LINES, MOST_URLS, MOST_BROADCAST, MOST_ARCHIVES = 4096, 256, 100_000, 2_000_000, 1000
+MOST_BYTES = 256 << 20  # of an archive; Spark's readers load one whole
 #: Payload bytes, and the records of up to so many that an archive holds (the first: ``archive_records``).
 SIZES = ((1 << 14, ARCHIVE_RECORDS), (1 << 20, 64), (1 << 62, 1))
 DATE = "2024-01-01T00:00:00Z"  # the pages carry no capture time
@@ -107,17 +109,22 @@ def _records(pages: DataFrame, least_revisit: int) -> DataFrame:
                        F.when(again, 0).otherwise(F.col("bytes")).alias("bytes"))
 
 
-def write(pages: DataFrame, archive_records: int = ARCHIVE_RECORDS, least_revisit: int = 0) -> Archive:
+def write(pages: DataFrame, archive_records: int = ARCHIVE_RECORDS, least_revisit: int = 0, most_bytes: int = MOST_BYTES) -> Archive:
     """Write archives and index below the shared folder."""
     spark = shipped(pages).sparkSession
     at = Archive(*(scratch_path(spark, f"warc-{x}") for x in ("records", "blocks", "directory")))
-    records, largest = _records(pages, least_revisit), pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
-    over = -1
-    for size, n in SIZES:
-        if over < 0 or largest > over:
-            own = records.filter(F.col("bytes").between(over + 1, size)).select("value")
-            (own.write.mode("append").option("lineSep", END).option("maxRecordsPerFile", archive_records if over < 0 else n).text(at.records))
-        over = size
+    records = _records(pages, least_revisit)
+
+    def put(rows, path, n):
+        rows.select("value").write.mode("append").option("lineSep", END).option("maxRecordsPerFile", n).text(path)
+
+    put(records, at.records, archive_records)
+    sizes = spark.read.format("binaryFile").load(at.records).agg(F.max("length")).first()[0] or 0  # a listing, no contents
+    if sizes > most_bytes:
+        at.records, over = scratch_path(spark, "warc-records"), -1
+        for size, n in SIZES:
+            put(records.filter(F.col("bytes").between(over + 1, size)), at.records, archive_records if over < 0 else n)
+            over = size
     lines = _files(spark, at).mapInArrow(_walk, "url string, page_id long, archive string, offset long, length long")
     _write_index(lines.withColumn("key", url_key(F.col("url"))), at)
     return at

@@ -257,7 +257,7 @@ def test_archives_are_bounded_by_bytes_and_lookups_read_those_named(spark, monke
     sizes = [0, 50, 99, 100, 101, 3000, 9999, 10_001, 50_000, 2_000_000]
     pages = spark.createDataFrame([(i, f"http://h{i}.example.com/p", "x" * sizes[i % 10] + str(i) * (sizes[i % 10] > 0)) for i in range(80)],
                                   "page_id long, url string, html string").repartition(2)
-    at = warc.write(pages, archive_records=5)
+    at = warc.write(pages, archive_records=5, most_bytes=1_000_000)
     files = {r["archive"]: len(r["content"]) for r in rows(warc._files(spark, at))}
     head = 700  # bytes of a record's headers at most
     assert all(n <= 5 * (100 + head) or n <= 2 * (10_000 + head) or n <= 2_000_000 + head for n in files.values())
