@@ -241,20 +241,16 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT
 
 def term_spans(docs: DataFrame, scanned: DataFrame, told: DataFrame) -> DataFrame:
     """text_key, terms array<struct<s, k, e, kind, told>>: the disclosing terms of each text that has some."""
-    told = _sent(told)
     key = F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key")
-    # positions are dear: they are taken in the texts that have a disclosing term somewhere
-    own = scanned.select("text_key", F.explode("words").alias("term")).join(told, "term", "left_semi").select("text_key").distinct()
-    own = materialize(own, "term-texts")
-    empty = F.expr("cast(array() as array<struct<s:int,k:int,e:int,kind:string,told:double>>)")
-    if not own.head(1):
-        return own.withColumn("terms", empty)
-    words = _with_spans(docs.select(key, "text").join(_sent(own), "text_key", "left_semi"), "text_key")
-    words = words.select("text_key", F.explode(terms_at(F.col("text"), F.col("spans"))).alias("w"))
-    spans = words.select("text_key", "w.s", "w.e", "w.term").join(told, "term")
-    # a set: copies of a text share its row
-    return materialize(spans.groupBy("text_key").agg(F.sort_array(F.collect_set(F.struct(
-        "s", F.lit(len(KINDS)).alias("k"), "e", F.lit("term").alias("kind"), "told"))).alias("terms")), "term-spans")
+    # positions are dear: they are taken in the texts that have a disclosing term, and for those terms alone
+    own = scanned.select("text_key", F.explode("words").alias("term")).join(_sent(told), "term")
+    own = materialize(own.groupBy("text_key").agg(F.map_from_entries(F.collect_set(F.struct("term", "told"))).alias("own")), "term-texts")
+    texts = _with_spans(docs.select(key, "text").join(_sent(own), "text_key"), "text_key", "own")
+    hits = F.filter(terms_at(F.col("text"), F.col("spans")), lambda w: F.map_contains_key("own", w["term"]))
+    spans = F.transform(hits, lambda w: F.struct(w["s"].alias("s"), F.lit(len(KINDS)).alias("k"), w["e"].alias("e"), F.lit("term").alias("kind"),
+                                                 F.element_at("own", w["term"]).alias("told")))
+    # copies of a text have equal spans
+    return materialize(texts.select("text_key", F.sort_array(spans).alias("terms")).groupBy("text_key").agg(F.first("terms").alias("terms")), "term-spans")
 
 
 def _few(marks: DataFrame) -> DataFrame:
