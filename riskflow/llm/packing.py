@@ -37,6 +37,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,15 +49,17 @@ WINDOW, END, FAN, MOST_TARGETS, MOST_BROADCAST = 4096, 2, 64, 256, 200_000
 KNOWN, KNOWN_LENGTH, PART = 250_000, 40, 1 << 20
 _ASCII_SPACE = re.compile("[\x20\x09-\x0d]")
 _MARKS = re.compile("[\u0300-\U0010ffff]")
-_UNIT = re.compile(r"""[a-zA-ZÀ-ÖØ-öø-ÿ]++(?:(?=[.,;:!?)"])|[^\x20\x09-\x0d]*+)|[^\x20\x09-\x0d]++""")
 _LETTERS = re.compile("[a-zß-öø-ÿ]+")
+#: Between a Latin-1 letter and an ASCII sign (an apostrophe may begin a contraction) a pre-token always ends.
+_LETTER_THEN_SIGN = r"""([a-zß-öø-ÿ])([!-&(-/:-@\[-`{-~])"""
 
 
 # -- encoding ------------------------------------------------------------------------------------------------------
 class WordEncoder(dict):
     """Ids of whole texts by a lower-casing tokenizer that never joins what white space, or the end of a run of Latin-1
-    letters before a full stop or the like, parts (its pre-tokens are letters, single digits or other signs): each word of a text
-    is encoded on its own, once. Ids are little-endian bytes, ``width`` of them each; the words seen are the keys."""
+    letters before a sign, parts (its pre-tokens are letters, single digits or other signs). Texts are parted there,
+    the different words of about ``PART`` characters are found, each is encoded on its own, once, and their ids are put in
+    the words' places. Ids are little-endian bytes, ``width`` of them each; the words seen are the keys."""
 
     def __init__(self, serialised: str):
         from tokenizers import Tokenizer
@@ -88,16 +91,52 @@ class WordEncoder(dict):
             self[word] = found
         return found
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a text, encoded a part at a time."""
-        out = []
-        for part in parts(text):
+    def _group(self, group: list[str]):
+        """The ids of each part of a text."""
+        texts, whole = [], []
+        for part in group:
             lower = part.lower()
-            # below the combining marks lower-casing commutes with composition; it must not make up a special token
-            if not _MARKS.search(part) and not any(s in lower for s in self.special):
-                part = lower
-            out.append(b"".join(map(self.__getitem__, _UNIT.findall(part))))
-        return b"".join(out)
+            special = any(s in lower for s in self.special)  # lower-casing must not make one up, nor a cut part one
+            whole.append(special)
+            # below the combining marks lower-casing commutes with composition
+            texts.append(part if special or _MARKS.search(part) else lower)
+        given = pa.array(texts, pa.large_string())
+        apart = pc.replace_substring_regex(given, pattern=_LETTER_THEN_SIGN, replacement=r"\1 \2")
+        if any(whole):
+            apart = pc.if_else(pa.array(whole), given, apart)
+        words = pc.ascii_split_whitespace(apart)
+        seen = words.flatten().dictionary_encode()
+        ids = list(map(self.__getitem__, seen.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
+        table = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(ids))])
+        found = table.take(seen.indices)
+        data, at = found.buffers()[2], np.frombuffer(found.buffers()[1], np.int64, len(found) + 1)
+        cuts = at[words.offsets.to_numpy()].tolist()
+        return [data[i:j].to_pybytes() for i, j in zip(cuts, cuts[1:])]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, about ``PART`` characters at a time."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        group, owners, size = [], [], 0
+
+        def flush():
+            for owner, ids in zip(owners, self._group(group)):
+                out[owner].append(ids)
+
+        for i, text in enumerate(texts):
+            for part in parts(text):
+                group.append(part)
+                owners.append(i)
+                size += len(part)
+                if size >= PART:
+                    flush()
+                    group, owners, size = [], [], 0
+        if group:
+            flush()
+        return [b"".join(x) for x in out]
 
 
 def parts(text: str):
@@ -134,11 +173,11 @@ def encoded(docs: DataFrame, tokenizer_path: str, end: int = END) -> DataFrame:
     def run(batches):
         encoder, given = _encoder(serialised.value), {}
         for batch in batches:
-            for part in slices(batch, 32):
+            for part in slices(batch, 512):
                 doc_id, text, source = (part.column(i).to_pylist() for i in range(3))
-                out = []
-                for d, s, t in zip(doc_id, source, text):
-                    x = encoder.encode(t or "") + end.to_bytes(encoder.width, "little")
+                out, last = [], end.to_bytes(encoder.width, "little")
+                for d, s, x in zip(doc_id, source, encoder.encode_all([t or "" for t in text])):
+                    x += last
                     n = len(x) // encoder.width
                     out.append((d, s, given.get(s, 0), n, encoder.width, x))
                     given[s] = given.get(s, 0) + n

@@ -94,6 +94,17 @@ def test_words_encode_as_whole_texts(tokenizer, serialised):
         assert np.frombuffer(encoder.encode(t), "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_texts_encoded_together(tokenizer, serialised, monkeypatch):
+    rng = random.Random(13)
+    alphabet = ["a", "Bc", "é", "ö", "zß", " ", "\n", "7", "'s", "'t", "<|endoftext|>", "<|ENDOFTEXT|>", "\u0338", "中", *map(chr, range(33, 48)), *"<=>?@[\\]^_`{|}~"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for part in (1 << 20, 100):
+        monkeypatch.setattr(packing, "PART", part)
+        got = packing.WordEncoder(serialised).encode_all(texts)
+        assert [np.frombuffer(x, "<u2").tolist() for x in got] == want
+
+
 def test_long_texts_and_a_full_memory(tokenizer, serialised, monkeypatch):
     monkeypatch.setattr(packing, "PART", 1000)
     monkeypatch.setattr(packing, "KNOWN", 200)
