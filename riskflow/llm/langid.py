@@ -5,8 +5,9 @@ language is represented by several centroids, found by spherical k-means over a
 texts; a text takes the language of the centroid nearest by cosine. A text farther from every centroid than its
 language's training texts allow is rejected.
 
-Bounded by documented parameters: ``sample_per_lang`` texts are clustered per language, and the model has
-(languages x ``clusters`` x ``BINS``) numbers. Document frequencies are counted over *all* training texts.
+Bounded by documented parameters: the ``most_langs`` languages with most labelled texts are learned (a dirty column may
+hold any number of values; ties go to the language that sorts first), ``sample_per_lang`` texts are clustered per
+language, and the model has (languages x ``clusters`` x ``BINS``) numbers. Document frequencies are counted over *all* training texts.
 
 Defined results: null text, empty text and text without a letter give ``und`` with score 0 and are rejected; with
 no training rows every text is ``und``. Repeated rows give repeated results; other columns are not read.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm.common import fold, map_rows, shipped, slices
 
-BINS = 1 << 14
+BINS, MOST_LANGS = 1 << 14, 256
 UND = "und"
 _LETTER = re.compile("[A-Za-z]")
 
@@ -120,11 +121,12 @@ def _cluster(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.nd
     return c, (x @ c.T).max(axis=1)
 
 
-def fit(labelled: DataFrame, clusters: int = 3, sample_per_lang: int = 600, slack: float = 0.5) -> LanguageModel:
+def fit(labelled: DataFrame, clusters: int = 3, sample_per_lang: int = 600, slack: float = 0.5,
+        most_langs: int = MOST_LANGS) -> LanguageModel:
     """Learn from ``labelled`` (doc_id, text, lang). Rows without a language or a letter are not used.
 
     ``sample_per_lang``: about so many texts of each language are clustered (those with the smallest hash of
-    their id). ``slack``: a text is rejected below ``slack`` times the lowest training similarity of its language.
+    their id). ``most_langs``: so many languages at most, the commonest. ``slack``: a text is rejected below ``slack`` times the lowest training similarity of its language.
     """
     train = labelled.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
@@ -132,18 +134,18 @@ def fit(labelled: DataFrame, clusters: int = 3, sample_per_lang: int = 600, slac
     if not total:
         return LanguageModel(np.ones(BINS), [], np.zeros((0, BINS), np.float32), np.zeros(0))
     idf = np.log((1 + total) / (1 + df)) + 0.1
-    share = {r["lang"]: min(1.0, sample_per_lang / r["count"]) for r in train.groupBy("lang").count().collect()}
+    counts = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect()
+    shares = train.sparkSession.createDataFrame([(r["lang"], min(1.0, sample_per_lang / r["count"])) for r in counts],
+                                                "_lang string, _share double")  # at most ``most_langs`` rows
     u = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).cast("double") / float(1 << 30))
-    limit = F.lit(0.0)
-    for lang, s in share.items():
-        limit = F.when(F.col("lang") == lang, F.lit(s)).otherwise(limit)
+    sample = train.join(F.broadcast(shares), F.col("lang").cast("string") == F.col("_lang")).filter(u < F.col("_share"))
 
     def per_lang(pdf):
         x = np.stack([vector(grams(t), idf) for t in pdf["text"]])
         c, sims = _cluster(x, clusters)
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": list(c.astype(np.float32)), "least": slack * float(sims.min())})
 
-    rows = (train.filter(u < limit).groupBy("lang")
+    rows = (sample.select("text", "lang").groupBy("lang")
             .applyInPandas(per_lang, "lang string, centroid array<float>, least double").collect())
     rows.sort(key=lambda r: (r["lang"], [round(x, 6) for x in r["centroid"]]))
     return LanguageModel(idf, [r["lang"] for r in rows],
