@@ -7,11 +7,13 @@ list and for each block of ``BLOCK`` parts, and are walked as in block-max WAND:
 lists could reach the threshold together, and a pivot whose blocks cannot is skipped with its whole block range. The
 walk starts only in those of up to ``COARSE`` equal ranges of parts whose block maxima, summed over a passage, can
 reach the threshold; this first test is taken for all passages of a text and all ranges at once.
-A retrieved item is a leak if enough word n-grams of both its question and its answer occur around the passage. The
-answer is the last line of an item, or else its last sentence, or else its last third.
+A retrieved item is a leak if enough word n-grams of both its question and its answer occur around the passage, or nearly
+all n-grams of the whole item, whatever is missing. The answer is the last line of an item, or else its last sentence, or
+else its last third.
 
-The index travels to the tasks in shards of at most ``SHARD`` items: one pass over the documents for each shard, so
-any number of items can be held against any number of documents.
+The index is made and stored by tasks in shards of about ``SHARD`` parts, with document frequencies of all items. The
+driver sends ``AT_ONCE`` shards at a time to the tasks, for one pass over the documents, and takes them back before the
+next ones go out: its memory and the tasks' are bounded for any number of items. One item is never cut between shards.
 
 Defined results: null and empty texts and items have no leaks; items with equal texts are reported each; repeated
 rows give repeated results; an empty table on either side gives an empty result. Other columns are not read by
@@ -21,6 +23,7 @@ rows give repeated results; an empty table on either side gives an empty result.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -30,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import shipped, slices
+from riskflow.llm.common import materialize, shipped, slices
 
 K1, B = 1.2, 0.75
-STEP, PART, PART_STEP, BLOCK, COARSE, SHARD = 32, 48, 24, 8, 32, 5_000
+STEP, PART, PART_STEP, BLOCK, COARSE, SHARD, AT_ONCE = 32, 48, 24, 8, 32, 20_000, 4
 PASSAGE = 2 * STEP
-SHARE, GRAM, QUESTION_SHARE, ANSWER_SHARE = 0.55, 3, 0.6, 0.6
+SHARE, GRAM, QUESTION_SHARE, ANSWER_SHARE, WHOLE_SHARE = 0.55, 3, 0.6, 0.6, 0.9
 WORDS = re.compile(r"\w+")
 
 
@@ -58,16 +61,21 @@ def _grams(w: list[str]) -> set[tuple]:
     return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if w else set()
 
 
+def starts(n_words: int) -> range:
+    """Where the parts of an item begin."""
+    return range(0, max(1, n_words - PART + PART_STEP), PART_STEP)
+
+
 class Index:
     """Posting lists of item parts with list and block maxima; scores are shares of a part's score for itself."""
 
     def __init__(self, items: list[tuple], frequency: dict[str, int], n_items: int, mean_length: float):
         self.items = [(i, words(t), *question_and_answer(t)) for i, t in items if words(t)]
-        self.ngrams = [(_grams(q), _grams(a)) for _, _, q, a in self.items]
+        self.ngrams = [(_grams(q), _grams(a), _grams(w)) for _, w, q, a in self.items]
         self.part_item: list[int] = []
         lists: dict[str, list[tuple[int, float]]] = {}
         for k, (_, w, _, _) in enumerate(self.items):
-            for at in range(0, max(1, len(w) - PART + PART_STEP), PART_STEP):
+            for at in starts(len(w)):
                 part = w[at:at + PART]
                 tf = Counter(part)
                 norm = K1 * (1 - B + B * len(part) / mean_length)
@@ -160,8 +168,8 @@ class Index:
                 k = self.part_item[part]
                 n = len(self.items[k][1])
                 around = w[max(0, s - n):s + PASSAGE + n]
-                q, a = (self._share(g, around) for g in self.ngrams[k])
-                if q >= QUESTION_SHARE and a >= ANSWER_SHARE:
+                q, a, whole = (self._share(g, around) for g in self.ngrams[k])
+                if (q >= QUESTION_SHARE and a >= ANSWER_SHARE) or whole >= WHOLE_SHARE:
                     found[k] = max(found.get(k, (0.0, 0.0, 0.0)), (float(score), q, a))
         return found
 
@@ -174,28 +182,55 @@ class Index:
         return len(grams & have) / len(grams)
 
 
-def indexes(benchmark: DataFrame) -> list:
-    """Broadcast index shards of at most ``SHARD`` items each; BM25 statistics are those of all items."""
-    spark = shipped(benchmark).sparkSession
+def shards(benchmark: DataFrame) -> DataFrame | None:
+    """shard, index (an ``Index``, pickled): a stored table; None without items. BM25 statistics are those of all items."""
+    import pandas as pd
+
+    item_type = benchmark.schema["item_id"].dataType.simpleString()
+
+    def measured(batches):
+        for pdf in batches:
+            yield pdf.assign(n_words=[len(words(t)) for t in pdf["text"]])
+
     items = benchmark.select(F.col("item_id").alias("item_id"), F.col("text").alias("text")).filter("text is not null")
-    split = F.filter(F.split(F.lower("text"), r"(?U)\W+"), lambda x: x != "")
-    stats = items.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(split)).alias("mean")).first()
+    items = shipped(items).mapInPandas(measured, f"item_id {item_type}, text string, n_words long")
+    # rows are numbered once, so that equal items spread as well
+    items = materialize(items.withColumn("row", F.monotonically_increasing_id()), "leak-items")
+    n_parts = F.greatest(F.lit(1), F.ceil((F.col("n_words") - PART + PART_STEP) / PART_STEP))
+    stats = items.agg(F.count(F.lit(1)).alias("n"), F.avg("n_words").alias("mean"), F.sum(n_parts).alias("parts")).first()
     if not stats["n"]:
-        return []
-    n_shards = math.ceil(stats["n"] / SHARD)
-    shard = F.pmod(F.xxhash64("text"), F.lit(n_shards))
-    out = []
-    counts = items.select(F.explode(F.array_distinct(split)).alias("t")).groupBy("t").count() if n_shards > 1 else None
-    for k in range(n_shards):
-        rows = [(r["item_id"], r["text"]) for r in items.filter(shard == k).collect()]
+        return None
+    n_items, mean = stats["n"], max(1.0, min(PART, stats["mean"]))
+    items = items.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(math.ceil(stats["parts"] / SHARD))))
+
+    def terms_of(batches):
+        for pdf in batches:
+            pairs = [(s, w) for s, t in zip(pdf["shard"], pdf["text"]) for w in set(words(t))]
+            yield pd.DataFrame(pairs, columns=["shard", "t"])
+
+    own = items.select("shard", "text").mapInPandas(terms_of, "shard long, t string").groupBy("shard", "t").agg(F.count(F.lit(1)).alias("n"))
+    own = materialize(own, "leak-terms")
+    frequency = own.join(own.groupBy("t").agg(F.sum("n").alias("df")), "t").select("shard", "t", "df")
+
+    def build(key, own_items, own_terms):
+        rows = list(zip(own_items["item_id"].tolist(), own_items["text"]))
         rows.sort(key=lambda r: (len(words(r[1])), r[1], str(r[0])))  # like lengths share a block
-        own = Counter(t for _, text in rows for t in set(words(text)))
-        if counts is not None:
-            known = spark.createDataFrame([(t,) for t in own], "t string")
-            own |= Counter({r["t"]: r["count"] for r in counts.join(known, "t").collect()})
-        mean = max(1.0, min(PART, stats["mean"] or 1.0))
-        out.append(spark.sparkContext.broadcast(Index(rows, own, stats["n"], mean)))
-    return out
+        index = Index(rows, dict(zip(own_terms["t"], own_terms["df"].tolist())), n_items, mean)
+        return pd.DataFrame({"shard": [key[0]], "index": [pickle.dumps(index, pickle.HIGHEST_PROTOCOL)]})
+
+    made = items.groupBy("shard").cogroup(frequency.groupBy("shard")).applyInPandas(build, "shard long, index binary")
+    return materialize(made, "leak-shards")
+
+
+def _passes(stored: DataFrame | None):
+    """Broadcast indexes, ``AT_ONCE`` at a time, and whether they are the last."""
+    if stored is None:
+        return
+    sc = stored.sparkSession.sparkContext
+    numbers = sorted(r["shard"] for r in stored.select("shard").collect())  # a number for every SHARD parts
+    for at in range(0, len(numbers), AT_ONCE):
+        yield ([sc.broadcast(pickle.loads(stored.filter(F.col("shard") == k).first()["index"])) for k in numbers[at:at + AT_ONCE]],
+               at + AT_ONCE >= len(numbers))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
@@ -204,18 +239,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFr
     schema = f"doc_id long, item_id {item_type}, score double, question_share double, answer_share double"
     only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
-    for index in indexes(benchmark):
-        part = only.mapInPandas(_pairs(index, share), schema)
+    for own, last in _passes(shards(benchmark)):
+        part = shipped(only).mapInPandas(_pairs(own, share), schema)
+        if not last:
+            part = materialize(part, "leak-pairs")
+            for index in own:
+                index.destroy()
         out = part if out is None else out.unionByName(part)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
-def _pairs(index, share: float):
+def _pairs(own: list, share: float):
     import pandas as pd
 
     def run(batches):
         for pdf in batches:
-            rows = [(d, index.value.items[k][0], *v) for d, t in zip(pdf["doc_id"], pdf["text"]) for k, v in sorted(index.value.leaks(t, share).items())]
+            rows = [(d, index.value.items[k][0], *v) for d, t in zip(pdf["doc_id"], pdf["text"])
+                    for index in own for k, v in sorted(index.value.leaks(t, share).items())]
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_share", "answer_share"])
     return run
 
@@ -223,13 +263,17 @@ def _pairs(index, share: float):
 def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """``docs`` without the rows that hold a leak; all columns stay; no shuffle."""
     at = docs.columns.index("text")
-    for index in indexes(benchmark):
-        def run(batches, index=index):
+    for own, last in _passes(shards(benchmark)):
+        def run(batches, own=own):
             for batch in batches:
                 for part in slices(batch):
-                    clean = [not index.value.leaks(t, share) for t in part.column(at).to_pylist()]
+                    clean = [not any(index.value.leaks(t, share) for index in own) for t in part.column(at).to_pylist()]
                     yield part.filter(pa.array(clean, pa.bool_()))
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = shipped(docs).mapInArrow(run, docs.schema)
+        if not last:
+            docs = materialize(docs, "leak-free")
+            for index in own:
+                index.destroy()
     return docs
 
 

@@ -320,6 +320,64 @@ def test_leaks_do_not_depend_on_shards(spark, monkeypatch):
     got = sorted(rows(decontamination.op6(docs, bench)), key=str)
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(r["doc_id"], r["item_id"]) for r in want} and len(want) >= 30
     assert np.allclose([r["score"] for r in got], [r["score"] for r in want])
+    stored = decontamination.shards(bench)
+    assert stored.count() >= 4  # more than one pass
+    monkeypatch.setattr(decontamination, "AT_ONCE", 2)
+    kept = rows(decontamination.without_leaks(docs.unionByName(table(spark, [(99, prose(rng, 80))])), bench))
+    assert {r["doc_id"] for r in kept} == {99} | ({r["doc_id"] for r in docs.collect()} - {r["doc_id"] for r in want})
+
+
+def test_leaks_against_every_passage_and_item(spark):
+    """Brute force: the BM25 score of every passage for every part of every item, then the shares of n-grams."""
+    rng = random.Random(11)
+    vocabulary = [f"{a}{b}{c}" for a in "bcdfgklmnprst" for b in ("al", "em", "ir", "of", "ut") for c in ("a", "o", "en")]
+    items = [(i, prose(rng, rng.choice([3, 9, 30, 90, 150]), vocabulary) + ". " + prose(rng, rng.randint(1, 6), vocabulary)) for i in range(25)]
+    texts = []
+    for i in range(60):
+        w = decontamination.words(items[i % 25][1])
+        for _ in range(i // 25 * len(w) // 8):  # some words of the item are changed
+            w[rng.randrange(len(w))] = rng.choice(vocabulary)
+        texts.append(" ".join([prose(rng, rng.randint(0, 150), vocabulary), *w, prose(rng, rng.randint(0, 150), vocabulary)]))
+    d = decontamination
+    tokens = {i: d.words(t) for i, t in items}
+    n, mean = len(items), max(1.0, min(d.PART, sum(map(len, tokens.values())) / len(items)))
+    df = collections.Counter(t for w in tokens.values() for t in set(w))
+
+    def impacts(part):
+        norm = d.K1 * (1 - d.B + d.B * len(part) / mean)
+        x = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * (d.K1 + 1) / (c + norm) for t, c in collections.Counter(part).items()}
+        return {t: v / sum(x.values()) for t, v in x.items()}
+
+    def grams(w):
+        k = min(d.GRAM, len(w))
+        return {tuple(w[j:j + k]) for j in range(len(w) - k + 1)}
+
+    def share(part, around):
+        k = min(d.GRAM, len(part))
+        return len(grams(part) & {tuple(around[j:j + k]) for j in range(len(around) - k + 1)}) / len(grams(part))
+
+    parts = [(i, impacts(w[at:at + d.PART])) for i, w in tokens.items() for at in range(0, max(1, len(w) - d.PART + d.PART_STEP), d.PART_STEP)]
+    want = set()
+    for doc, text in enumerate(texts):
+        w = d.words(text)
+        for at in range(0, max(1, len(w) - d.STEP), d.STEP):
+            passage = set(w[at:at + d.PASSAGE])
+            for i, impact in parts:
+                if sum(v for t, v in impact.items() if t in passage) >= d.SHARE:
+                    around = w[max(0, at - len(tokens[i])):at + d.PASSAGE + len(tokens[i])]
+                    q, a = d.question_and_answer(dict(items)[i])
+                    if min(share(q, around), share(a, around)) >= 0.6 or share(tokens[i], around) >= 0.9:
+                        want.add((doc, i))
+    got = rows(d.op6(table(spark, texts), spark.createDataFrame(items, "item_id long, text string")))
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(want) > 25
+
+
+def test_leak_with_another_last_word(spark):
+    rng = random.Random(12)
+    item = prose(rng, 50) + ". " + "yes"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = table(spark, [prose(rng, 100) + " " + item[:-3] + "no " + prose(rng, 100), prose(rng, 100) + " " + item[:150] + prose(rng, 100)])
+    assert [r["doc_id"] for r in rows(decontamination.op6(docs, bench))] == [0]
 
 
 # -- 7 ------------------------------------------------------------------------------------------------------------
@@ -333,6 +391,15 @@ def test_language_id_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in out)
 
 
+def test_language_id_learns_the_commonest_languages(spark):
+    rng = random.Random(10)
+    given = [(i, prose(rng, 30) if i % 2 else prose(rng, 30, ["ßaü", "öch", "ung", "keit"]), "aa" if i % 2 else "bb", "s", 1) for i in range(40)]
+    dirty = [(100 + i, prose(rng, 10, ["qwx", "zzq", "xyv"]), f"x{i}", "s", 1) for i in range(30)]
+    model = langid.fit(spark.createDataFrame(given + dirty, SCHEMA), most_langs=2)
+    assert sorted(set(model.langs)) == ["aa", "bb"]
+    assert len(set(langid.fit(spark.createDataFrame(given + dirty, SCHEMA)).langs)) == 32
+
+
 def test_language_id_awkward_rows(spark):
     rng = random.Random(9)
     docs = spark.createDataFrame(
