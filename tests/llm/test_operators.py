@@ -487,6 +487,41 @@ def test_path_lengths_by_hand(spark):
     assert quality.threshold(np.array([0.1, 0.2]), np.array([0.1, 0.15]), 0.0) == 0.2
 
 
+def test_forest_and_threshold_are_those_of_all_labelled_rows(spark):
+    """More rows than a tree used to take: each cell's path counts every row that grows, the cut every other labelled row."""
+    rng = random.Random(23)
+    docs = table(spark, [prose(rng, rng.randint(50, 90)) + " #" * rng.randint(0, 3) for _ in range(2600)])
+    labels = spark.createDataFrame([(i, int(i % 13 > 0)) for i in range(2600)], "doc_id long, quality int")
+    stats = materialize(quality.rule_statistics(docs), "statistics")
+    forest, cut = quality.fit(docs, labels, trees=10, stats=stats)
+    known = [r for r in stats.join(labels, "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2))).collect()
+             if not quality.base_failed(r["n_words"], r["n_repeat_words"])]
+    own = lambda keep: np.array([r["features"] for r in known if keep(r)])
+    x = own(lambda r: r["quality"] and not r["half"])
+    assert len(x) > 1024 and forest.norm == quality.IsolationForest.expected_path(len(x))
+    for feature, threshold, left, path in forest.forest:
+        todo, seen = [(0, x, 0)], 0
+        while todo:
+            at, inside, depth = todo.pop()
+            if feature[at] < 0:
+                assert len(inside) < 2 or depth == quality.DEPTH
+                assert path[at] == pytest.approx(depth + forest.expected_path(len(inside)))
+                seen += len(inside)
+            else:
+                above = inside[:, feature[at]] >= threshold[at]
+                todo += [(left[at], inside[~above], depth + 1), (left[at] + 1, inside[above], depth + 1)]
+        assert seen == len(x)
+    good, bad = own(lambda r: r["quality"] and r["half"]), own(lambda r: not r["quality"])
+    assert cut == quality.threshold(forest.score(good), forest.score(bad), 0.01)
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        a, b = rng.integers(0, 40, 60) / 8, rng.integers(10, 60, 30) / 8
+        floor = float(np.quantile(a, 0.9))
+        cuts = np.unique(np.concatenate(([floor], a[a > floor], b[b > floor])))
+        gain = [round((b > c).mean() - (a > c).mean(), 9) for c in cuts]
+        assert quality.threshold(a, b, 0.1) in [(p + q) / 2 if g > 0 else p for p, q, g in zip(cuts, [*cuts[1:], cuts[-1]], gain) if g == max(gain)]
+
+
 def test_isolation_paths_are_shorter_for_outliers():
     rng = np.random.default_rng(0)
     x = np.vstack([rng.normal(size=(500, 3)), [[9.0, 9, 9]]])
