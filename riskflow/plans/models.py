@@ -127,8 +127,19 @@ def fit_logistic(data: DataFrame, features: Sequence[str], label: str, max_iter:
 def fit_classifier(train: DataFrame, kind: str = "logreg", features: Sequence[str] = FEATURES,
                    label: str = LABEL, class_weights: dict | bool | None = None, early_stop: bool = True,
                    max_iter: int | None = None, seed: int = SEED) -> PipelineModel:
-    """Fit ``logreg`` or ``gbt`` on labelled rows; returns a PipelineModel."""
-    data = _as_double(train.where(F.col(label).isNotNull()), [*features, label])
+    """Fit ``logreg`` or ``gbt`` on labelled rows; returns a PipelineModel.
+
+    The rows are stored first: a fit runs hundreds of jobs over them, whose tasks then are as many as the files' splits
+    (not the shuffle partitions of ``train``) and report the figures of a scan (not of the plan behind ``train``)."""
+    return _fit_stored(_stored_rows(train, features, label), kind, features, label, class_weights, early_stop, max_iter, seed)
+
+
+def _stored_rows(train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    return materialize(_as_double(train.where(F.col(label).isNotNull()), [*features, label]), "train")
+
+
+def _fit_stored(data: DataFrame, kind: str, features: Sequence[str], label: str, class_weights: dict | bool | None,
+                early_stop: bool, max_iter: int | None, seed: int) -> PipelineModel:
     if kind == "logreg":
         return fit_logistic(data, features, label, max_iter or LOGREG["maxIter"])[0]
     elif kind == "gbt":
@@ -144,19 +155,15 @@ def fit_classifier(train: DataFrame, kind: str = "logreg", features: Sequence[st
         stages = _front(features, scale=False) + [gbt]
     else:
         raise ValueError(f"unknown classifier {kind!r}")
-    data = data.persist()
-    try:
-        return Pipeline(stages=stages).fit(data)
-    finally:
-        data.unpersist()
+    return Pipeline(stages=stages).fit(data)
 
 
 def fit_penalised_trees(train: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL, l1: float = PENALTIES["l1"],
                         l2: float = PENALTIES["l2"], class_weights: dict | bool | None = None, early_stop: bool = True,
                         max_iter: int | None = None, seed: int = SEED) -> RefittedTrees:
     """Boosted trees with L1 and L2 penalties on their leaf values; the rows held out for early stopping stay out."""
-    model = fit_classifier(train, "gbt", features, label, class_weights, early_stop, max_iter, seed)
-    data = _as_double(train.where(F.col(label).isNotNull()), [*features, label])
+    data = _stored_rows(train, features, label)
+    model = _fit_stored(data, "gbt", features, label, class_weights, early_stop, max_iter, seed)
     if early_stop:
         data = _validation_flag(data).where(~F.col("_is_validation"))
     weight = class_weight_column(label, CLASS_WEIGHTS if class_weights is True else class_weights) if class_weights else None

@@ -229,3 +229,18 @@ def test_anomaly_rule_flags_once(spark, sets):
     a = rule.apply(pred).where("is_anomaly").count()
     assert a == mo.detect_anomalies(model, train, pred).where("is_anomaly").count()
     assert rule.flagged(rule.train).where("is_anomaly").count() <= mo.CONTAMINATION * train.count()
+
+
+def test_fits_run_over_few_stored_splits(spark, monkeypatch):
+    """A fit's jobs have as many tasks as the stored rows have splits, not as the plan before has partitions."""
+    from pyspark.ml import Pipeline
+
+    n = 40 * spark.sparkContext.defaultParallelism
+    train = spark.range(2000).select(F.rand(3).alias("a"), F.when(F.col("id") % 7 > 0, F.rand(4)).alias("b"),
+                                     (F.col("id") % 5 == 0).cast("int").alias("tx_fraud")).repartition(n)
+    parts, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, data: parts.append(data.rdd.getNumPartitions()) or fit(self, data))
+    for make in (lambda: mo.fit_classifier(train, "gbt", ["a", "b"], max_iter=1), lambda: mo.fit_classifier(train, "logreg", ["a", "b"], max_iter=1),
+                 lambda: mo.fit_penalised_trees(train, ["a", "b"], max_iter=1)):
+        make()
+    assert len(parts) == 3 and max(parts) < n / 4, parts
