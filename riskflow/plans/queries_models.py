@@ -198,6 +198,7 @@ def q_predict_gbt(spark, sf_dir):
 def _evaluation(spark, sf_dir, kind):
     train, pred = _sets(spark, sf_dir)
     model = _fitted(train, kind)
+    pred = materialize(pred, "prediction-set")  # scored for either side
     own, other = mo.evaluate(model, pred), mc.library_metrics(mo.predict(model, pred), "tx_fraud", "fraud_probability")
     # no positive prediction: precision is NULL here and 0 in the library
     return own.select("n", *[mc.close(F.coalesce(F.col(m), F.lit(0.0)), F.lit(float(other[m]))).alias(f"{m}_agrees") for m in _METRICS])
