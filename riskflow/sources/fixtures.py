@@ -9,7 +9,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.functions import as_timestamp, trunc_second
@@ -27,13 +27,15 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def transactions_from_events(events: DataFrame) -> DataFrame:
+def transactions_from_events(events: DataFrame, *more: Column) -> DataFrame:
+    """``more``: columns that go along."""
     return events.select(
         F.col("event_id").cast("string").alias("TX_ID"),
         trunc_second("ts").alias("TX_TS"),
         F.col("user_id").cast("string").alias("CUSTOMER_ID"),
         F.get_json_object("props", "$.k").alias("TERMINAL_ID"),
         F.col("value").cast("double").alias("TX_AMOUNT"),
+        *more,
     )
 
 
@@ -73,11 +75,12 @@ txlabels AS (SELECT CAST(event_id AS VARCHAR) AS TX_ID,
 def messages_from_events(events: DataFrame) -> DataFrame:
     """The message topic of the fixture: every non-signup event as a transaction message, every signup as one that
     cannot be scored, of each kind in turn: no TX_ID, malformed, unreadable time, no amount, no customer or terminal."""
-    from riskflow.streaming.messages import to_message
+    from riskflow.streaming.messages import message_text
 
-    tx = transactions_from_events(events.where(F.col("event_type") != UNLABELLED_EVENT))
-    other = events.where(F.col("event_type") == UNLABELLED_EVENT).select(F.expr(DEAD_MESSAGE).alias("value"))
-    return to_message(tx).unionByName(other)
+    # one pass over the events for both kinds
+    dead = F.col("event_type") == UNLABELLED_EVENT
+    tx = transactions_from_events(events.where(F.col("event_type").isNotNull()), dead.alias("_dead"), F.expr(DEAD_MESSAGE).alias("_text"))
+    return tx.select(F.when(F.col("_dead"), F.col("_text")).otherwise(message_text()).alias("value"))
 
 
 # The text of a signup's message, in SQL that both engines read alike.

@@ -31,11 +31,15 @@ REASON_NO_PARTY = "missing CUSTOMER_ID or TERMINAL_ID"
 FILES_PER_TRIGGER, OFFSETS_PER_TRIGGER = 100, 1_000_000
 
 
+def message_text() -> Column:
+    """The JSON text of a transaction, from its columns."""
+    return F.to_json(F.struct(F.col("TX_ID"), F.date_format("TX_TS", TS_TEXT_FORMAT).alias("TX_TS"), F.col("CUSTOMER_ID"),
+                              F.col("TERMINAL_ID"), F.col("TX_AMOUNT")))
+
+
 def to_message(tx: DataFrame) -> DataFrame:
     """Encode transactions as one JSON text column ``value``."""
-    body = F.struct(F.col("TX_ID"), F.date_format("TX_TS", TS_TEXT_FORMAT).alias("TX_TS"), F.col("CUSTOMER_ID"),
-                    F.col("TERMINAL_ID"), F.col("TX_AMOUNT"))
-    return tx.select(F.to_json(body).alias("value"))
+    return tx.select(message_text().alias("value"))
 
 
 def _decoded(raw: DataFrame, value: str) -> DataFrame:

@@ -255,3 +255,18 @@ def test_prediction_table_fills_in_its_default(spark):
     assert len(late) == 2 and len(got) == 4
     assert predictions.create_prediction_table(spark, name) == name and spark.table(name).count() == 4
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_topic_is_built_in_one_pass(spark):
+    """As many partitions as the events have, so that no file and no micro-batch is added by a second scan."""
+    from riskflow.sources.fixtures import DEAD_MESSAGE, messages_from_events, transactions_from_events
+
+    kinds = ["view", "signup", None, "error", "signup", "signup", "signup", "signup"]
+    events = spark.createDataFrame([(i if i != 9 else None, k, i % 3, 1.5 if i % 4 else None, '{"k": 7}' if i % 5 else None) for i, k in enumerate(kinds * 4)],
+                                   "event_id long, event_type string, user_id long, value double, props string")
+    events = events.withColumn("ts", F.timestamp_seconds(F.lit(1705000000) + F.coalesce("event_id", F.lit(0)))).repartition(5)
+    found = messages_from_events(events)
+    assert found.rdd.getNumPartitions() == 5 and found.columns == ["value"]
+    plain = msg.to_message(transactions_from_events(events.where("event_type <> 'signup'"))).unionByName(
+        events.where("event_type = 'signup'").select(F.expr(DEAD_MESSAGE).alias("value")))
+    assert sorted(str(r[0]) for r in found.collect()) == sorted(str(r[0]) for r in plain.collect()) and found.count() == 28
