@@ -79,6 +79,14 @@ class LanguageModel:
         return self.langs[k], score, bool(score < self.least[k])
 
 
+def vectors(texts, idf: np.ndarray) -> np.ndarray:
+    """One row a text, filled in place: the rows are not held twice."""
+    x = np.empty((len(texts), BINS), np.float32)
+    for i, t in enumerate(texts):
+        x[i] = vector(grams(t), idf)
+    return x
+
+
 def _document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
     def run(batches):
         df, n = np.zeros(BINS, np.int64), 0
@@ -116,7 +124,7 @@ def _cluster(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.nd
         own = np.argmax(x @ c.T, axis=1)
         for j in range(len(c)):
             if (own == j).any():
-                m = x[own == j].mean(axis=0)
+                m = x.mean(axis=0, where=(own == j)[:, None])  # without a copy of the rows
                 c[j] = m / max(float(np.linalg.norm(m)), 1e-12)
     return c, (x @ c.T).max(axis=1)
 
@@ -141,7 +149,7 @@ def fit(labelled: DataFrame, clusters: int = 3, sample_per_lang: int = 600, slac
     sample = train.join(F.broadcast(shares), F.col("lang").cast("string") == F.col("_lang")).filter(u < F.col("_share"))
 
     def per_lang(pdf):
-        x = np.stack([vector(grams(t), idf) for t in pdf["text"]])
+        x = vectors(pdf["text"], idf)
         c, sims = _cluster(x, clusters)
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": list(c.astype(np.float32)), "least": slack * float(sims.min())})
 

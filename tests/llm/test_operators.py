@@ -770,3 +770,24 @@ def test_positions_over_many_runs(spark):
     df = table(spark, texts).select("doc_id", pii.found(F.col("text"), pii._TERM).alias("w"))
     for r in rows(df):
         assert [(x["s"], x["e"], x["v"]) for x in r["w"]] == [(m.start(), m.end(), m.group()) for m in re.finditer(r"[^\W\d_]+", texts[r["doc_id"]])]
+
+
+# -- 7, memory ----------------------------------------------------------------------------------------------------
+def test_language_clusters_hold_their_rows_once():
+    import tracemalloc
+
+    rng = random.Random(31)
+    texts, idf = [prose(rng, 30) for _ in range(200)], np.linspace(0.5, 2, langid.BINS)
+
+    def peak(f):
+        tracemalloc.start()
+        try:
+            return f(), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+    x, most = peak(lambda: langid.vectors(texts, idf))
+    assert np.array_equal(x, np.stack([langid.vector(langid.grams(t), idf) for t in texts])) and most < 1.2 * x.nbytes
+    (c, sims), most = peak(lambda: langid._cluster(x, 1))
+    assert most < 0.3 * x.nbytes  # a copy of the only cluster's rows would be as large as x
+    m = x.mean(axis=0)
+    assert np.array_equal(c[0], m / float(np.linalg.norm(m))) and len(sims) == 200
